@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievework.llm import mixing, simhash
+from sievework.llm import bpe, mixing, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +21,13 @@ def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of every document's ids and decoded text."""
+    return bpe.encode_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_simhash_components": op5_simhash_components,
     "op7_mix_sources": op7_mix_sources,
 }
