@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievework.llm import bpe, mixing, simhash
+from sievework.llm import bpe, mixing, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,10 +26,33 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(_table(spark, sf_dir, "documents"))
 
 
+def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as normalised archives and read back."""
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op3_warc_round_trip": op3_warc_round_trip,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_simhash_components": op5_simhash_components,
     "op7_mix_sources": op7_mix_sources,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: SHA-1 in base32: five hexadecimal digits make four characters.
+_OP3_SQL = """
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), named AS (
+  SELECT page_id, payload_bytes, max(page_id) OVER (PARTITION BY h) AS head,
+    array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform(range(4), lambda j:
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (('0x' || substr(h, 1 + 5 * i, 5))::INTEGER >> (15 - 5 * j)) % 32, 1)), '')), '') AS payload_digest
+  FROM hashed
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = head THEN NULL ELSE head END AS refers_to
+FROM named
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_warc_round_trip": _OP3_SQL,
+}
