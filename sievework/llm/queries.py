@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievework.llm import bpe, mixing, simhash, warc
+from sievework.llm import bpe, mixing, quality_rules, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,13 +31,69 @@ def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document."""
+    return quality_rules.judge(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op3_warc_round_trip": op3_warc_round_trip,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_simhash_components": op5_simhash_components,
     "op7_mix_sources": op7_mix_sources,
 }
 
+#: The same words, windows, sketches and fences in plain SQL.
+_OP1_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t FROM documents
+), split AS (
+  SELECT *, list_filter(string_split(translate(t, chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     '), ' '), lambda x: x <> '') AS w,
+    list_filter(string_split(t, chr(10)), lambda x: translate(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '') <> '') AS l
+  FROM texts
+), places AS (
+  SELECT r, unnest(range(1, len(w) - 1)) AS p, w FROM split WHERE len(w) > 2
+), windows AS (
+  SELECT r, p, count(*) OVER (PARTITION BY r, w[p], w[p + 1], w[p + 2]) AS n FROM places
+), repeats AS (
+  SELECT r, count(DISTINCT p + k) AS n FROM windows, (SELECT unnest(range(0, 3)) AS k) WHERE n > 1 GROUP BY r
+), counts AS (
+  SELECT doc_id, lang, source, len(w) AS n_words, length(translate(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) AS word_chars,
+    length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines,
+    coalesce(repeats.n, 0) AS n_repeat_words
+  FROM split LEFT JOIN repeats USING (r)
+), judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    [1000 * word_chars // greatest(n_words, 1), 1000 * n_symbols // greatest(word_chars, 1), 1000 * n_dup_lines // greatest(n_lines, 1), 1000 * n_repeat_words // greatest(n_words, 1)] AS x
+  FROM counts
+), bucketed AS (
+  SELECT *, list_transform(x, lambda v: CASE WHEN v > 0 THEN floor(ln(v) / ln(1.02::DOUBLE))::INT ELSE -1 END) AS b FROM judged
+), cells AS (
+  SELECT lang, source, unnest([1, 2, 3, 4]) AS m, unnest(b) AS b FROM bucketed WHERE NOT base_failed
+), own AS (
+  SELECT lang, source, m, count(*) AS n, list_sort(list(b)) AS s FROM cells GROUP BY ALL
+), of_lang AS (
+  SELECT lang, m, count(*) AS n, list_sort(list(b)) AS s FROM cells GROUP BY ALL
+), of_all AS (
+  SELECT m, count(*) AS n, list_sort(list(b)) AS s FROM cells GROUP BY ALL
+), used AS (
+  SELECT own.lang, own.source, own.m, CASE WHEN own.n >= 200 THEN own.s WHEN l.n >= 200 THEN l.s ELSE a.s END AS s
+  FROM own JOIN of_lang l ON own.lang IS NOT DISTINCT FROM l.lang AND own.m = l.m JOIN of_all a ON own.m = a.m
+), quarts AS (
+  SELECT lang, source, m, s[(len(s) + 3) // 4] AS q1, s[(2 * len(s) + 3) // 4] AS q2, s[(3 * len(s) + 3) // 4] AS q3 FROM used
+), fence AS (
+  SELECT lang, source, m, CASE WHEN m = 1 THEN least(q1 - 4 * (q3 - q1), q2 - 20) ELSE -2 END AS low,
+    greatest(q3 + 4 * (q3 - q1), q2 + 20, [-1, 197, 288, 268][m]) AS high
+  FROM quarts
+), fences AS (
+  SELECT lang, source, list(low ORDER BY m) AS low, list(high ORDER BY m) AS high FROM fence GROUP BY ALL
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(b[1] BETWEEN low[1] AND high[1] AND b[2] BETWEEN low[2] AND high[2] AND b[3] BETWEEN low[3] AND high[3] AND b[4] BETWEEN low[4] AND high[4], TRUE) AS kept
+FROM bucketed d LEFT JOIN fences f ON d.lang IS NOT DISTINCT FROM f.lang AND d.source IS NOT DISTINCT FROM f.source
+"""
+
 #: SHA-1 in base32: five hexadecimal digits make four characters.
 _OP3_SQL = """
 WITH hashed AS (
@@ -54,5 +110,6 @@ FROM named
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": _OP1_SQL,
     "op3_warc_round_trip": _OP3_SQL,
 }
