@@ -43,11 +43,11 @@ SPREAD = 4
 #: Ratio of neighbouring buckets.
 RATIO = 1.02
 #: Measures: (name, whether there's a lower fence, least distance of a fence from the median in buckets, least bucket of an upper fence).
-#: 20 buckets are a ratio of about 1.5; 197, 288 and 268 are the buckets of 50, 300 and 200 thousandths.
+#: 20 buckets are a ratio of about 1.5; 197, 313 and 268 are the buckets of 50, 500 and 200 thousandths.
 MEASURES = (
     ("word_length", True, 20, -1),
     ("symbol_share", False, 20, 197),
-    ("dup_line_share", False, 20, 288),
+    ("dup_line_share", False, 20, 313),
     ("repeat_share", False, 20, 268),
 )
 #: Groups up to which the table of fences is broadcast (some hundred bytes a row); a shuffled join beyond.

@@ -84,7 +84,7 @@ WITH texts AS (
   SELECT lang, source, m, s[(len(s) + 3) // 4] AS q1, s[(2 * len(s) + 3) // 4] AS q2, s[(3 * len(s) + 3) // 4] AS q3 FROM used
 ), fence AS (
   SELECT lang, source, m, CASE WHEN m = 1 THEN least(q1 - 4 * (q3 - q1), q2 - 20) ELSE -2 END AS low,
-    greatest(q3 + 4 * (q3 - q1), q2 + 20, [-1, 197, 288, 268][m]) AS high
+    greatest(q3 + 4 * (q3 - q1), q2 + 20, [-1, 197, 313, 268][m]) AS high
   FROM quarts
 ), fences AS (
   SELECT lang, source, list(low ORDER BY m) AS low, list(high ORDER BY m) AS high FROM fence GROUP BY ALL
