@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievework.llm import bpe, mixing, quality_rules, simhash, warc
+from sievework.llm import bpe, mixing, quality_rules, simhash, url_tree, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,7 +36,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def op6_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    return url_tree.judge(_table(spark, sf_dir, "pages"), url_tree.RULES)
+
+
 QUERIES = {
+    "op6_url_templates": op6_url_templates,
     "op1_quality_rules": op1_quality_rules,
     "op3_warc_round_trip": op3_warc_round_trip,
     "op4_bpe_round_trip": op4_bpe_round_trip,
