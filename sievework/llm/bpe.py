@@ -15,9 +15,9 @@ right of it a node of t's left spine.  The boundary survives unless some
 pair (x, y) of such nodes has a merge that comes before x and y are used up
 by their own parents; of equal ranks the leftmost comes first.
 
-Text is cut at white space, which the file's rule drops; a chunk between
-white space is encoded once and kept in a bounded table, so a document
-costs a look-up a word.
+Text is cut into pieces, or at white space, which the file's rule drops; a
+chunk is encoded once and kept in a bounded table, so a document costs a
+look-up a word.
 
 Defined results: null and empty texts have no tokens and decode to the
 empty string; special tokens' strings in a text are special tokens, as the
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 #: Stands for the end of a word in the automaton; byte-level symbols never use it.
 _END = "\t"
 #: Chunks, and pieces, that a worker remembers at least; at twice this number the older half goes.
-REMEMBERED = 250_000
+REMEMBERED = 350_000
 _CONTROL = re.compile("[\x1c-\x1f]")
 #: Unicode white space; str.split() also splits at \x1c-\x1f, which the file's rule doesn't drop.
 _WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
@@ -68,7 +68,7 @@ _PLAIN_END = "\u0130"
 def _plain_pattern() -> re.Pattern:
     """The file's splitting rule for lower-case texts below ``_PLAIN_END``."""
     of = {k: "".join(re.escape(chr(c)) for c in range(33, 0x180) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
-    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{of['L']}]+|[{of['N']}]|[^{of['L']}{of['N']}]+")
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{of['L']}]+|[{of['N']}]|[^{of['L']}{of['N']}\\t-\\r \\x85\\xa0]+")
 
 
 _PLAIN = _plain_pattern()
@@ -115,8 +115,9 @@ class WordBpe:
             self._rank[left, right] = rank
             self._parts.setdefault(made, (left, right, rank))
         self._spines: tuple[dict, dict] = ({}, {})
-        self._fits: dict[tuple[int, int], bool] = {}
+        self._fits: dict[int, bool] = {}
         self._whole: dict[int, bool] = {}
+        self._decimal = {i: str(i) for i in self.names}
         self._build_automaton()
         self._pieces, self._chunks = _Remembered(), _Remembered()
 
@@ -129,7 +130,7 @@ class WordBpe:
                 continue
             if token.endswith(self.suffix) and len(token) > len(self.suffix):
                 token = token[: -len(self.suffix)] + _END
-            self._automaton.add_word(token, (i, len(token)))
+            self._automaton.add_word(token, i << 8 | len(token))
         self._automaton.make_automaton()
 
     def _spine(self, token: int, side: int) -> list[tuple[int, float]]:
@@ -168,11 +169,12 @@ class WordBpe:
 
     def compatible(self, s: int, t: int) -> bool:
         """Whether the joined strings of two tokens are encoded as just these two."""
-        known = self._fits.get((s, t))
+        pair = s << 20 | t
+        known = self._fits.get(pair)
         if known is None:
-            if len(self._fits) > 20 * REMEMBERED:
+            if len(self._fits) > 8 * REMEMBERED:
                 self._fits.clear()
-            known = self._fits[s, t] = self._stays_apart(s, t)
+            known = self._fits[pair] = self._stays_apart(s, t)
         return known
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:
@@ -180,26 +182,23 @@ class WordBpe:
         n = len(piece)
         if not n:
             return ()
-        last, starts = [-1] * (n + 1), [0] * (n + 1)  # by length of the prefix
+        # By length of the prefix, the word's end counted as a symbol; no prefix may stop between the last symbol and the end.
+        last, starts = [-1] * (n + 2), [0] * (n + 2)
+        last[n] = 0
         fits, compatible = self._fits.get, self.compatible
-        for end, (token, size) in self._automaton.iter(piece + _END):
-            if end >= n - 1:
-                if end == n - 1:  # without the word's end
-                    continue
-                size -= 1
-                end = n - 1
-            if last[end + 1] >= 0:
-                continue
-            start = end + 1 - size
-            if start:
-                before = last[start]
-                if before < 0:
-                    continue
-                fit = fits((before, token))
-                if not (compatible(before, token) if fit is None else fit):
-                    continue
-            last[end + 1], starts[end + 1] = token, start
-        out, at = [], n
+        for end, code in self._automaton.iter(piece + _END):
+            end += 1
+            if last[end] < 0:
+                start, token = end - (code & 255), code >> 8
+                if start:
+                    before = last[start]
+                    if before < 0:
+                        continue
+                    fit = fits(before << 20 | token)
+                    if not (compatible(before, token) if fit is None else fit):
+                        continue
+                last[end], starts[end] = token, start
+        out, at = [], n + 1
         while at:
             out.append(last[at])
             at = starts[at]
@@ -208,7 +207,7 @@ class WordBpe:
 
     def pieces(self, chunk: str) -> list[str]:
         """Byte-level pieces of a text without white space and special tokens."""
-        if min(chunk) > " " and max(chunk) < _PLAIN_END:
+        if chunk.isprintable() and (chunk.isascii() or max(chunk) < _PLAIN_END):
             found = _PLAIN.findall(chunk.lower())
             return found if chunk.isascii() else [x.encode().decode("latin-1").translate(_SYMBOL) for x in found]
         return [x for x, _ in self._split(self._normalize(chunk))]
@@ -227,31 +226,37 @@ class WordBpe:
         """A chunk's ids in decimal, its tokens' names, and the ids."""
         known = self._chunks.get(chunk)
         if known is None:
+            decimal = self._decimal
             ids = (self.special[chunk],) if chunk in self.special else self.encode_chunk(chunk)
-            known = self._chunks.put(chunk, (" ".join(map(str, ids)), self.decode(ids), ids))
+            known = self._chunks.put(chunk, (" ".join([decimal[i] for i in ids]), self.decode(ids), ids))
         return known
 
     def chunks(self, text: str | None) -> list[tuple[str, str, tuple[int, ...]]]:
-        """Entries of the chunks of a whole text, in order; those without tokens are left out."""
+        """Entries of the chunks of a whole text, in order."""
         if not text:
             return []
-        parts = self._special.split(text) if self._special and any(s in text for s in self.special) else [text]
+        parts = self._special.split(text) if self._special and "<|" in text and any(s in text for s in self.special) else [text]
         out = []
         for part in parts:
             if part in self.special:
                 words = [part]
             else:
-                words = part.split() if not _CONTROL.search(part) else [w for w in _WHITE.split(part) if w]
+                try:
+                    part.encode("latin-1")  # in normal form and lower-cased character by character: cut into pieces at once
+                    words = _PLAIN.findall(part.lower())
+                except UnicodeEncodeError:
+                    words = part.split() if not _CONTROL.search(part) else [w for w in _WHITE.split(part) if w]
             known, entry = self._chunks.new.get, self._entry
             out += [known(w) or entry(w) for w in words]
-        return [x for x in out if x[2]]
+        return out
 
     def encode(self, text: str | None) -> list[int]:
         return [i for x in self.chunks(text) for i in x[2]]
 
     def decode(self, ids) -> str:
         """The tokens' names joined by blanks: the file names no decoder."""
-        return " ".join(map(self.names.__getitem__, ids))
+        names = self.names
+        return " ".join([names[i] for i in ids])
 
 
 _LOADED: dict[str, WordBpe] = {}
