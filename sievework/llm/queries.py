@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sievework.llm import bpe, mixing, quality_rules, simhash, url_tree, warc
+from sievework.llm import ann, bpe, mixing, quality_rules, simhash, url_tree, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,7 +42,13 @@ def op6_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_tree.judge(_table(spark, sf_dir, "pages"), url_tree.RULES)
 
 
+def op9_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every row whose id is divisible by 20."""
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
+    "op9_ann_search": op9_ann_search,
     "op6_url_templates": op6_url_templates,
     "op1_quality_rules": op1_quality_rules,
     "op3_warc_round_trip": op3_warc_round_trip,
