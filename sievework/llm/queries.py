@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import ann, bpe, mixing, quality_rules, simhash, url_tree, warc
+from sievework.llm import ann, bpe, mixing, quality_rules, simhash, toxicity, url_tree, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,7 +47,14 @@ def op9_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op8_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document by a model trained on the labelled ones."""
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
+    "op8_toxicity_cnn": op8_toxicity_cnn,
     "op9_ann_search": op9_ann_search,
     "op6_url_templates": op6_url_templates,
     "op1_quality_rules": op1_quality_rules,
