@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import ann, bpe, mixing, quality_rules, simhash, toxicity, url_tree, warc
+from sievework.llm import ann, bpe, mixing, quality_model, quality_rules, simhash, toxicity, url_tree, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,7 +53,14 @@ def op8_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op2_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probabilities of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    return quality_model.rate(docs, quality_model.train(docs, _table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
+    "op2_ordinal_quality": op2_ordinal_quality,
     "op8_toxicity_cnn": op8_toxicity_cnn,
     "op9_ann_search": op9_ann_search,
     "op6_url_templates": op6_url_templates,
