@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import ann, bpe, mixing, quality_model, quality_rules, simhash, toxicity, url_tree, warc
+from sievework.llm import ann, bpe, mixing, pii, quality_model, quality_rules, simhash, toxicity, url_tree, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,7 +59,13 @@ def op2_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.rate(docs, quality_model.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op10_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and added spans of personal data in every document."""
+    return pii.find(_table(spark, sf_dir, "documents"), pii.train())
+
+
 QUERIES = {
+    "op10_pii_crf": op10_pii_crf,
     "op2_ordinal_quality": op2_ordinal_quality,
     "op8_toxicity_cnn": op8_toxicity_cnn,
     "op9_ann_search": op9_ann_search,
