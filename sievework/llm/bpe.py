@@ -295,17 +295,18 @@ def encode_digests(docs: DataFrame, path: str | None = None, id_col: str = "doc_
 
 
 def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids): the token ids of every document."""
+    """(doc_id, n_tokens, ids): the token ids of every document."""
     path = path or default_path()
 
     def run(batches):
         bpe = load(path)
         for part in _slices(batches):
-            ids = pa.array([bpe.encode(t) for t in part.column(1).to_pylist()], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
+            found = [bpe.encode(t) for t in part.column(1).to_pylist()]
+            ids = pa.array(found, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(len, found), pa.int64()), ids], ["doc_id", "n_tokens", "ids"])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, ids array<int>")
+    return narrow.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from sievework.llm import ann, bpe, mixing, pii, quality_model, quality_rules, simhash, toxicity, url_tree, warc
 
 
@@ -64,7 +65,13 @@ def op10_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(_table(spark, sf_dir, "documents"), pii.train())
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of corpus_pipeline.py over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op10_pii_crf": op10_pii_crf,
     "op2_ordinal_quality": op2_ordinal_quality,
     "op8_toxicity_cnn": op8_toxicity_cnn,

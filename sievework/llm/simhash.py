@@ -49,6 +49,8 @@ SHINGLE = 3
 RADIUS = 2
 #: Different fingerprints from which a cell is linked through midpoints.
 CROWDED = 128
+#: Ids to drop (eight bytes each) up to which they are broadcast.
+BROADCAST_IDS = 1_000_000
 #: Groups of two-bit segments: first segment and number of segments.
 GROUPS = ((0, 6), (6, 6), (12, 6), (18, 7), (25, 7))
 _LOW = 0x5555555555555555
@@ -152,13 +154,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without near-duplicates: of each component, the row with the smallest id stays.
 
-    Of rows that repeat that id one stays.  Rows without an id can't be
-    named as a component's document; of those that share a text one stays.
+    An id names a document: rows that repeat an id stand or fall together,
+    and one of them stays.  Rows without an id can't be named as a
+    component's document; of those that share a text one stays.
+
+    Only ids are joined to the texts.  Up to ``BROADCAST_IDS`` of those to
+    drop are sent to every executor, so that texts aren't shuffled; beyond,
+    the join is a shuffled one.
     """
-    spare = docs.columns
     found = materialize(components(fingerprints(docs, id_col, text_col)), "simhash-found")
-    heads = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__head")).distinct()
-    chosen = docs.join(heads, docs[id_col] == F.col("__head"), "left_semi")
-    whole = chosen.dropDuplicates([id_col])
-    orphans = docs.where(F.col(id_col).isNull()).dropDuplicates([text_col])
-    return whole.unionByName(orphans).select(*spare)
+    ids = materialize(
+        found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("head"), F.count("*").alias("rows")), "simhash-ids"
+    )
+    told = ids.agg(F.count(F.when(~F.col("head"), True)).alias("drop"), F.max("rows").alias("rows"), F.count(F.when(F.col("doc_id").isNull(), True)).alias("nameless")).first()
+    drop = ids.where(~F.col("head")).select(F.col("doc_id").alias("__drop"))
+    kept = docs.join(F.broadcast(drop) if told["drop"] <= BROADCAST_IDS else drop, docs[id_col] == F.col("__drop"), "left_anti")
+    nameless = kept.where(F.col(id_col).isNull()).dropDuplicates([text_col])
+    if told["nameless"] or (told["rows"] or 0) > 1:
+        kept = kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(nameless)
+    return kept
