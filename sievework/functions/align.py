@@ -10,6 +10,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MIN_COLUMNS = 7
 #: The natural peptide that candidates are held against.
@@ -37,7 +38,7 @@ def local_identity(query: str | None, reference: str = REFERENCE) -> float:
     return best[2] / best[1] if best[1] >= MIN_COLUMNS else 0.0
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _identity(query: pd.Series, reference: pd.Series) -> pd.Series:
     known: dict = {}
     return pd.Series([known[p] if p in known else known.setdefault(p, local_identity(*p)) for p in zip(query, reference, strict=True)], dtype="float64")
