@@ -1,0 +1,399 @@
+"""The operators against brute force on small tables, with nulls, empty and repeated rows, and clashing columns."""
+
+import base64
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sievework.llm import ann, bpe, graph, mixing, pii, pii_spans, quality_model, quality_rules, simhash, toxicity, url_tree, warc
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+WORDS = "the of and mela tor vin asto kerl undo prin salo mide ostra venn lurk".split()
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(WORDS) + rng.choice(["", "", "s", "en"]) for _ in range(n))
+
+
+def docs(spark, texts, **more):
+    rows = [(i, t, "en" if i % 3 else "de", f"s{i % 4}", len(t or "")) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, DOCS)
+    for name in ("score", "kept", "fp", "key", "ids", "bucket", "label"):  # names the operators use themselves
+        df = df.withColumn(name, F.lit("x"))
+    return df
+
+
+def odd_texts():
+    rng = random.Random(1)
+    same = prose(rng, 80)
+    return [None, "", " \n\t", "one", "one two", same, same, same + " end", prose(rng, 5000), "a b c " * 60, "line here\n" * 9 + prose(rng, 60), *[prose(rng, rng.randint(1, 200)) for _ in range(40)]]
+
+
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+# quality rules
+
+
+def brute_counts(text):
+    text = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    at = defaultdict(list)
+    for i in range(len(w) - 2):
+        at[tuple(w[i : i + 3])].append(i)
+    repeat = {i + k for v in at.values() if len(v) > 1 for i in v for k in range(3)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return len(w), sum(map(len, w)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(repeat)
+
+
+def test_quality_counts_and_fences(spark):
+    texts = [*odd_texts(), "a|b <c> é€ " * 30]
+    got = {r["doc_id"]: r for r in quality_rules.judge(docs(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        n, chars, symbols, lines, repeat = brute_counts(t)
+        r = got[i]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (n, chars, symbols, lines, repeat), t
+        assert r["base_failed"] == (n < 50 or 100 * repeat > 50 * n)
+        assert not (r["base_failed"] and r["kept"])
+    assert quality_rules.judge(empty(spark)).count() == 0
+
+
+def test_quality_fences_reject_what_differs(spark):
+    rng = random.Random(2)
+    texts = [prose(rng, 100) for _ in range(60)] + [" ".join(w + "###" for w in prose(rng, 100).split())]
+    rows = [(i if i % 9 else None, t, None if i % 5 == 0 else "en", None, 0) for i, t in enumerate(texts)]
+    got = quality_rules.judge(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(got) == 61 and [r["n_symbols"] > 0 for r in got if not r["kept"]] == [True]
+
+
+# mixing
+
+
+def fill(sizes, weights, cap=3.0):
+    total, over = sum(sizes.values()), set()
+    while True:
+        left, w = total - sum(cap * sizes[s] for s in over), sum(weights[s] for s in sizes if s not in over)
+        new = {s for s in sizes if s not in over and weights[s] * left / w > cap * sizes[s]} if w else set()
+        if not new:
+            return {s: cap * sizes[s] if s in over else weights[s] * left / w for s in sizes}
+        over |= new
+
+
+def test_mixing_targets_and_words_taken(spark):
+    rng = random.Random(5)
+    rows = [(i, prose(rng, rng.randint(0, 30)) if i % 50 else None, "en", rng.choices(["b", "a", None, "é", "Z"], [60, 3, 20, 10, 2])[0], 0) for i in range(900)]
+    df = spark.createDataFrame(rows, DOCS).withColumn("size", F.lit("x")).repartition(3)
+    got = mixing.mix_report(df).collect()
+    source = {r[0]: r[3] for r in rows}
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r[3]] += len((r[1] or "").split())
+    order = sorted([s for s in sizes if s is not None]) + [None]
+    want = fill(sizes, {s: (1, 2, 3)[i % 3] for i, s in enumerate(order)})
+    taken = Counter()
+    for r in got:
+        s = source[r["doc_id"]]
+        assert r["source_size"] == sizes[s] and r["target"] == pytest.approx(want[s]) and 0 <= r["taken"] <= 3 * r["size"]
+        taken[s] += r["taken"]
+    assert all(abs(taken[s] - want[s]) <= 16 for s in sizes)
+    assert sorted(map(tuple, mixing.mix_report(df.repartition(7)).collect())) == sorted(map(tuple, got))
+    mixed = mixing.mix(df)
+    assert mixed.columns == df.columns
+    assert Counter(r["doc_id"] for r in mixed.collect()) == Counter({r["doc_id"]: r["taken"] // r["size"] for r in got if r["size"] and r["taken"]}) + Counter(
+        {r["doc_id"]: 0 for r in got}
+    ) + Counter(r["doc_id"] for r in mixed.where("coalesce(text, '') = ''").collect())
+    assert mixing.mix_report(empty(spark)).count() == 0 and mixing.mix(empty(spark)).count() == 0
+    weights = spark.createDataFrame([("b", 1.0), (None, 1.0)], "source string, weight double")
+    assert {r["source"] for r in mixing.mix(df, weights=weights).select("source").distinct().collect()} == {"b", None}
+
+
+# simhash
+
+
+def brute_components(prints):
+    values = sorted({p for _, p in prints})
+    root = {v: v for v in values}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(values):
+        for b in values[i + 1 :]:
+            if bin((a ^ b) & (2**64 - 1)).count("1") <= 2:
+                root[find(a)] = find(b)
+    least = {}
+    for d, p in prints:
+        if d is not None:
+            least[find(p)] = min(least.get(find(p), d), d)
+    return {(d, p): least.get(find(p)) for d, p in prints}
+
+
+@pytest.mark.parametrize("crowded", [128, 3])
+def test_simhash_components(spark, crowded, monkeypatch):
+    monkeypatch.setattr(simhash, "CROWDED", crowded)
+    rng = random.Random(6)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    centres = [rng.getrandbits(64) for _ in range(15)]
+    prints = [(i, signed(rng.choice(centres) ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3))))) for i in range(300)]
+    prints += [(None, signed(rng.getrandbits(64))), (7, prints[3][1]), (None, prints[0][1])]
+    got = simhash.components(spark.createDataFrame(prints, "doc_id long, fp long")).collect()
+    want = brute_components(prints)
+    assert Counter((r["doc_id"], r["fp"], r["component_id"]) for r in got) == Counter((d, p, want[d, p]) for d, p in prints)
+
+
+def test_simhash_fingerprint(spark):
+    import xxhash
+
+    def slow(text):
+        w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().translate(bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))))
+        shingles = [b" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([b" ".join(w)] if w else [])
+        h = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)) if h else 0
+
+    texts = [*odd_texts(), "ÀB c\x0bD\u00a0E f", "A b"]
+    got = simhash.near_duplicates(docs(spark, texts)).collect()
+    assert {r["doc_id"]: r["fingerprint"] for r in got} == {i: f"{slow(t):016x}" for i, t in enumerate(texts)}
+    kept = simhash.keep_one(docs(spark, texts).withColumn("__x", F.lit(1)))
+    heads = {r["component_id"] for r in got}
+    assert {r["doc_id"] for r in kept.collect()} == heads and "score" in kept.columns
+    twice = docs(spark, ["same text of it"] * 4).union(docs(spark, ["same text of it"] * 4))
+    assert [r["doc_id"] for r in simhash.keep_one(twice).collect()] == [0]
+    assert simhash.near_duplicates(empty(spark)).count() == 0 and simhash.keep_one(empty(spark)).count() == 0
+
+
+def test_components_of_a_path_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 40)] + [(5, 5)]
+    got = dict(map(tuple, graph.connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()))
+    assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 140), 100)}
+
+
+# BPE
+
+
+def test_bpe_is_exact(spark):
+    from tokenizers import Tokenizer
+
+    known, mine = Tokenizer.from_file(bpe.default_path()), bpe.WordBpe(bpe.default_path())
+    rng = random.Random(7)
+    letters = list("aehinrst  ETAOIN'’#$%01.,éèßΣσİ́日本🙂\x1c\x85\xa0\u2028\x00\n<|>/") + ["<|endoftext|>", "</w>", "'ll"]
+    texts = ["", "a" * 300, "!" * 77, *odd_texts()[3:]] + ["".join(rng.choice(letters) for _ in range(rng.randint(0, 80))) for _ in range(1500)]
+    for t in texts:
+        ids = known.encode(t, add_special_tokens=False).ids
+        assert mine.encode(t) == ids and mine.decode(ids) == known.decode(ids, skip_special_tokens=False), t
+    df = docs(spark, [None, *texts[:60]])
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    for r in bpe.encode_digests(df).collect():
+        ids = known.encode([None, *texts][r["doc_id"]] or "", add_special_tokens=False).ids
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (len(ids), sha(" ".join(map(str, ids))), sha(known.decode(ids, skip_special_tokens=False)))
+    encoded = bpe.encode(df)
+    back = {r["doc_id"]: r["text"] for r in bpe.decode(encoded).collect()}
+    assert back[5] == known.decode(known.encode(texts[4], add_special_tokens=False).ids, skip_special_tokens=False)
+    assert bpe.encode(empty(spark)).count() == 0
+
+
+def test_bpe_last_token_of_a_prefix_is_unique():
+    mine = bpe.WordBpe(bpe.default_path())
+    for word in ("internationalisation", "thhehwhanderes", "aaaaaaaa"):
+        ends = defaultdict(list)
+        for end, code in mine._automaton.iter(word):
+            ends[end + 1].append((code >> 8, end + 1 - (code & 255)))
+        last = {0: [None]}
+        for n in range(1, len(word) + 1):
+            last[n] = [t for t, s in ends[n] if last[s] and (s == 0 or mine.compatible(last[s][0], t))]
+            assert len(last[n]) == 1, (word, n)
+
+
+# WARC
+
+
+def test_warc_round_trip(spark):
+    pages = [(1, "http://a/", "<p>one"), (2, "http://b/", "<p>one"), (3, None, None), (4, "http://c/\r\nX: y", ""), (5, "u", "é\r\n\r\nWARC/1.1\r\n" * 50), (9, "u", "<p>one"), (None, "u", "<p>one"), (9, "u", "<p>one"), (None, "v", "lone")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("digest", F.lit("x")).repartition(3)
+    got = Counter(map(tuple, warc.round_trip(df).collect()))
+    want = Counter()
+    for page, _, html in pages:
+        body = (html or "").encode()
+        head = max((p for p, _, h in pages if (h or "") == (html or "") and p is not None), default=None)
+        revisit = head is not None and page != head
+        want[page, len(body), base64.b32encode(hashlib.sha1(body).digest()).decode(), "revisit" if revisit else "response", head if revisit else None] += 1
+    assert got == want
+    assert warc.round_trip(df.limit(0)).count() == 0
+    assert all(r["record_type"] == "response" for r in warc.round_trip(df, min_bytes=1000).collect())
+
+
+def test_warc_index_leads_to_members(spark, tmp_path):
+    import gzip
+
+    df = spark.createDataFrame([(i, f"http://x/{i}", "text " * i) for i in range(50)], "page_id long, url string, html string").coalesce(1)
+    folder, archives, _ = warc.archive_pages(df, str(tmp_path / "w"))
+    (name,) = [r["file"] for r in archives.collect()]
+    assert {p.name for p in (tmp_path / "w").iterdir() if not p.name.startswith(".")} == {name, name + ".idx"}
+    data = (tmp_path / "w" / name).read_bytes()
+    places = [tuple(map(int, x.split())) for x in (tmp_path / "w" / (name + ".idx")).read_text().splitlines()]
+    assert len(places) == 50 and b"".join(data[o : o + n] for _, o, n in places) == data
+    assert all(gzip.decompress(data[o : o + n]).startswith(b"WARC/1.1\r\n") for _, o, n in places)
+
+
+# URLs
+
+
+def test_url_parts_and_rules(spark):
+    urls = ["http://Blog.Example.COM/en/1?x#y", "no scheme", None, "", "x://h", "https://www.example.com/en/5", "http://example.net/es/", "a://b://c/d", "http://EXAMPLE.net?/es/", "http://notexample.com/en/1", "z" * 100_000]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("score", F.lit(1))
+    got = {r["page_id"]: r for r in url_tree.judge(df, url_tree.RULES).collect()}
+
+    def slow(u):
+        if not u or "://" not in u:
+            return "", ""
+        rest = u.split("://", 1)[1]
+        host = re.match(r"[^/?#]*", rest).group()
+        return host.lower(), re.match(r"[^?#]*", rest[len(host) :]).group()
+
+    for i, u in enumerate(urls):
+        assert (got[i]["host"], got[i]["path"]) == slow(u)
+    assert [got[i]["rule"] for i in (0, 1, 5, 6, 8, 9)] == ["example.com/en/", None, "www.example.com/en/", "net/es/", None, "com/"]
+    assert [got[i]["verdict"] for i in (0, 1, 2, 5, 6, 9)] == ["block", "allow", "allow", "allow", "block", "allow"]
+    assert url_tree.judge(df.limit(0), url_tree.RULES).count() == 0
+
+
+def test_url_templates_learn_from_labels(spark):
+    rows = [(i, f"http://h.org/bad/{i}", 1 if i % 3 else None) for i in range(60)] + [(100 + i, f"http://h.org/good/item-{chr(97 + i % 26)}{i}/x", 0) for i in range(60)]
+    rows += [(300, "http://h.org/other/1", None), (301, "http://h.org/", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, bad int")
+    got = {r["page_id"]: r for r in url_tree.judge(df, [], labels=F.col("bad")).collect()}
+    assert all(got[i]["verdict"] == "block" and got[i]["template"] == "/bad/*" for i in range(60))
+    assert all(got[100 + i]["verdict"] == "allow" and got[100 + i]["template"].startswith("/good/") for i in range(60)) and got[300]["verdict"] == "allow"
+    assert len({got[100 + i]["template"] for i in range(60)}) == 1
+
+
+# nearest neighbours
+
+
+def test_nearest_neighbours(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(40, 16))
+    x = np.concatenate([base[rng.integers(0, 40, 700)] + 0.2 * rng.normal(size=(700, 16)), np.repeat(base[:1], 60, 0)]).astype("f4")
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    odd = [(1000, None, 0), (1020, [], 0), (1040, [0.0] * 16, 0), (1060, [float("nan")] * 16, 0), (1080, [None] + [1.0] * 15, 0), (1100, [1.0] * 3, 0), (None, [1.0] * 16, 0), (0, x[0].tolist(), 0)]
+    df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, label int").withColumn("key", F.lit(1)).repartition(4)
+    got = defaultdict(list)
+    for r in ann.search(df, F.col("vec_id") % 20 == 0, 20).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    assert set(got) == {i for i in range(760) if i % 20 == 0}
+    hits = 0
+    for q, found in got.items():
+        assert [f[0] for f in found] == list(range(1, 21)) and q not in [f[1] for f in found]
+        scores = ann.exact_scores(x, x[q][None])
+        assert all(s == scores[v] for _, v, s in found) and [(-s, v) for _, v, s in found] == sorted((-s, v) for _, v, s in found)
+        order = sorted((i for i in range(760) if i != q), key=lambda i: (-scores[i], i))[:20]
+        hits += len({v for _, v, _ in found} & set(order))
+    assert hits >= 0.9 * 20 * len(got)
+    assert ann.search(df.where("vec_id < 5"), F.col("vec_id") == 0, 20).count() == 4
+    assert ann.search(df.limit(0), F.col("vec_id") == 0).count() == 0 and ann.search(df.where("vec_id = 1000"), F.lit(True)).count() == 0
+
+
+# personal data
+
+
+def slow_spans(text):
+    def luhn(d):
+        return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    patterns = (
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda g, d: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda g, d: all(int(p) <= 255 for p in g.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda g, d: 13 <= len(d) <= 19 and luhn(d)),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda g, d: 9 <= len(d) <= 15),
+    )
+    return [(k, *m.span()) for k, p, ok in patterns for m in re.finditer(p, text) if ok(m.group(), re.sub("[^0-9]", "", m.group()))]
+
+
+def test_base_spans():
+    rng = random.Random(9)
+    for _ in range(6000):
+        text = "".join(rng.choice("01234567890123456789...  --++()@@abZ%_é\n") for _ in range(rng.randint(0, 60)))
+        assert pii_spans.base_spans(text) == slow_spans(text), text
+    assert pii_spans.base_spans("a" * 100_000 + "1" * 100_000 + ".1" * 50_000 + "@" * 1000) is not None
+
+
+def test_field_finds_and_redacts(spark):
+    texts = ["plain words here", 'Olde. vel token = "aabbccdd00112233445566778899aabbccddeeff" more', "mail me: x.y@mail.example.com or +1 (212) 555-0100 now", "my name is Jane Roe and so on", None, "", "card 4111 1111 1111 1111, ip 10.0.0.255"]
+    field = pii.train()
+    got = {r["doc_id"]: r for r in pii.find(docs(spark, texts), field).collect()}
+    assert got[0]["spans"] == "" and got[4]["spans"] == "" and got[5]["base_sha256"] == hashlib.sha256(b"").hexdigest()
+    assert got[1]["spans"] == "secret:19:59" and got[1]["base_sha256"] == got[0]["base_sha256"]
+    assert (got[2]["n_email"], got[2]["n_phone"], got[6]["n_card"], got[6]["n_ip"]) == (1, 1, 1, 1)
+    assert "name:11:19" in got[3]["spans"]
+    red = {r["doc_id"]: r for r in pii.redact(docs(spark, texts), field).collect()}
+    assert red[6]["text"] == "card <CARD>, ip <IP>" and red[6]["n_chars"] == len(red[6]["text"]) and red[0]["text"] == texts[0] and red[4]["text"] is None
+    assert pii.find(empty(spark), field).count() == 0 and pii.redact(empty(spark), field).count() == 0
+
+
+def test_field_learned_its_table_and_viterbi_is_best():
+    field = pii.train()
+    tagger = pii.Tagger(field)
+    rows = pii.parse_table()
+    found = tagger.viterbi([w for w, _ in rows])
+    right = sum((["O"] * len(t) if f is None else [pii.TAGS[i] for i in f]) == t for f, (_, t) in zip(found, rows, strict=True))
+    assert right >= 0.9 * len(rows)
+    from itertools import product
+
+    words = "token = \"aabbccddeeff00112233\"".split()
+    local = np.zeros((3, len(pii.TAGS)))
+    forms = [field.scores(pii.form_of(w, field.vocabulary)) for w in words]
+    for t in range(3):
+        local[t] = forms[t][1] + (forms[t - 1][0] if t else 0) + (forms[t + 1][2] if t < 2 else 0)
+    score = lambda p: field.start[p[0]] + sum(local[t][p[t]] for t in range(3)) + sum(field.moves[a, b] for a, b in zip(p, p[1:], strict=False))
+    assert max(product(range(len(pii.TAGS)), repeat=3), key=score) == tuple(tagger.viterbi([words])[0])
+
+
+# classifiers
+
+
+def test_toxicity(spark):
+    rng = random.Random(10)
+    texts, toxic = [], []
+    for i in range(500):
+        bad = i % 4 == 0
+        words = prose(rng, rng.randint(5, 120)).split()
+        if bad:
+            words[rng.randrange(len(words))] = "grobian" + rng.choice(["s", "en", ""])
+        texts.append(" ".join(words))
+        toxic.append(int(bad))
+    df = docs(spark, [*texts, None, "", texts[0]])
+    labels = spark.createDataFrame([(i, 1, t) for i, t in enumerate(toxic)] + [(None, 1, 1), (3, None, None), (502, 0, 5)], "doc_id long, quality int, toxic int")
+    model = toxicity.train(df, labels)
+    got = {r["doc_id"]: r for r in toxicity.score(df, model).collect()}
+    held = [i for i in range(500) if got[i]["held_out"]]
+    assert 60 < len(held) < 140 and sum(got[i]["predicted"] == toxic[i] for i in held) >= 0.95 * len(held)
+    assert len(got) == 503 and 0 <= got[500]["score"] <= 1 and got[500]["score"] == got[501]["score"] and got[502]["score"] == pytest.approx(got[0]["score"], abs=1e-5)
+    kept = toxicity.keep_clean(df, model)
+    assert kept.columns == df.columns and kept.count() == sum(not r["rejected"] for r in got.values())
+    none = toxicity.train(df, labels.limit(0))
+    assert {r["score"] for r in toxicity.score(df, none).collect()} == {0.0}
+    assert toxicity.score(empty(spark), model).count() == 0
+
+
+def test_ordinal_quality(spark):
+    rng = random.Random(11)
+    make = (lambda: " ".join(w + "###" for w in prose(rng, 60).split()), lambda: prose(rng, 40).upper() + " " + prose(rng, 20), lambda: prose(rng, 60))
+    texts = [make[i % 3]() for i in range(450)]
+    df = docs(spark, [*texts, None, ""])
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), int(i % 3 == 1)) for i in range(450)] + [(None, 1, 0)], "doc_id long, quality int, toxic int")
+    model = quality_model.train(df, labels)
+    assert list(model.thresholds) == sorted(model.thresholds)
+    got = {r["doc_id"]: r for r in quality_model.rate(df, model).collect()}
+    held = [i for i in range(450) if got[i]["held_out"]]
+    grade = lambda r: int(r["p_usable"] >= 0.5) + int(r["p_best"] >= 0.5)
+    assert sum(grade(got[i]) == i % 3 for i in held) >= 0.9 * len(held)
+    assert all(r["p_usable"] >= r["p_best"] and r["expected_grade"] == pytest.approx(r["p_usable"] + r["p_best"]) for r in got.values())
+    bare = quality_model.train(df, labels.limit(0))
+    assert all(r["kept"] for r in quality_model.rate(df, bare).collect()) and quality_model.rate(empty(spark), bare).count() == 0
