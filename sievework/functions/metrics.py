@@ -35,18 +35,23 @@ def lower_is_better(key: str, directions: dict[str, str] | None = None) -> bool:
 
 
 def lower_keys(metrics: Column) -> Column:
-    """A metric map with lower-case names; of names that differ in case only the last stays."""
-    entries = F.map_entries(F.coalesce(metrics, F.create_map().cast("map<string,double>")))
-    low = F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
-    # map_from_entries rejects repeated keys, so earlier ones are dropped first.
-    last = F.filter(low, lambda e, i: ~F.exists(F.slice(low, i + 2, F.size(low)), lambda o: o["key"] == e["key"]))
-    return F.map_from_entries(last)
+    """A metric map as a struct of its names in lower case and their values, last entry first.
+
+    Of names that differ in case only the last entry is thus found first.
+    """
+    known = F.coalesce(metrics, F.create_map().cast("map<string,double>"))
+    return F.struct(F.reverse(F.transform(F.map_keys(known), F.lower)).alias("names"), F.reverse(F.map_values(known)).alias("values"))
+
+
+def value_of(lowered: Column, name: str) -> Column:
+    """Value of a lower-case name; null if it isn't there."""
+    return F.get(lowered["values"], F.array_position(lowered["names"], F.lit(name)).cast("int") - 1)
 
 
 def resolve(lowered: Column, key: str) -> Column:
-    """Value of a threshold's metric in a map with lower-case names; null if none of its names is there."""
+    """Value of a threshold's metric; null if none of its names is there."""
     names = list(dict.fromkeys(c.lower() for c in CANDIDATES.get(key, (key,))))
-    return F.coalesce(*[F.try_element_at(lowered, F.lit(n)) for n in names])
+    return F.coalesce(*[value_of(lowered, n) for n in names])
 
 
 def passes(value: Column, threshold: float | Column | None, lower: bool) -> Column:
@@ -69,7 +74,7 @@ def specs(profile: dict, level: str, sections: tuple[str, ...] = SECTIONS) -> li
 
 
 def verdicts(metrics: Column, profile: dict, level: str, sections: tuple[str, ...] = SECTIONS) -> list[tuple[str, Column, Column]]:
-    """(metric, value, pass) columns of a level; ``metrics`` has lower-case names."""
+    """(metric, value, pass) columns of a level; ``metrics`` is what ``lower_keys`` gives."""
     directions = profile.get("direction")
     out = []
     for key, threshold in specs(profile, level, sections):

@@ -23,7 +23,7 @@ def final_score(lowered: Column, agreeing: Column, predictors: int = 4, sasa_ful
     area counts up to ``sasa_full`` and agreement up to ``predictors``.
     These normalisations are ours.
     """
-    get = lambda *names: F.coalesce(*[F.try_element_at(lowered, F.lit(n.lower())) for n in names])
+    get = lambda *names: F.coalesce(*[metrics.value_of(lowered, n.lower()) for n in names])
     terms = {
         "i_pTM_mean": F.coalesce(get("i_pTM_mean"), metrics.resolve(lowered, "i_pTM")),
         "i_PAE_mean_inv": 1 / (1 + F.coalesce(get("i_PAE_mean"), metrics.resolve(lowered, "i_PAE"))),
@@ -103,15 +103,14 @@ def round_robin(designs: DataFrame, quota: int, id_col="design_id", cluster_col=
 
 def filter_stage(designs: DataFrame, profile: dict) -> DataFrame:
     """Set passed_screen, passed_select and liability_flags of decoded designs."""
-    low = metrics.lower_keys(F.col("metrics"))
-    agree = F.col("predictors_agreeing")
-    return designs.withColumns(
+    low, agree = F.col("_low"), F.col("predictors_agreeing")
+    return designs.withColumn("_low", metrics.lower_keys(F.col("metrics"))).withColumns(
         {
             "passed_screen": metrics.passes_level(low, agree, profile, "screen"),
             "passed_select": metrics.passes_level(low, agree, profile, "select"),
             "liability_flags": sequences.liability_flags(F.col("sequence"), profile),
         }
-    )
+    ).drop("_low")
 
 
 def apportion(total: int, shares: dict[str, float]) -> dict[str, int]:

@@ -49,7 +49,8 @@ def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
     unmeasured = F.when(F.col("l_returnflag") != "A", F.col("l_quantity"))
     entries = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in (("quantity", unmeasured), ("discount", F.col("l_discount")), ("tax", F.col("l_tax")), ("price", F.col("l_extendedprice")))])
-    return rows.withColumn("metrics", F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))).withColumn("agreeing", F.pmod("l_linenumber", F.lit(4)).cast("int"))
+    measured = rows.withColumn("metrics", F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull())))
+    return measured.withColumn("low", metrics.lower_keys(F.col("metrics"))).withColumn("agreeing", F.pmod("l_linenumber", F.lit(4)).cast("int"))
 
 
 _CAND = """cand AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_extendedprice AS price, l_discount AS discount, l_tax AS tax,
@@ -104,7 +105,7 @@ def add_column(spark, sf_dir):
 )
 def threshold_report(spark, sf_dir):
     rows = _candidates(spark, sf_dir)
-    report = metrics.threshold_report(metrics.lower_keys(F.col("metrics")), PROFILE, "screen")
+    report = metrics.threshold_report(F.col("low"), PROFILE, "screen")
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.explode(report).alias("r")).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "r.*")
 
 
@@ -113,7 +114,7 @@ def threshold_report(spark, sf_dir):
     f"WITH {_CAND} SELECT l_returnflag, {_SCREEN} AS passed_screen, {_SELECT} AS passed_select, count(*) AS n FROM cand GROUP BY ALL",
 )
 def threshold_pass(spark, sf_dir):
-    low = metrics.lower_keys(F.col("metrics"))
+    low = F.col("low")
     level = lambda name: metrics.passes_level(low, F.col("agreeing"), PROFILE, name)
     rows = _candidates(spark, sf_dir).select("l_returnflag", level("screen").alias("passed_screen"), level("select").alias("passed_select"))
     return rows.groupBy("l_returnflag", "passed_screen", "passed_select").agg(F.count("*").alias("n"))
@@ -126,7 +127,7 @@ def threshold_pass(spark, sf_dir):
       FROM cand WHERE (l_linestatus = 'F') <> {_SCREEN}""",
 )
 def threshold_replay(spark, sf_dir):
-    low = metrics.lower_keys(F.col("metrics"))
+    low = F.col("low")
     rows = _candidates(spark, sf_dir).withColumn("claimed", F.col("l_linestatus") == "F")
     rows = rows.withColumn("recomputed", metrics.passes_level(low, F.col("agreeing"), PROFILE, "screen")).where("claimed <> recomputed")
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "claimed", "recomputed", F.array_join(metrics.failed_keys(low, PROFILE, "screen"), ",").alias("failed"))
@@ -411,8 +412,8 @@ def elite_fraction(spark, sf_dir):
 def final_score(spark, sf_dir):
     names = {"i_ptm": "l_discount", "i_pae": "l_tax", "plddt": "l_quantity", "buried_sasa": "l_extendedprice"}
     low = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.col(v).cast("double"))])
-    score = rank.final_score(low, F.pmod("l_linenumber", F.lit(4)))
-    return _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(score, 9).alias("score"))
+    score = rank.final_score(F.col("low"), F.pmod("l_linenumber", F.lit(4)))
+    return _t(spark, sf_dir, "lineitem").withColumn("low", metrics.lower_keys(low)).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(score, 9).alias("score"))
 
 
 @query("selectivity_score", "SELECT p_partkey, round(p_retailprice - greatest(p_size * 30.0, length(p_name) * 50.0), 6) AS srs FROM part")

@@ -45,7 +45,8 @@ def test_report_and_names(spark):
     report = {r["key"]: r for r in one(spark, metrics.threshold_report(low, PROFILE, "screen"))}
     assert report["pLDDT_binder"]["value"] == 90.0 and report["pLDDT_binder"]["pass"] is True
     assert report["i_PAE"]["pass"] is None and report["interface_hbonds"]["pass"] is None and "dG_separated" not in report
-    assert one(spark, metrics.lower_keys(map_of({"A": 1.0, "a": 2.0}))) == {"a": 2.0}
+    assert one(spark, metrics.value_of(metrics.lower_keys(map_of({"A": 1.0, "a": 2.0})), "a")) == 2.0
+    assert one(spark, metrics.value_of(metrics.lower_keys(F.lit(None).cast("map<string,double>")), "a")) is None
     assert metrics.lower_is_better("I_PAE") and not metrics.lower_is_better("dG_separated") and metrics.lower_is_better("dG_separated", {"dg_separated": "lower"})
 
 
