@@ -31,16 +31,19 @@ import hashlib
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievework.llm.workers import slices, tidy
+
 #: Stands for the end of a word in the automaton; byte-level symbols never use it.
 _END = "\t"
-#: Chunks, and pieces, that a worker remembers at least; at twice this number the older half goes.
-REMEMBERED = 350_000
+#: Chunks that a worker remembers at least; at twice this number the older half goes.
+REMEMBERED = 250_000
+#: The same for tasks that return ids, which share their worker's memory with other stages.
+REMEMBERED_IDS = 80_000
 _CONTROL = re.compile("[\x1c-\x1f]")
 #: Unicode white space; str.split() also splits at \x1c-\x1f, which the file's rule doesn't drop.
 _WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
@@ -75,10 +78,10 @@ _PLAIN = _plain_pattern()
 
 
 class _Remembered:
-    """A table of the last ``REMEMBERED`` to twice as many entries: when the new half is full it becomes the old one."""
+    """A table of the last ``limit`` to twice as many entries: when the new half is full it becomes the old one."""
 
-    def __init__(self):
-        self.new, self.old = {}, {}
+    def __init__(self, limit: int):
+        self.new, self.old, self.limit = {}, {}, limit
 
     def get(self, key):
         found = self.new.get(key)
@@ -87,7 +90,7 @@ class _Remembered:
         return found
 
     def put(self, key, value):
-        if len(self.new) >= REMEMBERED:
+        if len(self.new) >= self.limit:
             self.old, self.new = self.new, {}
         self.new[key] = value
         return value
@@ -96,13 +99,14 @@ class _Remembered:
 class WordBpe:
     """A BPE vocabulary with word ends."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, written: bool = False, remembered: int | None = None):
         from tokenizers import Tokenizer
 
         spec = json.load(open(path, encoding="utf-8"))
         model = spec["model"]
         known = Tokenizer.from_file(path)
         self._normalize, self._split = known.normalizer.normalize_str, known.pre_tokenizer.pre_tokenize_str
+        self.written = written
         self.suffix = model["end_of_word_suffix"]
         self.ids: dict[str, int] = model["vocab"]
         self.names = {i: t for t, i in self.ids.items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
@@ -119,7 +123,7 @@ class WordBpe:
         self._whole: dict[int, bool] = {}
         self._decimal = {i: str(i) for i in self.names}
         self._build_automaton()
-        self._pieces, self._chunks = _Remembered(), _Remembered()
+        self._chunks = _Remembered(remembered or REMEMBERED)
 
     def _build_automaton(self) -> None:
         import ahocorasick
@@ -214,25 +218,22 @@ class WordBpe:
 
     def encode_chunk(self, chunk: str) -> tuple[int, ...]:
         """Ids of a text without white space and special tokens."""
-        ids: list[int] = []
-        for piece in self.pieces(chunk):
-            found = self._pieces.get(piece)
-            if found is None:
-                found = self._pieces.put(piece, self.encode_piece(piece))
-            ids.extend(found)
-        return tuple(ids)
-
-    def _entry(self, chunk: str) -> tuple[str, str, tuple[int, ...]]:
-        """A chunk's ids in decimal, its tokens' names, and the ids."""
+        pieces = self.pieces(chunk)
+        return self.encode_piece(pieces[0]) if len(pieces) == 1 else tuple([i for p in pieces for i in self.encode_piece(p)])
+
+    def _entry(self, chunk: str) -> tuple:
+        """A chunk's ids; with ``written`` in decimal, and the tokens' names, each joined by blanks."""
         known = self._chunks.get(chunk)
         if known is None:
-            decimal = self._decimal
-            ids = (self.special[chunk],) if chunk in self.special else self.encode_chunk(chunk)
-            known = self._chunks.put(chunk, (" ".join([decimal[i] for i in ids]), self.decode(ids), ids))
+            known = (self.special[chunk],) if chunk in self.special else self.encode_chunk(chunk)
+            if self.written:
+                decimal, names = self._decimal, self.names
+                known = (" ".join([decimal[i] for i in known]), " ".join([names[i] for i in known]))
+            self._chunks.put(chunk, known)
         return known
 
-    def chunks(self, text: str | None) -> list[tuple[str, str, tuple[int, ...]]]:
-        """Entries of the chunks of a whole text, in order."""
+    def chunks(self, text: str | None) -> list[tuple]:
+        """Entries (see ``_entry``) of the chunks of a whole text, in order."""
         if not text:
             return []
         parts = self._special.split(text) if self._special and "<|" in text and any(s in text for s in self.special) else [text]
@@ -247,11 +248,13 @@ class WordBpe:
                 except UnicodeEncodeError:
                     words = part.split() if not _CONTROL.search(part) else [w for w in _WHITE.split(part) if w]
             known, entry = self._chunks.new.get, self._entry
-            out += [known(w) or entry(w) for w in words]
+            out += [x if (x := known(w)) is not None else entry(w) for w in words]
         return out
 
     def encode(self, text: str | None) -> list[int]:
-        return [i for x in self.chunks(text) for i in x[2]]
+        if self.written:
+            return [int(i) for x in self.chunks(text) for i in x[0].split()]
+        return [i for x in self.chunks(text) for i in x]
 
     def decode(self, ids) -> str:
         """The tokens' names joined by blanks: the file names no decoder."""
@@ -259,20 +262,14 @@ class WordBpe:
         return " ".join([names[i] for i in ids])
 
 
-_LOADED: dict[str, WordBpe] = {}
+_LOADED: dict[tuple[str, bool], WordBpe] = {}
 
 
-def load(path: str) -> WordBpe:
+def load(path: str, written: bool = False) -> WordBpe:
     """The vocabulary of a file, read once by each worker."""
-    if path not in _LOADED:
-        _LOADED[path] = WordBpe(path)
-    return _LOADED[path]
-
-
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+    if (path, written) not in _LOADED:
+        _LOADED[path, written] = WordBpe(path, written)
+    return _LOADED[path, written]
 
 
 def encode_digests(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -280,18 +277,18 @@ def encode_digests(docs: DataFrame, path: str | None = None, id_col: str = "doc_
     path = path or default_path()
 
     def run(batches):
-        bpe = load(path)
-        for part in _slices(batches):
+        bpe = load(path, written=True)
+        for part in slices(batches):
             rows = []
             for text in part.column(1).to_pylist():
                 found = bpe.chunks(text)
-                ids, names = " ".join([x[0] for x in found]), " ".join([x[1] for x in found])
+                ids, names = " ".join([x[0] for x in found if x[0]]), " ".join([x[1] for x in found if x[0]])
                 rows.append((ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(names.encode()).hexdigest()))
             n, a, b = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return narrow.mapInArrow(tidy(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -299,14 +296,14 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
     path = path or default_path()
 
     def run(batches):
-        bpe = load(path)
-        for part in _slices(batches):
+        bpe = WordBpe(path, remembered=REMEMBERED_IDS)  # of this task only
+        for part in slices(batches):
             found = [bpe.encode(t) for t in part.column(1).to_pylist()]
             ids = pa.array(found, pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(len, found), pa.int64()), ids], ["doc_id", "n_tokens", "ids"])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
+    return narrow.mapInArrow(tidy(run), "doc_id long, n_tokens long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -315,9 +312,9 @@ def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id",
 
     def run(batches):
         bpe = load(path)
-        for part in _slices(batches):
+        for part in slices(batches):
             texts = pa.array([bpe.decode(ids or []) for ids in part.column(1).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([part.column(0), texts], ["doc_id", "text"])
 
     narrow = encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
-    return narrow.mapInArrow(run, "doc_id long, text string")
+    return narrow.mapInArrow(tidy(run), "doc_id long, text string")

@@ -33,11 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.pii_spans import KINDS, base_spans
+from sievework.llm.workers import slices, tidy
 
 ADDED = ("secret", "name", "account")
 TAGS = ("O", *(f"{p}-{k}" for k in ADDED for p in "BI"))
 #: Words whose form a worker keeps.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 #: The labelled table: spans are marked as [kind|text].
 LABELLED = """
@@ -396,21 +397,19 @@ def find(docs: DataFrame, field: Field, id_col="doc_id", text_col="text") -> Dat
 
     def run(batches):
         tagger = Tagger(field)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                rows = []
-                for base, every in all_spans(tagger, part.column(1).to_pylist()):
-                    kinds = [k for k, _, _ in base]
-                    rows.append((*map(kinds.count, KINDS), hashlib.sha256(_written(base).encode()).hexdigest(), _written(every)))
-                types = [pa.int64()] * 4 + [pa.string()] * 2
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0)] + [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
-                    ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"],
-                )
+        for part in slices(batches, 512):
+            rows = []
+            for base, every in all_spans(tagger, part.column(1).to_pylist()):
+                kinds = [k for k, _, _ in base]
+                rows.append((*map(kinds.count, KINDS), hashlib.sha256(_written(base).encode()).hexdigest(), _written(every)))
+            types = [pa.int64()] * 4 + [pa.string()] * 2
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0)] + [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+                ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"],
+            )
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return narrow.mapInArrow(tidy(run), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
 def redact(docs: DataFrame, field: Field, text_col="text", size_col: str | None = "n_chars") -> DataFrame:
@@ -419,16 +418,14 @@ def redact(docs: DataFrame, field: Field, text_col="text", size_col: str | None
 
     def run(batches):
         tagger = Tagger(field)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                texts = part.column(text_col).to_pylist()
-                new = [t if not spans else redact_text(t, spans) for t, (_, spans) in zip(texts, all_spans(tagger, texts), strict=True)]
-                columns = {n: part.column(n) for n in names}
-                columns[text_col] = pa.array(new, part.schema.field(text_col).type)
-                if size_col in columns:
-                    sizes = [s if a is b else len(b) for s, a, b in zip(part.column(size_col).to_pylist(), texts, new, strict=True)]
-                    columns[size_col] = pa.array(sizes, part.schema.field(size_col).type)
-                yield pa.RecordBatch.from_arrays(list(columns.values()), names)
-
-    return docs.mapInArrow(run, docs.schema)
+        for part in slices(batches, 512):
+            texts = part.column(text_col).to_pylist()
+            new = [t if not spans else redact_text(t, spans) for t, (_, spans) in zip(texts, all_spans(tagger, texts), strict=True)]
+            columns = {n: part.column(n) for n in names}
+            columns[text_col] = pa.array(new, part.schema.field(text_col).type)
+            if size_col in columns:
+                sizes = [s if a is b else len(b) for s, a, b in zip(part.column(size_col).to_pylist(), texts, new, strict=True)]
+                columns[size_col] = pa.array(sizes, part.schema.field(size_col).type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names)
+
+    return docs.mapInArrow(tidy(run), docs.schema)

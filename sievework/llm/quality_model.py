@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.labelled import in_fold, sample_labelled
+from sievework.llm.workers import slices, tidy
 
 #: Rated documents the model is fitted on, by grade, and their characters in all.
 PER_GRADE, MAX_CHARS = 1500, 16_000_000
@@ -166,18 +167,16 @@ def rate(docs: DataFrame, model: Model, id_col="doc_id", text_col="text") -> Dat
 
     def run(batches):
         placer = Placer(model)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                place = np.array([placer.place(t) for t in part.column(1).to_pylist()])
-                if len(model.thresholds):
-                    tails = model.tails(place)
-                    grade, usable, best = tails.sum(1), tails[:, 0], tails[:, -1]
-                else:
-                    grade = np.full(len(place), float(model.only or 0))
-                    usable = best = np.full(len(place), 1.0 if model.only is None or model.only >= 1 else 0.0)
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, pa.float64()) for x in (grade, usable, best))], ["doc_id", "expected_grade", "p_usable", "p_best"])
+        for part in slices(batches):
+            place = np.array([placer.place(t) for t in part.column(1).to_pylist()])
+            if len(model.thresholds):
+                tails = model.tails(place)
+                grade, usable, best = tails.sum(1), tails[:, 0], tails[:, -1]
+            else:
+                grade = np.full(len(place), float(model.only or 0))
+                usable = best = np.full(len(place), 1.0 if model.only is None or model.only >= 1 else 0.0)
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, pa.float64()) for x in (grade, usable, best))], ["doc_id", "expected_grade", "p_usable", "p_best"])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rated = narrow.mapInArrow(run, "doc_id long, expected_grade double, p_usable double, p_best double")
+    rated = narrow.mapInArrow(tidy(run), "doc_id long, expected_grade double, p_usable double, p_best double")
     return rated.select("doc_id", in_fold(F.col("doc_id")).alias("held_out"), "expected_grade", "p_usable", "p_best", (F.col("p_usable") >= 0.5).alias("kept"))

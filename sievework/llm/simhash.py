@@ -42,6 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.graph import connected_components
+from sievework.llm.workers import slices, tidy
 from sievework.plans.shared import materialize
 
 SEED = 42
@@ -81,17 +82,15 @@ def fingerprint_text(text: str | None) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            part = batch.slice(at, 512)
-            found = [fingerprint_text(t) for t in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
+    for part in slices(batches):
+        found = [fingerprint_text(t) for t in part.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp) of every row, written once."""
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return materialize(narrow.mapInArrow(_fingerprints, "doc_id long, fp long"), "simhash")
+    return materialize(narrow.mapInArrow(tidy(_fingerprints), "doc_id long, fp long"), "simhash")
 
 
 def embed(fp: Column) -> Column:
