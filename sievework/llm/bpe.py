@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.workers import slices, tidy
+from sievework.llm.workers import map_batches, slices
 
 #: Stands for the end of a word in the automaton; byte-level symbols never use it.
 _END = "\t"
@@ -288,7 +288,7 @@ def encode_digests(docs: DataFrame, path: str | None = None, id_col: str = "doc_
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return narrow.mapInArrow(tidy(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_batches(narrow, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -303,7 +303,7 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(len, found), pa.int64()), ids], ["doc_id", "n_tokens", "ids"])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return narrow.mapInArrow(tidy(run), "doc_id long, n_tokens long, ids array<int>")
+    return map_batches(narrow, run, "doc_id long, n_tokens long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -317,4 +317,4 @@ def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([part.column(0), texts], ["doc_id", "text"])
 
     narrow = encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
-    return narrow.mapInArrow(tidy(run), "doc_id long, text string")
+    return map_batches(narrow, run, "doc_id long, text string")

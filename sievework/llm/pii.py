@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.pii_spans import KINDS, base_spans
-from sievework.llm.workers import slices, tidy
+from sievework.llm.workers import map_batches, slices
 
 ADDED = ("secret", "name", "account")
 TAGS = ("O", *(f"{p}-{k}" for k in ADDED for p in "BI"))
@@ -409,7 +409,7 @@ def find(docs: DataFrame, field: Field, id_col="doc_id", text_col="text") -> Dat
             )
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return narrow.mapInArrow(tidy(run), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return map_batches(narrow, run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
 def redact(docs: DataFrame, field: Field, text_col="text", size_col: str | None = "n_chars") -> DataFrame:
@@ -428,4 +428,4 @@ def redact(docs: DataFrame, field: Field, text_col="text", size_col: str | None
                 columns[size_col] = pa.array(sizes, part.schema.field(size_col).type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names)
 
-    return docs.mapInArrow(tidy(run), docs.schema)
+    return map_batches(docs, run, docs.schema)

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.labelled import in_fold, sample_labelled
-from sievework.llm.workers import slices, tidy
+from sievework.llm.workers import map_batches, slices
 
 #: Rated documents the model is fitted on, by grade, and their characters in all.
 PER_GRADE, MAX_CHARS = 1500, 16_000_000
@@ -178,5 +178,5 @@ def rate(docs: DataFrame, model: Model, id_col="doc_id", text_col="text") -> Dat
             yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, pa.float64()) for x in (grade, usable, best))], ["doc_id", "expected_grade", "p_usable", "p_best"])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rated = narrow.mapInArrow(tidy(run), "doc_id long, expected_grade double, p_usable double, p_best double")
+    rated = map_batches(narrow, run, "doc_id long, expected_grade double, p_usable double, p_best double")
     return rated.select("doc_id", in_fold(F.col("doc_id")).alias("held_out"), "expected_grade", "p_usable", "p_best", (F.col("p_usable") >= 0.5).alias("kept"))

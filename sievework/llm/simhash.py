@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.graph import connected_components
-from sievework.llm.workers import slices, tidy
+from sievework.llm.workers import map_batches, slices
 from sievework.plans.shared import materialize
 
 SEED = 42
@@ -90,7 +90,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp) of every row, written once."""
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return materialize(narrow.mapInArrow(tidy(_fingerprints), "doc_id long, fp long"), "simhash")
+    return materialize(map_batches(narrow, _fingerprints, "doc_id long, fp long"), "simhash")
 
 
 def embed(fp: Column) -> Column:
