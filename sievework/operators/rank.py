@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,6 +18,11 @@ from sievework.plans.shared import materialize
 # Weights of the final score.
 WEIGHTS = {"i_pTM_mean": 0.30, "i_PAE_mean_inv": 0.20, "pLDDT_binder": 0.15, "buried_sasa_norm": 0.15, "boltz2_affinity_prob": 0.10, "predictors_agreeing": 0.10}
 
+#: Rows of a tile in the comparison of all pairs of a block.
+TILE = 512
+#: Blocks up to which the table of their sizes is broadcast; a shuffled join beyond.
+BROADCAST_BLOCKS = 50_000
+
 
 def final_score(lowered: Column, agreeing: Column, predictors: int = 4, sasa_full: float = 1500.0) -> Column:
     """Weighted sum of terms between 0 and 1; a missing term is 0.
@@ -45,40 +53,72 @@ def leader_clusters(pairs: DataFrame, items: DataFrame, threshold: float) -> Dat
     """(id, cluster): greedy leader clustering of ``items`` (id, score) by similarity ``pairs`` (a, b, similarity), both ways or one.
 
     By falling score, an item joins the best earlier leader that is similar
-    enough, or becomes one.  Each round settles all items whose better
-    neighbours are settled, so rounds follow the longest chain of ever
-    worse neighbours; nothing is collected.
+    enough, or becomes one.  Each round makes leaders of the items all whose
+    better neighbours are followers, and followers of those that have a
+    leader among them; which leader they join is told at the end.  Rounds
+    grow with the logarithm of the items, if scores aren't ordered along
+    the neighbours; nothing is collected.
     """
     order = lambda s, i: F.struct(F.coalesce(s, F.lit(float("-inf"))).alias("s"), (F.lit(0) - F.hash(i)).alias("h"), i.alias("i"))
     both = pairs.select("a", "b", "similarity").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity")).where((F.col("similarity") >= threshold) & (F.col("a") != F.col("b")))
     ranked = items.select("id", order(F.col("score"), F.col("id")).alias("k"))
     better = both.join(ranked.select(F.col("id").alias("a"), F.col("k").alias("ka")), "a").join(ranked.select(F.col("id").alias("b"), F.col("k").alias("kb")), "b").where("kb > ka")
     better = materialize(better.groupBy("a", "b", "kb").agg(F.max("similarity").alias("similarity")), "leader-better")  # b may lead a
-    state = materialize(ranked.select("id", F.lit(None).cast(items.schema["id"].dataType).alias("cluster")), "leader-state")
+    state = materialize(ranked.select("id", F.lit(None).cast("boolean").alias("leads")), "leader-state")
     while True:
-        known = better.join(state.select(F.col("id").alias("b"), F.col("cluster").alias("of_b")), "b")
-        seen = known.groupBy("a").agg(
-            F.max(F.col("of_b").isNull()).alias("waits"),
-            F.max_by("b", F.when(F.col("of_b") == F.col("b"), F.struct("similarity", "kb"))).alias("leader"),
-        )
-        step = state.join(seen, state["id"] == seen["a"], "left").select(
-            "id", F.coalesce("cluster", F.when(F.coalesce("waits", F.lit(False)), None).otherwise(F.coalesce("leader", "id"))).alias("cluster")
-        )
-        state = materialize(step, "leader-state")
-        if state.where("cluster is null").isEmpty():
-            return state
+        open_ = state.where("leads is null").select(F.col("id").alias("a"))
+        known = better.join(open_, "a", "left_semi").join(state.select(F.col("id").alias("b"), "leads"), "b")
+        seen = known.groupBy("a").agg(F.max(F.coalesce("leads", F.lit(False))).alias("led"), F.max(F.col("leads").isNull()).alias("waits"))
+        told = F.when(F.col("led"), False).when(F.coalesce("waits", F.lit(False)), None).otherwise(True)
+        state = materialize(state.join(seen, state["id"] == seen["a"], "left").select("id", F.coalesce("leads", told).alias("leads")), "leader-state")
+        if state.where("leads is null").isEmpty():
+            break
+    leaders = state.where("leads").select(F.col("id").alias("b"))
+    joined = better.join(leaders, "b", "left_semi").groupBy("a").agg(F.max_by("b", F.struct("similarity", "kb")).alias("leader"))
+    followers = joined.join(state.where("not leads").select(F.col("id").alias("a")), "a", "left_semi").select(F.col("a").alias("id"), F.col("leader").alias("cluster"))
+    return materialize(leaders.select(F.col("b").alias("id"), F.col("b").alias("cluster")).union(followers), "leader-clusters")
+
+
+def _meet(threshold: float) -> Callable[[pa.Table], pa.Table]:
+    """The similar pairs between two tiles, or within one if ``lo`` and ``hi`` are equal."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        vectors = rows["v"].combine_chunks()
+        tile, lo, hi = (rows[k].to_numpy() for k in ("tile", "lo", "hi"))
+        ends = vectors.offsets.to_numpy()
+        sizes, values = np.diff(ends), vectors.values.to_numpy(zero_copy_only=False)
+        found = []
+        for size in np.unique(sizes):  # vectors of different lengths have no cosine
+            at = lambda which: np.flatnonzero((sizes == size) & (tile == which[0]))  # noqa: B023, E731
+            left, right = at(lo), at(hi)
+            x, y = (values[ends[i][:, None] + np.arange(size)].astype(np.float64) for i in (left, right))
+            with np.errstate(invalid="ignore"):
+                cosine = (x @ y.T) / np.outer(np.sqrt((x * x).sum(1)), np.sqrt((y * y).sum(1)))
+                near = ~(cosine < threshold)  # NaN counts as large, as in SQL
+            i, j = np.nonzero(np.triu(near, 1) if lo[0] == hi[0] else near)
+            found.append((left[i], right[j], cosine[i, j]))
+        i, j, cosine = (np.concatenate(x) for x in zip(*found, strict=True))
+        return pa.table({"a": rows["id"].take(pa.array(i)), "b": rows["id"].take(pa.array(j)), "similarity": cosine})
+
+    return run
 
 
 def similar_pairs(vectors: DataFrame, block: list[str], threshold: float) -> DataFrame:
     """(a, b, similarity) of the pairs within a block whose cosine reaches ``threshold``; rows (id, v, *block).
 
-    All pairs of a block are compared, so blocks should be fine.
+    All pairs of a block are compared.  A block of any size is dealt by id
+    into tiles of about ``TILE`` rows, and each two tiles meet in a group
+    of their own, so that no task holds more than two tiles at once.
     """
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, z: s + z)
-    unit = vectors.withColumn("_norm", F.sqrt(dot(F.col("v"), F.col("v")))).where("_norm > 0")
-    a, b = unit.select(*block, F.col("id").alias("a"), F.col("v").alias("va"), F.col("_norm").alias("na")), unit.select(*block, F.col("id").alias("b"), F.col("v").alias("vb"), F.col("_norm").alias("nb"))
-    joined = a.join(b, block).where("a < b").select("a", "b", (dot(F.col("va"), F.col("vb")) / (F.col("na") * F.col("nb"))).alias("similarity"))
-    return joined.where(F.col("similarity") >= threshold)
+    named = reduce(Column.__and__, [F.col(k).isNotNull() for k in block], F.col("id").isNotNull())
+    unit = vectors.select("id", "v", *block).where(named & (dot(F.col("v"), F.col("v")) > 0))
+    sizes = materialize(unit.groupBy(*block).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")), "pair-blocks")
+    dealt = unit.join(F.broadcast(sizes) if sizes.count() <= BROADCAST_BLOCKS else sizes, block).withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumns({"lo": F.least("tile", "other"), "hi": F.greatest("tile", "other")})
+    kind = vectors.schema["id"].dataType.simpleString()
+    pairs = met.select(*block, "id", "v", "tile", "lo", "hi").groupBy(*block, "lo", "hi").applyInArrow(_meet(threshold), f"a {kind}, b {kind}, similarity double")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity").where("a < b")
 
 
 def round_robin(designs: DataFrame, quota: int, id_col="design_id", cluster_col="cluster_id", score_col="final_score", reserve: float = 0.0) -> DataFrame:

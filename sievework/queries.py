@@ -446,11 +446,21 @@ def similar_pairs(spark, sf_dir):
     return rank.similar_pairs(_blocked(spark, sf_dir), ["label", "sign"], 0.2).select("a", "b", F.round("similarity", 6).alias("similarity"))
 
 
+@query(
+    "similar_pairs_of_label",
+    """WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings)
+       SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.v, b.v), 6) AS similarity FROM e a JOIN e b ON a.label = b.label AND a.vec_id < b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.2""",
+)
+def similar_pairs_of_label(spark, sf_dir):
+    """All similar pairs of a label; ``similar_pairs`` has only those that share six signs too, as its SQL does."""
+    return rank.similar_pairs(_blocked(spark, sf_dir), ["label"], 0.2).select("a", "b", F.round("similarity", 6).alias("similarity"))
+
+
 @query("leader_clusters")
 def leader_clusters(spark, sf_dir):
-    """Greedy leaders over the similar pairs: iterative, tested against a plain loop."""
+    """Greedy leaders over the similar pairs of whole labels: iterative, tested against a plain loop."""
     items = _t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding")[0].cast("double").alias("score"))
-    return rank.leader_clusters(rank.similar_pairs(_blocked(spark, sf_dir), ["label", "sign"], 0.2), items, 0.2)
+    return rank.leader_clusters(rank.similar_pairs(_blocked(spark, sf_dir), ["label"], 0.2), items, 0.2)
 
 
 @query(

@@ -1,8 +1,10 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sievework import queries
 from sievework.functions import align, metrics, sequences, stats
 from sievework.operators import rank
 
@@ -146,6 +148,29 @@ def test_leaders_against_a_loop(spark):
     assert got == want
 
 
+def test_similar_pairs_of_whole_blocks(spark, monkeypatch):
+    monkeypatch.setattr(rank, "TILE", 7)  # many tiles
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(60, 8)).astype("float32")
+    v[5] = 0
+    rows = [(i, v[i].tolist(), i % 2) for i in range(60)] + [(90, None, 0), (91, [1.0], 0), (92, v[1].tolist(), None), (None, v[0].tolist(), 0)]
+    df = spark.createDataFrame(rows, "id long, v array<float>, label int")
+    got = {(r["a"], r["b"]): r["similarity"] for r in rank.similar_pairs(df, ["label"], 0.2).collect()}
+    unit = v / np.maximum(np.linalg.norm(v.astype(float), axis=1), 1e-9)[:, None]
+    want = {(a, b): float(unit[a] @ unit[b]) for a in range(60) for b in range(a + 2, 60, 2) if unit[a] @ unit[b] >= 0.2}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
+def test_leaders_use_the_pairs_of_whole_labels(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = {r["vec_id"]: r for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()}
+    cluster = {r["id"]: r["cluster"] for r in queries.leader_clusters(spark, sf).collect()}
+    unit = {i: (lambda x: x / np.linalg.norm(x))(np.array(r["embedding"], dtype=float)) for i, r in rows.items()}
+    leaders = [i for i in cluster if cluster[i] == i]
+    assert set(cluster) == set(rows)
+    assert not [(i, j) for i in leaders for j in leaders if i < j and rows[i]["label"] == rows[j]["label"] and unit[i] @ unit[j] >= 0.2]
+
+
 def test_refinement_loop(spark):
     pool = spark.createDataFrame([(f"p{i}", "ACDEFGHIKL", i / 10) for i in range(5)], "design_id string, sequence string, given double")
     config = rank.OptimizeConfig(rounds=3, population=20, elite_frac=0.2)
