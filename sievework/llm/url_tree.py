@@ -8,14 +8,18 @@ that is if there are many different ones for the number of urls below
 (digits and long hexadecimal names count as one from the start).  Then
 branches with like label shares are merged: the children of a node whose
 shares of bad labels don't differ significantly pool their counts, so a
-branch with few labels borrows from its kin.  A template is rejected if its
-smoothed share of bad labels, (bad + PRIOR_WEIGHT * prior) / (labelled +
-PRIOR_WEIGHT), reaches ``REJECT_AT`` with ``LEAST`` labels at least; prior is
-the share among all labels.
+branch with few labels borrows from its kin.  What a template lacks in
+labels it borrows from the nodes above it, up to the host: a node's share of
+bad labels is (bad + PRIOR_WEIGHT * share above) / (labelled + PRIOR_WEIGHT),
+where bad and labelled leave out the branch that borrows, so that no label
+counts twice, and the share above the host is that among all labels.  A
+template is rejected if its share so smoothed reaches ``REJECT_AT`` and its
+host has ``LEAST`` labels at least.
 
 Labels are a column of the caller (1 bad, 0 good, null unknown); the query
 of this package takes the verdicts of the rules themselves, so a host's
-unruled branches are judged by how its ruled ones came out.
+unruled branches are judged by how its ruled ones came out.  Hosts without
+any label are allowed.
 
 Scale: the work is a walk over depths, not over urls.  Urls are summed to
 (host, path shape) once; each depth sums and joins on (host, prefix), which
@@ -89,24 +93,30 @@ def learn_templates(urls: DataFrame) -> DataFrame:
     """(host, shape, template, bad, labelled, score, rejected) for rows (host, shape, label).
 
     ``shape`` is an array of segments; bad and labelled are those of the
-    template with the branches it was merged with.
+    template with the branches it was merged with.  On the way down, ``above``
+    collects the counts of the nodes passed, the host's first.
     """
     state = materialize(
         urls.groupBy("host", "shape")
         .agg(F.count("*").alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).cast("long").alias("bad"))
-        .withColumn("template", F.lit("")),
+        .withColumn("template", F.lit(""))
+        .withColumn("above", F.array().cast("array<struct<bad:bigint,labelled:bigint>>")),
         "url-shapes",
     )
     for depth in range(DEPTH + 1):
         here = state.withColumn("segment", F.get("shape", F.lit(depth)))
-        children = here.where(F.col("segment").isNotNull()).groupBy("host", "template", "segment").agg(F.sum("n").alias("n"))
-        nodes = children.groupBy("host", "template").agg(F.count("*").alias("different"), F.sum("n").alias("urls"))
-        vary = nodes.where((F.col("different") >= MANY) & (F.col("different") >= VARIED * F.col("urls"))).select("host", "template", F.lit(True).alias("vary"))
-        joined = here.join(vary, ["host", "template"], "left")
+        children = here.groupBy("host", "template", "segment").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled"))
+        inner = F.col("segment").isNotNull()
+        nodes = children.groupBy("host", "template").agg(
+            F.count("segment").alias("different"), F.sum(F.when(inner, F.col("n"))).alias("urls"), F.struct(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled")).alias("node")
+        )
+        vary = (F.col("different") >= MANY) & (F.col("different") >= VARIED * F.col("urls"))
+        joined = here.join(nodes.select("host", "template", vary.alias("vary"), "node"), ["host", "template"])
         step = F.when(F.col("vary") & (F.col("segment") != ""), F.lit("*")).otherwise(F.col("segment"))
-        grown = F.when(F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), step))
-        state = materialize(joined.withColumn("template", grown).select("host", "shape", "n", "labelled", "bad", "template"), f"url-depth{depth}")
-    leaves = materialize(state.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")), "url-templates")
+        grown = F.when(inner, F.concat("template", F.lit("/"), step)).otherwise(F.col("template"))
+        above = F.when(inner, F.array_append("above", F.col("node"))).otherwise(F.col("above"))
+        state = materialize(joined.withColumns({"template": grown, "above": above}).select("host", "shape", "n", "labelled", "bad", "template", "above"), f"url-depth{depth}")
+    leaves = materialize(state.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"), F.first("above").alias("above")), "url-templates")
     scored = _merge_and_score(leaves)
     return state.select("host", "shape", "template").join(scored.drop("n"), ["host", "template"])
 
@@ -116,7 +126,8 @@ def _merge_and_score(leaves: DataFrame) -> DataFrame:
 
     Siblings share host and parent.  Those with labels are ordered by their
     share of bad ones, and a new pool begins where two neighbours differ
-    significantly.  Nothing speaks against a template without labels.
+    significantly.  A pool, or a template without labels, then borrows from
+    the nodes above; all rows of a template have the same ones.
     """
     parent = F.regexp_replace("template", "/[^/]*$", "")
     known = leaves.withColumn("parent", parent).withColumn("share", F.when(F.col("labelled") > 0, F.col("bad") / F.col("labelled")))
@@ -133,11 +144,13 @@ def _merge_and_score(leaves: DataFrame) -> DataFrame:
     rest = known.where(F.col("labelled") == 0).withColumn("pool", F.lit(None).cast("long")).withColumn("p_bad", F.lit(0).cast("long")).withColumn("p_labelled", F.lit(0).cast("long"))
     every = pools.unionByName(rest)
     total = leaves.agg((F.sum("bad") / F.sum("labelled").cast("double")).alias("prior"))  # one row
-    score = (F.col("p_bad") + PRIOR_WEIGHT * F.coalesce("prior", F.lit(0.0))) / (F.col("p_labelled") + PRIOR_WEIGHT)
+    levels = F.concat("above", F.array(F.struct(F.col("p_bad").alias("bad"), F.col("p_labelled").alias("labelled"))))
+    own = F.zip_with(levels, F.slice(levels, F.lit(2), F.size(levels)), lambda x, y: F.struct((x["bad"] - F.coalesce(y["bad"], F.lit(0))).alias("bad"), (x["labelled"] - F.coalesce(y["labelled"], F.lit(0))).alias("labelled")))
+    score = F.aggregate(own, F.coalesce("prior", F.lit(0.0)), lambda share, x: (x["bad"] + PRIOR_WEIGHT * share) / (x["labelled"] + PRIOR_WEIGHT))
     return (
         every.join(F.broadcast(total))
         .withColumn("score", score)
-        .withColumn("rejected", (F.col("score") >= REJECT_AT) & (F.col("p_labelled") >= LEAST))
+        .withColumn("rejected", (F.col("score") >= REJECT_AT) & (levels[0]["labelled"] >= LEAST))
         .select("host", "template", "n", F.col("p_bad").alias("bad"), F.col("p_labelled").alias("labelled"), "score", "rejected")
     )
 

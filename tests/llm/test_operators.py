@@ -274,6 +274,20 @@ def test_url_templates_learn_from_labels(spark):
     assert len({got[100 + i]["template"] for i in range(60)}) == 1
 
 
+def test_url_branches_without_labels_borrow_from_the_nodes_above(spark):
+    rows = [(i, f"http://bad.org/es/{i}", 1) for i in range(30)] + [(100 + i, f"http://bad.org/en/{i}", None) for i in range(5)]
+    rows += [(200 + i, f"http://mixed.org/es/{i}", i % 2) for i in range(30)] + [(300 + i, f"http://mixed.org/en/{i}", None) for i in range(5)]
+    rows += [(400, "http://few.org/es/1", 1), (401, "http://few.org/en/1", None), (402, "http://none.org/en/1", None), (403, "http://bad.org/", None)]
+    rows += [(500 + i, f"http://deep.org/a/x/{i}", 1) for i in range(30)] + [(600 + i, f"http://deep.org/b/x/{i}", 0) for i in range(30)] + [(700, "http://deep.org/a/y/1", None), (701, "http://deep.org/b/y/1", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, bad int")
+    got = {r["page_id"]: r for r in url_tree.judge(df, [], labels=F.col("bad")).collect()}
+    blocked = {i for i in got if got[i]["verdict"] == "block" and i not in range(30) and i not in range(500, 530)}
+    assert blocked == {*range(100, 105), 403, 700}
+    prior = (30 + 15 + 1 + 30) / 121
+    assert got[100]["score"] == pytest.approx((30 + 4 * prior) / 34) and got[402]["score"] == pytest.approx(prior)
+    assert got[700]["score"] == pytest.approx((30 + 4 * (0 + 4 * prior) / 34) / 34)
+
+
 # nearest neighbours
 
 
