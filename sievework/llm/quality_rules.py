@@ -1,4 +1,4 @@
-"""Quality rules with thresholds that follow the data, by language and source.
+"""Quality rules with fences by language and source; the data set that of word length, constants bound those of shares.
 
 Base counts of a document (words, symbols, repeated lines, repeated word
 windows) are column expressions.  From documents that pass the base rule,
@@ -11,7 +11,10 @@ whole; a group of under ``MIN_ROWS`` documents uses the next larger one.
 
 A measure's fence lies ``SPREAD`` interquartile ranges outside the
 quartiles in buckets, that is in ratios, and never nearer to the median
-than a guard ratio.  A document is kept if the base rule passes and no
+than a guard ratio.  Shares are zero in most documents, and so are their
+quartiles: the upper fences of the three shares have a fixed least value,
+which is the one that decides wherever the quartiles are zero (README has
+figures of other fences).  A document is kept if the base rule passes and no
 measure is outside its fence; fences come by a join on (language, source).
 
 All of it is built-in functions: no Python runs on the executors.  The text
