@@ -95,6 +95,17 @@ def add_column(spark, sf_dir):
     return old.unionByName(new, allowMissingColumns=True)
 
 
+@query(
+    "add_column_all",
+    "SELECT c_custkey, c_name, NULL::VARCHAR AS stage FROM customer UNION ALL SELECT s_suppkey, s_name, 'late' FROM supplier",
+)
+def add_column_all(spark, sf_dir):
+    """All customers and suppliers; ``add_column`` has 100 customers only, as its SQL does."""
+    old = _t(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    new = _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name"), F.lit("late").alias("stage"))
+    return old.unionByName(new, allowMissingColumns=True)
+
+
 @query(
     "threshold_report",
     f"""WITH {_CAND} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, key, threshold, value, pass FROM (

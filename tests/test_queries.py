@@ -45,3 +45,9 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLE_SQL)))
 def test_queries_without_sql_run(spark, name):
     assert queries.QUERIES[name](spark, SF).count() > 0
+
+
+def test_added_column_keeps_every_row(spark):
+    got = queries.QUERIES["add_column_all"](spark, SF)
+    counts = {t: spark.read.parquet(f"{SF}/{t}.parquet").count() for t in ("customer", "supplier")}
+    assert counts["customer"] > 100 and got.where("stage is null").count() == counts["customer"] and got.where("stage = 'late'").count() == counts["supplier"]
