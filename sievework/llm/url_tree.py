@@ -46,8 +46,6 @@ from sievework.plans.shared import materialize
 
 #: Different next segments from which, and share of them among the urls below from which, a node's segments vary.
 MANY, VARIED = 8, 0.2
-#: Segments of a path that the tree tells apart; what follows is one wildcard.
-DEPTH = 6
 PRIOR_WEIGHT = 4.0
 REJECT_AT = 0.8
 LEAST = 5
@@ -83,10 +81,9 @@ def match_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> tupl
 
 
 def shape_of(path: Column) -> Column:
-    """The path's segments; numbers and long hexadecimal names are wildcards, and so is all beyond ``DEPTH``."""
+    """The path's segments; numbers and long hexadecimal names are wildcards."""
     general = F.regexp_replace(F.regexp_replace(path, r"[0-9a-fA-F]{16,}", "*"), r"[0-9]+", "*")
-    parts = F.split(F.regexp_replace(general, "^/", ""), "/")
-    return F.when(F.size(parts) > DEPTH, F.concat(F.slice(parts, 1, DEPTH), F.array(F.lit("**")))).otherwise(parts)
+    return F.split(F.regexp_replace(general, "^/", ""), "/")
 
 
 def learn_templates(urls: DataFrame) -> DataFrame:
@@ -94,7 +91,9 @@ def learn_templates(urls: DataFrame) -> DataFrame:
 
     ``shape`` is an array of segments; bad and labelled are those of the
     template with the branches it was merged with.  On the way down, ``above``
-    collects the counts of the nodes passed, the host's first.
+    collects the counts of the nodes passed, the host's first.  The walk
+    ends when every shape with further segments is alone at its node, where
+    nothing varies and nothing is borrowed.
     """
     state = materialize(
         urls.groupBy("host", "shape")
@@ -103,7 +102,8 @@ def learn_templates(urls: DataFrame) -> DataFrame:
         .withColumn("above", F.array().cast("array<struct<bad:bigint,labelled:bigint>>")),
         "url-shapes",
     )
-    for depth in range(DEPTH + 1):
+    depth = 0
+    while not state.groupBy("host", "template").agg(F.count("*").alias("shapes"), F.max(F.size("shape")).alias("long")).where((F.col("shapes") > 1) & (F.col("long") > depth)).isEmpty():
         here = state.withColumn("segment", F.get("shape", F.lit(depth)))
         children = here.groupBy("host", "template", "segment").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled"))
         inner = F.col("segment").isNotNull()
@@ -116,6 +116,9 @@ def learn_templates(urls: DataFrame) -> DataFrame:
         grown = F.when(inner, F.concat("template", F.lit("/"), step)).otherwise(F.col("template"))
         above = F.when(inner, F.array_append("above", F.col("node"))).otherwise(F.col("above"))
         state = materialize(joined.withColumns({"template": grown, "above": above}).select("host", "shape", "n", "labelled", "bad", "template", "above"), f"url-depth{depth}")
+        depth += 1
+    rest = F.when(F.size("shape") > depth, F.concat("template", F.lit("/"), F.array_join(F.slice("shape", depth + 1, F.size("shape")), "/")))
+    state = state.withColumn("template", F.coalesce(rest, "template"))
     leaves = materialize(state.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"), F.first("above").alias("above")), "url-templates")
     scored = _merge_and_score(leaves)
     return state.select("host", "shape", "template").join(scored.drop("n"), ["host", "template"])

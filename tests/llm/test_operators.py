@@ -288,6 +288,16 @@ def test_url_branches_without_labels_borrow_from_the_nodes_above(spark):
     assert got[700]["score"] == pytest.approx((30 + 4 * (0 + 4 * prior) / 34) / 34)
 
 
+def test_url_branches_differ_at_any_depth(spark):
+    deep = "/".join("abcdefghijkl")
+    rows = [(i, f"http://h.org/{deep}/bad/{i}", 1) for i in range(30)] + [(100 + i, f"http://h.org/{deep}/good/{i}", 0) for i in range(30)] + [(200, f"http://h.org/{deep}/{deep}", None)]
+    rows += [(300 + i, f"http://h.org/{deep}/many/{chr(97 + i)}x/y", None) for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, bad int")
+    got = {r["page_id"]: r for r in url_tree.judge(df, [], labels=F.col("bad")).collect()}
+    assert {i for i in got if got[i]["verdict"] == "block"} == set(range(30))
+    assert got[0]["template"] == f"/{deep}/bad/*" and got[100]["template"] == f"/{deep}/good/*" and got[200]["template"] == f"/{deep}/{deep}" and got[300]["template"] == f"/{deep}/many/*/y"
+
+
 # nearest neighbours
 
 
