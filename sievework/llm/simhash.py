@@ -50,7 +50,7 @@ SHINGLE = 3
 RADIUS = 2
 #: Different fingerprints from which a cell is linked through midpoints.
 CROWDED = 128
-#: Ids to drop (eight bytes each) up to which they are broadcast.
+#: Ids and hashes to drop (eight bytes each) up to which they are broadcast.
 BROADCAST_IDS = 1_000_000
 #: Groups of two-bit segments: first segment and number of segments.
 GROUPS = ((0, 6), (6, 6), (12, 6), (18, 7), (25, 7))
@@ -84,13 +84,17 @@ def fingerprint_text(text: str | None) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches):
         found = [fingerprint_text(t) for t in part.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.int64()), part.column(2)], ["doc_id", "fp", "key"])
+
+
+def _key(text_col: str) -> Column:
+    return F.xxhash64(F.col(text_col).cast("string"))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) of every row, written once."""
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return materialize(map_batches(narrow, _fingerprints, "doc_id long, fp long"), "simhash")
+    """(doc_id, fp, key) of every row, written once; ``key`` is a hash of the text."""
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), _key(text_col).alias("key"))
+    return materialize(map_batches(narrow, _fingerprints, "doc_id long, fp long, key long"), "simhash")
 
 
 def embed(fp: Column) -> Column:
@@ -131,11 +135,16 @@ def links(distinct: DataFrame) -> DataFrame:
     return met.union(star.select("a", F.explode("of").alias("b")).where("a <> b"))
 
 
-def components(prints: DataFrame) -> DataFrame:
-    """(doc_id, fp, component_id) for rows (doc_id, fp); component_id is the smallest doc_id reachable."""
+def _rooted(prints: DataFrame) -> DataFrame:
+    """(fp, first_id, root): the smallest doc_id of every fingerprint, and the fingerprint that its component is known by."""
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     roots = connected_components(links(distinct.select("fp")), "a", "b").select(F.col("node").alias("fp"), "root")
-    rooted = materialize(distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "simhash-roots")
+    return materialize(distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "simhash-roots")
+
+
+def components(prints: DataFrame) -> DataFrame:
+    """(doc_id, fp, component_id) for rows (doc_id, fp); component_id is the smallest doc_id reachable."""
+    rooted = _rooted(prints)
     named = rooted.join(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
@@ -151,24 +160,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without near-duplicates: of each component, the row with the smallest id stays.
+    """The documents without near-duplicates: of each component one row stays, the first by id (nulls last) and hash of the text.
 
-    An id names a document: rows that repeat an id stand or fall together,
-    and one of them stays.  Rows without an id can't be named as a
-    component's document; of those that share a text one stays.
+    Rows are judged one by one, so rows that repeat an id, or have none, and
+    differ in their texts are documents of their own.  Rows that agree in id
+    and text are alike; one of them stays.
 
-    Only ids are joined to the texts.  Up to ``BROADCAST_IDS`` of those to
-    drop are sent to every executor, so that texts aren't shuffled; beyond,
-    the join is a shuffled one.
+    Only ids and hashes are joined to the texts.  Up to ``BROADCAST_IDS`` of
+    those to drop are sent to every executor, so that texts aren't shuffled;
+    beyond, the join is a shuffled one.
     """
-    found = materialize(components(fingerprints(docs, id_col, text_col)), "simhash-found")
-    ids = materialize(
-        found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("head"), F.count("*").alias("rows")), "simhash-ids"
-    )
-    told = ids.agg(F.count(F.when(~F.col("head"), True)).alias("drop"), F.max("rows").alias("rows"), F.count(F.when(F.col("doc_id").isNull(), True)).alias("nameless")).first()
-    drop = ids.where(~F.col("head")).select(F.col("doc_id").alias("__drop"))
-    kept = docs.join(F.broadcast(drop) if told["drop"] <= BROADCAST_IDS else drop, docs[id_col] == F.col("__drop"), "left_anti")
-    nameless = kept.where(F.col(id_col).isNull()).dropDuplicates([text_col])
-    if told["nameless"] or (told["rows"] or 0) > 1:
-        kept = kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(nameless)
-    return kept
+    prints = fingerprints(docs, id_col, text_col)
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")
+    rows = prints.groupBy("doc_id", "key", "fp").agg(F.count("*").alias("rows")).join(_rooted(prints).select("fp", "root"), "fp")
+    rows = materialize(rows.select("root", "rows", place.alias("place")), "simhash-found")
+    first = rows.groupBy("root").agg(F.min("place").alias("first"))
+    told = materialize(rows.join(first, "root").select("place.*", "rows", (F.col("place") == F.col("first")).alias("head")), "simhash-ids")
+    counts = told.agg(F.count(F.when(~F.col("head"), True)).alias("drop"), F.max(F.when(F.col("head"), F.col("rows"))).alias("rows")).first()
+    drop = told.where(~F.col("head")).select(F.col("doc_id").alias("__drop"), F.col("key").alias("__key"))
+    same = docs[id_col].cast("long").eqNullSafe(F.col("__drop")) & (F.xxhash64(docs[text_col].cast("string")) == F.col("__key"))
+    kept = docs.join(F.broadcast(drop) if counts["drop"] <= BROADCAST_IDS else drop, same, "left_anti")
+    return kept.dropDuplicates([id_col, text_col]) if (counts["rows"] or 0) > 1 else kept

@@ -169,6 +169,17 @@ def test_simhash_fingerprint(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0 and simhash.keep_one(empty(spark)).count() == 0
 
 
+def test_keep_one_judges_rows_with_repeated_or_null_ids(spark):
+    rng = random.Random(21)
+    a, b, c, d = (prose(rng, 300) for _ in range(4))
+    near = next(x for i in range(300) if (x := " ".join(c.split()[:i] + ["zzz"] + c.split()[i + 1 :])) != c and 0 < bin((simhash.fingerprint_text(x) ^ simhash.fingerprint_text(c)) & (2**64 - 1)).count("1") <= 2)
+    rows = [(1, a), (1, b), (1, a), (None, c), (None, near), (None, b), (2, d), (3, d), (None, d)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in simhash.keep_one(df).collect()]
+    assert len(got) == 4 and {(1, a), (1, b), (2, d)} < set(got) and sum(x in got for x in ((None, c), (None, near))) == 1
+    assert sorted(map(str, got)) == sorted(str(tuple(r)) for r in simhash.keep_one(df.repartition(5).orderBy(F.desc("text"))).collect())
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 40)] + [(5, 5)]
     got = dict(map(tuple, graph.connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()))
