@@ -3,8 +3,8 @@
 The file's normalizer and splitting rule are the tokenizers library's; the
 merging is done here, by dynamic programming over the prefixes of a piece.
 For every prefix there is exactly one token that ends its encoding: among
-the vocabulary tokens that are suffixes of the prefix (found by a suffix
-automaton over the vocabulary) it is the one that is compatible with the
+the vocabulary tokens that are suffixes of the prefix (found by an
+Aho-Corasick automaton over the vocabulary) it is the one that is compatible with the
 last token of what stands before it.  The encoding of the piece is read off
 by following these last tokens back from its end.
 
