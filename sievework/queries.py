@@ -172,6 +172,16 @@ def alphabet_check(spark, sf_dir):
     return _t(spark, sf_dir, "part").select("p_partkey", sequences.illegal_characters(F.col("p_type")).alias("bad")).where("bad <> ''")
 
 
+@query(
+    "alphabet_check_text",
+    """SELECT doc_id, array_to_string(list_sort(list_filter(list_distinct(string_split(text, '')), lambda c: c <> '' AND NOT contains('ACDEFGHIKLMNPQRSTVWY', c))), '') AS bad
+       FROM documents WHERE len(list_filter(string_split(text, ''), lambda c: c <> '' AND NOT contains('ACDEFGHIKLMNPQRSTVWY', c))) > 0""",
+)
+def alphabet_check_text(spark, sf_dir):
+    """The same over whole texts."""
+    return _t(spark, sf_dir, "documents").select("doc_id", sequences.illegal_characters(F.col("text")).alias("bad")).where("bad <> ''")
+
+
 @query("cys_parity", "SELECT p_partkey, len(regexp_extract_all(p_type, 'C')) % 2 = 0 AS even FROM part")
 def cys_parity(spark, sf_dir):
     return _t(spark, sf_dir, "part").select("p_partkey", sequences.even_cysteines(F.col("p_type")).alias("even"))
