@@ -1,4 +1,4 @@
-"""Quality rules with fences by language and source; the data set that of word length, constants bound those of shares.
+"""Quality rules with thresholds by language and source, read off mergeable quantile sketches.
 
 Base counts of a document (words, symbols, repeated lines, repeated word
 windows) are column expressions.  From documents that pass the base rule,
@@ -7,15 +7,25 @@ histograms (DDSketch: Masson et al., 2019) whose bucket of x is
 ``floor(ln x / ln 1.02)``, so a sketch has at most some thousand buckets,
 two sketches merge by adding counts, and any quantile is right to 2 %.
 Sketches of (language, source) merge into those of the language and of the
-whole; a group of under ``MIN_ROWS`` documents uses the next larger one.
-
-A measure's fence lies ``SPREAD`` interquartile ranges outside the
-quartiles in buckets, that is in ratios, and never nearer to the median
-than a guard ratio.  Shares are zero in most documents, and so are their
-quartiles: the upper fences of the three shares have a fixed least value,
-which is the one that decides wherever the quartiles are zero (README has
-figures of other fences).  A document is kept if the base rule passes and no
-measure is outside its fence; fences come by a join on (language, source).
+whole.  A group's quantile is shrunk towards its language's, and that
+towards the whole's, in buckets, with ``WEIGHT`` documents' worth of weight:
+a small group borrows, a large one speaks for itself, and no size switches.
+
+Word length has two fences, ``SPREAD`` interquartile ranges outside the
+quartiles (in buckets, that is in ratios; a range counts one bucket more,
+the sketch's resolution).
+
+The shares of symbols, repeated lines and repeated windows are zero in most
+documents, and a share says little where the text is short: one repeated
+line of three is chance, fifty of a hundred aren't.  So their threshold is
+a rate, the ``USUAL`` quantile of the group's shares, and a document is held
+to the number of events it allows for: ``e = 1 + rate * units`` are
+expected, one being the grace that a first event has, and more than
+``e + SPREAD * sqrt(e)`` are too many.  Events are symbols, repeated lines
+and repeated windows (six words: a window and its copy).
+
+A document is kept if the base rule passes and no measure is outside;
+thresholds come by a join on (language, source).
 
 All of it is built-in functions: no Python runs on the executors.  The text
 is read once; narrow counts are written and used by both passes.  Sketch
@@ -39,19 +49,19 @@ from sievework.plans.shared import materialize
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
-#: Documents from which a group's own sketch is used.
-MIN_ROWS = 200
-#: Interquartile ranges between a quartile and its fence.
-SPREAD = 4
+#: Documents that a larger group counts for when a smaller one's quantiles are shrunk towards it.
+WEIGHT = 200
+#: Interquartile ranges between a quartile and its fence, and standard deviations of a count.
+SPREAD = 6
 #: Ratio of neighbouring buckets.
 RATIO = 1.02
-#: Measures: (name, whether there's a lower fence, least distance of a fence from the median in buckets, least bucket of an upper fence).
-#: 20 buckets are a ratio of about 1.5; 197, 313 and 268 are the buckets of 50, 500 and 200 thousandths.
-MEASURES = (
-    ("word_length", True, 20, -1),
-    ("symbol_share", False, 20, 197),
-    ("dup_line_share", False, 20, 313),
-    ("repeat_share", False, 20, 268),
+#: The quantile of the group's shares that is its usual rate, in tenths.
+USUAL = 9
+#: Shares: (name, counted column, column of the units, counted units of an event).
+SHARES = (
+    ("symbol_share", "n_symbols", "word_chars", 1),
+    ("dup_line_share", "n_dup_lines", "n_lines", 1),
+    ("repeat_share", "n_repeat_words", "n_words", 6),
 )
 #: Groups up to which the table of fences is broadcast (some hundred bytes a row); a shuffled join beyond.
 BROADCAST_GROUPS = 50_000
@@ -102,9 +112,8 @@ def bucket(x: Column) -> Column:
 
 
 def _measures() -> dict[str, Column]:
-    share = lambda a, b: F.floor(1000 * F.col(a) / F.greatest(F.col(b), F.lit(1))).cast("long")
-    values = (("word_chars", "n_words"), ("n_symbols", "word_chars"), ("n_dup_lines", "n_lines"), ("n_repeat_words", "n_words"))
-    return {m[0]: bucket(share(*v)) for m, v in zip(MEASURES, values, strict=True)}
+    share = lambda a, b: bucket(F.floor(1000 * F.col(a) / F.greatest(F.col(b), F.lit(1))).cast("long"))
+    return {"word_length": share("word_chars", "n_words")} | {name: share(n, of) for name, n, of, _ in SHARES}
 
 
 def sketches(counts: DataFrame) -> DataFrame:
@@ -119,45 +128,53 @@ def merge(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
 
 
-def quartiles(rows: DataFrame, *keys: str) -> DataFrame:
-    """(keys, measure, rows, q1, q2, q3): quartile buckets of sketches; a sketch has at most some thousand buckets."""
+def quantiles(rows: DataFrame, *keys: str) -> DataFrame:
+    """(keys, measure, q): rows and buckets at the quartiles and at ``USUAL`` of sketches; a sketch has at most some thousand buckets."""
     of = Window.partitionBy(*keys, "measure")
     upto = of.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     summed = rows.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(of))
-    at = lambda k: F.min(F.when(4 * F.col("upto") >= k * F.col("all"), F.col("bucket")))
-    return summed.groupBy(*keys, "measure").agg(F.max("all").alias("rows"), at(1).alias("q1"), at(2).alias("q2"), at(3).alias("q3"))
+    at = lambda k, of: F.min(F.when(of * F.col("upto") >= k * F.col("all"), F.col("bucket")))
+    return summed.groupBy(*keys, "measure").agg(F.struct(F.max("all").alias("rows"), at(1, 4).alias("q1"), at(3, 4).alias("q3"), at(USUAL, 10).alias("usual")).alias("q"))
+
+
+def _shrunk(own: Column, larger: Column, name: str) -> Column:
+    """A quantile of ``own`` drawn towards ``larger``, a whole bucket."""
+    return F.floor((own["rows"] * own[name] + WEIGHT * larger[name]) / (own["rows"] + WEIGHT)).cast("int")
 
 
-def fences(rows: DataFrame) -> DataFrame:
-    """(lang, source, <measure>_low, <measure>_high): fences in buckets for every group in the sketches."""
+def thresholds(rows: DataFrame) -> DataFrame:
+    """(lang, source, word_length_low, word_length_high, <share>_rate): fences and rates in buckets for every group in the sketches."""
     rows = materialize(rows, "quality-sketches")
-    own = quartiles(rows, "lang", "source")
-    by_lang = quartiles(merge(rows, "lang"), "lang").select(F.col("lang").alias("l_lang"), F.col("measure").alias("l_measure"), F.struct("rows", "q1", "q2", "q3").alias("l"))
-    whole = quartiles(merge(rows)).select(F.col("measure").alias("w_measure"), F.struct("rows", "q1", "q2", "q3").alias("w"))  # a row a measure
-    joined = own.join(by_lang, own["lang"].eqNullSafe(F.col("l_lang")) & (own["measure"] == F.col("l_measure"))).join(F.broadcast(whole), F.col("measure") == F.col("w_measure"))
-    used = (
-        F.when(F.col("rows") >= MIN_ROWS, F.struct("rows", "q1", "q2", "q3")).when(F.col("l.rows") >= MIN_ROWS, F.col("l")).otherwise(F.col("w"))
-    )
-    chosen = joined.select("lang", "source", "measure", used.alias("q"))
-    spread = SPREAD * (F.col("q.q3") - F.col("q.q1"))
-    out = []
-    for name, lower, guard, least in MEASURES:
-        mine = F.col("measure") == name
-        high = F.greatest(F.col("q.q3") + spread, F.col("q.q2") + guard, F.lit(least))
-        low = F.least(F.col("q.q1") - spread, F.col("q.q2") - guard) if lower else F.lit(-2)
-        out += [F.max(F.when(mine, low)).alias(f"{name}_low"), F.max(F.when(mine, high)).alias(f"{name}_high")]
-    return materialize(chosen.groupBy("lang", "source").agg(*out), "quality-fences")
+    names = ("q1", "q3", "usual")
+    shrink = lambda own, larger: F.struct(own["rows"].alias("rows"), *[_shrunk(own, larger, n).alias(n) for n in names])
+    whole = quantiles(merge(rows)).select(F.col("measure").alias("w_measure"), F.col("q").alias("w"))  # a row a measure
+    by_lang = quantiles(merge(rows, "lang"), "lang").join(F.broadcast(whole), F.col("measure") == F.col("w_measure"))
+    by_lang = by_lang.select(F.col("lang").alias("l_lang"), F.col("measure").alias("l_measure"), shrink(F.col("q"), F.col("w")).alias("l"))
+    own = quantiles(rows, "lang", "source")
+    chosen = own.join(by_lang, own["lang"].eqNullSafe(F.col("l_lang")) & (own["measure"] == F.col("l_measure"))).select("lang", "source", "measure", shrink(F.col("q"), F.col("l")).alias("q"))
+    of = lambda name, value: F.max(F.when(F.col("measure") == name, value))
+    spread = SPREAD * (F.col("q.q3") - F.col("q.q1") + 1)
+    out = [of("word_length", F.col("q.q1") - spread).alias("word_length_low"), of("word_length", F.col("q.q3") + spread).alias("word_length_high")]
+    out += [of(name, F.col("q.usual")).alias(f"{name}_rate") for name, *_ in SHARES]
+    return materialize(chosen.groupBy("lang", "source").agg(*out), "quality-thresholds")
+
+
+def _within(count: str, units: str, per_event: int, rate: Column) -> Column:
+    """Whether a document's events are no more than its units allow for at a rate given as a bucket of thousandths."""
+    usual = F.when(rate < 0, F.lit(0.0)).otherwise(F.pow(F.lit(RATIO), rate + 1))
+    expected = 1 + usual * F.col(units) / (1000 * per_event)
+    return F.col(count) / per_event <= expected + SPREAD * F.sqrt(expected)
 
 
 def judge(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", source_col="source") -> DataFrame:
     """One row per document: counts, base_failed and kept."""
     counts = base_counts(docs, id_col, text_col, lang_col, source_col)
-    limits = fences(sketches(counts)).withColumnsRenamed({"lang": "f_lang", "source": "f_source"})
+    limits = thresholds(sketches(counts)).withColumnsRenamed({"lang": "f_lang", "source": "f_source"})
     limits = F.broadcast(limits) if limits.count() <= BROADCAST_GROUPS else limits
     joined = counts.join(limits, counts["lang"].eqNullSafe(F.col("f_lang")) & counts["source"].eqNullSafe(F.col("f_source")), "left")
-    inside = F.lit(True)
-    for name, value in _measures().items():
-        inside = inside & value.between(F.col(f"{name}_low"), F.col(f"{name}_high"))
+    inside = _measures()["word_length"].between(F.col("word_length_low"), F.col("word_length_high"))
+    for name, count, units, per_event in SHARES:
+        inside = inside & _within(count, units, per_event, F.col(f"{name}_rate"))
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         F.when(F.col("base_failed"), False).otherwise(F.coalesce(inside, F.lit(True))).alias("kept"),

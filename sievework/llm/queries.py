@@ -84,7 +84,7 @@ QUERIES = {
     "op7_mix_sources": op7_mix_sources,
 }
 
-#: The same words, windows, sketches and fences in plain SQL.
+#: The same words, windows, sketches and thresholds in plain SQL.
 _OP1_SQL = r"""
 WITH texts AS (
   SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t FROM documents
@@ -117,21 +117,28 @@ WITH texts AS (
   SELECT lang, m, count(*) AS n, list_sort(list(b)) AS s FROM cells GROUP BY ALL
 ), of_all AS (
   SELECT m, count(*) AS n, list_sort(list(b)) AS s FROM cells GROUP BY ALL
-), used AS (
-  SELECT own.lang, own.source, own.m, CASE WHEN own.n >= 200 THEN own.s WHEN l.n >= 200 THEN l.s ELSE a.s END AS s
-  FROM own JOIN of_lang l ON own.lang IS NOT DISTINCT FROM l.lang AND own.m = l.m JOIN of_all a ON own.m = a.m
-), quarts AS (
-  SELECT lang, source, m, s[(len(s) + 3) // 4] AS q1, s[(2 * len(s) + 3) // 4] AS q2, s[(3 * len(s) + 3) // 4] AS q3 FROM used
-), fence AS (
-  SELECT lang, source, m, CASE WHEN m = 1 THEN least(q1 - 4 * (q3 - q1), q2 - 20) ELSE -2 END AS low,
-    greatest(q3 + 4 * (q3 - q1), q2 + 20, [-1, 197, 313, 268][m]) AS high
-  FROM quarts
+), q_all AS (
+  SELECT m, s[(len(s) + 3) // 4] AS q1, s[(3 * len(s) + 3) // 4] AS q3, s[(9 * len(s) + 9) // 10] AS qu FROM of_all
+), q_lang AS (
+  SELECT lang, l.m, floor((l.n * s[(l.n + 3) // 4] + 200 * a.q1) / (l.n + 200))::INT AS q1, floor((l.n * s[(3 * l.n + 3) // 4] + 200 * a.q3) / (l.n + 200))::INT AS q3,
+    floor((l.n * s[(9 * l.n + 9) // 10] + 200 * a.qu) / (l.n + 200))::INT AS qu
+  FROM of_lang l JOIN q_all a ON l.m = a.m
+), q_own AS (
+  SELECT o.lang, source, o.m, floor((o.n * s[(o.n + 3) // 4] + 200 * l.q1) / (o.n + 200))::INT AS q1, floor((o.n * s[(3 * o.n + 3) // 4] + 200 * l.q3) / (o.n + 200))::INT AS q3,
+    floor((o.n * s[(9 * o.n + 9) // 10] + 200 * l.qu) / (o.n + 200))::INT AS qu
+  FROM own o JOIN q_lang l ON o.lang IS NOT DISTINCT FROM l.lang AND o.m = l.m
 ), fences AS (
-  SELECT lang, source, list(low ORDER BY m) AS low, list(high ORDER BY m) AS high FROM fence GROUP BY ALL
+  SELECT lang, source, max(CASE WHEN m = 1 THEN q1 - 6 * (q3 - q1 + 1) END) AS low, max(CASE WHEN m = 1 THEN q3 + 6 * (q3 - q1 + 1) END) AS high,
+    list(CASE WHEN qu < 0 THEN 0 ELSE pow(1.02::DOUBLE, qu + 1) END ORDER BY m) AS rate
+  FROM q_own GROUP BY ALL
+), expected AS (
+  SELECT d.*, low, high, 1 + rate[2] * word_chars / 1000 AS e_symbols, 1 + rate[3] * n_lines / 1000 AS e_lines, 1 + rate[4] * n_words / 6000 AS e_windows
+  FROM bucketed d LEFT JOIN fences f ON d.lang IS NOT DISTINCT FROM f.lang AND d.source IS NOT DISTINCT FROM f.source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND coalesce(b[1] BETWEEN low[1] AND high[1] AND b[2] BETWEEN low[2] AND high[2] AND b[3] BETWEEN low[3] AND high[3] AND b[4] BETWEEN low[4] AND high[4], TRUE) AS kept
-FROM bucketed d LEFT JOIN fences f ON d.lang IS NOT DISTINCT FROM f.lang AND d.source IS NOT DISTINCT FROM f.source
+  NOT base_failed AND coalesce(b[1] BETWEEN low AND high AND n_symbols <= e_symbols + 6 * sqrt(e_symbols) AND n_dup_lines <= e_lines + 6 * sqrt(e_lines)
+    AND n_repeat_words / 6 <= e_windows + 6 * sqrt(e_windows), TRUE) AS kept
+FROM expected
 """
 
 #: SHA-1 in base32: five hexadecimal digits make four characters.

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -72,6 +73,76 @@ def test_quality_fences_reject_what_differs(spark):
     assert len(got) == 61 and [r["n_symbols"] > 0 for r in got if not r["kept"]] == [True]
 
 
+def brute_thresholds(rows):
+    """Plain-loop thresholds of rows (lang, source, four bucket values)."""
+
+    def raw(values):
+        v = sorted(values)
+        return len(v), [v[-(-len(v) * k // of) - 1] for k, of in ((1, 4), (3, 4), (quality_rules.USUAL, 10))]
+
+    def shrunk(own, larger):
+        n, w = own[0], quality_rules.WEIGHT
+        return n, [(n * a + w * b) // (n + w) for a, b in zip(own[1], larger[1], strict=True)]
+
+    out = {}
+    for m in range(4):
+        whole = raw([r[2 + m] for r in rows])
+        for lang, source in {r[:2] for r in rows}:
+            of_lang = shrunk(raw([r[2 + m] for r in rows if r[0] == lang]), whole)
+            out[lang, source, m] = shrunk(raw([r[2 + m] for r in rows if r[:2] == (lang, source)]), of_lang)[1]
+    return out
+
+
+def test_quality_verdicts_equal_a_plain_loop(spark):
+    rng = random.Random(31)
+    rows = []
+    for i in range(700):
+        lang, source = rng.choice(["en", "de", None]), rng.choices(["hot", "b", None], [5, 2, 1])[0]
+        text = prose(rng, rng.randint(40, 150))
+        if rng.random() < 0.1:
+            text += " " + "#$ " * rng.randint(1, 60)
+        if rng.random() < 0.2:
+            text += "\n" + "\n".join(rng.choice(["again and again", "once more", "x y"]) for _ in range(rng.randint(1, 40)))
+        rows.append((i, text, lang, source, 0))
+    measured = {}
+    for i, text, lang, source, _ in rows:
+        n, chars, symbols, dup, repeat = brute_counts(text)
+        lines = len([x for x in text.split("\n") if x.strip()])
+        buckets = [int(math.floor(math.log(v) / math.log(1.02))) if v > 0 else -1 for v in (1000 * chars // n, 1000 * symbols // chars, 1000 * dup // lines, 1000 * repeat // n)]
+        if n >= 50 and 100 * repeat <= 50 * n:
+            measured[i] = ((lang, source, *buckets), ((symbols, chars, 1), (dup, lines, 1), (repeat, n, 6)))
+    limits, want = brute_thresholds([m[0] for m in measured.values()]), {}
+    for i, ((lang, source, *buckets), shares) in measured.items():
+        q1, q3, _ = limits[lang, source, 0]
+        spread = quality_rules.SPREAD * (q3 - q1 + 1)
+        kept = q1 - spread <= buckets[0] <= q3 + spread
+        for m, (count, units, each) in enumerate(shares, 1):
+            usual = limits[lang, source, m][2]
+            expected = 1 + (0 if usual < 0 else 1.02 ** (usual + 1)) * units / 1000 / each
+            kept &= count / each <= expected + quality_rules.SPREAD * expected**0.5
+        want[i] = kept
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.judge(spark.createDataFrame(rows, DOCS).repartition(5)).collect()}
+    assert got == {i: want.get(i, False) for i in range(700)} and 0 < sum(want.values()) < len(want)
+
+
+def test_quality_thresholds_follow_their_source(spark, monkeypatch):
+    rng = random.Random(32)
+    marked = lambda share: " ".join(w + "#" * (rng.random() < share) for w in prose(rng, 120).split())
+    plain = [(i, marked(0), "en", "plain", 0) for i in range(400)]
+    code = [(1000 + i, marked(0.5), "en", "code", 0) for i in range(400)]
+    odd = [(2000, marked(0.5), "en", "plain", 0)]
+    kept = lambda rows: {r["doc_id"] for r in quality_rules.judge(spark.createDataFrame(rows, DOCS)).where("kept").collect()}
+    found = kept(plain + code + odd)
+    assert 2000 not in found and found == {r[0] for r in plain + code}
+    limits = quality_rules.thresholds(quality_rules.sketches(quality_rules.base_counts(spark.createDataFrame(plain + code, DOCS)))).collect()
+    rates = {r["source"]: r["symbol_share_rate"] for r in limits}
+    assert rates["code"] > rates["plain"]
+    moved = kept([(i, marked(0.5), "en", "plain", 0) for i in range(400)] + code + odd)  # the same document among its like
+    assert 2000 in moved
+    monkeypatch.setattr(quality_rules, "BROADCAST_GROUPS", 0)
+    assert kept(plain + code + odd) == found
+
+
 # mixing
 
 
