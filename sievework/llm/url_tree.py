@@ -9,17 +9,17 @@ that is if there are many different ones for the number of urls below
 branches with like label shares are merged: the children of a node whose
 shares of bad labels don't differ significantly pool their counts, so a
 branch with few labels borrows from its kin.  What a template lacks in
-labels it borrows from the nodes above it, up to the host: a node's share of
-bad labels is (bad + PRIOR_WEIGHT * share above) / (labelled + PRIOR_WEIGHT),
-where bad and labelled leave out the branch that borrows, so that no label
-counts twice, and the share above the host is that among all labels.  A
-template is rejected if its share so smoothed reaches ``REJECT_AT`` and its
-host has ``LEAST`` labels at least.
+labels it borrows from the nodes above it, the host, and the host's parent
+domains (the ``DOMAINS`` broadest): going down this chain from the share of
+bad labels among all, a level's share is (bad + PRIOR_WEIGHT * share above)
+/ (labelled + PRIOR_WEIGHT), where bad and labelled leave out the next level,
+so that no label counts twice.  A template is rejected if its share so
+smoothed reaches ``REJECT_AT``.
 
 Labels are a column of the caller (1 bad, 0 good, null unknown); the query
 of this package takes the verdicts of the rules themselves, so a host's
-unruled branches are judged by how its ruled ones came out.  Hosts without
-any label are allowed.
+unruled branches are judged by how its ruled ones came out, and a host
+without any by its domain.
 
 Scale: the work is a walk over depths, not over urls.  Urls are summed to
 (host, path shape) once; each depth sums and joins on (host, prefix), which
@@ -48,7 +48,8 @@ from sievework.plans.shared import materialize
 MANY, VARIED = 8, 0.2
 PRIOR_WEIGHT = 4.0
 REJECT_AT = 0.8
-LEAST = 5
+#: Parent domains of a host that its templates borrow from: the last label, the last two, and so on.
+DOMAINS = 4
 #: Two-proportion z-value below which sibling branches are alike.
 ALIKE = 1.96
 
@@ -86,22 +87,34 @@ def shape_of(path: Column) -> Column:
     return F.split(F.regexp_replace(general, "^/", ""), "/")
 
 
+def _domains(shapes: DataFrame) -> DataFrame:
+    """(host, above): label counts of a host's parent domains, the broadest first."""
+    hosts = shapes.groupBy("host").agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled"))
+    parts = F.split("host", r"\.")
+    size = F.size(parts)
+    many = F.least(size - 1, F.lit(DOMAINS))
+    names = F.transform(F.sequence(F.lit(1), many), lambda i: F.array_join(F.slice(parts, size - i + 1, i), "."))
+    each = hosts.select("host", "bad", "labelled", F.posexplode(F.when(many > 0, names)).alias("level", "domain"))
+    sums = each.groupBy("domain").agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled"))
+    found = each.select("host", "level", "domain").join(sums, "domain")
+    return found.groupBy("host").agg(F.transform(F.sort_array(F.collect_list(F.struct("level", "bad", "labelled"))), lambda x: F.struct(x["bad"].alias("bad"), x["labelled"].alias("labelled"))).alias("above"))  # at most DOMAINS a host
+
+
 def learn_templates(urls: DataFrame) -> DataFrame:
     """(host, shape, template, bad, labelled, score, rejected) for rows (host, shape, label).
 
     ``shape`` is an array of segments; bad and labelled are those of the
     template with the branches it was merged with.  On the way down, ``above``
-    collects the counts of the nodes passed, the host's first.  The walk
-    ends when every shape with further segments is alone at its node, where
-    nothing varies and nothing is borrowed.
+    collects the counts of the host's domains, of the host, and of the nodes
+    passed.  The walk ends when every shape with further segments is alone at
+    its node, where nothing varies and nothing is borrowed.
     """
-    state = materialize(
-        urls.groupBy("host", "shape")
-        .agg(F.count("*").alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).cast("long").alias("bad"))
-        .withColumn("template", F.lit(""))
-        .withColumn("above", F.array().cast("array<struct<bad:bigint,labelled:bigint>>")),
-        "url-shapes",
+    shapes = materialize(
+        urls.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).cast("long").alias("bad")), "url-shapes"
     )
+    none = F.array().cast("array<struct<bad:bigint,labelled:bigint>>")
+    state = shapes.withColumn("template", F.lit("")).join(_domains(shapes), "host", "left").withColumn("above", F.coalesce("above", none))
+    state = materialize(state.select("host", "shape", "n", "labelled", "bad", "template", "above"), "url-start")
     depth = 0
     while not state.groupBy("host", "template").agg(F.count("*").alias("shapes"), F.max(F.size("shape")).alias("long")).where((F.col("shapes") > 1) & (F.col("long") > depth)).isEmpty():
         here = state.withColumn("segment", F.get("shape", F.lit(depth)))
@@ -127,35 +140,29 @@ def learn_templates(urls: DataFrame) -> DataFrame:
 def _merge_and_score(leaves: DataFrame) -> DataFrame:
     """Pool templates with their like siblings and score them.
 
-    Siblings share host and parent.  Those with labels are ordered by their
-    share of bad ones, and a new pool begins where two neighbours differ
+    Siblings share host and parent.  Those with labels are summed by their
+    share of bad ones, so a parent has a row a share, however many children;
+    in the order of shares a new pool begins where two neighbours differ
     significantly.  A pool, or a template without labels, then borrows from
-    the nodes above; all rows of a template have the same ones.
+    the levels above; all rows of a template have the same ones.
     """
-    parent = F.regexp_replace("template", "/[^/]*$", "")
-    known = leaves.withColumn("parent", parent).withColumn("share", F.when(F.col("labelled") > 0, F.col("bad") / F.col("labelled")))
-    labelled = known.where(F.col("labelled") > 0)
-    order = Window.partitionBy("host", "parent").orderBy("share", "template")
-    n1, n2 = F.lag("labelled").over(order), F.col("labelled")
+    known = leaves.withColumn("parent", F.regexp_replace("template", "/[^/]*$", "")).withColumn("share", F.when(F.col("labelled") > 0, F.col("bad") / F.col("labelled")))
+    shares = known.where("labelled > 0").groupBy("host", "parent", "share").agg(F.sum("bad").alias("s_bad"), F.sum("labelled").alias("s_labelled"))
+    order = Window.partitionBy("host", "parent").orderBy("share")
+    n1, n2 = F.lag("s_labelled").over(order), F.col("s_labelled")
     p1, p2 = F.lag("share").over(order), F.col("share")
-    pooled = (p1 * n1 + p2 * n2) / (n1 + n2)
-    z = F.abs(p1 - p2) / F.sqrt(F.greatest(pooled * (1 - pooled), F.lit(1e-9)) * (1 / n1 + 1 / n2))
-    pool = F.sum(F.when(z >= ALIKE, 1).otherwise(0)).over(order)
-    pools = labelled.withColumn("pool", pool)
+    both = (F.lag("s_bad").over(order) + F.col("s_bad")) / (n1 + n2)
+    z = F.abs(p1 - p2) / F.sqrt(F.greatest(both * (1 - both), F.lit(1e-9)) * (1 / n1 + 1 / n2))
+    pools = shares.withColumn("pool", F.sum(F.when(z >= ALIKE, 1).otherwise(0)).over(order))
     within = Window.partitionBy("host", "parent", "pool")
-    pools = pools.withColumn("p_bad", F.sum("bad").over(within)).withColumn("p_labelled", F.sum("labelled").over(within))
-    rest = known.where(F.col("labelled") == 0).withColumn("pool", F.lit(None).cast("long")).withColumn("p_bad", F.lit(0).cast("long")).withColumn("p_labelled", F.lit(0).cast("long"))
-    every = pools.unionByName(rest)
+    pools = pools.withColumn("p_bad", F.sum("s_bad").over(within)).withColumn("p_labelled", F.sum("s_labelled").over(within)).select("host", "parent", "share", "p_bad", "p_labelled")
+    every = known.join(pools, ["host", "parent", "share"], "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("p_bad", "p_labelled")})
     total = leaves.agg((F.sum("bad") / F.sum("labelled").cast("double")).alias("prior"))  # one row
     levels = F.concat("above", F.array(F.struct(F.col("p_bad").alias("bad"), F.col("p_labelled").alias("labelled"))))
     own = F.zip_with(levels, F.slice(levels, F.lit(2), F.size(levels)), lambda x, y: F.struct((x["bad"] - F.coalesce(y["bad"], F.lit(0))).alias("bad"), (x["labelled"] - F.coalesce(y["labelled"], F.lit(0))).alias("labelled")))
     score = F.aggregate(own, F.coalesce("prior", F.lit(0.0)), lambda share, x: (x["bad"] + PRIOR_WEIGHT * share) / (x["labelled"] + PRIOR_WEIGHT))
-    return (
-        every.join(F.broadcast(total))
-        .withColumn("score", score)
-        .withColumn("rejected", (F.col("score") >= REJECT_AT) & (levels[0]["labelled"] >= LEAST))
-        .select("host", "template", "n", F.col("p_bad").alias("bad"), F.col("p_labelled").alias("labelled"), "score", "rejected")
-    )
+    scored = every.join(F.broadcast(total)).withColumn("score", score)
+    return scored.select("host", "template", "n", F.col("p_bad").alias("bad"), F.col("p_labelled").alias("labelled"), "score", (F.col("score") >= REJECT_AT).alias("rejected"))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url", labels: Column | None = None) -> DataFrame:

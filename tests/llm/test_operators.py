@@ -366,8 +366,90 @@ def test_url_branches_without_labels_borrow_from_the_nodes_above(spark):
     blocked = {i for i in got if got[i]["verdict"] == "block" and i not in range(30) and i not in range(500, 530)}
     assert blocked == {*range(100, 105), 403, 700}
     prior = (30 + 15 + 1 + 30) / 121
-    assert got[100]["score"] == pytest.approx((30 + 4 * prior) / 34) and got[402]["score"] == pytest.approx(prior)
-    assert got[700]["score"] == pytest.approx((30 + 4 * (0 + 4 * prior) / 34) / 34)
+    above = lambda bad, labelled: (76 - bad + 4 * prior) / (121 - labelled + 4)  # noqa: E731  (the domain org, without the host)
+    assert got[100]["score"] == pytest.approx((30 + 4 * above(30, 30)) / 34) and got[402]["score"] == pytest.approx(prior)
+    assert got[700]["score"] == pytest.approx((30 + 4 * (0 + 4 * above(30, 60)) / 34) / 34)
+
+
+def brute_templates(urls):
+    """(template, score) by (host, shape) of rows (host, shape, label), node by node."""
+    counts = defaultdict(lambda: [0, 0, 0])
+    for host, shape, label in urls:
+        c = counts[host, shape]
+        c[0], c[1], c[2] = c[0] + 1, c[1] + (label or 0), c[2] + (label is not None)
+    tally = lambda keys: (sum(counts[k][1] for k in keys), sum(counts[k][2] for k in keys))
+    prior = tally(counts)[0] / tally(counts)[1] if tally(counts)[1] else 0.0
+    leaves = defaultdict(list)
+
+    def walk(keys, depth, template, above):
+        more = [k for k in keys if len(k[1]) > depth]
+        for k in keys:
+            if len(k[1]) <= depth:
+                leaves[k[0], template].append((k, above))
+        segments = {k[1][depth] for k in more}
+        vary = len(segments) >= url_tree.MANY and len(segments) >= url_tree.VARIED * sum(counts[k][0] for k in more)
+        below = defaultdict(list)
+        for k in more:
+            below["*" if vary and k[1][depth] else k[1][depth]].append(k)
+        for segment, part in below.items():
+            walk(part, depth + 1, f"{template}/{segment}", [*above, tally(keys)])
+
+    for host in {h for h, _ in counts}:
+        labels = host.split(".")
+        domains = [".".join(labels[-i:]) for i in range(1, min(len(labels), url_tree.DOMAINS + 1))]
+        levels = [tally([k for k in counts if k[0].endswith("." + d)]) for d in domains]
+        walk([k for k in counts if k[0] == host], 0, "", levels)
+    out = {}
+    for (host, template), rows in leaves.items():
+        parent = template.rpartition("/")[0]
+        kin = defaultdict(lambda: [0, 0])
+        for (h, t), others in leaves.items():
+            bad, labelled = tally([k for k, _ in others])
+            if h == host and t.rpartition("/")[0] == parent and labelled:
+                kin[bad / labelled][0] += bad
+                kin[bad / labelled][1] += labelled
+        pools, before = [], None
+        for share, (bad, n) in sorted(kin.items()):
+            if before:
+                both = (before[1] + bad) / (before[2] + n)
+                z = abs(before[0] - share) / (max(both * (1 - both), 1e-9) * (1 / before[2] + 1 / n)) ** 0.5
+            if not before or z >= url_tree.ALIKE:
+                pools.append([set(), 0, 0])
+            pools[-1] = [pools[-1][0] | {share}, pools[-1][1] + bad, pools[-1][2] + n]
+            before = (share, bad, n)
+        bad, labelled = tally([k for k, _ in rows])
+        pool = next(([b, n] for of, b, n in pools if labelled and bad / labelled in of), [0, 0])
+        levels, score = [*rows[0][1], tuple(pool)], prior
+        for x, y in zip(levels, [*levels[1:], (0, 0)], strict=True):
+            score = (x[0] - y[0] + url_tree.PRIOR_WEIGHT * score) / (x[1] - y[1] + url_tree.PRIOR_WEIGHT)
+        for k, _ in rows:
+            out[k] = (template, score)
+    return out
+
+
+def test_url_templates_equal_a_plain_walk(spark):
+    rng = random.Random(33)
+    rows = []
+    for i in range(900):
+        host = rng.choice(["a.x.com", "b.x.com", "x.com", "c.org", "deep.er.and.er.net", "d.net", ""])
+        path = "/".join(["", *(rng.choice(["en", "de", "p", "q"] + [f"v{rng.randint(0, 40)}", f"name-{chr(97 + rng.randint(0, 25))}{chr(97 + rng.randint(0, 25))}"]) for _ in range(rng.randint(0, 4)))])
+        rows.append((i, f"http://{host}{path}", rng.choice([None, None, 0, 1]) if "en" not in path else rng.choice([None, 1, 1, 1])))
+    rows += [(1000 + i, "http://a.x.com/en/p", 1) for i in range(5)] + [(2000, None, 1), (2001, "", None)]  # equal urls, and none
+    df = spark.createDataFrame(rows, "page_id long, url string, bad int").repartition(5)
+    got = {r["page_id"]: r for r in url_tree.judge(df, [], labels=F.col("bad")).collect()}
+    shapes = {r["page_id"]: (r["host"], tuple(r["shape"])) for r in df.select("page_id", url_tree.host_of(F.coalesce("url", F.lit(""))).alias("host"), url_tree.shape_of(url_tree.path_of(F.coalesce("url", F.lit("")))).alias("shape")).collect()}
+    want = brute_templates([(*shapes[i], label) for i, _, label in rows])
+    for i, _, _ in rows:
+        template, score = want[shapes[i]]
+        assert got[i]["template"] == template and got[i]["score"] == pytest.approx(score), rows[i % 1000]
+        assert abs(score - url_tree.REJECT_AT) < 1e-9 or got[i]["verdict"] == ("block" if score >= url_tree.REJECT_AT and shapes[i][0] else "allow")
+    assert {r["verdict"] for r in got.values()} == {"allow", "block"}
+
+
+def test_url_longest_rule_wins_and_equal_urls_agree(spark):
+    df = spark.createDataFrame([(1, "http://a.com/x/1"), (1, "http://a.com/x/1"), (None, "http://a.com/x/2")], "page_id long, url string")
+    got = url_tree.judge(df, [("allow", "com/x"), ("block", "a.com/"), ("block", "com/x")]).collect()
+    assert [(r["rule"], r["verdict"]) for r in got] == [("a.com/", "block")] * 3
 
 
 def test_url_branches_differ_at_any_depth(spark):
