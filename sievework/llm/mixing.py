@@ -11,11 +11,15 @@ those narrow rows.  Water-filling needs three sums a round.  The seeded
 order of a source is cut at one key; the cut is found from sums over
 ``BUCKETS`` hash ranges and from the rows of the one range it falls into,
 so a source that holds a third of all rows is never gathered or sorted.
+Rows that repeat both id and text share a key; where the cut falls among
+them they are written and numbered by file and place, so a source of equal
+rows is cut as finely as any other.
 
 Defined results: a null or empty text has size 0 and takes 0 words; a null
-source is a source of its own, last in the order; rows that repeat both id
-and text share one decision; an empty table gives an empty result.  Input
-columns other than the named ones are ignored and may have any name.
+source is a source of its own, last in the order; of rows that repeat both
+id and text as many are taken as the cut asks for, whichever they are; an
+empty table gives an empty result.  Input columns other than the named ones
+are ignored and may have any name.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sievework.functions.text import count_words
+from sievework.llm.names import column
 from sievework.plans.shared import materialize
 
 #: Hash ranges of a source; the key has 63 bits, its upper 12 name the range.
@@ -105,7 +110,12 @@ def fill_to_targets(totals: DataFrame, max_epochs: float = 3.0, share: float = 1
 
 
 def repetitions(sizes: DataFrame, targets: DataFrame) -> DataFrame:
-    """Per source (source_key, source_size, target, whole, cut): ``whole`` repetitions of every document and one more up to key ``cut``."""
+    """Per source (source_key, source_size, target, whole, cut, some): the plan.
+
+    Every document is taken ``whole`` times, those with a key below ``cut``
+    once more, and of the rows at it ``some`` once more; ``some`` is null if
+    that is all of them.
+    """
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     plan = materialize(
         targets.select(
@@ -120,28 +130,19 @@ def repetitions(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     keyed = sizes.select(_source_key(F.col("source")).alias("source_key"), "size", "key", F.shiftright("key", _SHIFT).alias("bucket"))
     sums = keyed.groupBy("source_key", "bucket").agg(F.sum("size").alias("sum"))
     before = Window.partitionBy("source_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # at most BUCKETS rows a source
-    edge = (
-        sums.withColumn("before", F.coalesce(F.sum("sum").over(before), F.lit(0)))
-        .join(plan.select("source_key", "goal"), "source_key")
-        .where((F.col("goal") > 0) & (F.col("before") <= F.col("goal")) & (F.col("goal") < F.col("before") + F.col("sum")))
-        .select("source_key", "bucket", "before", "goal")
-    )
-    upto = Window.partitionBy("source_key").orderBy("key")
-    inside = (
-        keyed.join(edge, ["source_key", "bucket"])
-        .groupBy("source_key", "bucket", "before", "goal", "key")
-        .agg(F.sum("size").alias("size"))
-        .withColumn("reached", F.col("before") + F.sum("size").over(upto))
-    )
-    off = F.abs(F.col("reached") - F.col("goal"))
-    nearest = inside.groupBy("source_key").agg(
-        F.min(F.struct(off.alias("off"), F.col("key"))).alias("best"),
-        F.min(F.struct((F.col("goal") - F.col("before")).alias("off"), (F.shiftleft(F.col("bucket"), _SHIFT) - 1).alias("key"))).alias("none"),
-    )
-    cut = nearest.select("source_key", F.when(F.col("none.off") <= F.col("best.off"), F.col("none.key")).otherwise(F.col("best.key")).alias("cut"))
-    return materialize(
-        plan.join(cut, "source_key", "left").select("source_key", "source_size", "target", "whole", F.coalesce("cut", F.lit(-1)).alias("cut")), "mix-cuts"
+    crossed = (F.col("before") <= F.col("goal")) & (F.col("goal") < F.col("before") + F.col("sum"))
+    edge = sums.withColumn("before", F.coalesce(F.sum("sum").over(before), F.lit(0))).join(plan.select("source_key", "goal"), "source_key").where((F.col("goal") > 0) & crossed)
+    inner = Window.partitionBy("source_key").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    inside = keyed.join(edge.select("source_key", "bucket", F.col("before").alias("start"), "goal"), ["source_key", "bucket"])
+    inside = inside.groupBy("source_key", "start", "goal", "key").agg(F.sum("size").alias("sum"), F.count("*").alias("rows"))
+    inside = inside.withColumn("before", F.col("start") + F.coalesce(F.sum("sum").over(inner), F.lit(0))).where(crossed)  # a row a source
+    nearest = F.ceil((F.col("goal") - F.col("before")) * F.col("rows") / F.col("sum") - 0.5).cast("long")
+    cut = inside.withColumn("some", nearest).select(
+        "source_key",
+        F.when(F.col("some") >= F.col("rows"), F.col("key") + 1).otherwise(F.col("key")).alias("cut"),
+        F.when((F.col("some") > 0) & (F.col("some") < F.col("rows")), F.col("some")).alias("some"),
     )
+    return materialize(plan.join(cut, "source_key", "left").select("source_key", "source_size", "target", "whole", F.coalesce("cut", F.lit(0)).alias("cut"), "some"), "mix-cuts")
 
 
 def mixing_plan(docs: DataFrame, max_epochs: float = 3.0, seed: int = 17, weights: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -161,28 +162,42 @@ def _by_source(plan: DataFrame) -> DataFrame:
     return F.broadcast(plan) if plan.count() <= BROADCAST_SOURCES else plan
 
 
+def _times(docs: DataFrame, source: Column, key: Column, plan: DataFrame) -> DataFrame:
+    """(row, source_size, target, times) for rows that the mix judges; ``row`` holds the columns of ``docs``.
+
+    Rows at a cut that takes some of them are written, and numbered by their
+    files' rows before them and their place in the file; none is gathered.
+    """
+    row = F.struct(*[column(c).alias(c) for c in docs.columns])
+    joined = docs.select(row.alias("row"), source.alias("source_key"), key.alias("key")).join(_by_source(plan), "source_key")
+    split = F.col("some").isNotNull() & (F.col("key") == F.col("cut"))
+    out = joined.where(~split).select("row", "source_size", "target", (F.col("whole") + (F.col("key") < F.col("cut")).cast("int")).alias("times"))
+    if plan.where("some is not null").isEmpty():
+        return out
+    written = materialize(joined.where(split).select("row", "source_key", "source_size", "target", "whole", "some"), "mix-copies")
+    placed = written.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    files = placed.groupBy("source_key", "file").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("source_key").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # a row a file
+    files = files.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    number = F.col("before") + F.row_number().over(Window.partitionBy("source_key", "file").orderBy("at"))  # the rows of one file
+    numbered = placed.join(files, ["source_key", "file"]).withColumn("number", number)
+    return out.union(numbered.select("row", "source_size", "target", (F.col("whole") + (F.col("number") <= F.col("some")).cast("int")).alias("times")))
+
+
 def mix_report(docs: DataFrame, max_epochs: float = 3.0, seed: int = 17) -> DataFrame:
     """Per document: size, its source's size and target, and the words the mix takes of it, repeats counted."""
     sizes, plan = mixing_plan(docs, max_epochs, seed)
-    joined = sizes.withColumn("source_key", _source_key(F.col("source"))).join(_by_source(plan), "source_key")
-    taken = F.col("size") * (F.col("whole") + F.when(F.col("key") <= F.col("cut"), 1).otherwise(0))
-    return joined.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    judged = _times(sizes, _source_key(F.col("source")), F.col("key"), plan)
+    return judged.select("row.doc_id", "row.size", "source_size", "target", (F.col("row.size") * F.col("times")).cast("long").alias("taken"))
 
 
 def mix(docs: DataFrame, max_epochs: float = 3.0, seed: int = 17, weights: DataFrame | None = None) -> DataFrame:
     """The mixed documents: each row as often as the plan says, in its own columns.
 
-    The text isn't shuffled: a row's key is computed again and held against
-    its source's cut.
+    The text isn't shuffled, but for rows that a cut falls among: a row's key
+    is computed again and held against its source's cut.
     """
     _, plan = mixing_plan(docs, max_epochs, seed, weights)
-    rule = _by_source(plan.select(F.col("source_key").alias("__source_key"), F.col("whole").alias("__whole"), F.col("cut").alias("__cut")))
-    times = F.col("__whole") + F.when(_key(F.col("doc_id"), F.col("text"), seed) <= F.col("__cut"), 1).otherwise(0)
-    return (
-        docs.withColumn("__source_key", _source_key(F.col("source")))
-        .join(rule, "__source_key")
-        .withColumn("__times", times)
-        .where(F.col("__times") > 0)
-        .withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("__times"))))
-        .select(*[docs[c] for c in docs.columns])
-    )
+    judged = _times(docs, _source_key(F.col("source")), _key(F.col("doc_id"), F.col("text"), seed), plan)
+    turns = judged.where("times > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("turn"))
+    return turns.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.pii_spans import KINDS, base_spans
-from sievework.llm.workers import map_batches, slices
+from sievework.llm.workers import map_batches, map_rows, slices
 
 ADDED = ("secret", "name", "account")
 TAGS = ("O", *(f"{p}-{k}" for k in ADDED for p in "BI"))
@@ -413,19 +413,25 @@ def find(docs: DataFrame, field: Field, id_col="doc_id", text_col="text") -> Dat
 
 
 def redact(docs: DataFrame, field: Field, text_col="text", size_col: str | None = "n_chars") -> DataFrame:
-    """The documents with their personal data replaced by kinds; ``size_col``, if there is one, follows the new text."""
-    names = docs.columns
+    """The documents with their personal data replaced by kinds; ``size_col``, if there is one, follows the new text.
+
+    Null texts stay null and empty ones empty; rows are independent, so
+    repeated rows are masked alike; other columns stay as they are, whatever
+    their names; an empty table gives an empty one.
+    """
+    at = docs.columns.index(text_col)
+    size_at = docs.columns.index(size_col) if size_col in docs.columns else None
 
     def run(batches):
         tagger = Tagger(field)
         for part in slices(batches, 512):
-            texts = part.column(text_col).to_pylist()
+            texts = part.column(at).to_pylist()
             new = [t if not spans else redact_text(t, spans) for t, (_, spans) in zip(texts, all_spans(tagger, texts), strict=True)]
-            columns = {n: part.column(n) for n in names}
-            columns[text_col] = pa.array(new, part.schema.field(text_col).type)
-            if size_col in columns:
-                sizes = [s if a is b else len(b) for s, a, b in zip(part.column(size_col).to_pylist(), texts, new, strict=True)]
-                columns[size_col] = pa.array(sizes, part.schema.field(size_col).type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names)
-
-    return map_batches(docs, run, docs.schema)
+            columns = list(part.columns)
+            columns[at] = pa.array(new, part.schema.field(at).type)
+            if size_at is not None:
+                sizes = [s if a is b else len(b) for s, a, b in zip(part.column(size_at).to_pylist(), texts, new, strict=True)]
+                columns[size_at] = pa.array(sizes, part.schema.field(size_at).type)
+            yield pa.RecordBatch.from_arrays(columns, part.schema.names)
+
+    return map_rows(docs, run)

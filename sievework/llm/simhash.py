@@ -42,6 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.graph import connected_components
+from sievework.llm.names import column, fresh
 from sievework.llm.workers import map_batches, slices
 from sievework.plans.shared import materialize
 
@@ -177,7 +178,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     first = rows.groupBy("root").agg(F.min("place").alias("first"))
     told = materialize(rows.join(first, "root").select("place.*", "rows", (F.col("place") == F.col("first")).alias("head")), "simhash-ids")
     counts = told.agg(F.count(F.when(~F.col("head"), True)).alias("drop"), F.max(F.when(F.col("head"), F.col("rows"))).alias("rows")).first()
-    drop = told.where(~F.col("head")).select(F.col("doc_id").alias("__drop"), F.col("key").alias("__key"))
-    same = docs[id_col].cast("long").eqNullSafe(F.col("__drop")) & (F.xxhash64(docs[text_col].cast("string")) == F.col("__key"))
+    gone, key = fresh(docs, "gone_id", "gone_key")
+    drop = told.where(~F.col("head")).select(F.col("doc_id").alias(gone), F.col("key").alias(key))
+    same = column(id_col).cast("long").eqNullSafe(F.col(gone)) & (F.xxhash64(column(text_col).cast("string")) == F.col(key))
     kept = docs.join(F.broadcast(drop) if counts["drop"] <= BROADCAST_IDS else drop, same, "left_anti")
-    return kept.dropDuplicates([id_col, text_col]) if (counts["rows"] or 0) > 1 else kept
+    return kept.dropDuplicates([id_col, text_col]) if (counts["rows"] or 0) > 1 else kept  # rows alike

@@ -7,6 +7,7 @@ import functools
 import gc
 
 import pyarrow as pa
+from pyspark.sql.types import StructField, StructType
 
 
 def release() -> None:
@@ -47,3 +48,10 @@ def map_batches(df, run, schema):
     if not 0 < int(conf.get(key)) <= BATCH_ROWS:
         conf.set(key, str(BATCH_ROWS))
     return df.mapInArrow(tidy(run), schema)
+
+
+def map_rows(df, run):
+    """Whole rows through ``run`` in their own columns, which have places for names there: a name may hold any character."""
+    plain = [f"c{i}" for i in range(len(df.columns))]
+    fields = [StructField(n, f.dataType, f.nullable) for n, f in zip(plain, df.schema, strict=True)]
+    return map_batches(df.toDF(*plain), run, StructType(fields)).toDF(*df.columns)
