@@ -184,6 +184,33 @@ def test_mixing_targets_and_words_taken(spark):
     assert {r["source"] for r in mixing.mix(df, weights=weights).select("source").distinct().collect()} == {"b", None}
 
 
+def test_mixing_cuts_among_equal_rows(spark, monkeypatch):
+    rows = [(1, "four words in it", "en", "same", 0)] * 100 + [(i, "a b c d e", "en", "other", 0) for i in range(100, 200)]
+    df = spark.createDataFrame(rows, DOCS).repartition(7)
+    want = fill({"other": 500, "same": 400}, {"other": 1, "same": 2})
+    report = mixing.mix_report(df)
+    taken = {r["doc_id"] == 1: r["t"] for r in report.groupBy((F.col("doc_id") == 1).alias("doc_id")).agg(F.sum("taken").alias("t")).collect()}
+    assert abs(taken[True] - want["same"]) <= 2 and abs(taken[False] - want["other"]) <= 2.5 and report.count() == 200
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, mixing.mix_report(df.repartition(3)).collect()))
+    assert 4 * mixing.mix(df).where("doc_id = 1").count() == taken[True] and mixing.mix(df).where("text like 'a b%'").count() * 5 == taken[False]
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, mixing.mix_report(df).collect()))
+
+
+CLASHING = ("__cut", "__whole", "__source_key", "__times", "times", "cut", "some", "row", "source_key", "file", "_metadata", "a.b", "a`b", "__drop", "__key", "gone_id", "GONE_KEY", "__text", "__score", "turn")
+
+
+def test_columns_may_have_any_name(spark):
+    texts = ["one text of five words", "one text of five words", "another text that differs here", None, "x y z"] * 2
+    df = docs(spark, texts)
+    for i, name in enumerate(CLASHING):
+        df = df.withColumns({name: F.lit(f"v{i}")})
+    for got in (mixing.mix(df), simhash.keep_one(df), pii.redact(df, pii.train()), toxicity.keep_clean(df, toxicity.fit([]))):
+        assert got.columns == df.columns
+        rows = got.collect()
+        assert rows and all(r[len(df.columns) - len(CLASHING) + i] == f"v{i}" for r in rows for i in range(len(CLASHING)))
+
+
 # simhash
 
 
@@ -570,6 +597,69 @@ def test_toxicity(spark):
     assert toxicity.score(empty(spark), model).count() == 0
 
 
+def plain_score(model, text):
+    """The network on one text, place by place."""
+    words = toxicity.words_of(text)
+    vectors = [model.table[list(toxicity.features(w))].mean(axis=0) for w in words] or [np.zeros(toxicity.DIM)]
+    pooled = []
+    for f, b in zip(model.filters, model.bias, strict=True):
+        places = [sum(vectors[p + i] @ f[i] for i in range(len(f)) if p + i < len(vectors)) for p in range(len(vectors))]
+        pooled.append(np.maximum(np.max(places, axis=0) + b, 0))
+    return 1 / (1 + np.exp(-(np.concatenate(pooled) @ model.out + model.base)))
+
+
+def test_toxicity_network_equals_plain_scoring_and_its_gradient_is_right():
+    rng = random.Random(41)
+    model = toxicity.Model()
+    model.base = -0.2
+    texts = [prose(rng, n) for n in (1, 2, 3, 40, 200_000)] + [prose(rng, 7) + " É x_1"]
+    got = toxicity.Scorer(model).score(texts)
+    assert got == pytest.approx([plain_score(model, t) for t in texts], abs=1e-4)
+    model.table, model.out = model.table.astype("f8"), model.out.astype("f8")
+    model.filters, model.bias = [f.astype("f8") for f in model.filters], [b.astype("f8") for b in model.bias]
+    few, labels = [prose(rng, n) for n in (2, 5, 9)], np.array([1.0, 0.0, 1.0])
+    numbers = {}
+    ids = [np.array([numbers.setdefault(w, len(numbers) + 1) for w in toxicity.words_of(t)]) for t in few]
+    known = np.array([(0, 0, 0, 0)] + [toxicity.features(w) for w in numbers])
+    grads, to_base, rows, to_rows = toxicity.gradients(model, known, ids, labels)
+
+    def loss():
+        p = np.array([plain_score(model, t) for t in few])
+        return -np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p))
+
+    def numeric(array, at, step=1e-5):
+        array[at] += step
+        up = loss()
+        array[at] -= 2 * step
+        down = loss()
+        array[at] += step
+        return (up - down) / (2 * step)
+
+    weights = [*model.filters, *model.bias, model.out]
+    for w, g in zip(weights, grads, strict=True):
+        for _ in range(6):
+            at = tuple(rng.randrange(n) for n in w.shape)
+            assert g[at] == pytest.approx(numeric(w, at), abs=1e-5)
+    for _ in range(20):
+        i, d = rng.randrange(len(rows)), rng.randrange(toxicity.DIM)
+        assert to_rows[i, d] == pytest.approx(numeric(model.table, (rows[i], d)), abs=1e-5)
+    before = model.base
+    model.base = before + 1e-5
+    up = loss()
+    model.base = before - 1e-5
+    assert to_base == pytest.approx((up - loss()) / 2e-5, abs=1e-5)
+
+
+def test_toxicity_thresholds_of_rare_languages_borrow():
+    rng = random.Random(42)
+    rows = [(int(i % 3 == 0), prose(rng, 20) + (" grobian" if i % 3 == 0 else ""), "de" if i % 40 == 0 else "en") for i in range(600)]
+    model = toxicity.fit(rows)
+    assert set(model.thresholds) <= {"en", "de"} and "en" in model.thresholds
+    assert all(0.3 <= t <= 0.9 for t in [model.threshold, *model.thresholds.values()])
+    if "de" in model.thresholds:
+        assert abs(model.thresholds["de"] - model.threshold) <= 0.3
+
+
 def test_ordinal_quality(spark):
     rng = random.Random(11)
     make = (lambda: " ".join(w + "###" for w in prose(rng, 60).split()), lambda: prose(rng, 40).upper() + " " + prose(rng, 20), lambda: prose(rng, 60))
