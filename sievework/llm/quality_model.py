@@ -5,17 +5,22 @@ a line; ordered thresholds cut the line into grades: P(grade <= k) =
 sigmoid(threshold_k - place).  From these come the expected grade and the
 tail probability P(grade >= k) that selection uses.
 
-Features are means over the words of a text: the word, its shape (runs of
-lower, upper, digit and other characters), its last character if that's no
-letter, and whether it repeats the word before.  As the place is linear in
-them, a word's share is one number, kept in a bounded table.
+Features.  A word's shape (runs of lower, upper, digit and other
+characters), its last character if that's no letter, and whether it repeats
+the word before count as shares of the words, times ``SHARES``: junk is a
+matter of degree.  The word itself and its first three, four and five letters
+count once if the text has them at all: one word of hundreds can tell a
+grade, and a mean would dilute it.  Of these, only features are used whose
+presence differs between a grade and the others by ``TELLING`` standard
+errors in the sample; the rest have weight zero, so long texts don't add up
+noise.  A word's share and its telling features are kept in bounded tables.
 
 Ratings of the query: 0 for quality 0, 1 for quality 1 with toxic 1, 2 for
 quality 1 with toxic 0.  A document is kept if P(grade >= 1) >= 0.5.
 
 The model is fitted on the driver on a bounded sample of rated rows outside
-the held-out fold (``PER_GRADE``, ``MAX_CHARS``), weighted back to the
-shares of the grades among all rated rows.
+the held-out fold (``PER_GRADE``, ``MAX_CHARS``); grades weigh as the power
+``EVEN`` of their share among all rated rows, so that a rare grade is heard.
 
 Defined results: null and empty texts have place zero on the line before
 the thresholds; without ratings of two grades at least every document has
@@ -27,8 +32,10 @@ named columns are read.
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -41,77 +48,128 @@ from sievework.llm.workers import map_batches, slices
 #: Rated documents the model is fitted on, by grade, and their characters in all.
 PER_GRADE, MAX_CHARS = 1500, 16_000_000
 SIZE = 1 << 15
-ROUNDS, RATE, SHRINK = 120, 0.15, 1e-5
+ROUNDS, RATE, SHRINK = 120, 0.15, 1e-3
 #: Words whose share a worker keeps.
 REMEMBERED = 300_000
+#: Weight of shares against presences, standard errors of a telling feature, and the power of a grade's share.
+SHARES, TELLING, EVEN = 20.0, 8.0, 0.25
 _RUNS = ((re.compile(r"[^\W\d_A-ZÀ-ÖØ-Þ]+"), "a"), (re.compile(r"[A-ZÀ-ÖØ-Þ]+"), "A"), (re.compile(r"\d+"), "9"))
+_STRIP = "\"'`.,;:!?()[]{}<>#$%&*|"
 
 
 def shape_of(word: str) -> str:
     """Runs of lower, upper, digit and other characters, each as one letter; others as they are, each run once."""
+    if word.isalpha() and word.islower():
+        return "a"
     for pattern, letter in _RUNS:
         word = pattern.sub(letter, word)
-    return re.sub(r"(.)\1+", r"\1", word)[:12]
+    return re.sub(r"(.)\1+", r"\1", word)
 
 
-def features(word: str) -> tuple[int, ...]:
-    """Hashed features of one word."""
-    h = lambda s: zlib.crc32(s.encode("utf-8", "surrogatepass")) % (SIZE - 1) + 1
+def _hash(text: str) -> int:
+    return zlib.crc32(text.encode("utf-8", "surrogatepass")) % (SIZE - 1) + 1
+
+
+_PLAIN_END = _hash("l")
+
+
+@functools.lru_cache(maxsize=10_000)
+def _hash_shape(shape: str) -> int:
+    return _hash("s" + shape)
+
+
+def degrees(word: str) -> tuple[int, int]:
+    """Hashed features of one word that count as shares."""
     last = word[-1]
-    return (h("w" + word.lower()), h("s" + shape_of(word)), h("l" + last) if not last.isalnum() else h("l"))
+    if last.isalnum():
+        return _hash_shape(shape_of(word)), _PLAIN_END
+    body = word[:-1]
+    shape = "a" + last if body.isalpha() and body.islower() else shape_of(word)
+    return _hash_shape(shape), _hash("l" + last)
+
+
+def signs(word: str) -> set[int]:
+    """Hashed features of one word that count once in a text."""
+    bare = word.lower().strip(_STRIP)
+    return {_hash("w" + bare), *(_hash(f"{n}{bare[:n]}") for n in (3, 4, 5))} if bare else set()
 
 
 #: The feature of a word that repeats the one before.
 AGAIN = 0
 
 
+def text_features(text: str | None) -> tuple[dict[int, float], set[int]]:
+    """(shares by feature, features that are there) of a whole text."""
+    words = (text or "").split()
+    shares = Counter({AGAIN: sum(map(str.__eq__, words, words[1:]))})
+    found: set[int] = set()
+    for word, n in Counter(words).items():
+        for f in degrees(word):
+            shares[f] += n
+        found |= signs(word)
+    return {f: SHARES * n / max(1, len(words)) for f, n in shares.items()}, found
+
+
+def telling(found: list[set[int]], grade: np.ndarray, grades: int) -> np.ndarray:
+    """Which features are present at rates that differ between a grade and the others by ``TELLING`` standard errors."""
+    present, size = np.zeros((grades, SIZE)), np.bincount(grade, minlength=grades)
+    for f, g in zip(found, grade, strict=True):
+        present[g, list(f)] += 1
+    out = np.zeros(SIZE, bool)
+    for g in range(grades):
+        here, there, n, m = present[g], present.sum(0) - present[g], size[g], size.sum() - size[g]
+        pooled = (here + there) / (n + m)
+        out |= np.abs(here / n - there / m) >= TELLING * np.sqrt(np.maximum(pooled * (1 - pooled), 1e-9) * (1 / n + 1 / m))
+    return out
+
+
 class Model:
     """Weights and ordered thresholds."""
 
-    def __init__(self, weights: np.ndarray, thresholds: np.ndarray, only: int | None = None):
+    def __init__(self, weights: np.ndarray, thresholds: np.ndarray, only: int | None = None, used: np.ndarray | None = None):
         self.weights, self.thresholds, self.only = weights, thresholds, only
+        self.used = np.zeros(len(weights), bool) if used is None else used
 
     def tails(self, place: np.ndarray) -> np.ndarray:
         """P(grade >= 1), P(grade >= 2), ... of places on the line."""
         return 1 / (1 + np.exp(-np.clip(place[:, None] - self.thresholds[None, :], -40, 40)))
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+
+
+def loss_and_gradients(place: np.ndarray, cuts: np.ndarray, grade: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """The weighted negative log-likelihood of grades at places on the line, and its gradients by place and by cut."""
+    n, i = len(place), np.arange(len(place))
+    below = np.concatenate([np.zeros((n, 1)), _sigmoid(cuts[None, :] - place[:, None]), np.ones((n, 1))], axis=1)
+    steep = below * (1 - below)
+    p = np.maximum(below[i, grade + 1] - below[i, grade], 1e-12)
+    upper, lower = steep[i, grade + 1] / p, steep[i, grade] / p  # d log p / d cut above, and minus that of the cut below
+    to_cuts = np.bincount(grade + 1, -weight * upper, minlength=len(cuts) + 2) + np.bincount(grade, weight * lower, minlength=len(cuts) + 2)
+    return float(-(weight * np.log(p)).sum()), weight * (upper - lower), to_cuts[1:-1]
+
+
 def fit(rows: list[tuple[int, str]], share: dict[int, float] | None = None) -> Model:
     """Fit rows (grade, text); ``share`` is the grades' share among all rated rows."""
     grades = sorted({r[0] for r in rows})
     if len(grades) < 2:
         return Model(np.zeros(SIZE), np.zeros(0), grades[0] if grades else None)
-    known: dict[str, tuple[int, ...]] = {}
-    columns, values, offsets = [], [], [0]
-    for _, text in rows:
-        words = (text or "").split()
-        found = [f for w in words for f in (known.get(w) or known.setdefault(w, features(w)))]
-        found += [AGAIN] * sum(a == b for a, b in zip(words, words[1:], strict=False))
-        at, n = np.unique(np.array(found, np.int64), return_counts=True)
-        columns.append(at)
-        values.append(n / max(1, len(words)))
-        offsets.append(offsets[-1] + len(at))
-    column, value, row = np.concatenate(columns), np.concatenate(values), np.repeat(np.arange(len(rows)), np.diff(offsets))
     grade = np.searchsorted(grades, [r[0] for r in rows])
-    weight = np.array([(share or {}).get(g, 1.0) / (grade == i).sum() for i, g in enumerate(grades)])[grade]
+    made = [text_features(text) for _, text in rows]
+    used = telling([f for _, f in made], grade, len(grades))
+    merged = [Counter(shares) + Counter({f: 1.0 for f in found if used[f]}) for shares, found in made]
+    column, value = np.array([f for m in merged for f in m], np.int64), np.array([v for m in merged for v in m.values()])
+    row = np.repeat(np.arange(len(rows)), [len(m) for m in merged])
+    weight = np.array([(share or {}).get(g, 1.0) ** EVEN / (grade == i).sum() for i, g in enumerate(grades)])[grade]
     weight = weight / weight.sum()
     weights, cuts = np.zeros(SIZE), np.linspace(-1, 1, len(grades) - 1) if len(grades) > 2 else np.zeros(1)
     first, gaps = cuts[0], np.log(np.maximum(np.diff(cuts), 1e-3))  # cuts = first + sums of exp(gaps): ordered by construction
     moments = [[np.zeros(SIZE), np.zeros(SIZE)], [np.zeros(len(cuts)), np.zeros(len(cuts))]]
-    sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -40, 40)))
     for step in range(1, ROUNDS + 1):
         cuts = first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
         place = np.bincount(row, weights[column] * value, minlength=len(rows))
-        below = np.concatenate([np.zeros((len(rows), 1)), sigmoid(cuts[None, :] - place[:, None]), np.ones((len(rows), 1))], axis=1)
-        steep = below * (1 - below)
-        i = np.arange(len(rows))
-        p = np.maximum(below[i, grade + 1] - below[i, grade], 1e-12)
-        upper, lower = steep[i, grade + 1] / p, steep[i, grade] / p  # d log p / d cut above, and minus that of the cut below
-        to_place = weight * (upper - lower)  # gradient of the loss by place
-        to_cuts = np.zeros(len(grades) + 1)
-        np.add.at(to_cuts, grade + 1, -weight * upper)
-        np.add.at(to_cuts, grade, weight * lower)
-        to_cuts = to_cuts[1:-1]
+        _, to_place, to_cuts = loss_and_gradients(place, cuts, grade, weight)
         inner = np.concatenate([[to_cuts.sum()], [to_cuts[k + 1 :].sum() * np.exp(gaps[k]) for k in range(len(gaps))]])
         outer = np.bincount(column, to_place[row] * value, minlength=SIZE) + SHRINK * weights
         rate = RATE * (1 - step / (ROUNDS + 1))
@@ -123,31 +181,40 @@ def fit(rows: list[tuple[int, str]], share: dict[int, float] | None = None) -> M
         weights -= out[0]
         first -= out[1][0]
         gaps -= out[1][1:]
-    return Model(weights, first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))]))
+    return Model(weights, first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))]), used=used)
 
 
 class Placer:
     """Places whole texts on the line."""
 
     def __init__(self, model: Model):
-        self.weights, self.share = model.weights, {}
+        self.weights = model.weights
+        self.used = {int(f): float(model.weights[f]) for f in np.flatnonzero(model.used)}
+        self.share: dict[str, float] = {}
+        self.tells: dict[str, tuple[int, ...]] = {}
+
+    def _learn(self, words: set[str]) -> None:
+        if len(self.share) > REMEMBERED:
+            self.share, self.tells = {}, {}
+        weights, used = self.weights, self.used
+        for w in words:
+            if w not in self.share:
+                a, b = degrees(w)
+                self.share[w] = float(weights[a] + weights[b])
+                if found := [f for f in signs(w) if f in used]:
+                    self.tells[w] = tuple(found)
 
     def place(self, text: str | None) -> float:
         words = (text or "").split()
         if not words:
             return 0.0
-        if len(self.share) > REMEMBERED:
-            self.share = {}
-        share, weights = self.share, self.weights
-        try:
-            total = sum([share[w] for w in words])
-        except KeyError:
-            for w in set(words):
-                if w not in share:
-                    share[w] = float(sum(weights[f] for f in features(w)))
-            total = sum([share[w] for w in words])
-        again = sum(map(str.__eq__, words, words[1:]))
-        return (total + float(weights[AGAIN]) * again) / len(words)
+        different = set(words)
+        if not different <= self.share.keys():
+            self._learn(different)
+        share, tells = self.share, self.tells
+        total = sum([share[w] for w in words]) + float(self.weights[AGAIN]) * sum(map(str.__eq__, words, words[1:]))
+        there = {f for w in different if w in tells for f in tells[w]}
+        return SHARES * total / len(words) + sum([self.used[f] for f in sorted(there)])
 
 
 def grade_column():

@@ -675,3 +675,31 @@ def test_ordinal_quality(spark):
     assert all(r["p_usable"] >= r["p_best"] and r["expected_grade"] == pytest.approx(r["p_usable"] + r["p_best"]) for r in got.values())
     bare = quality_model.train(df, labels.limit(0))
     assert all(r["kept"] for r in quality_model.rate(df, bare).collect()) and quality_model.rate(empty(spark), bare).count() == 0
+
+
+def test_ordinal_gradients_and_places_equal_plain_ones(monkeypatch):
+    rng = np.random.default_rng(43)
+    place, cuts, grade, weight = rng.normal(size=12), np.array([-0.7, 0.4, 1.5]), rng.integers(0, 4, 12), rng.random(12)
+    _, to_place, to_cuts = quality_model.loss_and_gradients(place, cuts, grade, weight)
+
+    def plain(place, cuts):
+        edges = [-np.inf, *cuts, np.inf]
+        p = lambda x, c: 1 / (1 + math.exp(-(c - x))) if abs(c) < np.inf else float(c > 0)
+        return -sum(w * math.log(p(x, edges[g + 1]) - p(x, edges[g])) for x, g, w in zip(place, grade, weight, strict=True))
+
+    for array, got in ((place, to_place), (cuts, to_cuts)):
+        for i in range(len(array)):
+            up, down = array.copy(), array.copy()
+            up[i], down[i] = up[i] + 1e-6, down[i] - 1e-6
+            each = [plain(x, cuts) if array is place else plain(place, x) for x in (up, down)]
+            assert got[i] == pytest.approx((each[0] - each[1]) / 2e-6, abs=1e-6)
+    words = random.Random(44)
+    rows = [(i % 3, ("JUNK## " * 5 if i % 3 == 0 else "") + prose(words, 30) + (" grobian." if i % 3 == 1 else "")) for i in range(300)]
+    model = quality_model.fit(rows)
+    assert model.used.any() and list(model.thresholds) == sorted(model.thresholds)
+    monkeypatch.setattr(quality_model, "REMEMBERED", 20)
+    placer = quality_model.Placer(model)
+    for text in [None, "", " ", "x", "\u0301", "grobian GROBIAN grobian,", prose(words, 100_000), "a" * 200_000, *[t for _, t in rows[:50]]]:
+        shares, found = quality_model.text_features(text)
+        want = sum(model.weights[f] * v for f, v in shares.items()) + sum(model.weights[f] for f in found if model.used[f])
+        assert placer.place(text) == pytest.approx(want if (text or "").split() else 0.0)
