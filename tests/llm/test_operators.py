@@ -559,15 +559,34 @@ def test_field_learned_its_table_and_viterbi_is_best():
     found = tagger.viterbi([w for w, _ in rows])
     right = sum((["O"] * len(t) if f is None else [pii.TAGS[i] for i in f]) == t for f, (_, t) in zip(found, rows, strict=True))
     assert right >= 0.9 * len(rows)
+
+
+def test_viterbi_equals_trying_all_taggings():
     from itertools import product
 
-    words = "token = \"aabbccddeeff00112233\"".split()
-    local = np.zeros((3, len(pii.TAGS)))
-    forms = [field.scores(pii.form_of(w, field.vocabulary)) for w in words]
-    for t in range(3):
-        local[t] = forms[t][1] + (forms[t - 1][0] if t else 0) + (forms[t + 1][2] if t < 2 else 0)
-    score = lambda p: field.start[p[0]] + sum(local[t][p[t]] for t in range(3)) + sum(field.moves[a, b] for a, b in zip(p, p[1:], strict=False))
-    assert max(product(range(len(pii.TAGS)), repeat=3), key=score) == tuple(tagger.viterbi([words])[0])
+    field, rng = pii.train(), random.Random(51)
+    tagger, n = pii.Tagger(field), len(pii.TAGS)
+    pool = sorted({w for words, _ in pii.parse_table() for w in words}) + ["=", "...", "é", "A1b2C3d4E5f6G7h8", "a" * 5000]
+    texts = [[rng.choice(pool) for _ in range(rng.randint(1, 4))] for _ in range(60)] + ['token = "aabbccddeeff00112233"'.split()]
+    found = tagger.viterbi(texts)
+    for words, tags in zip(texts, found, strict=True):
+        forms = [field.scores(pii.form_of(w, field.vocabulary)).astype(np.float32) for w in words]
+        none = np.zeros((3, n), np.float32)
+        local = [f[1] + (forms[t - 1][0] if t else none[0]) + (forms[t + 1][2] if t + 1 < len(words) else none[2]) for t, f in enumerate(forms)]
+        score = lambda p: field.start[p[0]] + sum(local[t][p[t]] for t in range(len(p))) + sum(field.moves[a, b] for a, b in zip(p, p[1:], strict=False))  # noqa: B023, E731
+        got = tuple([0] * len(words) if tags is None else tags)
+        assert score(got) == pytest.approx(max(map(score, product(range(n), repeat=len(words)))), abs=1e-4)
+
+
+def test_pii_of_long_and_repeated_texts(spark):
+    rng = random.Random(52)
+    secret = 'token = "aabbccddee00112233445566778899aabbccddee"'
+    long = prose(rng, 60_000) + f" {secret} " + prose(rng, 60_000)
+    texts = [long, long, f"{secret} x", f"{secret} x", "word " * 3]
+    got = {r["doc_id"]: r for r in pii.find(docs(spark, texts), pii.train()).collect()}
+    at = long.index("aabbccddee00")
+    assert f"secret:{at}:{at + 40}" in got[0]["spans"] and got[0]["spans"] == got[1]["spans"] and got[2]["spans"] == got[3]["spans"] and got[0]["n_secret"] == 1
+    assert got[4]["spans"] == "" and got[4]["n_secret"] + got[4]["n_name"] + got[4]["n_account"] == 0
 
 
 # classifiers
