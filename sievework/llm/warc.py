@@ -42,6 +42,8 @@ from sievework.plans.shared import materialize, new_path, remove
 
 #: Raw bytes after which the writer starts a new archive.
 ROLL_BYTES = 256 << 20
+#: Partitions that archives are dealt to at most; a partition takes its archives one by one, so none holds more than one in memory.
+PARTITIONS = 20_000
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
@@ -137,20 +139,21 @@ def choose_revisits(written: DataFrame, min_bytes: int = 0) -> DataFrame:
     return written.join(heads.select("digest", "head"), "digest", "left").select("file", "ordinal", F.when(other, F.col("head")).alias("refers_to"))
 
 
-def normalise(folder: str, roles: DataFrame, files: int, level: int = 3) -> DataFrame:
-    """Rewrite archives (rows file, ordinal, refers_to in ``roles``) with a member a record; a row (file, records) an archive.
+def normalise(source: str, folder: str, roles: DataFrame, files: int, level: int = 3) -> DataFrame:
+    """Rewrite archives of ``source`` (rows file, ordinal, refers_to in ``roles``) into ``folder`` with a member a record; a row (file, records) an archive.
 
     ``files`` is their number.  The new archive and its index are written
     under new names, the one reported last; the old archive is left.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        fs, root = _fs(folder)
+        (fs, old), (_, root) = _fs(source), _fs(folder)
+        fs.create_dir(root)
         name = table.column("file")[0].as_py()
         refers = dict(zip(table.column("ordinal").to_pylist(), table.column("refers_to").to_pylist(), strict=True))
         new = f"{uuid.uuid4().hex}.warc.gz"
         offset, lines = 0, []
-        with fs.open_input_stream(posixpath.join(root, name), compression=None) as packed, fs.open_output_stream(posixpath.join(root, new), compression=None) as out:
+        with fs.open_input_stream(posixpath.join(old, name), compression=None) as packed, fs.open_output_stream(posixpath.join(root, new), compression=None) as out:
             for ordinal, (fields, block) in enumerate(read_records(gzip.GzipFile(fileobj=packed))):
                 target = refers.get(ordinal)
                 payload = block.partition(b"\r\n\r\n")[2]
@@ -167,7 +170,7 @@ def normalise(folder: str, roles: DataFrame, files: int, level: int = 3) -> Data
             index.write("".join(lines).encode())
         return pa.table({"file": [new], "records": pa.array([len(lines)], pa.int64())})
 
-    dealt = roles.repartition(max(1, 2 * files), "file")
+    dealt = roles.repartition(max(1, min(files, PARTITIONS)), "file")
     return materialize(dealt.groupBy("file").applyInArrow(run, "file string, records long"), "warc-archives")
 
 
@@ -197,19 +200,18 @@ def read_archives(folder: str, archives: DataFrame, files: int) -> DataFrame:
                         types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
-    return archives.select("file").repartition(max(1, files)).mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return archives.select("file").repartition(max(1, min(files, PARTITIONS))).mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def archive_pages(pages: DataFrame, folder: str | None = None, min_bytes: int = 0, id_col="page_id", url_col="url", payload_col="html") -> tuple[str, DataFrame, int]:
     """Write pages as normalised archives; (folder, archives, number of archives)."""
-    folder = folder or new_path(pages.sparkSession, "warc")
-    written = write_monolithic(pages, folder, id_col, url_col, payload_col)
-    sources = written.select("file").distinct()
-    files = sources.count()
-    archives = normalise(folder, choose_revisits(written, min_bytes), files)
-    fs, root = _fs(folder)
-    for row in sources.toLocalIterator():  # the whole-file streams aren't needed any more
-        fs.delete_file(posixpath.join(root, row["file"]))
+    spark = pages.sparkSession
+    folder = (folder or new_path(spark, "warc")).rstrip("/")
+    whole = f"{folder}/whole-file"
+    written = write_monolithic(pages, whole, id_col, url_col, payload_col)
+    files = written.select("file").distinct().count()
+    archives = normalise(whole, folder, choose_revisits(written, min_bytes), files)
+    remove(spark, whole)  # the whole-file streams aren't needed any more
     return folder, archives, files
 
 
