@@ -44,6 +44,8 @@ _END = "\t"
 REMEMBERED = 250_000
 #: The same for tasks that return ids, which share their worker's memory with other stages.
 REMEMBERED_IDS = 80_000
+#: Longest chunk that is remembered, so that the table is bounded in bytes too; longer ones are encoded each time.
+LONGEST = 64
 _CONTROL = re.compile("[\x1c-\x1f]")
 #: Unicode white space; str.split() also splits at \x1c-\x1f, which the file's rule doesn't drop.
 _WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
@@ -229,7 +231,8 @@ class WordBpe:
             if self.written:
                 decimal, names = self._decimal, self.names
                 known = (" ".join([decimal[i] for i in known]), " ".join([names[i] for i in known]))
-            self._chunks.put(chunk, known)
+            if len(chunk) <= LONGEST:
+                self._chunks.put(chunk, known)
         return known
 
     def chunks(self, text: str | None) -> list[tuple]:
@@ -292,7 +295,11 @@ def encode_digests(docs: DataFrame, path: str | None = None, id_col: str = "doc_
 
 
 def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids): the token ids of every document."""
+    """(doc_id, n_tokens, ids): the token ids of every document.
+
+    Null and empty texts have no ids; a null id is carried through; repeated
+    rows are encoded alike; an empty table gives an empty result.
+    """
     path = path or default_path()
 
     def run(batches):
