@@ -8,18 +8,21 @@ Search.  A fingerprint is cut into 32 segments of two bits and mapped to
 its popcounts, a point of {0,1,2}^32.  One bit changes one count by one, so
 the Manhattan distance of two points never exceeds the Hamming distance.
 The counts are kept in unary (a set count fills a segment from below), which
-makes that distance one xor and one bit count.  The 32 axes form five
-groups; points at distance two or less agree on three groups at least, so
-each point is put into the ten grid cells named by three of the groups and
-met only with the points of its cells.  Pairs pass the Manhattan bound
-first and are then verified on the bits.
-
-Crowded cells.  All pairs of a cell of ``CROWDED`` or more different
-fingerprints would grow with the square of its size.  Their fingerprints
-are linked through midpoints instead: each names itself and its 64
-neighbours at one bit; two that differ in at most two bits share such a
-midpoint, and two that share one differ in at most two.  A midpoint has at
-most 65 fingerprints, so this way is exact and linear.
+makes that distance one xor and one bit count.  The 32 axes form g groups;
+points at distance two or less agree on g - 2 groups at least, so each point
+is put into the grid cells named by g - 2 of the groups and met only with the
+points of its cells.  Pairs pass the Manhattan bound first and are then
+verified on the bits.  More groups make finer cells and more of them: g is
+the least number, from five, by which ``FILL`` random points or fewer share
+a point's cell (see ``grid``), so cells stay as small at any number of
+documents, and work grows with that number.
+
+Crowded cells.  Near copies share cells however fine the grid, and all pairs
+of a cell grow with the square of its size.  Fingerprints of cells with
+``CROWDED`` or more are linked exactly through midpoints: each names itself
+and its 64 neighbours at one bit; two that differ in at most two bits share
+such a midpoint, and two that share one differ in at most two.  A midpoint
+has at most 65 fingerprints, so this way is exact and linear.
 
 Equal fingerprints are one node, so exact copies cost one row each and no
 pair.  Components come from ``graph.connected_components``.
@@ -53,8 +56,8 @@ RADIUS = 2
 CROWDED = 128
 #: Ids and hashes to drop (eight bytes each) up to which they are broadcast.
 BROADCAST_IDS = 1_000_000
-#: Groups of two-bit segments: first segment and number of segments.
-GROUPS = ((0, 6), (6, 6), (12, 6), (18, 7), (25, 7))
+#: Two-bit segments of a fingerprint, and random points that may share a point's cell on average.
+SEGMENTS, FILL = 32, 16.0
 _LOW = 0x5555555555555555
 
 
@@ -110,18 +113,31 @@ def manhattan(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def _masks() -> list[int]:
-    masks = [((1 << (2 * n)) - 1) << (2 * at) for at, n in GROUPS]
-    signed = [sum(x) for x in combinations(masks, len(GROUPS) - RADIUS)]
+def grid(points: int) -> list[tuple[int, int]]:
+    """Groups of segments (first, number) for so many different fingerprints.
+
+    Two random segments have equal popcounts with probability 3/8, so a cell
+    that names s segments is shared by ``points * (3/8)**s`` random points.
+    """
+    for n in range(5, SEGMENTS + 1):
+        cuts = [SEGMENTS * i // n for i in range(n + 1)]
+        sizes = [b - a for a, b in zip(cuts, cuts[1:], strict=False)]
+        if points * 0.375 ** sum(sorted(sizes)[: n - RADIUS]) <= FILL:
+            break
+    return list(zip(cuts, sizes, strict=False))
+
+
+def _masks(groups: list[tuple[int, int]]) -> list[int]:
+    masks = [((1 << (2 * n)) - 1) << (2 * at) for at, n in groups]
+    signed = [sum(x) for x in combinations(masks, len(groups) - RADIUS)]
     return [m - (1 << 64) if m >= 1 << 63 else m for m in signed]
 
 
 def links(distinct: DataFrame) -> DataFrame:
     """Edges (a, b) whose components are those of all links among the different values of ``fp``."""
     point = embed(F.col("fp"))
-    cells = materialize(
-        distinct.select("fp", F.posexplode(F.array(*[point.bitwiseAND(F.lit(m)) for m in _masks()])).alias("part", "cell")), "simhash-cells"
-    )
+    masks = _masks(grid(distinct.count()))
+    cells = materialize(distinct.select("fp", F.posexplode(F.array(*[point.bitwiseAND(F.lit(m)) for m in masks])).alias("part", "cell")), "simhash-cells")
     filled = cells.groupBy("part", "cell").agg(F.count("*").alias("n")).where("n > 1")
     shared = materialize(cells.join(filled, ["part", "cell"]), "simhash-shared")
     few = shared.where(F.col("n") < CROWDED)
