@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievework.plans.shared import materialize
+
 #: Letters, digits and underscores; anything else parts words.
 WORD = re.compile(r"\w+")
 
@@ -22,6 +24,7 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label: Column, per_class
     Ids are taken in a seeded order, so the choice doesn't depend on how
     the tables are laid out.  Ids with contradicting labels and documents
     that would pass the bound of characters are skipped; texts are whole.
+    The chosen rows are written, so the texts are read once.
     """
     graded = labels.select(F.col("doc_id").cast("long").alias("__id"), label.cast("int").alias("__label")).where("__id is not null and __label is not null")
     graded = graded.where(~in_fold(F.col("__id"))).groupBy("__id").agg(F.min("__label").alias("__label"), F.max("__label").alias("__other")).where("__label = __other")
@@ -32,8 +35,10 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label: Column, per_class
         chosen = part if chosen is None else chosen.union(part)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     found = docs.select(F.col(id_col).cast("long").alias("__id"), text.alias("__text"), *[F.col(c).alias(f"__x{i}") for i, c in enumerate(extra)])
-    found = found.join(F.broadcast(chosen), "__id")  # at most the sum of per_class rows
-    sizes = found.groupBy("__id").agg(F.max(F.length("__text")).alias("n")).orderBy(order, "__id").collect()
+    names = ["__text", *[f"__x{i}" for i in range(len(extra))]]
+    picked = found.join(F.broadcast(chosen), "__id").groupBy("__id", "__label").agg(F.min(F.struct(*names)).alias("r"))  # at most the sum of per_class rows
+    picked = materialize(picked, "labelled")
+    sizes = picked.select("__id", F.length("r.__text").alias("n")).orderBy(order, "__id").collect()
     ids, left = [], max_chars
     for row in sizes:
         if row["n"] <= left:
@@ -41,8 +46,6 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label: Column, per_class
             left -= row["n"]
     if not ids:
         return []
-    spark = docs.sparkSession
-    kept = found.join(F.broadcast(spark.createDataFrame(ids, "__id long")), "__id").groupBy("__id").agg(F.min(F.struct("__text", "__label", *[f"__x{i}" for i in range(len(extra))])).alias("r"))
-    rows = kept.select("__id", "r.*").collect()
+    rows = picked.join(F.broadcast(docs.sparkSession.createDataFrame(ids, "__id long")), "__id").select("__id", "__label", "r.*").collect()
     rows.sort(key=lambda r: r["__id"])
-    return [(r["__label"], r["__text"], *[r[f"__x{i}"] for i in range(len(extra))]) for r in rows]
+    return [(r["__label"], *[r[n] for n in names]) for r in rows]

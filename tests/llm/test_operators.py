@@ -278,6 +278,20 @@ def test_keep_one_judges_rows_with_repeated_or_null_ids(spark):
     assert sorted(map(str, got)) == sorted(str(tuple(r)) for r in simhash.keep_one(df.repartition(5).orderBy(F.desc("text"))).collect())
 
 
+def test_simhash_grid_is_finer_for_more_points(spark, monkeypatch):
+    for n, groups in ((0, 5), (10**9, 6), (10**13, 16)):
+        cells = simhash.grid(n)
+        assert len(cells) == groups and sum(size for _, size in cells) == simhash.SEGMENTS and [a for a, _ in cells] == [sum(s for _, s in cells[:i]) for i in range(groups)]
+    rng = random.Random(61)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    centres = [rng.getrandbits(64) for _ in range(10)]
+    prints = [(i, signed(rng.choice(centres) ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3))))) for i in range(150)]
+    monkeypatch.setattr(simhash, "FILL", 1e-9)  # as if there were billions
+    want = brute_components(prints)
+    got = simhash.components(spark.createDataFrame(prints, "doc_id long, fp long")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {d: want[d, p] for d, p in prints}
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 40)] + [(5, 5)]
     got = dict(map(tuple, graph.connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()))
@@ -320,6 +334,16 @@ def test_bpe_last_token_of_a_prefix_is_unique():
             assert len(last[n]) == 1, (word, n)
 
 
+def test_bpe_of_megabytes_without_white_space(spark):
+    from tokenizers import Tokenizer
+
+    known, mine = Tokenizer.from_file(bpe.default_path()), bpe.WordBpe(bpe.default_path())
+    rng = random.Random(71)
+    for text in ("".join(rng.choice("etaoin'7é") for _ in range(60_000)), "ab" * 1_500_000):
+        assert mine.encode(text) == known.encode(text, add_special_tokens=False).ids
+    assert all(len(c) <= bpe.LONGEST for c in mine._chunks.new)
+
+
 # WARC
 
 
@@ -338,6 +362,18 @@ def test_warc_round_trip(spark):
     assert all(r["record_type"] == "response" for r in warc.round_trip(df, min_bytes=1000).collect())
 
 
+def test_warc_rolls_and_takes_large_payloads(spark, tmp_path):
+    pages = [(i, f"http://x/{i}", "é" * n) for i, n in enumerate([2_000_000, 10, 700_000, 0, 10, 300_000] * 3)] + [(7, "u", "twice"), (7, "u", "twice")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    written = warc.write_monolithic(df, str(tmp_path / "m"), roll_bytes=1_000_000)
+    files = written.select("file").distinct().count()
+    assert files > 3
+    archives = warc.normalise(str(tmp_path / "m"), str(tmp_path / "n"), warc.choose_revisits(written), files)
+    got = Counter((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc.read_archives(str(tmp_path / "n"), archives, files).collect())
+    heads = {h: max(p for p, _, x in pages if x == h) for _, _, h in pages}
+    assert got == Counter((p, len(h.encode()), "response" if p == heads[h] else "revisit", None if p == heads[h] else heads[h]) for p, _, h in pages)
+
+
 def test_warc_index_leads_to_members(spark, tmp_path):
     import gzip
 
