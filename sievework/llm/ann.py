@@ -23,9 +23,16 @@ third of all rows share is searched and scored once.
 Scale: lists are packed into shards of about ``SHARD`` rows, long lists are
 split, and the queries of a shard come in blocks of ``BLOCK``; a task holds
 one shard and one block.  Each (query, shard) returns ``k + 1`` rows at
-most.  With lists growing as the square root of the rows, work grows as
-queries times the share of lists visited, which is small on clustered
-vectors and large on vectors without structure.
+most.  Lists grow as the square root of the rows up to a sixteenth of the
+sample, which is what a bounded sample can place; beyond, lists grow and take
+more shards.  Work grows as queries times the share of rows visited, which is
+small on clustered vectors and large on vectors without structure.  Who needs
+more lists passes a larger ``sample``; ``exact`` visits all lists and scores
+all rows.
+
+Scores are inner products in double precision of the vectors as they are
+stored, floats or doubles; the index alone works on vectors divided by the
+largest component.
 
 Defined results: vectors that are null, empty, zero, or hold null or
 non-finite components, and vectors of another length than the most common
@@ -43,6 +50,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sievework.llm.names import column
 from sievework.plans.shared import materialize
 
 #: Vectors the index is fitted on, queries that set the number of lists visited.
@@ -51,7 +59,8 @@ PARTS = 16
 RECALL = 0.98
 RERANK = 256
 SHARD, BLOCK = 16_384, 8_192
-MAX_LISTS = 1024
+#: Sampled vectors a list at least.
+PER_LIST = 16
 RESULT = "query_id long, rank int, vec_id long, score double"
 
 
@@ -72,13 +81,13 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.ndarray:
     """Centroids of Lloyd's rounds from a seeded choice of rows; an empty cluster takes a seeded row."""
     rng = np.random.default_rng(seed)
     k = min(k, len(x))
-    centroids = x[rng.choice(len(x), k, replace=False)].astype(np.float32)
+    centroids = x[rng.choice(len(x), k, replace=False)]
     for _ in range(rounds):
         near = nearest_centroid(x, centroids)
         count = np.bincount(near, minlength=k)
         total = np.zeros((k, x.shape[1]))
         np.add.at(total, near, x)
-        centroids = (total / np.maximum(count, 1)[:, None]).astype(np.float32)
+        centroids = (total / np.maximum(count, 1)[:, None]).astype(x.dtype)
         if (empty := np.flatnonzero(count == 0)).size:
             centroids[empty] = x[rng.choice(len(x), empty.size)]
     return centroids
@@ -113,8 +122,9 @@ class Index:
         return [q[:, a:b] @ book.T for (a, b), book in zip(self.cuts, self.books, strict=True)]
 
 
-def _floats(column: pa.Array, dim: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float32, copy=False).reshape(-1, dim)
+def _vectors(array: pa.Array, dim: int) -> np.ndarray:
+    """Rows of an array of vectors in their own precision."""
+    return array.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
 def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -122,25 +132,31 @@ def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
+def as_vector(table: DataFrame, vector_col: str) -> Column:
+    """The vectors: floats stay floats, all else is doubles."""
+    kind = table.select(column(vector_col).alias("v")).schema["v"].dataType.simpleString()
+    return column(vector_col).cast("array<float>" if kind == "array<float>" else "array<double>")
+
+
 def valid_vectors(table: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
     """((vec_id, v) of the vectors that take part, their length)."""
-    v = F.col(vector_col).cast("array<float>")
+    v = as_vector(table, vector_col)
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = table.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & F.coalesce(fine, F.lit(False)))
+    rows = table.select(column(id_col).cast("long").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & F.coalesce(fine, F.lit(False)))
     common = rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).first()
     dim = common["dim"] if common else 0
     return rows.where(F.size("v") == dim), dim
 
 
-def _calibrate(base: DataFrame, asked: DataFrame, index: Index, k: int) -> int:
+def _calibrate(base: DataFrame, asked: DataFrame, index: Index, k: int, unit: float) -> int:
     """Lists to visit: the least number that holds ``RECALL`` of the true neighbours of a sample of queries."""
     rows = asked.orderBy(F.xxhash64("key")).limit(CALIBRATION).toPandas()  # a bounded sample
-    q, keys, dim = np.stack(rows["v"].map(np.asarray)).astype(np.float32), rows["key"].to_numpy(), index.dim
+    q, keys, dim = (np.stack(rows["v"].map(np.asarray)) / unit).astype(np.float32), rows["key"].to_numpy(), index.dim
 
     def run(batches):
         best = [(np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(q)
         for batch in batches:
-            x, ids = _floats(batch.column("v"), dim), batch.column("key").to_numpy()
+            x, ids = (_vectors(batch.column("v"), dim) / unit).astype(np.float32), batch.column("key").to_numpy()
             near = nearest_centroid(x, index.centroids)
             for i, scores in enumerate(q @ x.T):
                 scores = np.where(ids == keys[i], -np.inf, scores)
@@ -152,13 +168,12 @@ def _calibrate(base: DataFrame, asked: DataFrame, index: Index, k: int) -> int:
         for i, (s, n, d) in enumerate(best):
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), i), pa.int32()), pa.array(s, pa.float64()), pa.array(n, pa.int32()), pa.array(d, pa.int64())], ["q", "score", "list", "key"])
 
-    found = base.select("key", "v").mapInArrow(run, "q int, score double, list int, key long").toPandas()  # CALIBRATION * k rows a partition at most
+    found = base.select("key", "v").mapInArrow(run, "q int, score double, list int, key long").where(F.col("score") > float("-inf"))
+    nearest = Window.partitionBy("q").orderBy(F.desc("score"), "key")  # limited before it is shuffled
+    found = found.withColumn("at", F.row_number().over(nearest)).where(F.col("at") <= k).select("q", "list").toPandas()  # CALIBRATION * k rows at most
     order = np.argsort(np.argsort(-(q @ index.centroids.T), axis=1, kind="stable"), axis=1)
-    places = []
-    for i, group in found.groupby("q"):
-        group = group[np.isfinite(group["score"])].sort_values(["score", "key"], ascending=[False, True])[:k]
-        places += order[i, group["list"].to_numpy()].tolist()
-    return int(np.quantile(places, RECALL, method="higher")) + 1 if places else 1
+    places = order[found["q"].to_numpy(), found["list"].to_numpy()]
+    return int(np.quantile(places, RECALL, method="higher")) + 1 if len(places) else 1
 
 
 def _shards(counts: dict[int, int]) -> dict[int, list[int]]:
@@ -176,14 +191,16 @@ def _shards(counts: dict[int, int]) -> dict[int, list[int]]:
     return out
 
 
-def search(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def search(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", sample: int = SAMPLE, exact: bool = False) -> DataFrame:
     """The ``k`` nearest rows of every query row: (query_id, rank, vec_id, score).
 
     ``is_query`` is a condition on the columns of ``table``, the id under
-    its own name.
+    its own name.  ``sample`` bounds the vectors the index is fitted on;
+    with ``exact`` every list is visited and every row scored.
     """
     spark = table.sparkSession
     rows, dim = valid_vectors(table, id_col, vector_col)
+    kind = rows.schema["v"].dataType.simpleString()
     few = Window.partitionBy("v").orderBy("vec_id")
     base = materialize(
         rows.withColumn("at", F.dense_rank().over(few)).where(F.col("at") <= k + 1)  # limited before it is shuffled
@@ -192,23 +209,25 @@ def search(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     n = base.count()
     if not n:
         return spark.createDataFrame([], RESULT)
-    wanted = table.where(is_query).select(F.col(id_col).cast("long").alias("query_id"), F.col(vector_col).cast("array<float>").alias("v"))
+    wanted = table.where(is_query).select(column(id_col).cast("long").alias("query_id"), as_vector(table, vector_col).alias("v"))
     queries = materialize(wanted.where("query_id is not null").join(base.select("key", "v"), "v").select("query_id", "key").distinct(), "ann-queries")
     asked = materialize(base.join(queries.select("key").distinct(), "key", "left_semi").select("key", "v"), "ann-asked")
 
-    sample = base.select("key", "v").orderBy(F.xxhash64("key")).limit(SAMPLE).select("v").toPandas()["v"]  # a bounded sample
-    index = Index(np.stack(sample.map(np.asarray)).astype(np.float32), max(1, min(MAX_LISTS, round(n**0.5))))
+    unit = float(base.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0])
+    drawn = base.select("key", "v").orderBy(F.xxhash64("key")).limit(sample).select("v").toPandas()["v"]  # a bounded sample
+    index = Index((np.stack(drawn.map(np.asarray)) / unit).astype(np.float32), max(1, min(sample // PER_LIST, round(n**0.5))))
     if asked.isEmpty():
         return spark.createDataFrame([], RESULT)
-    probes = _calibrate(base, asked, index, k)
+    probes = len(index.centroids) if exact else _calibrate(base, asked, index, k, unit)
+    scaled = lambda x: (_vectors(x, dim) / unit).astype(np.float32)
 
     def encode(batches):
         for batch in batches:
-            near, codes = index.encode(_floats(batch.column("v"), dim))
+            near, codes = index.encode(scaled(batch.column("v")))
             packed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(codes.shape[1]), len(codes), [None, pa.py_buffer(np.ascontiguousarray(codes))])
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("v"), pa.array(near, pa.int32()), packed.cast(pa.binary())], ["key", "v", "list", "codes"])
 
-    coded = materialize(base.select("key", "v").mapInArrow(encode, "key long, v array<float>, list int, codes binary"), "ann-index")
+    coded = materialize(base.select("key", "v").mapInArrow(encode, f"key long, v {kind}, list int, codes binary"), "ann-index")
     shards = _shards({r["list"]: r["count"] for r in coded.groupBy("list").count().collect()})  # a row a list
     of_list = spark.createDataFrame([(a, b) for a, b in shards.items()], "list int, shards array<int>")
     placed = coded.join(F.broadcast(of_list), "list").withColumn("shard", F.get("shards", F.pmod(F.xxhash64("key"), F.size("shards")).cast("int")))
@@ -216,17 +235,17 @@ def search(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     def visit(batches):
         for batch in batches:
             out = []
-            for key, v, lists in zip(batch.column("key").to_pylist(), batch.column("v").to_pylist(), index.probe(_floats(batch.column("v"), dim), probes).tolist(), strict=True):
+            for key, v, lists in zip(batch.column("key").to_pylist(), batch.column("v").to_pylist(), index.probe(scaled(batch.column("v")), probes).tolist(), strict=True):
                 by_shard: dict[int, list[int]] = {}
                 for number in lists:
                     for shard in shards.get(number, ()):
                         by_shard.setdefault(shard, []).append(number)
                 out += [(key, v, shard, of) for shard, of in by_shard.items()]
             columns = list(zip(*out, strict=True)) or [[], [], [], []]
-            types = (pa.int64(), pa.list_(pa.float32()), pa.int32(), pa.list_(pa.int32()))
+            types = (pa.int64(), batch.schema.field("v").type, pa.int32(), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], ["key", "v", "shard", "lists"])
 
-    visits = materialize(asked.mapInArrow(visit, "key long, v array<float>, shard int, lists array<int>"), "ann-visits")
+    visits = materialize(asked.mapInArrow(visit, f"key long, v {kind}, shard int, lists array<int>"), "ann-visits")
     blocks = visits.groupBy("shard").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
     left = visits.join(F.broadcast(blocks), "shard").withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))  # a row a shard
     right = placed.join(F.broadcast(blocks), "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -239,14 +258,15 @@ def search(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
         if asks.num_rows and held.num_rows:
             held = held.sort_by("list").combine_chunks()
             asks = asks.combine_chunks()
-            vectors, keys, lists = _floats(held.column("v").chunk(0), dim), held.column("key").to_numpy(), held.column("list").to_numpy()
+            vectors, keys, lists = _vectors(held.column("v").chunk(0), dim), held.column("key").to_numpy(), held.column("list").to_numpy()
             codes = np.frombuffer(b"".join(held.column("codes").to_pylist()), np.uint8).reshape(len(keys), -1)
             starts = np.flatnonzero(np.r_[True, lists[1:] != lists[:-1]])
             slices = {int(lists[a]): (int(a), int(b)) for a, b in zip(starts, np.r_[starts[1:], len(lists)], strict=True)}
-            q_all, q_keys, q_lists = _floats(asks.column("v").chunk(0), dim), asks.column("key").to_numpy(), asks.column("lists").to_pylist()
+            q_all, q_keys, q_lists = _vectors(asks.column("v").chunk(0), dim), asks.column("key").to_numpy(), asks.column("lists").to_pylist()
             for at in range(0, len(q_keys), 256):
                 q = q_all[at : at + 256]
-                tables, coarse = index.tables(q), q @ index.centroids.T
+                near = (q / unit).astype(np.float32)
+                tables, coarse = index.tables(near), near @ index.centroids.T
                 scores = np.full((len(q), len(keys)), -np.inf, np.float32)
                 visitors: dict[int, list[int]] = {}
                 for i, of in enumerate(q_lists[at : at + 256]):
@@ -259,16 +279,15 @@ def search(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
                         for part, table in enumerate(tables):
                             estimate += table[who][:, codes[a:b, part]]
                         scores[np.asarray(who), a:b] = coarse[who, number][:, None] + index.scale[number] * estimate
-                depth = min(RERANK, len(keys))
+                depth = len(keys) if exact else min(RERANK, len(keys))
                 best = np.argpartition(-scores, depth - 1, axis=1)[:, :depth]
-                exact = exact_scores(vectors[best], q[:, None, :])
-                exact[np.take_along_axis(scores, best, 1) == -np.inf] = -np.inf
                 for i in range(len(q)):
-                    top = _top(exact[i], keys[best[i]], k + 1)
-                    top = top[np.isfinite(exact[i][top])]
+                    mine = best[i][scores[i][best[i]] > -np.inf]
+                    found = exact_scores(vectors[mine], q[i][None, :])
+                    top = _top(found, keys[mine], k + 1)
                     out[0].append(np.full(len(top), q_keys[at + i]))
-                    out[1].append(keys[best[i][top]])
-                    out[2].append(exact[i][top])
+                    out[1].append(keys[mine[top]])
+                    out[2].append(found[top])
         flat = [np.concatenate(x) if x else np.zeros(0) for x in out]
         return pa.table({"key": pa.array(flat[0], pa.int64()), "found": pa.array(flat[1], pa.int64()), "score": pa.array(flat[2], pa.float64())})
 

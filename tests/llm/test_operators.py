@@ -551,6 +551,24 @@ def test_nearest_neighbours(spark):
     assert ann.search(df.limit(0), F.col("vec_id") == 0).count() == 0 and ann.search(df.where("vec_id = 1000"), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_nearest_neighbours_exact_in_the_input_s_precision(spark, kind):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 8)) * (1e30 if kind == "float" else 1e150)
+    x = x.astype("f4").astype("f8") if kind == "float" else x
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, f"id long, `v.x` array<{kind}>")
+    got = defaultdict(list)
+    for r in ann.search(df, F.col("id") % 20 == 0, 5, "id", "v.x", exact=True).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    for q in range(0, 300, 20):
+        scores = ann.exact_scores(x, x[q][None])
+        want = sorted((i for i in range(300) if i != q), key=lambda i: (-scores[i], i))[:5]
+        assert got[q] == [(i, scores[i]) for i in want]
+    ints = spark.createDataFrame([(i, [i, 1]) for i in range(1, 30)], "id long, v array<int>")
+    assert [r["vec_id"] for r in ann.search(ints, F.col("id") == 1, 3, "id", "v").orderBy("rank").collect()] == [29, 28, 27]
+
+
 # personal data
 
 
