@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from sievework.llm import ann, bpe, mixing, pii, quality_model, quality_rules, simhash, toxicity, url_tree, warc
+from sievework.llm import pipeline as stages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,8 +66,8 @@ def op10_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages of corpus_pipeline.py over all documents."""
-    return corpus_pipeline.run(spark, sf_dir)
+    """The five stages over all documents."""
+    return stages.run(spark, sf_dir)
 
 
 QUERIES = {
