@@ -9,9 +9,11 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from sievework.functions import metrics
+from sievework.operators import gates
 from sievework.operators import rank as ranking
 from sievework.plans.export import ExportBlocked, export
 from sievework.plans.review import build_context, http_reviewer, run_review
+from sievework.plans.shared import materialize
 from sievework.session import get_session
 from sievework.sources.config import load_profile, load_yaml, target_id
 from sievework.sources.registry import Registry, decode
@@ -43,11 +45,6 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
-def _store(rows) -> object:
-    """Decoded designs as the registry takes them."""
-    return rows.withColumns({c: F.to_json(c) for c in ("metrics", "liability_flags", "artifact_hashes", "predictor_outputs")}).drop("metric_names", "created_at")
-
-
 def main(argv: list[str] | None = None, spark=None) -> int:
     """Run a command; returns the exit code."""
     args = _parser().parse_args(argv)
@@ -68,25 +65,30 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         ctx = build_context(spark, registry, target, target_path=args.target, repo_root=Path.cwd())
         wanted = args.predictors.split(",")
         found = ctx.parsed().where(F.col("predictor").isin(wanted)).groupBy("design_id").agg(F.map_from_entries(F.collect_list(F.struct("predictor", "values"))).alias("by"))
-        simple = found.select("design_id", metrics.agree_simple(F.col("by"), "iptm").cast("int").alias("_n"))
-        rows = ctx.designs.join(simple, "design_id").withColumn("predictors_agreeing", F.col("_n")).withColumn("stage", F.lit("validate")).drop("_n")
-        registry.upsert(_store(rows))
-        print(f"[validate] {target}: {simple.count()}")
+        counted = found.select("design_id", metrics.agree_simple(F.col("by"), "iptm").cast("int").alias("predictors_agreeing"), F.lit("validate").alias("stage"))
+        registry.update(counted)
+        print(f"[validate] {target}: {counted.count()}")
         return 0
     if args.command == "filter":
-        rows = ranking.filter_stage(decode(registry.query_target(target)), load_profile(args.profile)).withColumn("stage", F.lit("filter"))
-        registry.upsert(_store(rows))
-        print(f"[filter] {target}: {rows.where('passed_select').count()} pass")
+        rows = ranking.filter_stage(decode(registry.query_target(target)), load_profile(args.profile))
+        registry.update(rows.select("design_id", "passed_screen", "passed_select", F.to_json("liability_flags").alias("liability_flags"), F.lit("filter").alias("stage")))
+        row = rows.agg(F.count(F.when(F.col("passed_select"), 1)).alias("passed"), F.count(F.when(F.col("passed_select") & ~gates.open_to(F.col("liability_flags")), 1)).alias("shut")).first()
+        print(f"[filter] {target}: {row['passed']} pass, {row['shut']} of them held back by gates")
         return 0
     if args.command == "rank":
-        rows = decode(registry.query_target(target)).where("passed_select")
-        rows = rows.withColumn("final_score", ranking.final_score(metrics.lower_keys(F.col("metrics")), F.col("predictors_agreeing")))
+        every = decode(registry.query_target(target))
+        rows = every.where(F.coalesce("passed_select", F.lit(False)) & gates.open_to(F.col("liability_flags"))).withColumn("_low", metrics.lower_keys(F.col("metrics")))
+        rows = rows.withColumns({"final_score": ranking.final_score(F.col("_low"), F.col("predictors_agreeing")), "_missing": ranking.missing_terms(F.col("_low"), F.col("predictors_agreeing"))})
+        for r in rows.select(F.explode("_missing").alias("term")).groupBy("term").agg(F.count("*").alias("n")).orderBy("term").collect():  # a row a term of the score
+            print(f"[rank] warning: {r['n']} designs have no {r['term']}; it counts as 0", file=sys.stderr)
         if args.pairs:  # similarity of structures, computed outside
             clusters = ranking.leader_clusters(spark.read.parquet(args.pairs), rows.select(F.col("design_id").alias("id"), F.col("final_score").alias("score")), args.cluster_tm)
-            rows = rows.drop("cluster_id").join(clusters.select(F.col("id").alias("design_id"), F.abs(F.hash("cluster")).alias("cluster_id")), "design_id")
-        chosen = ranking.round_robin(rows, args.quota, reserve=0.15).select("design_id", F.lit(True).alias("_chosen"))
-        rows = rows.join(chosen, "design_id", "left").withColumn("selected", F.coalesce("_chosen", F.lit(False))).withColumn("stage", F.lit("rank")).drop("_chosen")
-        registry.upsert(_store(rows))
+            rows = rows.drop("cluster_id").join(ranking.number_clusters(clusters).withColumnRenamed("id", "design_id"), "design_id")
+        rows = materialize(rows, "ranked")
+        chosen = materialize(ranking.round_robin(rows, args.quota, reserve=0.15).select("design_id", F.lit(True).alias("_chosen")), "chosen")
+        ranked = rows.join(chosen, "design_id", "left").select("design_id", "final_score", "cluster_id", F.coalesce("_chosen", F.lit(False)).alias("selected"), F.lit("rank").alias("stage"))
+        stale = every.where(F.coalesce("selected", F.lit(False))).join(rows.select("design_id"), "design_id", "left_anti")  # selected before, out of the running now
+        registry.update(ranked.unionByName(stale.select("design_id", "final_score", "cluster_id", F.lit(False).alias("selected"), "stage")))
         print(f"[rank] {target}: {chosen.count()} selected")
         return 0
     if args.command == "review":

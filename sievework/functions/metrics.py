@@ -55,12 +55,15 @@ def resolve(lowered: Column, key: str) -> Column:
 
 
 def passes(value: Column, threshold: float | Column | None, lower: bool) -> Column:
-    """Whether a value meets a threshold, inclusively; null where either is missing; false for NaN."""
+    """Whether a value meets a threshold, inclusively; null where either is missing; false for NaN.
+
+    The value is named once: NaN is greater than any number, so where lower
+    is better it fails by itself, and else it is read as less than any.
+    """
     if threshold is None:
         return F.lit(None).cast("boolean")
     t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    met = (value <= t) if lower else (value >= t)
-    return F.when(value.isNull() | t.isNull(), F.lit(None).cast("boolean")).otherwise(~F.isnan(value.cast("double")) & met)
+    return (value <= t) if lower else (F.nanvl(value.cast("double"), F.lit(float("-inf"))) >= t)
 
 
 def specs(profile: dict, level: str, sections: tuple[str, ...] = SECTIONS) -> list[tuple[str, float | None]]:
@@ -101,7 +104,7 @@ def min_agreeing(profile: dict) -> int | None:
 
 def passes_level(metrics: Column, agreeing: Column, profile: dict, level: str) -> Column:
     """No measured metric fails and enough predictors agree; a null count is none."""
-    tests = [p.isNull() | p for _, _, p in verdicts(metrics, profile, level)]
+    tests = [F.coalesce(p, F.lit(True)) for _, _, p in verdicts(metrics, profile, level)]
     if (n := min_agreeing(profile)) is not None:
         tests.append(F.coalesce(agreeing, F.lit(0)) >= n)
     return reduce(lambda a, b: a & b, tests, F.lit(True))
@@ -109,7 +112,7 @@ def passes_level(metrics: Column, agreeing: Column, profile: dict, level: str) -
 
 def failed_keys(metrics: Column, profile: dict, level: str) -> Column:
     """Names of the thresholds that fail."""
-    return F.array_compact(F.array(*[F.when(p == F.lit(False), F.lit(k)) for k, _, p in verdicts(metrics, profile, level)], F.lit(None).cast("string")))
+    return F.array_compact(F.array(*[F.when(~p, F.lit(k)) for k, _, p in verdicts(metrics, profile, level)], F.lit(None).cast("string")))
 
 
 def agree_simple(by_predictor: Column, key: str = "i_pTM", least: float = 0.5) -> Column:

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sievework.functions import metrics, sequences
+from sievework.functions import metrics, sequences, stats
+from sievework.operators import gates
 from sievework.plans.shared import materialize
 
 # Weights of the final score.
@@ -121,6 +122,13 @@ def similar_pairs(vectors: DataFrame, block: list[str], threshold: float) -> Dat
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity").where("a < b")
 
 
+def number_clusters(clusters: DataFrame) -> DataFrame:
+    """(id, cluster_id) of rows (id, cluster): clusters numbered from 1 in the order of their leaders."""
+    leaders = clusters.select("cluster").distinct().withColumn("one", F.lit(1).cast("long"))
+    numbers = stats.cumulate(leaders, F.col("cluster").asc(), {"number": "one"}).select("cluster", F.col("number").cast("int").alias("cluster_id"))
+    return clusters.join(numbers, "cluster").select("id", "cluster_id")
+
+
 def round_robin(designs: DataFrame, quota: int, id_col="design_id", cluster_col="cluster_id", score_col="final_score", reserve: float = 0.0) -> DataFrame:
     """``quota`` rows, in rounds that take the next best of every cluster; ``turn`` is the round.
 
@@ -142,13 +150,13 @@ def round_robin(designs: DataFrame, quota: int, id_col="design_id", cluster_col=
 
 
 def filter_stage(designs: DataFrame, profile: dict) -> DataFrame:
-    """Set passed_screen, passed_select and liability_flags of decoded designs."""
+    """Set passed_screen, passed_select and liability_flags (with those of the profile's gates) of decoded designs."""
     low, agree = F.col("_low"), F.col("predictors_agreeing")
     return designs.withColumn("_low", metrics.lower_keys(F.col("metrics"))).withColumns(
         {
             "passed_screen": metrics.passes_level(low, agree, profile, "screen"),
             "passed_select": metrics.passes_level(low, agree, profile, "select"),
-            "liability_flags": sequences.liability_flags(F.col("sequence"), profile),
+            "liability_flags": F.concat(sequences.liability_flags(F.col("sequence"), profile), gates.flags(F.col("sequence"), low, profile)),
         }
     ).drop("_low")
 

@@ -27,13 +27,10 @@ PREDICTOR_KEYS = {
 }
 
 # Three-letter and one-letter names of the amino acids.
-RESIDUES = dict(
-    zip(
-        "ALA CYS ASP GLU PHE GLY HIS ILE LYS LEU MET ASN PRO GLN ARG SER THR VAL TRP TYR".split(),
-        "ACDEFGHIKLMNPQRSTVWY",
-        strict=True,
-    )
-)
+RESIDUES = {
+    "ALA": "A", "CYS": "C", "ASP": "D", "GLU": "E", "PHE": "F", "GLY": "G", "HIS": "H", "ILE": "I", "LYS": "K", "LEU": "L",
+    "MET": "M", "ASN": "N", "PRO": "P", "GLN": "Q", "ARG": "R", "SER": "S", "THR": "T", "VAL": "V", "TRP": "W", "TYR": "Y",
+}
 
 
 def _open(uri: str):
@@ -44,17 +41,15 @@ def _open(uri: str):
 
 
 def find(path: str | None, bases: list[str]) -> str | None:
-    """An absolute path or URI as it is; a relative one under the first base that has it, else None."""
+    """Where a path leads: an absolute path or URI itself, a relative one under the first base that has it; None if there's nothing."""
     from pyarrow import fs
 
     if not path:
         return None
-    if path.startswith("/") or "://" in path:
-        return path
-    for base in bases:
-        system, full = _open(f"{base.rstrip('/')}/{path}")
+    for place in [path] if path.startswith("/") or "://" in path else [f"{base.rstrip('/')}/{path}" for base in bases]:
+        system, full = _open(place)
         if system.get_file_info(full).type != fs.FileType.NotFound:
-            return f"{base.rstrip('/')}/{path}"
+            return place
     return None
 
 

@@ -72,7 +72,8 @@ class Registry:
     def upsert(self, rows: DataFrame) -> None:
         """Insert or overwrite all columns but the key and ``created_at``, with null where the input has none.
 
-        Rows that repeat an id must say which is last by a column ``_seq``.
+        Rows that repeat an id must say which is last by a column ``_seq``,
+        different for each; else they are refused.
         """
         missing = [c for c in schema.NOT_NULL if c not in rows.columns]
         if missing:
@@ -80,12 +81,22 @@ class Registry:
         bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in schema.NOT_NULL])
         if not rows.where(bad).isEmpty():
             raise ValueError(f"null in one of: {', '.join(schema.NOT_NULL)}")
+        order = ["_seq"] if "_seq" in rows.columns else []
+        if not rows.groupBy("design_id", *order).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+            raise ValueError("a design_id is repeated and nothing says which row is last")
         types = {f.name: f.dataType for f in schema.DESIGNS}
         columns = [F.col(c).cast(types[c]).alias(c) if c in rows.columns else F.lit(schema.DEFAULTS.get(c)).cast(types[c]).alias(c) for c in schema.COLUMNS]
         seq = F.col("_seq").cast("long") if "_seq" in rows.columns else F.lit(0).cast("long")
         numbers = self.batches()
         self._write(rows.select(*columns, F.current_timestamp().alias("created_at"), seq.alias("_seq")), (numbers[-1] if numbers else 0) + 1)
 
+    def update(self, changes: DataFrame) -> None:
+        """Set the given columns of registered designs, by ``design_id``; all other columns stay as they are stored."""
+        names = [c for c in changes.columns if c != "design_id"]
+        new = changes.select("design_id", *[F.col(c).alias(f"_new_{c}") for c in names])
+        rows = self.read().join(new, "design_id")
+        self.upsert(rows.withColumns({c: F.col(f"_new_{c}") for c in names}).drop("created_at", *[f"_new_{c}" for c in names]))
+
     def upsert_many(self, records: Iterable[dict]) -> int:
         """Upsert dicts; of repeated ids the last wins.  Returns the number of records."""
         types = {f.name: f.dataType for f in schema.DESIGNS}
