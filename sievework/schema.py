@@ -41,4 +41,4 @@ MANIFEST = T.StructType(
         T.StructField("artifacts", T.ArrayType(_ENTRY)),
     ]
 )
-EVENTS = T.StructType([T.StructField(n, T.StringType()) for n in ("ts", "run_id", "stage", "action", "artifact", "sha256", "design_id")])
+EVENTS = T.StructType([T.StructField(n, T.StringType()) for n in ("ts", "run_id", "stage", "action", "artifact", "sha256", "design_id", "kind")] + [T.StructField("seq", T.LongType())])

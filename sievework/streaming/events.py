@@ -19,7 +19,7 @@ def tail_events(spark: SparkSession, runs_root: str, target_id: str, per_trigger
     reader = spark.readStream.schema(schema.EVENTS)
     if per_trigger:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
-    return reader.json(f"{runs_root.rstrip('/')}/{target_id}/*/provenance.jsonl").withColumn("at", F.to_timestamp("ts"))
+    return reader.json(f"{runs_root.rstrip('/')}/{target_id}/*/provenance*.jsonl").withColumn("at", F.to_timestamp("ts"))
 
 
 def once_per_artifact(events: DataFrame, delay: str = "1 day") -> DataFrame:

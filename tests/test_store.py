@@ -74,6 +74,24 @@ def test_runs(spark, tmp_path):
     assert git_state(tmp_path / "nowhere") == (None, True)
 
 
+def test_files_registered_by_executors(spark, tmp_path):
+    run = Run.start(tmp_path / "runs", target_id="t", stage="validate", run_id="r", repo_root=tmp_path)
+    for i in range(5):
+        (run.folder / "artifacts" / f"{i}.txt").write_text(str(i))
+    rows = [(str(run.folder / "artifacts" / f"{i}.txt"), f"d{i}") for i in range(5)]
+    run.register_files(spark.createDataFrame(rows, "path string, design_id string"))
+    run.register_artifact(run.folder / "artifacts" / "0.txt", design_id="again")
+    assert len(run.events()) == 6 and {e["path"] for e in run.manifest["artifacts"]} == {f"artifacts/{i}.txt" for i in range(5)}
+    manifests = read_manifests(spark, str(tmp_path / "runs"), "t")
+    assert len(manifests.first()["artifacts"]) == 6 and verify_artifacts(manifests).count() == 0
+    (run.folder / "artifacts" / "3.txt").write_text("x")
+    assert [r["path"] for r in verify_artifacts(manifests).collect()] == ["artifacts/3.txt"]
+    with pytest.raises(Exception, match="no such artifact"):
+        run.register_files(spark.createDataFrame([("/nowhere",)], "path string"))
+    run.seal()
+    assert len(read_manifests(spark, str(tmp_path / "runs"), "t").first()["artifacts"]) == 6 and Run.open(run.folder).opened["ended_at"]
+
+
 def test_configurations(tmp_path):
     (tmp_path / "base.yaml").write_text("folding_confidence:\n  i_pTM: {screen: 0.5, select: 0.8}\n  keep: {screen: 1}\n")
     (tmp_path / "sub.yaml").write_text("# note\nextends: base.yaml\nfolding_confidence_override:\n  i_pTM: {screen: 0.6}\n")
