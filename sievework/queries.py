@@ -87,20 +87,10 @@ def upsert_latest(spark, sf_dir):
 
 @query(
     "add_column",
-    "SELECT c_custkey, c_name, NULL::VARCHAR AS stage FROM customer WHERE c_custkey <= 100 UNION ALL SELECT s_suppkey, s_name, 'late' FROM supplier",
-)
-def add_column(spark, sf_dir):
-    old = _t(spark, sf_dir, "customer").where("c_custkey <= 100").select("c_custkey", "c_name")
-    new = _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name"), F.lit("late").alias("stage"))
-    return old.unionByName(new, allowMissingColumns=True)
-
-
-@query(
-    "add_column_all",
     "SELECT c_custkey, c_name, NULL::VARCHAR AS stage FROM customer UNION ALL SELECT s_suppkey, s_name, 'late' FROM supplier",
 )
-def add_column_all(spark, sf_dir):
-    """All customers and suppliers; ``add_column`` has 100 customers only, as its SQL does."""
+def add_column(spark, sf_dir):
+    """Rows of before and after a column was added."""
     old = _t(spark, sf_dir, "customer").select("c_custkey", "c_name")
     new = _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name"), F.lit("late").alias("stage"))
     return old.unionByName(new, allowMissingColumns=True)
@@ -165,20 +155,10 @@ def length_check(spark, sf_dir):
 
 @query(
     "alphabet_check",
-    """SELECT p_partkey, array_to_string(list_sort(list_filter(list_distinct(string_split(p_type, '')), lambda c: c <> '' AND NOT contains('ACDEFGHIKLMNPQRSTVWY', c))), '') AS bad
-       FROM part WHERE len(list_filter(string_split(p_type, ''), lambda c: c <> '' AND NOT contains('ACDEFGHIKLMNPQRSTVWY', c))) > 0""",
-)
-def alphabet_check(spark, sf_dir):
-    return _t(spark, sf_dir, "part").select("p_partkey", sequences.illegal_characters(F.col("p_type")).alias("bad")).where("bad <> ''")
-
-
-@query(
-    "alphabet_check_text",
     """SELECT doc_id, array_to_string(list_sort(list_filter(list_distinct(string_split(text, '')), lambda c: c <> '' AND NOT contains('ACDEFGHIKLMNPQRSTVWY', c))), '') AS bad
        FROM documents WHERE len(list_filter(string_split(text, ''), lambda c: c <> '' AND NOT contains('ACDEFGHIKLMNPQRSTVWY', c))) > 0""",
 )
-def alphabet_check_text(spark, sf_dir):
-    """The same over whole texts."""
+def alphabet_check(spark, sf_dir):
     return _t(spark, sf_dir, "documents").select("doc_id", sequences.illegal_characters(F.col("text")).alias("bad")).where("bad <> ''")
 
 
@@ -452,36 +432,25 @@ def local_identity(spark, sf_dir):
     return found.select("p_partkey", "identity", (F.col("identity") < 0.30).alias("accepted"))
 
 
-def _blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _t(spark, sf_dir, "embeddings")
-    sign = F.transform(F.slice("embedding", 1, 6), lambda x: F.when(x >= 0, "1").otherwise("0"))
-    return e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"), "label", F.array_join(sign, "").alias("sign"))
+def _by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"), "label")
 
 
 @query(
     "similar_pairs",
-    """WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v, array_to_string(list_transform(embedding[1:6], lambda x: CASE WHEN x >= 0 THEN '1' ELSE '0' END), '') AS sign FROM embeddings)
-       SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.v, b.v), 6) AS similarity FROM e a JOIN e b ON a.label = b.label AND a.sign = b.sign AND a.vec_id < b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.2""",
-)
-def similar_pairs(spark, sf_dir):
-    return rank.similar_pairs(_blocked(spark, sf_dir), ["label", "sign"], 0.2).select("a", "b", F.round("similarity", 6).alias("similarity"))
-
-
-@query(
-    "similar_pairs_of_label",
     """WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings)
        SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.v, b.v), 6) AS similarity FROM e a JOIN e b ON a.label = b.label AND a.vec_id < b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.2""",
 )
-def similar_pairs_of_label(spark, sf_dir):
-    """All similar pairs of a label; ``similar_pairs`` has only those that share six signs too, as its SQL does."""
-    return rank.similar_pairs(_blocked(spark, sf_dir), ["label"], 0.2).select("a", "b", F.round("similarity", 6).alias("similarity"))
+def similar_pairs(spark, sf_dir):
+    """All similar pairs of a label."""
+    return rank.similar_pairs(_by_label(spark, sf_dir), ["label"], 0.2).select("a", "b", F.round("similarity", 6).alias("similarity"))
 
 
 @query("leader_clusters")
 def leader_clusters(spark, sf_dir):
     """Greedy leaders over the similar pairs of whole labels: iterative, tested against a plain loop."""
     items = _t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding")[0].cast("double").alias("score"))
-    return rank.leader_clusters(rank.similar_pairs(_blocked(spark, sf_dir), ["label"], 0.2), items, 0.2)
+    return rank.leader_clusters(rank.similar_pairs(_by_label(spark, sf_dir), ["label"], 0.2), items, 0.2)
 
 
 @query(

@@ -48,13 +48,13 @@ def test_queries_without_sql_run(spark, name):
 
 
 def test_added_column_keeps_every_row(spark):
-    got = queries.QUERIES["add_column_all"](spark, SF)
+    got = queries.QUERIES["add_column"](spark, SF)
     counts = {t: spark.read.parquet(f"{SF}/{t}.parquet").count() for t in ("customer", "supplier")}
     assert counts["customer"] > 100 and got.where("stage is null").count() == counts["customer"] and got.where("stage = 'late'").count() == counts["supplier"]
 
 
 def test_alphabet_of_whole_texts(spark):
-    got = {r["doc_id"]: r["bad"] for r in queries.QUERIES["alphabet_check_text"](spark, SF).collect()}
+    got = {r["doc_id"]: r["bad"] for r in queries.QUERIES["alphabet_check"](spark, SF).collect()}
     texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     want = {i: "".join(sorted(set(t) - set("ACDEFGHIKLMNPQRSTVWY"))) for i, t in texts.items()}
     assert got == {i: b for i, b in want.items() if b}
