@@ -34,6 +34,10 @@ def build_context(
     )
 
 
+#: Findings that a report holds at most; beyond, all are written beside it.
+HEAD = 10_000
+
+
 class Report:
     """Findings of an audit and what follows from them."""
 
@@ -56,20 +60,30 @@ class Report:
             return 0
         return int(bool(self.counts[BLOCK] or (fail_on != "block" and self.counts[WARN])))
 
-    def to_dict(self) -> dict:
-        rows = [{k: v for k, v in r.asDict().items() if v is not None} for r in self.sorted().toLocalIterator()]
-        return {"target_id": self.target_id, "generated_at": self.generated_at, "rules_run": self.rules_run, "counts": self.counts, "findings": rows}
+    def head(self, most: int = HEAD) -> list:
+        """The first findings in order, ``most`` at most."""
+        return self.sorted().limit(most).collect()
+
+    @property
+    def total(self) -> int:
+        return sum(self.counts.values())
+
+    def to_dict(self, most: int = HEAD) -> dict:
+        """Counts and the first findings; ``left_out`` tells how many more there are."""
+        rows = [{k: v for k, v in r.asDict().items() if v is not None} for r in self.head(most)]
+        out = {"target_id": self.target_id, "generated_at": self.generated_at, "rules_run": self.rules_run, "counts": self.counts, "findings": rows}
+        return out | ({"left_out": self.total - len(rows)} if len(rows) < self.total else {})
 
-    def render(self, fail_on: str = "block") -> str:
-        """Markdown."""
+    def render(self, fail_on: str = "block", most: int = HEAD) -> str:
+        """Markdown of the counts and the first findings."""
         c = self.counts
         out = [
             f"# Audit of {self.target_id}", "", f"- generated: {self.generated_at}", f"- rules: {', '.join(self.rules_run) or '(none)'}",
             f"- verdict: **{'blocked' if self.exit_code(fail_on) else 'passed'}** (fail-on={fail_on})",
             f"- counts: BLOCK {c[BLOCK]}, WARN {c[WARN]}, INFO {c[INFO]}", "",
         ]
-        titles, before = {BLOCK: "To be mended (stops the export)", WARN: "To be looked at", INFO: "Notes and skipped checks"}, None
-        for r in self.sorted().toLocalIterator():
+        titles, before, rows = {BLOCK: "To be mended (stops the export)", WARN: "To be looked at", INFO: "Notes and skipped checks"}, None, self.head(most)
+        for r in rows:
             if r["severity"] != before:
                 before = r["severity"]
                 out += [f"## {titles[before]} ({c[before]})", ""]
@@ -78,11 +92,16 @@ class Report:
                 out.append(f"  - expected: `{r['expected']}`, actual: `{r['actual']}`")
         if before is None:
             out.append("Nothing found.")
+        if len(rows) < self.total:
+            out += ["", f"{self.total - len(rows)} more findings are in `findings/`."]
         return "\n".join(out) + "\n"
 
     def write(self, folder: str | Path, fail_on: str = "block") -> None:
+        """The report, its JSON, and if these leave findings out all of them as JSON lines, written by the executors."""
         folder = Path(folder)
         folder.mkdir(parents=True, exist_ok=True)
+        if self.total > HEAD:
+            self.sorted().write.mode("overwrite").json(str(folder / "findings"))
         (folder / "review_report.md").write_text(self.render(fail_on), encoding="utf-8")
         (folder / "review_findings.json").write_text(json.dumps(self.to_dict(), ensure_ascii=False, indent=2), encoding="utf-8")
 
@@ -106,7 +125,7 @@ def run_review(ctx: Context, semantic: Callable[[dict], list[dict]] | None = Non
             continue
         run.append(rule)
         try:
-            parts.append(materialize(plan(ctx).coalesce(8), f"findings-{rule}"))
+            parts.append(materialize(plan(ctx), f"findings-{rule}"))
         except Exception as error:  # noqa: BLE001
             parts.append(note(ctx, rule, INFO, f"the rule failed and says nothing: {str(error)[:300]}"))
     if semantic is not None:

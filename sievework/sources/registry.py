@@ -1,8 +1,8 @@
 """The candidate registry: an append-only set of Parquet batches, latest row wins.
 
-A write adds one batch and rewrites nothing.  A read keeps, per design, the
-row of the last batch (the last one in it, if it repeats the id) and the
-first ``created_at``.  Columns that an old batch lacks read null.
+A write adds one batch and rewrites nothing.  A read is one scan and keeps,
+per design, the row of the last batch (the last one in it, if it repeats the
+id) and the first ``created_at``.  Columns that an old batch lacks read null.
 ``compact`` replaces the batches by one.
 """
 
@@ -44,26 +44,38 @@ class Registry:
         names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.path))]
         return sorted(int(n[len(_BATCH) :]) for n in names if n.startswith(_BATCH) and self._fs.exists(self._path(f"{self.path}/{n}/_SUCCESS")))
 
-    def _read(self, numbers: list[int]) -> DataFrame:
-        parts = []
-        for n in numbers:
-            part = self.spark.read.parquet(f"{self.path}/{_BATCH}{n:09d}")
-            parts.append(part.withColumn("_batch", F.lit(n)) if "_batch" not in part.columns else part)
-        empty = self.spark.createDataFrame([], T.StructType([*schema.DESIGNS, T.StructField("_seq", T.LongType()), T.StructField("_batch", T.LongType())]))
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts, empty).select(*empty.columns)
+    def _rows(self) -> DataFrame:
+        """All rows of all batches with ``_seq`` and ``_batch``, by one scan; columns that a batch lacks read null."""
+        numbers = self.batches()
+        stored = T.StructType([*schema.DESIGNS, T.StructField("_seq", T.LongType())])
+        if not numbers:
+            return self.spark.createDataFrame([], T.StructType([*stored, T.StructField("_batch", T.LongType())]))
+        found = self.spark.read.schema(stored).parquet(*[f"{self.path}/{_BATCH}{n:09d}" for n in numbers])
+        return found.withColumn("_batch", F.regexp_extract("_metadata.file_path", f"/{_BATCH}([0-9]+)/", 1).cast("long"))
+
+    def _latest(self, rows: DataFrame, only: Column | None = None) -> DataFrame:
+        """The last row of every design, if ``only`` holds for it.
+
+        The winners are chosen on narrow rows; of the wide ones only those
+        that may be wanted are joined to them.
+        """
+        winners = rows.groupBy(F.col("design_id").alias("_id")).agg(F.max(F.struct("_batch", "_seq")).alias("_last"), F.min("created_at").alias("_created"))
+        wanted = rows if only is None else rows.where(only)
+        same = (wanted["design_id"] == F.col("_id")) & (wanted["_batch"] == F.col("_last._batch")) & (wanted["_seq"] == F.col("_last._seq"))
+        return wanted.join(winners, same).withColumn("created_at", F.col("_created")).select(*schema.DESIGNS.names)
 
     def read(self) -> DataFrame:
         """All designs, one row each."""
-        return latest(self._read(self.batches()), "design_id", ["_batch", "_seq"])
+        return self._latest(self._rows())
 
     def query_target(self, target_id: str, stage: str = "all") -> DataFrame:
         """Designs of a target; a named stage matches exactly, so a null stage matches none."""
-        found = self.read().where(F.col("target_id") == target_id)
-        return found if stage == "all" else found.where(F.col("stage") == stage)
+        only = F.col("target_id") == target_id
+        return self._latest(self._rows(), only if stage == "all" else only & (F.col("stage") == stage))
 
     def get(self, design_id: str) -> dict | None:
         """One design as a dict, or None; the filter reaches the Parquet scan."""
-        rows = latest(self._read(self.batches()).where(F.col("design_id") == design_id), "design_id", ["_batch", "_seq"]).take(1)
+        rows = self._latest(self._rows().where(F.col("design_id") == design_id)).take(1)
         return rows[0].asDict() if rows else None
 
     def _write(self, rows: DataFrame, number: int) -> None:

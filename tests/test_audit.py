@@ -5,6 +5,7 @@ import pytest
 
 from sievework.cli import main
 from sievework.operators.rules import BLOCK, INFO, RULES, WARN
+from sievework.plans import review
 from sievework.plans.export import ExportBlocked, export
 from sievework.plans.review import build_context, run_review
 from tests.cases import DEFECTS, OVERALL, TARGET, make
@@ -107,3 +108,12 @@ def test_review_command(spark, corrupt, tmp_path, monkeypatch):
     assert main(args, spark) == 1
     assert main([*args, "--fail-on", "none"], spark) == 0
     assert (tmp_path / "review_report.md").exists()
+
+
+def test_a_long_report_tells_what_it_leaves_out(corrupt_report, tmp_path, monkeypatch):
+    monkeypatch.setattr(review, "HEAD", 5)
+    assert len(corrupt_report.to_dict(5)["findings"]) == 5 and corrupt_report.to_dict(5)["left_out"] == corrupt_report.total - 5
+    assert f"{corrupt_report.total - 5} more findings" in corrupt_report.render(most=5)
+    corrupt_report.write(tmp_path)
+    lines = [json.loads(x) for p in sorted((tmp_path / "findings").glob("part-*")) for x in p.read_text().splitlines()]
+    assert len(lines) == corrupt_report.total and lines == corrupt_report.to_dict(10**6)["findings"]
