@@ -38,15 +38,8 @@ def slices(batches, rows: int = 256):
             yield batch.slice(at, rows)
 
 
-#: Rows of an Arrow batch at most: texts can be long, and a batch is held by Spark and by the worker.
-BATCH_ROWS = 2_000
-
-
 def map_batches(df, run, schema):
-    """``df.mapInArrow`` with batches of ``BATCH_ROWS`` rows at most, by a function that gives its memory back."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
-        conf.set(key, str(BATCH_ROWS))
+    """``df.mapInArrow`` by a function that gives its memory back; ``run`` cuts the batches with ``slices``, so the session's batch size stays the caller's."""
     return df.mapInArrow(tidy(run), schema)
 
 
