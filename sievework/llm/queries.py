@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import ann, bpe, mixing, pii, quality_model, quality_rules, simhash, toxicity, url_tree, warc
+from sievework.llm import ann, bpe, filter_audit, jaccard, mixing, pii, quality_model, quality_rules, simhash, toxicity, url_tree, warc
 from sievework.llm import pipeline as stages
 
 
@@ -65,6 +65,16 @@ def op10_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(_table(spark, sf_dir, "documents"), pii.train())
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove at every step of every order, by source."""
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of word 4-shingles and component of every document."""
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages over all documents."""
     return stages.run(spark, sf_dir)
@@ -72,6 +82,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "pipeline": pipeline,
+    "op12_jaccard_components": op12_jaccard_components,
+    "op11_filter_audit": op11_filter_audit,
     "op10_pii_crf": op10_pii_crf,
     "op2_ordinal_quality": op2_ordinal_quality,
     "op8_toxicity_cnn": op8_toxicity_cnn,
@@ -156,7 +168,46 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = head THEN 're
 FROM named
 """
 
+#: Every step of every order, from the documents' bits.
+_OP11_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+), firsts AS (
+  SELECT t, min(doc_id) AS first_id FROM texts GROUP BY t
+), split AS (
+  SELECT doc_id, part, t, first_id, list_filter(string_split(translate(t, chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     '), ' '), lambda x: x <> '') AS w
+  FROM texts JOIN firsts USING (t)
+), told AS (
+  SELECT doc_id, max((quality IS NOT DISTINCT FROM 1)::INT) AS good, max((toxic IS NOT DISTINCT FROM 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), bits AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, MAP {
+    'A': len(w) < 50, 'B': 100 * len(list_distinct(w)) < 65 * len(w),
+    'C': 100 * (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 5 * length(t),
+    'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(doc_id > first_id, FALSE)} AS f
+  FROM split LEFT JOIN told USING (doc_id)
+), cells AS (
+  SELECT part, f, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM bits GROUP BY ALL
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT filter_order, s::INT AS step, substr(filter_order, s, 1) AS filter, string_split(substr(filter_order, 1, s - 1), '') AS earlier FROM orders, range(1, 6) r(s)
+), met AS (
+  SELECT part, filter_order, step, filter, n, good, toxic, f[filter] AS fails, coalesce(list_bool_or(list_transform(earlier, lambda x: coalesce(f[x], FALSE))), FALSE) AS gone,
+    len(list_filter(map_values(f), lambda v: v)) AS failed FROM cells, steps
+), counted AS (
+  SELECT part, filter_order, step, filter, coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (fails AND failed = 1), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (fails AND NOT gone), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (fails AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM met GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley, filter FROM counted
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_filter_audit": _OP11_SQL,
     "op1_quality_rules": _OP1_SQL,
     "op3_warc_round_trip": _OP3_SQL,
 }
