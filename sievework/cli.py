@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from sievework.functions import metrics
 from sievework.operators import gates
 from sievework.operators import rank as ranking
+from sievework.operators.structures import structure_pairs
 from sievework.plans.export import ExportBlocked, export
 from sievework.plans.review import build_context, http_reviewer, run_review
 from sievework.plans.shared import materialize
 from sievework.session import get_session
+from sievework.sources import files
 from sievework.sources.config import load_profile, load_yaml, target_id
 from sievework.sources.registry import Registry, decode
 
@@ -39,12 +41,20 @@ def _parser() -> argparse.ArgumentParser:
     add("generate", pipelines=None, budget=2000)
     add("validate", predictors="boltz2,af2multimer", db=None)
     add("filter", profile=(str,), db=None)
-    add("rank", quota=100, cluster_tm=0.6, pairs=None, db=None)
+    add("rank", quota=100, cluster_tm=0.6, pairs=None, keep_clusters=False, db=None)
     add("review", stage="all", profile=None, db=None, runs_root="runs", submission=None, out=None, fail_on="block", semantic=False, semantic_endpoint=None)
     add("export", out=(str,), profile=None, db=None, runs_root="runs", quota=None, fail_on="block", allow_blocked=False)
     return parser
 
 
+def _similar_structures(spark, registry, target, rows, args):
+    """Pairs of the designs' structures at the clusters' similarity; designs without a readable one have none."""
+    bases = build_context(spark, registry, target, target_path=args.target, repo_root=Path.cwd()).bases
+    read = files.traces(rows.select(F.col("structure_path").alias("path")), bases).where("xyz is not null").select(F.col("path").alias("structure_path"), "xyz")
+    traces = rows.select(F.col("design_id").alias("id"), "structure_path").join(read, "structure_path")
+    return materialize(structure_pairs(traces.select("id", "xyz"), args.cluster_tm), "structure-pairs")
+
+
 def main(argv: list[str] | None = None, spark=None) -> int:
     """Run a command; returns the exit code."""
     args = _parser().parse_args(argv)
@@ -81,8 +91,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         rows = rows.withColumns({"final_score": ranking.final_score(F.col("_low"), F.col("predictors_agreeing")), "_missing": ranking.missing_terms(F.col("_low"), F.col("predictors_agreeing"))})
         for r in rows.select(F.explode("_missing").alias("term")).groupBy("term").agg(F.count("*").alias("n")).orderBy("term").collect():  # a row a term of the score
             print(f"[rank] warning: {r['n']} designs have no {r['term']}; it counts as 0", file=sys.stderr)
-        if args.pairs:  # similarity of structures, computed outside
-            clusters = ranking.leader_clusters(spark.read.parquet(args.pairs), rows.select(F.col("design_id").alias("id"), F.col("final_score").alias("score")), args.cluster_tm)
+        if not args.keep_clusters:
+            pairs = spark.read.parquet(args.pairs) if args.pairs else _similar_structures(spark, registry, target, rows, args)
+            clusters = ranking.leader_clusters(pairs, rows.select(F.col("design_id").alias("id"), F.col("final_score").alias("score")), args.cluster_tm)
             rows = rows.drop("cluster_id").join(ranking.number_clusters(clusters).withColumnRenamed("id", "design_id"), "design_id")
         rows = materialize(rows, "ranked")
         chosen = materialize(ranking.round_robin(rows, args.quota, reserve=0.15).select("design_id", F.lit(True).alias("_chosen")), "chosen")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from sievework import schema
 from sievework.functions import metrics, sequences
+from sievework.operators.ancestry import CYCLE, ancestry
 from sievework.plans.provenance import verify_artifacts
 from sievework.plans.shared import materialize
 from sievework.sources import files
@@ -80,7 +81,6 @@ def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-
 def _id() -> Column:
     return F.col("design_id")
 
@@ -94,11 +94,14 @@ def lineage(ctx: Context) -> DataFrame:
     other = d.where(~F.col("target_id").eqNullSafe(F.lit(ctx.target_id)))
     child = d.where(F.coalesce("parent_id", F.lit("")) != "")
     orphan = child.join(d.select(F.col("design_id").alias("parent_id")), "parent_id", "left_anti")
+    rings = d.select("design_id", F.nullif("parent_id", F.lit("")).alias("parent_id"))
+    ring = ancestry(rings).where(F.col("ends") == CYCLE).select(F.col("id").alias("design_id"))
     return union(
         [
             finding(stray, "R1", BLOCK, "config_hash matches no present configuration", _id(), expected="hash of a configuration", actual=F.col("config_hash")),
             finding(other, "R1", BLOCK, "target_id isn't the audited target", _id(), expected=ctx.target_id, actual=F.col("target_id")),
             finding(orphan, "R1", BLOCK, "parent_id isn't in the registry", _id(), expected="a registered design_id", actual=F.col("parent_id")),
+            finding(ring, "R1", BLOCK, "the parents run in a ring", _id(), expected="a first ancestor"),
         ]
     )
 

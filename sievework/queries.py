@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sievework.functions import align, metrics, sequences, stats
-from sievework.operators import rank
+from sievework.operators import hierarchy, rank, structures
+from sievework.operators.ancestry import ancestry
 from sievework.sources.registry import latest
 from sievework.streaming.events import window_counts
 
@@ -455,14 +456,38 @@ def leader_clusters(spark, sf_dir):
 
 @query(
     "lineage_depth",
-    """WITH RECURSIVE t AS (SELECT conv_id, turn, 0 AS depth FROM conversations WHERE turn = 0 UNION SELECT c.conv_id, c.turn, t.depth + 1 FROM conversations c JOIN t ON c.conv_id = t.conv_id AND c.turn = t.turn + 1)
-       SELECT conv_id, max(depth) AS depth FROM t GROUP BY conv_id""",
+    """WITH RECURSIVE n AS (SELECT o_orderkey AS id, CASE WHEN o_custkey % 10 > 0 THEN (o_orderkey * o_orderkey + o_custkey) % (SELECT max(o_orderkey) + max(o_orderkey) // 5 FROM orders) END AS parent FROM orders),
+       t AS (SELECT id, id AS root, 0::BIGINT AS depth, CASE WHEN parent IS NULL THEN 'root' ELSE 'orphan' END AS ends FROM n WHERE parent IS NULL OR parent NOT IN (SELECT id FROM n)
+         UNION ALL SELECT n.id, t.root, t.depth + 1, t.ends FROM n JOIN t ON n.parent = t.id)
+       SELECT id, root, depth, ends FROM t UNION ALL SELECT id, NULL, NULL, 'cycle' FROM n WHERE id NOT IN (SELECT id FROM t)""",
 )
 def lineage_depth(spark, sf_dir):
-    """Length of each chain from its first turn: gaps and islands instead of a loop over levels."""
-    c = _t(spark, sf_dir, "conversations").select("conv_id", "turn").distinct()
-    run = c.withColumn("gap", F.col("turn") - F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) + 1).where("gap = 0 and turn >= 0")
-    return run.groupBy("conv_id").agg(F.max("turn").cast("int").alias("depth"))
+    """Orders with parents by a rule that makes chains, gaps and rings."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    span = o.agg((F.max("o_orderkey") + F.floor(F.max("o_orderkey") / 5)).alias("span"))  # one row
+    parent = F.when(F.col("o_custkey") % 10 > 0, (F.col("o_orderkey") * F.col("o_orderkey") + F.col("o_custkey")) % F.col("span"))
+    return ancestry(o.join(F.broadcast(span)).select(F.col("o_orderkey").alias("id"), parent.alias("parent")), "id", "parent")
+
+
+@query(
+    "linkage_cuts",
+    """WITH RECURSIVE e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), c AS (SELECT unnest([0.30, 0.35, 0.45]::DOUBLE[]) AS cut),
+       p AS (SELECT a.vec_id AS a, b.vec_id AS b, list_cosine_similarity(a.v, b.v) AS s FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.3),
+       r AS (SELECT cut, vec_id AS id, vec_id AS cluster FROM embeddings, c UNION SELECT r.cut, p.b, r.cluster FROM r JOIN p ON r.id = p.a AND p.s >= r.cut AND r.cluster < p.b)
+       SELECT id, cut, min(cluster) AS cluster FROM r GROUP BY id, cut""",
+)
+def linkage_cuts(spark, sf_dir):
+    """Single-linkage clusters of the vectors of a label at three similarities."""
+    pairs = rank.similar_pairs(_by_label(spark, sf_dir), ["label"], 0.3)
+    return hierarchy.single_linkage(pairs, _t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id")), [0.30, 0.35, 0.45])
+
+
+@query("structure_pairs")
+def structure_pairs(spark, sf_dir):
+    """Vectors as traces of residues, three components a place: the similar ones of a label; tested against a plain loop."""
+    whole = F.floor(F.size("embedding") / 3) * 3
+    traces = _t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "label", F.slice("embedding", F.lit(1), whole.cast("int")).alias("xyz"))
+    return structures.structure_pairs(traces.withColumn("xyz", F.transform("xyz", lambda v: v * 10.0)), 0.5, ("label",)).withColumn("similarity", F.round("similarity", 6))
 
 
 @query("event_window_counts", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL")

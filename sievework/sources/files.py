@@ -133,9 +133,9 @@ def predictor_metrics(paths: DataFrame, bases: list[str]) -> DataFrame:
     return _per_path(paths, one, "found string, values map<string,double>", [pa.string(), pa.map_(pa.string(), pa.float64())], ["found", "values"])
 
 
-def binder_sequence(text: str) -> str | None:
-    """Sequence of chain B, or else of the shortest chain, in the first model of PDB text; X for other residues; None without chains."""
-    chains: dict[str, dict[tuple, str]] = {}
+def binder_chain(text: str) -> list[tuple[str, tuple[float, float, float] | None]] | None:
+    """(residue, CA place) along chain B, or else the shortest chain, in the first model of PDB text; X for other residues; None without chains."""
+    chains: dict[str, dict[tuple, list]] = {}
     sizes: dict[str, set] = {}
     for line in text.splitlines():
         kind = line[:6]
@@ -146,11 +146,20 @@ def binder_sequence(text: str) -> str | None:
             sizes.setdefault(chain, set()).add(place)
             chains.setdefault(chain, {})
             if kind == "ATOM  ":
-                chains[chain].setdefault(place, RESIDUES.get(line[17:20].strip(), "X"))
+                residue = chains[chain].setdefault(place, [RESIDUES.get(line[17:20].strip(), "X"), None])
+                if line[12:16].strip() == "CA" and residue[1] is None:
+                    residue[1] = line[30:54]
     if not chains:
         return None
     chosen = "B" if "B" in chains else min(chains, key=lambda c: len(sizes[c]))
-    return "".join(chains[chosen].values())
+    at = lambda x: tuple(float(x[i : i + 8]) for i in (0, 8, 16)) if x else None
+    return [(letter, at(where)) for letter, where in chains[chosen].values()]
+
+
+def binder_sequence(text: str) -> str | None:
+    """Sequence of the binder's chain; None without chains."""
+    chain = binder_chain(text)
+    return None if chain is None else "".join(letter for letter, _ in chain)
 
 
 def structures(paths: DataFrame, bases: list[str]) -> DataFrame:
@@ -171,6 +180,22 @@ def structures(paths: DataFrame, bases: list[str]) -> DataFrame:
     return _per_path(paths, one, "found string, sequence string, error string", [pa.string()] * 3, ["found", "sequence", "error"])
 
 
+def traces(paths: DataFrame, bases: list[str]) -> DataFrame:
+    """(path, found, xyz): places of the CA atoms of the binder's chain, one after another; null where none can be read."""
+
+    def one(path: str) -> tuple:
+        where = find(path, bases)
+        if where is None or not where.lower().endswith(".pdb"):
+            return where, None
+        try:
+            chain = binder_chain(read_text(where)) or []
+        except (OSError, ValueError):
+            return where, None
+        return where, [x for _, place in chain if place for x in place] or None
+
+    return _per_path(paths, one, "found string, xyz array<double>", [pa.string(), pa.list_(pa.float64())], ["found", "xyz"])
+
+
 def read_fasta(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(file, header, sequence) of FASTA files; wrapped lines are joined, records without sequence are left out.
 
