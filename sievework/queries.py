@@ -15,7 +15,8 @@ from pyspark.sql.window import Window
 from sievework.functions import align, metrics, sequences, stats
 from sievework.operators import hierarchy, rank, structures
 from sievework.operators.ancestry import ancestry
-from sievework.sources.registry import latest
+from sievework.plans.shared import new_path
+from sievework.sources.registry import Registry
 from sievework.streaming.events import window_counts
 
 QUERIES: dict[str, object] = {}
@@ -78,12 +79,20 @@ def stage_scan(spark, sf_dir):
 
 @query(
     "upsert_latest",
-    """SELECT l_orderkey, l_partkey, l_quantity, first_ship FROM (SELECT l_orderkey, l_partkey, l_quantity, min(l_shipdate) OVER (PARTITION BY l_orderkey) AS first_ship,
-         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) AS rn FROM lineitem) WHERE rn = 1""",
+    """SELECT user_id::VARCHAR AS design_id, event_type AS stage, event_id AS seed, CAST(value AS DOUBLE) AS final_score FROM (
+         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id % 3 DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
 )
 def upsert_latest(spark, sf_dir):
-    rows = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", F.col("l_shipdate").alias("first_ship"), F.col("l_linenumber").alias("_batch"), F.struct("l_partkey", "l_suppkey", "l_extendedprice").alias("_seq"))
-    return latest(rows, "l_orderkey", ["_batch", "_seq"], "first_ship")
+    """Users as designs that three upserts and a compaction leave, all events being rows of one of the upserts."""
+    registry = Registry(spark, new_path(spark, "registry"))
+    fixed = {c: F.lit("x") for c in ("modality", "pipeline", "config_hash", "sequence")} | {"length": F.lit(1), "target_id": F.col("event_type")}
+    rows = _t(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("design_id"), "event_type", "event_id", "value").withColumns(fixed)
+    rows = rows.withColumns({"stage": F.col("event_type"), "seed": F.col("event_id").cast("int"), "final_score": F.col("value").cast("double"), "_seq": F.col("event_id")})
+    for turn in range(3):
+        registry.upsert(rows.where(F.col("event_id") % 3 == turn))
+        if turn == 1:
+            registry.compact()
+    return registry.read().select("design_id", "stage", F.col("seed").cast("long").alias("seed"), "final_score")
 
 
 @query(

@@ -1,14 +1,22 @@
-"""The candidate registry: an append-only set of Parquet batches, latest row wins.
-
-A write adds one batch and rewrites nothing.  A read is one scan and keeps,
-per design, the row of the last batch (the last one in it, if it repeats the
-id) and the first ``created_at``.  Columns that an old batch lacks read null.
-``compact`` replaces the batches by one.
+"""The candidate registry: Parquet batches that are only ever added, latest row wins.
+
+A write adds one folder ``batch=<number>-<suffix>``, partitioned by target,
+and touches no other.  The number is one more than the greatest there; the
+random suffix keeps writers apart that see the same batches, so none can
+overwrite another's.  Every row carries the batch it came with (``_at``) and
+its place in it (``_seq``); a read is one scan of the finished batches and
+keeps, per design, the row that is last by these, and the first
+``created_at``.  Columns that an old batch lacks read null.  ``compact``
+copies the rows that are last, with their ``_at``, into a new batch and
+removes the batches it read; what others add meanwhile stays, and stays
+newer or older as it was.  A read that began before a compaction ended may
+miss its files and must be made again.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterable
 from functools import reduce
 
@@ -17,16 +25,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievework import schema
+from sievework.plans.shared import materialize
 
-_BATCH = "batch-"
-
-
-def latest(rows: DataFrame, key: str, order: list[str], created: str | None = "created_at") -> DataFrame:
-    """One row per key, the greatest by ``order``; ``created`` keeps its least value."""
-    names = [c for c in rows.columns if c not in order]
-    newest = F.max_by(F.struct(*[c for c in names if c != key]), F.struct(*order)).alias("_row")
-    grouped = rows.groupBy(key).agg(newest, *([F.min(created).alias("_created")] if created else []))
-    return grouped.select(*[F.col(key) if c == key else F.col("_created").alias(c) if c == created else F.col(f"_row.{c}").alias(c) for c in names])
+_BATCH = "batch="
+_PLACE = [T.StructField("_at", T.StringType()), T.StructField("_seq", T.LongType())]
 
 
 class Registry:
@@ -39,68 +41,75 @@ class Registry:
         self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         self._fs.mkdirs(self._path(self.path))
 
-    def batches(self) -> list[int]:
-        """Numbers of the finished batches."""
+    def batches(self) -> list[str]:
+        """Names of the finished batches, in the order of their numbers."""
         names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.path))]
-        return sorted(int(n[len(_BATCH) :]) for n in names if n.startswith(_BATCH) and self._fs.exists(self._path(f"{self.path}/{n}/_SUCCESS")))
+        return sorted(n[len(_BATCH) :] for n in names if n.startswith(_BATCH) and self._fs.exists(self._path(f"{self.path}/{n}/_SUCCESS")))
 
-    def _rows(self) -> DataFrame:
-        """All rows of all batches with ``_seq`` and ``_batch``, by one scan; columns that a batch lacks read null."""
-        numbers = self.batches()
-        stored = T.StructType([*schema.DESIGNS, T.StructField("_seq", T.LongType())])
-        if not numbers:
-            return self.spark.createDataFrame([], T.StructType([*stored, T.StructField("_batch", T.LongType())]))
-        found = self.spark.read.schema(stored).parquet(*[f"{self.path}/{_BATCH}{n:09d}" for n in numbers])
-        return found.withColumn("_batch", F.regexp_extract("_metadata.file_path", f"/{_BATCH}([0-9]+)/", 1).cast("long"))
+    def _rows(self, batches: list[str]) -> DataFrame:
+        """All rows of some batches with ``_at`` and ``_seq``, by one scan; columns that a batch lacks read null."""
+        stored = T.StructType([*schema.DESIGNS, *_PLACE])
+        if not batches:
+            return self.spark.createDataFrame([], stored)
+        found = self.spark.read.schema(stored).option("basePath", self.path).parquet(*[f"{self.path}/{_BATCH}{n}" for n in batches])
+        return found.select(*stored.names)
 
-    def _latest(self, rows: DataFrame, only: Column | None = None) -> DataFrame:
-        """The last row of every design, if ``only`` holds for it.
+    def _last(self, rows: DataFrame, only: Column | None = None) -> DataFrame:
+        """The last row of every design with its place, if ``only`` holds for it.
 
         The winners are chosen on narrow rows; of the wide ones only those
         that may be wanted are joined to them.
         """
-        winners = rows.groupBy(F.col("design_id").alias("_id")).agg(F.max(F.struct("_batch", "_seq")).alias("_last"), F.min("created_at").alias("_created"))
+        winners = rows.groupBy(F.col("design_id").alias("_id")).agg(F.max(F.struct("_at", "_seq")).alias("_won"), F.min("created_at").alias("_created"))
         wanted = rows if only is None else rows.where(only)
-        same = (wanted["design_id"] == F.col("_id")) & (wanted["_batch"] == F.col("_last._batch")) & (wanted["_seq"] == F.col("_last._seq"))
-        return wanted.join(winners, same).withColumn("created_at", F.col("_created")).select(*schema.DESIGNS.names)
+        same = (wanted["design_id"] == F.col("_id")) & (wanted["_at"] == F.col("_won._at")) & (wanted["_seq"] == F.col("_won._seq"))
+        return wanted.join(winners, same).withColumn("created_at", F.col("_created")).select(*schema.DESIGNS.names, "_at", "_seq")
+
+    def _latest(self, only: Column | None = None) -> DataFrame:
+        return self._last(self._rows(self.batches()), only).drop("_at", "_seq")
 
     def read(self) -> DataFrame:
         """All designs, one row each."""
-        return self._latest(self._rows())
+        return self._latest()
 
     def query_target(self, target_id: str, stage: str = "all") -> DataFrame:
-        """Designs of a target; a named stage matches exactly, so a null stage matches none."""
+        """Designs of a target, of whose partitions alone wide rows are read; a named stage matches exactly, so a null stage matches none."""
         only = F.col("target_id") == target_id
-        return self._latest(self._rows(), only if stage == "all" else only & (F.col("stage") == stage))
+        return self._latest(only if stage == "all" else only & (F.col("stage") == stage))
 
     def get(self, design_id: str) -> dict | None:
         """One design as a dict, or None; the filter reaches the Parquet scan."""
-        rows = self._latest(self._rows().where(F.col("design_id") == design_id)).take(1)
+        rows = self._last(self._rows(self.batches()).where(F.col("design_id") == design_id)).drop("_at", "_seq").take(1)
         return rows[0].asDict() if rows else None
 
-    def _write(self, rows: DataFrame, number: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/{_BATCH}{number:09d}")
+    def _write(self, rows: DataFrame, number: int) -> str:
+        """Add a batch of rows with ``_seq``; rows without ``_at`` came with this one."""
+        name = f"{number:09d}-{uuid.uuid4().hex[:12]}"
+        placed = rows if "_at" in rows.columns else rows.withColumn("_at", F.lit(name))
+        placed.hint("rebalance", "target_id").write.partitionBy("target_id").parquet(f"{self.path}/{_BATCH}{name}")
+        return name
 
     def upsert(self, rows: DataFrame) -> None:
         """Insert or overwrite all columns but the key and ``created_at``, with null where the input has none.
 
         Rows that repeat an id must say which is last by a column ``_seq``,
-        different for each; else they are refused.
+        different for each; else they are refused.  The input's plan runs
+        once; its result is checked on narrow columns before it is added.
         """
         missing = [c for c in schema.NOT_NULL if c not in rows.columns]
         if missing:
             raise ValueError(f"columns without a value: {', '.join(missing)}")
-        bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in schema.NOT_NULL])
-        if not rows.where(bad).isEmpty():
-            raise ValueError(f"null in one of: {', '.join(schema.NOT_NULL)}")
-        order = ["_seq"] if "_seq" in rows.columns else []
-        if not rows.groupBy("design_id", *order).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-            raise ValueError("a design_id is repeated and nothing says which row is last")
         types = {f.name: f.dataType for f in schema.DESIGNS}
         columns = [F.col(c).cast(types[c]).alias(c) if c in rows.columns else F.lit(schema.DEFAULTS.get(c)).cast(types[c]).alias(c) for c in schema.COLUMNS]
         seq = F.col("_seq").cast("long") if "_seq" in rows.columns else F.lit(0).cast("long")
-        numbers = self.batches()
-        self._write(rows.select(*columns, F.current_timestamp().alias("created_at"), seq.alias("_seq")), (numbers[-1] if numbers else 0) + 1)
+        ready = materialize(rows.select(*columns, F.current_timestamp().alias("created_at"), seq.alias("_seq")), "upsert")
+        bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in schema.NOT_NULL], F.col("target_id") == "")
+        if not ready.where(bad).isEmpty():
+            raise ValueError(f"null in one of: {', '.join(schema.NOT_NULL)}; or an empty target_id")
+        if not ready.groupBy("design_id", "_seq").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+            raise ValueError("a design_id is repeated and nothing says which row is last")
+        numbers = [int(n.split("-")[0]) for n in self.batches()]
+        self._write(ready, max(numbers, default=0) + 1)
 
     def update(self, changes: DataFrame) -> None:
         """Set the given columns of registered designs, by ``design_id``; all other columns stay as they are stored."""
@@ -125,12 +134,12 @@ class Registry:
         return len(rows)
 
     def compact(self) -> None:
-        """Replace all batches by one with the same rows."""
-        numbers = self.batches()
-        if len(numbers) > 1:
-            self._write(self.read().withColumn("_seq", F.lit(0).cast("long")), numbers[-1] + 1)
-            for n in numbers:
-                self._fs.delete(self._path(f"{self.path}/{_BATCH}{n:09d}"), True)
+        """Replace the batches that are there by one with the rows that are last."""
+        read = self.batches()
+        if len(read) > 1:
+            self._write(self._last(self._rows(read)), int(read[-1].split("-")[0]))
+            for n in read:
+                self._fs.delete(self._path(f"{self.path}/{_BATCH}{n}"), True)
 
 
 def _number(value: Column) -> Column:

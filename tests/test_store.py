@@ -1,5 +1,7 @@
 import json
+import threading
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -37,6 +39,60 @@ def test_old_batches_read_null_in_added_columns(spark, tmp_path):
     assert r.get("old")["run_id"] is None and r.read().count() == 2
 
 
+def test_two_writers_at_once_lose_nothing(spark, tmp_path, monkeypatch):
+    """Both list the same batches before either writes."""
+    r, barrier, plain = Registry(spark, str(tmp_path / "r")), threading.Barrier(2, timeout=120), Registry._write
+    r.upsert_many([ROW | {"design_id": "old"}])
+
+    def write(self, rows, number):
+        barrier.wait()
+        return plain(self, rows, number)
+
+    monkeypatch.setattr(Registry, "_write", write)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda x: Registry(spark, r.path).upsert_many([ROW | {"design_id": x}, ROW | {"design_id": "both", "sequence": x}]), ["x1", "x2"]))
+    rows = {x["design_id"]: x["sequence"] for x in r.read().collect()}
+    assert rows.keys() == {"old", "x1", "x2", "both"} and rows["both"] in ("x1", "x2") and len(r.batches()) == 3
+
+
+def test_a_write_during_a_compaction_stays_newer(spark, tmp_path, monkeypatch):
+    """A writer lists batches, others write and compact, then it writes: its row is as new as its number says."""
+    r, plain, done = Registry(spark, str(tmp_path / "r")), Registry._write, []
+    r.upsert_many([ROW | {"sequence": "one"}])
+
+    def write(self, rows, number):
+        if not done:
+            done.append(1)
+            r.upsert_many([ROW | {"design_id": "b"}])
+            r.compact()
+            assert len(r.batches()) == 1
+        return plain(self, rows, number)
+
+    monkeypatch.setattr(Registry, "_write", write)
+    r.upsert_many([ROW | {"sequence": "two"}])
+    assert r.get("a")["sequence"] == "two" and r.get("b") and r.read().count() == 2
+    r.compact()
+    r.compact()
+    assert len(r.batches()) == 1 and r.get("a")["sequence"] == "two"
+
+
+def test_an_upsert_runs_its_input_once_and_moves_targets(spark, tmp_path):
+    r, met = Registry(spark, str(tmp_path / "r")), spark.sparkContext.accumulator(0)
+    rows = spark.createDataFrame([tuple(ROW.values())] * 1, list(ROW))
+    counted = F.udf(lambda x: met.add(1) or x)
+    r.upsert(rows.withColumn("design_id", counted("design_id")))
+    assert met.value == 1
+    r.upsert_many([ROW | {"target_id": "other one/2"}])
+    assert r.query_target("t").isEmpty() and r.query_target("other one/2").first()["design_id"] == "a"
+    with pytest.raises(ValueError):
+        r.upsert_many([ROW | {"target_id": ""}])
+    with pytest.raises(ValueError):
+        r.upsert(spark.createDataFrame([tuple(ROW.values())] * 2, list(ROW)))
+    assert len(r.batches()) == 2
+    plan = r.query_target("t")._jdf.queryExecution().executedPlan().toString()
+    assert "target_id#" in plan and "PartitionFilters: [isnotnull(target_id" in plan
+
+
 def test_decode_json_columns(spark, tmp_path):
     r = Registry(spark, str(tmp_path / "r"))
     r.upsert_many([ROW | {"metrics": '{"iPTM": 0.9, "s": "0.5", "b": true, "n": null}', "final_score": float("nan")}, ROW | {"design_id": "b", "metrics": "{broken"}])
