@@ -14,6 +14,7 @@ from sievework.operators.rules import BLOCK, INFO, RANK, RULES, WARN, Context, n
 from sievework.plans.provenance import read_manifests, utc_now
 from sievework.plans.shared import materialize
 from sievework.sources.config import config_hashes, load_profile, load_yaml
+from sievework.sources.files import open_uri, write_text
 from sievework.sources.registry import Registry, decode
 
 
@@ -98,12 +99,13 @@ class Report:
 
     def write(self, folder: str | Path, fail_on: str = "block") -> None:
         """The report, its JSON, and if these leave findings out all of them as JSON lines, written by the executors."""
-        folder = Path(folder)
-        folder.mkdir(parents=True, exist_ok=True)
+        folder = str(folder).rstrip("/")
+        system, path = open_uri(folder)
+        system.create_dir(path)
         if self.total > HEAD:
-            self.sorted().write.mode("overwrite").json(str(folder / "findings"))
-        (folder / "review_report.md").write_text(self.render(fail_on), encoding="utf-8")
-        (folder / "review_findings.json").write_text(json.dumps(self.to_dict(), ensure_ascii=False, indent=2), encoding="utf-8")
+            self.sorted().write.mode("overwrite").json(f"{folder}/findings")
+        write_text(f"{folder}/review_report.md", self.render(fail_on))
+        write_text(f"{folder}/review_findings.json", json.dumps(self.to_dict(), ensure_ascii=False, indent=2))
 
 
 def artifacts_summary(ctx: Context) -> dict:

@@ -33,7 +33,8 @@ RESIDUES = {
 }
 
 
-def _open(uri: str):
+def open_uri(uri: str):
+    """(file system, path on it) of a URI or a local path."""
     from pyarrow import fs
 
     system, path = fs.FileSystem.from_uri(uri if "://" in uri else posixpath.abspath(uri))
@@ -47,14 +48,14 @@ def find(path: str | None, bases: list[str]) -> str | None:
     if not path:
         return None
     for place in [path] if path.startswith("/") or "://" in path else [f"{base.rstrip('/')}/{path}" for base in bases]:
-        system, full = _open(place)
+        system, full = open_uri(place)
         if system.get_file_info(full).type != fs.FileType.NotFound:
             return place
     return None
 
 
 def sha256_file(uri: str, chunk: int = 1 << 20) -> str:
-    system, path = _open(uri)
+    system, path = open_uri(uri)
     digest = hashlib.sha256()
     with system.open_input_stream(path, compression=None) as stream:
         while block := stream.read(chunk):
@@ -63,11 +64,27 @@ def sha256_file(uri: str, chunk: int = 1 << 20) -> str:
 
 
 def read_text(uri: str) -> str:
-    system, path = _open(uri)
+    system, path = open_uri(uri)
     with system.open_input_stream(path, compression=None) as stream:
         return stream.read().decode("utf-8")
 
 
+def write_text(uri: str, text: str) -> None:
+    """Write a text file, in place of one that is there."""
+    system, path = open_uri(uri)
+    with system.open_output_stream(path, compression=None) as out:
+        out.write(text.encode("utf-8"))
+
+
+def remove_tree(uri: str) -> None:
+    """Delete a folder and all in it, if it is there."""
+    from pyarrow import fs
+
+    system, path = open_uri(uri)
+    if system.get_file_info(path).type == fs.FileType.Directory:
+        system.delete_dir(path)
+
+
 def _per_path(paths: DataFrame, one: Callable[[str], tuple], schema: str, types: list[pa.DataType], names: list[str]) -> DataFrame:
     """``one`` for every different non-null value of column ``path``."""
 
@@ -89,7 +106,7 @@ def probe(paths: DataFrame, bases: list[str], hashed: bool = False) -> DataFrame
         where = find(path, bases)
         if where is None:
             return None, None, None
-        system, full = _open(where)
+        system, full = open_uri(where)
         info = system.get_file_info(full)
         if info.type != fs.FileType.File:
             return (where if info.type == fs.FileType.Directory else None), None, None

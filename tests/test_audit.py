@@ -6,6 +6,7 @@ import pytest
 from sievework.cli import main
 from sievework.operators.rules import BLOCK, INFO, RULES, WARN
 from sievework.plans import review
+from sievework.plans import export as plan
 from sievework.plans.export import ExportBlocked, export
 from sievework.plans.review import build_context, run_review
 from tests.cases import DEFECTS, OVERALL, TARGET, make
@@ -98,10 +99,24 @@ def test_export_gate(spark, clean, corrupt, tmp_path):
     assert "diffusion`: 3" in (tmp_path / "good" / "METHODS.md").read_text()
     with pytest.raises(ExportBlocked):
         export(spark, corrupt.registry, TARGET, tmp_path / "bad", **more(corrupt))
-    assert (tmp_path / "bad" / ".UNVERIFIED").exists()
+    assert (tmp_path / "bad" / ".UNVERIFIED").exists() and not (tmp_path / "bad" / ".VERIFIED").exists()
+    with pytest.raises(ExportBlocked, match="stays"):  # the verified package isn't replaced
+        export(spark, corrupt.registry, TARGET, tmp_path / "good", **more(corrupt))
+    assert (tmp_path / "good" / ".VERIFIED").exists() and (tmp_path / "good.staged" / ".UNVERIFIED").exists()
+    again = export(spark, clean.registry, TARGET, tmp_path / "good", **more(clean))
+    assert again["n_selected"] == 3 and not (tmp_path / "good.staged").exists() and len(list((tmp_path / "good" / "structures").iterdir())) == 3
     assert json.loads((tmp_path / "bad" / "review_findings.json").read_text())["counts"][BLOCK] > 0
 
 
+def test_records_in_many_files(spark, clean, tmp_path, monkeypatch):
+    monkeypatch.setattr(plan, "RECORDS", 2)
+    designs = context(spark, clean, package=None, scope="all").designs
+    (tmp_path / "many").mkdir()
+    files = plan.write_fasta(designs, str(tmp_path / "many")).collect()
+    assert sum(r["records"] for r in files) == 4 and len(files) == 2
+    assert "".join(p.read_text() for p in sorted((tmp_path / "many").iterdir())).count(">sound-") == 4
+
+
 def test_review_command(spark, corrupt, tmp_path, monkeypatch):
     monkeypatch.chdir(corrupt.root)
     args = ["review", "--target", str(corrupt.target), "--profile", str(corrupt.profile), "--db", corrupt.registry.path, "--runs-root", str(corrupt.runs), "--out", str(tmp_path)]
