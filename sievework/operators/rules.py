@@ -289,6 +289,12 @@ def quota(ctx: Context) -> DataFrame:
     return union(parts)
 
 
+def sides(package: DataFrame, selection: DataFrame, key: str) -> DataFrame:
+    """(key, in_package, in_selection) of every different value of both; null is no value."""
+    sided = [rows.select(key).where(F.col(key).isNotNull()).withColumns({"in_package": F.lit(p), "in_selection": F.lit(not p)}) for rows, p in ((package, True), (selection, False))]
+    return sided[0].union(sided[1]).groupBy(key).agg(F.bool_or("in_package").alias("in_package"), F.bool_or("in_selection").alias("in_selection"))
+
+
 def package(ctx: Context) -> DataFrame:
     listed = list_package(ctx.spark, ctx.package)
     if listed is None:
@@ -296,12 +302,10 @@ def package(ctx: Context) -> DataFrame:
     fastas = [p for p in listed if p.endswith((".fasta", ".fa"))]
     if not fastas:
         return note(ctx, "R12", BLOCK if ctx.scope == "export" else WARN, "no FASTA file in the package", artifact=ctx.package)
-    inside = files.read_fasta(ctx.spark, fastas).select("sequence").distinct()
-    chosen = ctx.selected.select("sequence").distinct()
-    sides = inside.withColumn("_in", F.lit(1)).join(chosen.withColumn("_sel", F.lit(1)), "sequence", "full_outer")
-    counts = sides.agg(
-        F.count("_in").alias("i"), F.count("_sel").alias("s"),
-        F.count(F.when(F.col("_sel").isNull(), 1)).alias("only_i"), F.count(F.when(F.col("_in").isNull(), 1)).alias("only_s"),
+    both = sides(files.read_fasta(ctx.spark, fastas), ctx.selected, "sequence")
+    counts = both.agg(
+        F.count_if("in_package").alias("i"), F.count_if("in_selection").alias("s"),
+        F.count_if(~F.col("in_selection")).alias("only_i"), F.count_if(~F.col("in_package")).alias("only_s"),
     ).where("only_i + only_s > 0")
     told = F.concat(F.lit("FASTA and selection differ: only in the package "), "only_i", F.lit(", only selected "), "only_s")
     parts = [finding(counts, "R12", BLOCK, told, None, ctx.package, F.concat(F.lit("selected "), "s"), F.concat(F.lit("FASTA "), "i"))]
@@ -325,11 +329,23 @@ def list_package(spark: SparkSession, folder: str | None) -> list[str] | None:
     return sorted(s.getPath().toString() for s in fs.listStatus(path) if s.isFile()) if fs.exists(path) else None
 
 
+def repeated(designs: DataFrame) -> DataFrame:
+    """(design_id, first_id, n, sequence) of the designs whose sequence occurs n times, more than once; the smallest id is its first.
+
+    Sequences are counted by hash before any is joined, so one that very
+    many designs share is split by adaptive execution like any large key.
+    """
+    key = F.sha2("sequence", 256)
+    counted = designs.groupBy(key.alias("_key")).agg(F.count("*").alias("n"), F.min("design_id").alias("first_id")).where("n > 1 and _key is not null")
+    return designs.select("design_id", "sequence", key.alias("_key")).join(counted, "_key").select("design_id", "first_id", "n", "sequence")
+
+
 def duplicates(ctx: Context) -> DataFrame:
+    """One finding a repeated sequence, at its first design; ``repeated`` tells the others."""
     if ctx.selected.isEmpty():
         return note(ctx, "R13", INFO, "nothing selected, duplicates not checked")
-    same = ctx.selected.groupBy("sequence").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("design_id")), ",").alias("ids")).where("n > 1")
-    return finding(same, "R13", WARN, "one sequence is selected more than once", F.col("ids"), expected="once", actual=F.concat("n", F.lit(" times: "), "sequence"))
+    same = ctx.selected.groupBy("sequence").agg(F.count("*").alias("n"), F.min("design_id").alias("design_id")).where("n > 1")
+    return finding(same, "R13", WARN, "one sequence is selected more than once", _id(), expected="once", actual=F.concat("n", F.lit(" times: "), "sequence"))
 
 
 #: (id, title, plan, whether it runs for exports only), in the order of the audit.

@@ -6,10 +6,11 @@ import json
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework import schema
+from sievework.functions import stats
 from sievework.operators.rules import BLOCK, INFO, RANK, RULES, WARN, Context, note, union
 from sievework.plans.provenance import read_manifests, utc_now
 from sievework.plans.shared import materialize
@@ -44,13 +45,27 @@ class Report:
 
     def __init__(self, target_id: str, findings: DataFrame, rules_run: list[str]):
         self.target_id, self.findings, self.rules_run, self.generated_at = target_id, findings, rules_run, utc_now()
-        row = findings.agg(*[F.count(F.when(F.col("severity") == s, True)).alias(s) for s in (BLOCK, WARN, INFO)]).first()
-        self.counts = {s: row[s] for s in (BLOCK, WARN, INFO)}
+        self.counts = {r["severity"]: r["n"] for r in self.summary().collect()}
 
-    def sorted(self) -> DataFrame:
+    def _order(self) -> list[Column]:
         """Most severe first, then by rule id as text and design."""
-        rank = F.when(F.col("severity") == BLOCK, RANK[BLOCK]).when(F.col("severity") == WARN, RANK[WARN]).otherwise(RANK[INFO])
-        return self.findings.orderBy(rank.desc(), "rule_id", F.coalesce("design_id", F.lit("")), "message", "artifact")
+        rank = F.when(F.col("severity") == BLOCK, -RANK[BLOCK]).when(F.col("severity") == WARN, -RANK[WARN]).otherwise(-RANK[INFO])
+        return [rank, F.col("rule_id"), F.coalesce("design_id", F.lit("")), F.coalesce("message", F.lit("")), F.coalesce("artifact", F.lit(""))]
+
+    def sorted(self) -> DataFrame:
+        """The findings in the report's order."""
+        return self.findings.orderBy(*self._order())
+
+    def placed(self) -> DataFrame:
+        """The findings with their ``place`` in the report, from 1, without a global sort in one task; findings alike in all share places."""
+        counted = self.findings.groupBy(*self.findings.columns).agg(F.count("*").alias("_n")).withColumn("_order", F.struct(*[c.alias(f"o{i}") for i, c in enumerate(self._order())], F.coalesce("expected", F.lit("")).alias("e"), F.coalesce("actual", F.lit("")).alias("a")))
+        upto = stats.cumulate(counted, F.col("_order"), {"_upto": "_n"})
+        return upto.withColumn("place", F.explode(F.sequence(F.col("_upto") - F.col("_n") + 1, F.col("_upto")))).drop("_n", "_order", "_upto")
+
+    def summary(self) -> DataFrame:
+        """(severity, n) of all three severities."""
+        rows = F.array(*[F.struct(F.lit(s).alias("severity"), F.count(F.when(F.col("severity") == s, True)).alias("n")) for s in (BLOCK, WARN, INFO)])
+        return self.findings.agg(rows.alias("r")).select(F.explode("r").alias("r")).select("r.*")
 
     def worst(self) -> str | None:
         return next((s for s in (BLOCK, WARN, INFO) if self.counts[s]), None)
@@ -97,13 +112,17 @@ class Report:
             out += ["", f"{self.total - len(rows)} more findings are in `findings/`."]
         return "\n".join(out) + "\n"
 
+    def write_lines(self, folder: str) -> None:
+        """All findings in order as JSON lines without what is null, by the executors."""
+        self.sorted().write.mode("overwrite").json(folder)
+
     def write(self, folder: str | Path, fail_on: str = "block") -> None:
         """The report, its JSON, and if these leave findings out all of them as JSON lines, written by the executors."""
         folder = str(folder).rstrip("/")
         system, path = open_uri(folder)
         system.create_dir(path)
         if self.total > HEAD:
-            self.sorted().write.mode("overwrite").json(f"{folder}/findings")
+            self.write_lines(f"{folder}/findings")
         write_text(f"{folder}/review_report.md", self.render(fail_on))
         write_text(f"{folder}/review_findings.json", json.dumps(self.to_dict(), ensure_ascii=False, indent=2))
 

@@ -6,12 +6,12 @@ one operator to the columns that play its part.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sievework import audit_queries
 from sievework.functions import align, metrics, sequences, stats
 from sievework.operators import hierarchy, rank, structures
 from sievework.operators.ancestry import ancestry
@@ -177,42 +177,15 @@ def cys_parity(spark, sf_dir):
     return _t(spark, sf_dir, "part").select("p_partkey", sequences.even_cysteines(F.col("p_type")).alias("even"))
 
 
-@query("lineage_orphans", "SELECT o_orderkey, o_custkey FROM orders ANTI JOIN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) c ON o_custkey = c_custkey")
-def lineage_orphans(spark, sf_dir):
-    known = _t(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"))
-    return _t(spark, sf_dir, "orders").join(known, "o_custkey", "left_anti").select("o_orderkey", "o_custkey")
-
-
 @query(
     "turn_parents",
-    "SELECT a.conv_id, a.turn FROM conversations a ANTI JOIN conversations b ON a.conv_id = b.conv_id AND a.turn - 1 = b.turn WHERE a.turn > 0",
+    """WITH c AS (SELECT DISTINCT conv_id, turn FROM conversations WHERE length(text) >= 100)
+       SELECT a.conv_id, a.turn FROM c a ANTI JOIN c b ON a.conv_id = b.conv_id AND a.turn - 1 = b.turn WHERE a.turn > 0""",
 )
 def turn_parents(spark, sf_dir):
-    c = _t(spark, sf_dir, "conversations").select("conv_id", "turn")
-    before = c.select("conv_id", (F.col("turn") + 1).alias("turn"))
-    return c.where("turn > 0").join(before, ["conv_id", "turn"], "left_anti")
-
-
-@query(
-    "hash_reconcile",
-    """SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'missing' ELSE 'hash_mismatch' END AS reason, sha256(text) AS expected,
-       CASE WHEN doc_id % 5 <> 0 THEN sha256(text || 'x') END AS actual FROM documents WHERE doc_id % 5 = 0 OR doc_id % 7 = 0""",
-)
-def hash_reconcile(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents")
-    registered = docs.select("doc_id", F.sha2("text", 256).alias("expected"))
-    present = docs.where("doc_id % 5 <> 0").select("doc_id", F.sha2(F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit("x"))).otherwise(F.col("text")), 256).alias("actual"))
-    reason = F.when(F.col("actual").isNull(), "missing").when(F.col("actual") != F.col("expected"), "hash_mismatch")
-    return registered.join(present, "doc_id", "left").withColumn("reason", reason).where("reason is not null").select("doc_id", "reason", "expected", "actual")
-
-
-@query(
-    "cross_agreement",
-    """SELECT user_id, count(*) AS agreeing FROM (SELECT user_id, event_type, bool_and(value >= 5) AS fine FROM events GROUP BY ALL) WHERE fine GROUP BY user_id""",
-)
-def cross_agreement(spark, sf_dir):
-    by = _t(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.bool_and(F.col("value") >= 5).alias("fine"))
-    return by.where("fine").groupBy("user_id").agg(F.count("*").alias("agreeing"))
+    """Turns of some length whose turn before isn't: of these there are gaps."""
+    c = _t(spark, sf_dir, "conversations").where(F.length("text") >= 100).select(F.struct("conv_id", "turn").alias("id"), F.when(F.col("turn") > 0, F.struct("conv_id", (F.col("turn") - 1).alias("turn"))).alias("parent"))
+    return ancestry(c, "id", "parent").where("ends = 'orphan' and depth = 0").select("id.*")
 
 
 @query(
@@ -230,112 +203,6 @@ def json_extract(spark, sf_dir):
     return _t(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
 
 
-@query("metric_recompute", "SELECT event_id, value, (props->>'$.k')::DOUBLE AS recorded FROM events WHERE abs((props->>'$.k')::DOUBLE - value) > 0.5")
-def metric_recompute(spark, sf_dir):
-    e = _t(spark, sf_dir, "events")
-    found = e.select("event_id", F.explode(F.from_json("props", "map<string,double>")).alias("name", "recorded")).where("name = 'k'")
-    return e.select("event_id", "value").join(found, "event_id").where("abs(recorded - value) > 0.5").select("event_id", "value", "recorded")
-
-
-@query(
-    "license_rule",
-    """SELECT p_partkey, p_brand, CASE WHEN contains(lower(p_type), 'brass') THEN 'must be licensed' ELSE 'must not be licensed' END AS problem
-       FROM part WHERE contains(lower(p_type), 'brass') <> (p_brand = 'Brand#11')""",
-)
-def license_rule(spark, sf_dir):
-    needs, has = F.lower("p_type").contains("brass"), F.col("p_brand") == "Brand#11"
-    return _t(spark, sf_dir, "part").where(needs != has).select("p_partkey", "p_brand", F.when(needs, "must be licensed").otherwise("must not be licensed").alias("problem"))
-
-
-@query("quota_audit", "SELECT source, count(*) AS n FROM documents WHERE lang = 'en' GROUP BY source HAVING count(*) > 30")
-def quota_audit(spark, sf_dir):
-    return _t(spark, sf_dir, "documents").where("lang = 'en'").groupBy("source").agg(F.count("*").alias("n")).where("n > 30")
-
-
-@query("duplicates", "SELECT sha256(text) AS content, count(*) AS n, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS ids FROM documents GROUP BY text HAVING count(*) > 1")
-def duplicates(spark, sf_dir):
-    same = _t(spark, sf_dir, "documents").groupBy(F.sha2("text", 256).alias("content")).agg(F.count("*").alias("n"), F.array_sort(F.collect_list("doc_id")).alias("ids"))
-    return same.where("n > 1").select("content", "n", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
-
-
-@query(
-    "set_symmetric_difference",
-    """SELECT 'package' AS only_in, k FROM (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_quantity >= 49 EXCEPT SELECT p_partkey FROM part WHERE p_size <= 25)
-       UNION ALL SELECT 'selected', k FROM (SELECT p_partkey AS k FROM part WHERE p_size <= 25 EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity >= 49)""",
-)
-def set_symmetric_difference(spark, sf_dir):
-    a = _t(spark, sf_dir, "lineitem").where("l_quantity >= 49").select(F.col("l_partkey").alias("k")).distinct().withColumn("a", F.lit(1))
-    b = _t(spark, sf_dir, "part").where("p_size <= 25").select(F.col("p_partkey").alias("k")).distinct().withColumn("b", F.lit(1))
-    both = a.join(b, "k", "full_outer").where("a is null or b is null")
-    return both.select(F.when(F.col("b").isNull(), "package").otherwise("selected").alias("only_in"), "k")
-
-
-@query("set_equality", "SELECT count(*) = 0 AS equal FROM ((SELECT n_regionkey FROM nation EXCEPT SELECT r_regionkey FROM region) UNION ALL (SELECT r_regionkey FROM region EXCEPT SELECT n_regionkey FROM nation))")
-def set_equality(spark, sf_dir):
-    a, b = _t(spark, sf_dir, "nation").select("n_regionkey"), _t(spark, sf_dir, "region").select("r_regionkey")
-    return a.subtract(b).union(b.subtract(a)).agg((F.count("*") == 0).alias("equal"))
-
-
-@query(
-    "methods_composition",
-    "SELECT source AS value, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, min(doc_id))::INT AS place FROM documents GROUP BY source",
-)
-def methods_composition(spark, sf_dir):
-    counts = _t(spark, sf_dir, "documents").groupBy(F.col("source").alias("value")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
-    return counts.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), "first"))).select("value", "n", "place")  # a row a source
-
-
-@query("count_clusters", "SELECT count(DISTINCT CASE WHEN l_linenumber < 5 THEN l_linenumber END) + max((l_linenumber >= 5)::INT) AS clusters FROM lineitem")
-def count_clusters(spark, sf_dir):
-    cluster = F.when(F.col("l_linenumber") < 5, F.col("l_linenumber"))
-    return _t(spark, sf_dir, "lineitem").agg((F.count_distinct(cluster) + F.max(cluster.isNull().cast("int"))).alias("clusters"))
-
-
-_FINDINGS = """f AS (SELECT 'R2' AS rule_id, 'BLOCK' AS severity, doc_id AS id FROM documents WHERE length(text) > 5000
-  UNION ALL SELECT 'R13', 'WARN', min(doc_id) FROM documents GROUP BY text HAVING count(*) > 1
-  UNION ALL SELECT 'R10', 'INFO', doc_id FROM documents WHERE lang = 'fr')"""
-
-
-def _findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _t(spark, sf_dir, "documents")
-    same = d.groupBy(F.sha2("text", 256)).agg(F.count("*").alias("n"), F.min("doc_id").alias("id")).where("n > 1")
-    parts = [
-        d.where(F.length("text") > 5000).select(F.lit("R2").alias("rule_id"), F.lit("BLOCK").alias("severity"), F.col("doc_id").alias("id")),
-        same.select(F.lit("R13").alias("rule_id"), F.lit("WARN").alias("severity"), "id"),
-        d.where("lang = 'fr'").select(F.lit("R10").alias("rule_id"), F.lit("INFO").alias("severity"), F.col("doc_id").alias("id")),
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
-@query(
-    "findings_summary",
-    f"WITH {_FINDINGS} SELECT s.severity, count(f.severity) AS n FROM (VALUES ('BLOCK'), ('WARN'), ('INFO'), ('NONE')) s(severity) LEFT JOIN f ON s.severity = f.severity GROUP BY s.severity",
-)
-def findings_summary(spark, sf_dir):
-    names = ("BLOCK", "WARN", "INFO", "NONE")
-    row = _findings(spark, sf_dir).agg(*[F.count(F.when(F.col("severity") == s, True)).alias(s) for s in names])
-    return row.select(F.explode(F.array(*[F.struct(F.lit(s).alias("severity"), F.col(s).alias("n")) for s in names])).alias("x")).select("x.*")
-
-
-@query(
-    "exit_code",
-    f"WITH {_FINDINGS} SELECT max((severity = 'BLOCK')::INT) AS on_block, max((severity IN ('BLOCK', 'WARN'))::INT) AS on_warn, 0 AS on_none FROM f",
-)
-def exit_code(spark, sf_dir):
-    code = lambda *s: F.coalesce(F.max(F.col("severity").isin(*s).cast("int")), F.lit(0))
-    return _findings(spark, sf_dir).agg(code("BLOCK").alias("on_block"), code("BLOCK", "WARN").alias("on_warn"), F.lit(0).alias("on_none"))
-
-
-@query(
-    "findings_order",
-    f"""WITH {_FINDINGS} SELECT rule_id, severity, id, row_number() OVER (ORDER BY CASE severity WHEN 'BLOCK' THEN 0 WHEN 'WARN' THEN 1 ELSE 2 END, rule_id, id)::BIGINT AS place FROM f""",
-)
-def findings_order(spark, sf_dir):
-    level = F.when(F.col("severity") == "BLOCK", 0).when(F.col("severity") == "WARN", 1).otherwise(2)
-    counted = _findings(spark, sf_dir).withColumn("one", F.lit(1))
-    return stats.cumulate(counted, F.struct(level, "rule_id", "id"), {"place": "one"}).select("rule_id", "severity", "id", F.col("place").cast("long").alias("place"))
-
-
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "labels").join(_t(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", "source"), "doc_id")
 
@@ -496,7 +363,7 @@ def structure_pairs(spark, sf_dir):
     """Vectors as traces of residues, three components a place: the similar ones of a label; tested against a plain loop."""
     whole = F.floor(F.size("embedding") / 3) * 3
     traces = _t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "label", F.slice("embedding", F.lit(1), whole.cast("int")).alias("xyz"))
-    return structures.structure_pairs(traces.withColumn("xyz", F.transform("xyz", lambda v: v * 10.0)), 0.5, ("label",)).withColumn("similarity", F.round("similarity", 6))
+    return structures.structure_pairs(traces.withColumn("xyz", F.transform("xyz", lambda v: v * 2.0)), 0.6, ("label",)).withColumn("similarity", F.round("similarity", 6))
 
 
 @query("event_window_counts", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL")
@@ -505,21 +372,8 @@ def event_window_counts(spark, sf_dir):
     return rows.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 6).alias("total"))
 
 
-@query("null_omitting_json", """SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN '{"name":"' || c_name || '","segment":"' || c_mktsegment || '"}' ELSE '{"name":"' || c_name || '"}' END AS js FROM customer""")
-def null_omitting_json(spark, sf_dir):
-    s = F.struct(F.col("c_name").alias("name"), F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")).alias("segment"))
-    return _t(spark, sf_dir, "customer").select("c_custkey", F.to_json(s).alias("js"))
-
-
-@query(
-    "path_resolution",
-    """SELECT doc_id, min_by(base, r) AS base FROM (SELECT d.doc_id, b.base, b.r FROM documents d JOIN (VALUES ('repo', 0, 2), ('runs', 1, 3), ('cwd', 2, 5)) b(base, r, m) ON d.doc_id % b.m = 0) GROUP BY doc_id""",
-)
-def path_resolution(spark, sf_dir):
-    """The first base folder that has a path, by rank."""
-    bases = F.array(*[F.struct(F.lit(b).alias("base"), F.lit(r).alias("r"), F.lit(m).alias("m")) for b, r, m in (("repo", 0, 2), ("runs", 1, 3), ("cwd", 2, 5))])
-    rows = _t(spark, sf_dir, "documents").select("doc_id", F.explode(bases).alias("b")).where(F.col("doc_id") % F.col("b.m") == 0)
-    return rows.groupBy("doc_id").agg(F.min_by("b.base", "b.r").alias("base"))
+QUERIES |= audit_queries.QUERIES
+ORACLE_SQL |= audit_queries.ORACLE_SQL
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

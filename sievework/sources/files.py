@@ -76,6 +76,24 @@ def write_text(uri: str, text: str) -> None:
         out.write(text.encode("utf-8"))
 
 
+def make_folder(uri: str) -> None:
+    system, path = open_uri(uri)
+    system.create_dir(path)
+
+
+def write_texts(rows: DataFrame, folder: str) -> int:
+    """Write rows (name, text) as files of a folder, by the executors; returns their number.  A null text is an empty file."""
+    make_folder(folder)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                write_text(f"{folder}/{name}", text or "")
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    return rows.select("name", "text").mapInArrow(write, "n long").agg(F.sum("n").alias("n")).first()["n"] or 0
+
+
 def remove_tree(uri: str) -> None:
     """Delete a folder and all in it, if it is there."""
     from pyarrow import fs
