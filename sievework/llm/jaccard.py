@@ -21,8 +21,10 @@ bucket, all groups outside its most frequent component, with everything of
 another component.  Pairs inside a component can't change the result, so it
 is exact.
 
-Expand and verify.  Candidate groups are expanded to their members, and each
-pair's overlap is counted on the whole sets.
+Expand and verify.  Candidate groups are expanded to their members.  A set's
+counts of hashes by range bound the overlap of two sets from above, at a
+thirtieth of the sets' size; the pairs that stay possible are counted on the
+whole sets.
 
 Defined results: a text without words, or null, has an empty set and is
 linked with nothing; under four words the whole sequence is one shingle;
@@ -34,6 +36,7 @@ named columns are read.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,44 +52,100 @@ SHINGLE = 4
 #: Similarity in hundredths.
 THRESHOLD = 85
 #: Cells of the table of counts that orders the shingles.
-CELLS = 1 << 18
-#: Words whose hashes a worker remembers.
-REMEMBERED = 500_000
+CELLS = 1 << 20
+#: Bytes of a text that are hashed at once, about: a block ends with a word.
+BLOCK = 1 << 20
 #: Node ids up to which they are broadcast to fetch the candidates' texts; beyond, the join is a shuffled one.
 BROADCAST_NODES = 250_000
 #: Rounds of pivots go on while the pairs that are left open are more than so many times the rows of all buckets.
 OPEN = 4
-_LOW = np.uint64((1 << 56) - 1)
+#: Bits of a token that its hash has; the twelve above hold its place in the order.
+HASH_BITS = 51
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
-class _Hashes(dict):
-    """Hashes of words, computed once."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word, 42)
-        return value
-
-
-def shingles(text: str | None, known: dict | None = None) -> np.ndarray:
-    """Sorted distinct hashes of a text's shingles."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    known = _Hashes() if known is None else known
-    h = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-    n = max(len(h) - SHINGLE + 1, 1)
-    mixed = np.full(n, min(len(h), SHINGLE), dtype=np.uint64)
-    for i in range(min(len(h), SHINGLE)):
-        mixed += h[i : i + n] * _MIX[i]
-    mixed ^= mixed >> np.uint64(31)
-    mixed *= _MIX[0]
-    mixed ^= mixed >> np.uint64(29)
-    return np.unique(mixed)
+#: Base of the words' polynomials, and its inverse.
+_BASE = 0x5851F42D4C957F2D
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+@functools.cache
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(value of each byte, A-Z as a-z; whether it is white space; powers of the base; of its inverse)."""
+    values = np.frombuffer(np.random.default_rng(42).bytes(256 * 8), dtype=np.uint64).copy()
+    values[65:91] = values[97:123]
+    space = np.zeros(256, dtype=bool)
+    space[[0x20, *range(0x09, 0x0E)]] = True
+    values[space] = 0
+    return values, space, _powers(_BASE, BLOCK + 1), _powers(_INVERSE, BLOCK + 1)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    factors = np.full(n, base, dtype=np.uint64)
+    factors[:1] = 1
+    return np.multiply.accumulate(factors)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    for shift, factor in ((31, 0x7FB5D329728EA185), (27, 0x81DADEF4BC2DD44D)):
+        h ^= h >> np.uint64(shift)
+        h *= np.uint64(factor)
+    h ^= h >> np.uint64(33)
+    return h
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """64-bit hashes of the words of a text in UTF-8, A-Z as a-z: a polynomial of its bytes' values and its length, mixed."""
+    values, space, powers, inverse = _tables()
+    every, found, at = np.frombuffer(data, dtype=np.uint8), [], 0
+    while at < len(every):
+        end = min(at + BLOCK, len(every))
+        if end < len(every):  # on to the end of the word
+            after = np.flatnonzero(space[every[end : end + BLOCK]])
+            while not len(after) and end < len(every):
+                end = min(end + BLOCK, len(every))
+                after = np.flatnonzero(space[every[end : end + BLOCK]])
+            end += int(after[0]) if len(after) else 0
+        part, at = every[at:end], end
+        inside = np.concatenate([[False], ~space[part], [False]])
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        if len(part) > len(powers) - 1:  # a word longer than a block
+            powers, inverse = _powers(_BASE, len(part) + 1), _powers(_INVERSE, len(part) + 1)
+        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(values[part] * powers[: len(part)], dtype=np.uint64)])
+        found.append(_mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * _MIX[0]))
+    return np.concatenate(found) if found else np.empty(0, dtype=np.uint64)
+
+
+def shingles(data: bytes | None) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles; the text in UTF-8."""
+    h = word_hashes(data or b"")
+    if not len(h):
+        return h
+    width = min(len(h), SHINGLE)
+    mixed = np.full(len(h) - width + 1, width, dtype=np.uint64)
+    for i in range(width):
+        mixed += h[i : i + len(mixed)] * _MIX[i]
+    mixed = np.sort(_mixed(mixed))
+    return mixed[np.concatenate([[True], mixed[1:] != mixed[:-1]])]
+
+
+def counts_by_range(found: np.ndarray) -> bytes | None:
+    """How many hashes of a set lie in each of 2**k equal ranges, four to eight on average; a byte each; None if one has more than 255."""
+    k = max(0, len(found).bit_length() - 3)
+    counts = np.bincount((found >> np.uint64(64 - k)).astype(np.int64), minlength=1 << k) if k else np.array([len(found)])
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else None
+
+
+def may_overlap(a: bytes | None, b: bytes | None, threshold: int = THRESHOLD) -> bool:
+    """Whether two sets can be similar enough by their counts: in no range do they share more than the smaller count."""
+    if a is None or b is None:
+        return True
+    x, y = (np.frombuffer(h, dtype=np.uint8).astype(np.int64) for h in (a, b))
+    total = int(x.sum() + y.sum())
+    n = min(len(x), len(y))
+    shared = int(np.minimum(x.reshape(n, -1).sum(1), y.reshape(n, -1).sum(1)).sum())
+    return (100 + threshold) * shared >= threshold * total
 
 
 def prefix_length(size: int, threshold: int = THRESHOLD) -> int:
@@ -109,9 +168,9 @@ def _describe(cells: int):
     """(doc_id, key, n_shingles, node) of every row, and one row a task with its counts of shingles by cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts, names = _Hashes(), np.zeros(cells, dtype=np.int64), ["doc_id", "key", "n_shingles", "node", "counts"]
+        counts, names = np.zeros(cells, dtype=np.int64), ["doc_id", "key", "n_shingles", "node", "counts"]
         for part in slices(batches):
-            sets = [shingles(t, known) for t in part.column(2).to_pylist()]
+            sets = [shingles(t) for t in part.column(2).to_pylist()]
             counts += np.bincount((np.concatenate(sets) & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
             columns = [part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) if len(s) else None for s in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(sets), pa.list_(pa.int64()))], names)
@@ -122,42 +181,53 @@ def _describe(cells: int):
 
 
 def _prefixes(order: np.ndarray, threshold: int):
-    """(node, size, grp, tokens): a set's first shingles in the common order; the order's place is in a token's upper bits."""
+    """(node, size, grp, tokens, ranges): a set's first shingles in the common order, whose place is in a token's upper bits, and its counts by range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        known, places = _Hashes(), order.astype(np.uint64) << np.uint64(56)
+        places, low = order.astype(np.uint64) << np.uint64(HASH_BITS), np.uint64((1 << HASH_BITS) - 1)
         for part in slices(batches):
             rows = []
             for text in part.column(0).to_pylist():
-                found = shingles(text, known)
+                found = shingles(text)
                 if not len(found):
                     continue
                 n = prefix_length(len(found), threshold)
-                token = places[(found & np.uint64(len(order) - 1)).astype(np.int64)] | (found & _LOW)
+                token = places[(found & np.uint64(len(order) - 1)).astype(np.int64)] | (found & low)
                 token = np.sort(np.partition(token, n - 1)[:n]).astype(np.int64)
-                rows.append((_node(found), len(found), xxhash.xxh64_intdigest(token.tobytes(), len(found)), token))
-            a, b, c, d = zip(*rows, strict=True) if rows else ((), (), (), ())
+                rows.append((_node(found), len(found), xxhash.xxh64_intdigest(token.tobytes(), len(found)), token, counts_by_range(found)))
+            a, b, c, d, e = zip(*rows, strict=True) if rows else ((), (), (), (), ())
             grp = pa.array(np.array(c, dtype=np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.int64()), grp, pa.array(d, pa.list_(pa.int64()))], ["node", "size", "grp", "tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.int64()), grp, pa.array(d, pa.list_(pa.int64())), pa.array(e, pa.binary())], ["node", "size", "grp", "tokens", "ranges"])
 
     return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = _Hashes()
     for part in slices(batches):
-        sets = [shingles(t, known) for t in part.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "held"])
+        sets = [shingles(t) for t in part.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), part.column(1)], ["node", "held", "alike"])
+
+
+def _possible(threshold: int):
+    """Pairs (a, a_comp, b, b_comp) whose counts by range allow the similarity; the counts come in the last two columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 4096):
+            fine = [may_overlap(x, y, threshold) for x, y in zip(part.column(4).to_pylist(), part.column(5).to_pylist(), strict=True)]
+            yield part.filter(pa.array(fine, pa.bool_())).select(["a", "a_comp", "b", "b_comp"])
+
+    return run
 
 
 def _order(described: DataFrame, cells: int) -> np.ndarray:
-    """A place from 0 to 127 for each cell, by the logarithm of its count; a fixed number of cells reaches the driver."""
-    summed = described.where("counts is not null").select(F.posexplode("counts").alias("cell", "n")).where("n > 0").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(cells)
-    counts[summed["cell"].to_numpy(dtype=np.int64)] = summed["n"].to_numpy(dtype=np.float64)
-    return np.minimum(127, np.floor(4 * np.log2(1 + counts))).astype(np.uint8)
+    """A place from 0 to 4095 for each cell, by the logarithm of its count; a fixed number of cells reaches the driver."""
+    summed = described.where("counts is not null").select(F.posexplode("counts").alias("cell", "n")).where("n > 0").groupBy("cell").agg(F.sum("n").alias("n"))
+    place = F.least(F.floor(128 * F.log2(F.col("n") + 1.0)), F.lit(4095)).cast("short")
+    table, order = summed.select("cell", place.alias("place")).toArrow(), np.zeros(cells, dtype=np.uint16)
+    order[table["cell"].to_numpy()] = table["place"].to_numpy()
+    return order
 
 
 def _may_link(threshold: int) -> Column:
@@ -201,73 +271,81 @@ def _marked(shared: DataFrame, state: DataFrame) -> tuple[DataFrame, int, int]:
 
 
 def _within(state: DataFrame, every: bool) -> DataFrame:
-    """Pairs (a, b) of nodes of one group that aren't in one component: of its first node with each, or of all outside the first's component with each."""
-    first = state.groupBy("grp").agg(F.min(F.struct("node", "comp")).alias("f"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("grp", F.col("f.node").alias("a"), F.col("f.comp").alias("most"))
+    """Pairs of nodes of one group that aren't in one component: of its first node with each, or of all outside the first's component with each."""
+    first = state.groupBy("grp").agg(F.min(F.struct("node", "comp")).alias("f"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("grp", F.col("f.node").alias("a"), F.col("f.comp").alias("a_comp"))
+    others = state.select("grp", F.col("node").alias("b"), F.col("comp").alias("b_comp"))
     if not every:
-        return state.join(first, "grp").where("node <> a").select("a", F.col("node").alias("b"))
-    rest = state.join(first, "grp").where("comp <> most").select("grp", F.col("node").alias("a"), F.col("comp").alias("a_comp"))
-    other = state.join(first.select("grp", "most"), "grp").select("grp", F.col("node").alias("b"), "comp", "most")
-    return rest.join(other, "grp").where((F.col("comp") != F.col("a_comp")) & ((F.col("comp") == F.col("most")) | (F.col("a") < F.col("b")))).select("a", "b")
+        return others.join(first, "grp").where("a_comp <> b_comp").select("a", "a_comp", "b", "b_comp")
+    most = first.select("grp", F.col("a_comp").alias("most"))
+    rest = state.join(most, "grp").where("comp <> most").select("grp", F.col("node").alias("a"), F.col("comp").alias("a_comp"), "most")
+    return rest.join(others, "grp").where((F.col("a_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("most")) | (F.col("a") < F.col("b")))).select("a", "a_comp", "b", "b_comp")
 
 
 def _expanded(pairs: DataFrame, state: DataFrame, every: bool) -> DataFrame:
-    """Pairs (a, b) of nodes in different components: all members of both groups, or the first of the one with all of the other."""
+    """Pairs of nodes in different components: all members of both groups, or the first of the one with all of the other."""
     left = state if every else state.groupBy("grp").agg(F.min(F.struct("node", "comp")).alias("f")).select("grp", "f.*")
     a = left.select(F.col("grp").alias("a_grp"), F.col("node").alias("a"), F.col("comp").alias("a_comp"))
     b = state.select(F.col("grp").alias("b_grp"), F.col("node").alias("b"), F.col("comp").alias("b_comp"))
-    return pairs.join(b, "b_grp").join(a, "a_grp").where("a_comp <> b_comp").select("a", "b")
+    return pairs.join(b, "b_grp").join(a, "a_grp").where("a_comp <> b_comp").select("a", "a_comp", "b", "b_comp")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+    """Edges (a, b) between the components of the pairs whose sets are similar enough."""
     both = pairs.join(sets.select(F.col("node").alias("b"), F.col("held").alias("b_held")), "b").join(sets.select(F.col("node").alias("a"), F.col("held").alias("a_held")), "a")
     sizes = F.size("a_held").cast("long"), F.size("b_held").cast("long")
-    return both.where(F.size(F.array_intersect("a_held", "b_held")) >= _need(*sizes, threshold)).select("a", "b")
-
-
-def _relabelled(state: DataFrame, edges: DataFrame) -> DataFrame:
-    roots = connected_components(edges, "a", "b")
-    return materialize(state.join(roots, "node", "left").select("node", "grp", F.coalesce("root", "node").alias("comp")), "jaccard-state")
+    linked = both.where(F.size(F.array_intersect("a_held", "b_held")) >= _need(*sizes, threshold))
+    return materialize(linked.select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b")), "jaccard-edges")
 
 
 def _linked(nodes: DataFrame, fetch, threshold: int) -> DataFrame:
-    """(node, root) of the nodes that have a link."""
-    groups = nodes.groupBy("grp", "size", "tokens").agg(F.count("*").alias("members"))
-    rows = groups.select("grp", "size", F.element_at("tokens", -1).alias("last"), F.posexplode("tokens").alias("pos", "token"))
+    """(node, root) of the nodes that may have a link, from rows (node, size, grp, tokens, last, ranges) that may repeat a node."""
+    groups = nodes.groupBy("grp").agg(F.first("size").alias("size"), F.first("last").alias("last"), (F.min("node") != F.max("node")).alias("several"))
+    rows = nodes.select("grp", F.posexplode("tokens").alias("pos", "token"))
     common = rows.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
-    shared = materialize(rows.join(common, "token"), "jaccard-shared")
-    wanted = shared.select("grp").union(groups.where("members > 1").select("grp")).distinct()
-    live = materialize(nodes.select("node", "grp").join(wanted, "grp").select("node", "grp"), "jaccard-live")
-    sets = materialize(fetch(live), "jaccard-sets")
-    state, before, edges = live.withColumn("comp", F.col("node")), None, None
+    met = materialize(rows.join(common, "token").groupBy("token", "grp").agg(F.min("pos").alias("pos")), "jaccard-met")
+    common = met.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")  # copies of one group aside
+    shared = materialize(met.join(common, "token").join(groups.drop("several"), "grp"), "jaccard-shared")
+    wanted = shared.select("grp").union(groups.where("several").select("grp")).distinct()
+    live = materialize(nodes.groupBy("node").agg(F.first("grp").alias("grp"), F.first("ranges").alias("ranges")).join(wanted, "grp"), "jaccard-live")
+    ranges = {side: live.select(F.col("node").alias(side), F.col("ranges").alias(f"{side}_ranges")) for side in "ab"}
+    state, before = live.select("node", "grp", F.col("node").alias("comp")), None
     while True:
         buckets, size, still = _marked(shared, state)
         every = before is not None and (still <= OPEN * size or still > 0.9 * before)
         found = _open_pairs(buckets, threshold) if every else _pivot_pairs(buckets, threshold, before is not None)
         pairs = materialize(_expanded(found, state, every).union(_within(state, every)).distinct(), "jaccard-pairs")
-        new = _verified(pairs, sets, threshold)
-        edges = materialize(new if edges is None else edges.union(new), "jaccard-edges")
+        told = pairs.join(ranges["b"], "b").join(ranges["a"], "a").select("a", "a_comp", "b", "b_comp", "a_ranges", "b_ranges")
+        pairs = materialize(map_batches(told, _possible(threshold), "a binary, a_comp binary, b binary, b_comp binary"), "jaccard-possible")
+        if not pairs.isEmpty():
+            sets = fetch(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+            roots = connected_components(_verified(pairs, sets, threshold), "a", "b").withColumnRenamed("node", "comp")
+            state = materialize(state.join(roots, "comp", "left").select("node", "grp", F.coalesce("root", "comp").alias("comp")), "jaccard-state")
         if every:
-            return connected_components(edges, "a", "b")
-        state, before = _relabelled(state, edges), still
+            return state.select("node", F.col("comp").alias("root"))
+        before = still
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, cells: int = CELLS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.cast("binary").alias("text"))
     described = materialize(map_batches(narrow, _describe(cells), "doc_id long, key long, n_shingles long, node binary, counts array<long>"), "jaccard-rows")
     rows = described.where("n_shingles is not null").drop("counts")
     order = _order(described, cells)
-    found = map_batches(narrow.select("text"), _prefixes(order, threshold), "node binary, size long, grp long, tokens array<long>")
-    nodes = materialize(found.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "grp", "tokens")]), "jaccard-nodes")
-    named = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "key")).alias("at"))
-
-    def fetch(live: DataFrame) -> DataFrame:
-        wanted = materialize(named.join(live.select("node"), "node").select(F.col("at.doc_id").alias("at_id"), F.col("at.key").alias("at_key")), "jaccard-wanted")
-        wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted
-        texts = narrow.join(wanted, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("key") == F.col("at_key")), "left_semi").select("text")
-        return map_batches(texts, _sets, "node binary, held array<long>").groupBy("node").agg(F.first("held").alias("held"))
+    found = map_batches(narrow.select("text"), _prefixes(order, threshold), "node binary, size long, grp long, tokens array<long>, ranges binary")
+    nodes = materialize(found.withColumn("last", F.element_at("tokens", -1)), "jaccard-nodes")
+    alike = rows.where("node is not null").groupBy("node", "doc_id", "key").agg(F.count("*").alias("alike"))
+    named = materialize(alike.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "key", "alike")).alias("at")), "jaccard-named")
+
+    def fetch(wanted: DataFrame) -> DataFrame:
+        """(node, held): the sets of some nodes, from one document each."""
+        at = materialize(named.join(wanted, "node").select(F.col("at.doc_id").alias("at_id"), F.col("at.key").alias("at_key"), F.col("at.alike").alias("alike")), "jaccard-wanted")
+        few = F.broadcast(at) if at.count() <= BROADCAST_NODES else at
+        texts = narrow.join(few, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("key") == F.col("at_key"))).select("text", "alike")
+        sets = materialize(map_batches(texts, _sets, "node binary, held array<long>, alike long"), "jaccard-sets")
+        if at.where("alike > 1").isEmpty():
+            return sets
+        return sets.where("alike = 1").select("node", "held").union(sets.where("alike > 1").groupBy("node").agg(F.first("held").alias("held")))  # rows alike in id and text
 
     roots = _linked(nodes, fetch, threshold)
     rooted = materialize(named.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "jaccard-roots")
