@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from sievework.functions import metrics
-from sievework.operators import gates
+from sievework.operators import gates, novelty
 from sievework.operators import rank as ranking
 from sievework.operators.structures import structure_pairs
 from sievework.plans.export import ExportBlocked, export
@@ -40,7 +40,7 @@ def _parser() -> argparse.ArgumentParser:
     add("prepare")
     add("generate", pipelines=None, budget=2000)
     add("validate", predictors="boltz2,af2multimer", db=None)
-    add("filter", profile=(str,), db=None)
+    add("filter", profile=(str,), known=None, pdb=None, lists=None, db=None)
     add("rank", quota=100, cluster_tm=0.6, pairs=None, keep_clusters=False, db=None)
     add("review", stage="all", profile=None, db=None, runs_root="runs", submission=None, out=None, fail_on="block", semantic=False, semantic_endpoint=None)
     add("export", out=(str,), profile=None, db=None, runs_root="runs", quota=None, fail_on="block", allow_blocked=False)
@@ -80,7 +80,10 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         print(f"[validate] {target}: {counted.count()}")
         return 0
     if args.command == "filter":
-        rows = ranking.filter_stage(decode(registry.query_target(target)), load_profile(args.profile))
+        profile, read = load_profile(args.profile), lambda path: files.read_fasta(spark, [path])
+        lists = dict(x.split("=", 1) for x in args.lists.split(",")) if args.lists else {}
+        rows = novelty.measured(decode(registry.query_target(target)), profile, read(args.known) if args.known else None, read(args.pdb) if args.pdb else None, {k: read(v) for k, v in lists.items()})
+        rows = ranking.filter_stage(rows, profile).withColumn("liability_flags", F.concat("liability_flags", F.transform("copy_of", lambda n: F.concat(F.lit(gates.HARD + "copy_of_"), n))))
         registry.update(rows.select("design_id", "passed_screen", "passed_select", F.to_json("liability_flags").alias("liability_flags"), F.lit("filter").alias("stage")))
         row = rows.agg(F.count(F.when(F.col("passed_select"), 1)).alias("passed"), F.count(F.when(F.col("passed_select") & ~gates.open_to(F.col("liability_flags")), 1)).alias("shut")).first()
         print(f"[filter] {target}: {row['passed']} pass, {row['shut']} of them held back by gates")

@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from sievework import audit_queries
 from sievework.functions import align, metrics, sequences, stats
-from sievework.operators import hierarchy, rank, structures
+from sievework.operators import hierarchy, novelty, rank, structures
 from sievework.operators.ancestry import ancestry
 from sievework.plans.shared import new_path
 from sievework.sources.registry import Registry
@@ -366,6 +366,28 @@ def structure_pairs(spark, sf_dir):
     return structures.structure_pairs(traces.withColumn("xyz", F.transform("xyz", lambda v: v * 2.0)), 0.6, ("label",)).withColumn("similarity", F.round("similarity", 6))
 
 
+@query(
+    "novelty_mutations",
+    """SELECT d.c_name AS sequence, min(levenshtein(d.c_name, k.c_name)) AS mutations FROM customer d, customer k
+       WHERE d.c_acctbal >= 0 AND k.c_acctbal < 0 AND levenshtein(d.c_name, k.c_name) <= 2 GROUP BY d.c_name""",
+)
+def novelty_mutations(spark, sf_dir):
+    """Names of customers within two edits of one whose balance is below zero."""
+    c = _t(spark, sf_dir, "customer").select(F.col("c_name").alias("sequence"), "c_acctbal")
+    return novelty.fewest_mutations(c.where("c_acctbal >= 0"), c.where("c_acctbal < 0"), 3)
+
+
+@query(
+    "novelty_identity",
+    """WITH p AS (SELECT DISTINCT url, contains(url, '.com/') AS com FROM pages), i AS (SELECT d.url AS sequence, 1 - levenshtein(d.url, k.url) / greatest(length(d.url), length(k.url))::DOUBLE AS identity FROM p d, p k WHERE d.com AND NOT k.com)
+       SELECT sequence, round(max(identity), 9) AS identity FROM i WHERE identity >= 0.85 GROUP BY sequence""",
+)
+def novelty_identity(spark, sf_dir):
+    """Urls of one top domain by their likeness to those of the others."""
+    p = _t(spark, sf_dir, "pages").select(F.col("url").alias("sequence"), F.col("url").contains(".com/").alias("com"))
+    return novelty.greatest_identity(p.where("com"), p.where("not com"), 0.85).withColumn("identity", F.round("identity", 9))
+
+
 @query("event_window_counts", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL")
 def event_window_counts(spark, sf_dir):
     rows = window_counts(_t(spark, sf_dir, "events"))
