@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -169,67 +168,3 @@ def apportion(total: int, shares: dict[str, float]) -> dict[str, int]:
     for k in sorted(exact, key=lambda k: (out[k] - exact[k], k))[: total - sum(out.values())]:
         out[k] += 1
     return out
-
-
-@dataclass
-class OptimizeConfig:
-    """Settings of the refinement loop."""
-
-    rounds: int = 6
-    population: int = 256
-    elite_frac: float = 0.1
-    mutations_per_seq: tuple[int, int] = (1, 3)
-    objective: str = "pdc_peptide"
-    diversity_weight: float = 0.15
-    seed: int = 0
-
-
-def mutate(sequence: Column, n: Column, seed: Column, alphabet: str = sequences.ALPHABET) -> Column:
-    """``n`` seeded point mutations, each at a place and to a residue drawn by hash; JVM-side."""
-
-    def change(text: Column, turn: Column) -> Column:
-        at = F.pmod(F.xxhash64(seed, turn, F.lit("place")), F.greatest(F.length(text), F.lit(1))) + 1
-        old = F.instr(F.lit(alphabet), F.substr(text, at, F.lit(1)))
-        step = F.pmod(F.xxhash64(seed, turn, F.lit("residue")), F.lit(len(alphabet) - 1)) + 1  # never the residue that was there
-        to = F.pmod(old - 1 + step, F.lit(len(alphabet))) + 1
-        return F.concat(F.substr(text, F.lit(1), at - 1), F.substr(F.lit(alphabet), to, F.lit(1)), F.substr(text, at + 1))
-
-    return F.aggregate(F.sequence(F.lit(1), n), sequence, change)
-
-
-#: Cheap scores by objective: columns of sequence and a score that a predictor gave, if any.
-OBJECTIVES: dict[str, Callable[[Column, Column], Column]] = {
-    "pdc_peptide": lambda s, given: F.coalesce(given, F.lit(0.0)) - F.when(sequences.even_cysteines(s), 0.0).otherwise(0.5) - F.when(F.length(s) > 30, 0.5).otherwise(0.0),
-    "vhh_cross_validated": lambda s, given: F.coalesce(given, F.lit(0.0)) - 0.1 * F.regexp_count(s, F.lit("N[^P][ST]|NG|NS|DG")),
-}
-
-
-def optimize(pool: DataFrame, config: OptimizeConfig, score: Callable[[Column, Column], Column] | None = None) -> DataFrame:
-    """Rounds of score, elite, mutation and removal of duplicates over rows (design_id, sequence, given); children name their parent.
-
-    ``score`` maps the columns sequence and given to a score; ``given`` of a
-    child is its parent's.  Returns (design_id, parent_id, sequence, given,
-    score, round), the elites of every round.
-    """
-    score = score or OBJECTIVES[config.objective]
-    fields = ["design_id", "parent_id", "sequence", "given"]
-    now = pool.select("design_id", F.lit(None).cast("string").alias("parent_id"), "sequence", F.col("given").cast("double"))
-    history = None
-    elites = max(1, round(config.population * config.elite_frac))
-    low, high = config.mutations_per_seq
-    for turn in range(config.rounds):
-        scored = now.withColumn("score", score(F.col("sequence"), F.col("given"))).withColumn("round", F.lit(turn))
-        elite = materialize(scored.orderBy(F.desc("score"), "design_id").limit(elites), f"elite-{turn}")
-        history = elite if history is None else history.unionByName(elite)
-        each = -(-config.population // elites)
-        seed = F.xxhash64(F.lit(config.seed), F.lit(turn), F.col("design_id"), F.col("_k"))
-        children = elite.withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(each)))).withColumn("_seed", seed)
-        n = F.pmod(F.col("_seed"), F.lit(high - low + 1)) + low
-        children = children.select(
-            F.substring(F.sha2(F.concat_ws(":", "design_id", F.lit(turn), "_k"), 256), 1, 12).alias("design_id"),
-            F.col("design_id").alias("parent_id"), mutate(F.col("sequence"), n, F.col("_seed")).alias("sequence"), "given",
-        )
-        grown = elite.select(*fields).unionByName(children)
-        first = grown.groupBy("sequence").agg(F.min(F.struct(F.col("parent_id").isNotNull().alias("o"), "design_id", "parent_id", "given")).alias("r"))
-        now = materialize(first.select("r.design_id", "r.parent_id", "sequence", "r.given"), f"population-{turn}")
-    return history

@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from sievework import audit_queries
 from sievework.functions import align, metrics, sequences, stats
-from sievework.operators import hierarchy, novelty, rank, structures
+from sievework.operators import hierarchy, novelty, optimize, rank, structures
 from sievework.operators.ancestry import ancestry
 from sievework.plans.shared import new_path
 from sievework.sources.registry import Registry
@@ -388,6 +388,14 @@ def novelty_identity(spark, sf_dir):
     return novelty.greatest_identity(p.where("com"), p.where("not com"), 0.85).withColumn("identity", F.round("identity", 9))
 
 
+@query("optimize_rounds")
+def optimize_rounds(spark, sf_dir):
+    """Three rounds of refinement from customers as peptides; seeded, tested by its invariants."""
+    letters = F.translate(F.substring(F.md5("c_name"), 1, 20), "0123456789abcdef", "ACDEFGHIKLMNPQRS")
+    pool = _t(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("design_id"), letters.alias("sequence"), (F.col("c_acctbal") / 10000).alias("given"))
+    return optimize.convergence(optimize.optimize(pool, optimize.OptimizeConfig(rounds=3))).withColumns({c: F.round(c, 9) for c in ("mean", "best")})
+
+
 @query("event_window_counts", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL")
 def event_window_counts(spark, sf_dir):
     rows = window_counts(_t(spark, sf_dir, "events"))

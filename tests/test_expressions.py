@@ -169,14 +169,3 @@ def test_leaders_use_the_pairs_of_whole_labels(spark):
     leaders = [i for i in cluster if cluster[i] == i]
     assert set(cluster) == set(rows)
     assert not [(i, j) for i in leaders for j in leaders if i < j and rows[i]["label"] == rows[j]["label"] and unit[i] @ unit[j] >= 0.2]
-
-
-def test_refinement_loop(spark):
-    pool = spark.createDataFrame([(f"p{i}", "ACDEFGHIKL", i / 10) for i in range(5)], "design_id string, sequence string, given double")
-    config = rank.OptimizeConfig(rounds=3, population=20, elite_frac=0.2)
-    rows = rank.optimize(pool, config).collect()
-    again = rank.optimize(pool.repartition(3), config).collect()
-    assert sorted(map(str, rows)) == sorted(map(str, again)) and {r["round"] for r in rows} == {0, 1, 2}
-    assert all(len(r["sequence"]) == 10 and not set(r["sequence"]) - set(sequences.ALPHABET) for r in rows)
-    ids = {r["design_id"] for r in rows}
-    assert all(r["parent_id"] is None or r["parent_id"] in ids for r in rows)
