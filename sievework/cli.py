@@ -39,7 +39,7 @@ def _parser() -> argparse.ArgumentParser:
 
     add("prepare")
     add("generate", pipelines=None, budget=2000)
-    add("validate", predictors="boltz2,af2multimer", db=None)
+    add("validate", predictors="boltz2,af2multimer,chai1,esmfold", db=None)
     add("filter", profile=(str,), known=None, pdb=None, lists=None, db=None)
     add("rank", quota=100, cluster_tm=0.6, pairs=None, keep_clusters=False, db=None)
     add("review", stage="all", profile=None, db=None, runs_root="runs", submission=None, out=None, fail_on="block", semantic=False, semantic_endpoint=None)
@@ -91,7 +91,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     if args.command == "rank":
         every = decode(registry.query_target(target))
         rows = every.where(F.coalesce("passed_select", F.lit(False)) & gates.open_to(F.col("liability_flags"))).withColumn("_low", metrics.lower_keys(F.col("metrics")))
-        rows = rows.withColumns({"final_score": ranking.final_score(F.col("_low"), F.col("predictors_agreeing")), "_missing": ranking.missing_terms(F.col("_low"), F.col("predictors_agreeing"))})
+        rows = rows.withColumns({"final_score": ranking.with_selectivity(ranking.final_score(F.col("_low"), F.col("predictors_agreeing")), F.col("_low"), load_yaml(args.target)), "_missing": ranking.missing_terms(F.col("_low"), F.col("predictors_agreeing"))})
         for r in rows.select(F.explode("_missing").alias("term")).groupBy("term").agg(F.count("*").alias("n")).orderBy("term").collect():  # a row a term of the score
             print(f"[rank] warning: {r['n']} designs have no {r['term']}; it counts as 0", file=sys.stderr)
         if not args.keep_clusters:

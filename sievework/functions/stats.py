@@ -7,6 +7,8 @@ partitions, and only the partitions' totals meet.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -67,11 +69,47 @@ def histogram(df: DataFrame, value: str, bins: int = 40) -> DataFrame:
     return binned.agg(F.count("*").alias("n")).select("bin", "n", F.try_divide(F.col("n"), F.col("total") * F.col("width")).alias("density"))
 
 
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_g_{k}"]) for k in keys], F.lit(True))
+
+
+def _ranked(counts: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """Rows (keys, ..., n) with ``lo`` and ``hi``, the rows of their group before them and with them, and the group's ``total``.
+
+    Running counts over all rows in the order of the groups are made by
+    ranges, so no group is one task's; what lies before a group is its least.
+    """
+    upto = materialize(cumulate(counts, F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *[c.alias(f"o{i}") for i, c in enumerate(order)]), {"upto": "n"}), "ranked")
+    groups = upto.groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys]).agg(F.min(F.col("upto") - F.col("n")).alias("_before"), F.sum("n").alias("total"))
+    joined = upto.join(groups, _same(upto, groups, keys)) if keys else upto.join(F.broadcast(groups))  # one row without keys
+    return joined.withColumns({"hi": F.col("upto") - F.col("_before"), "lo": F.col("upto") - F.col("_before") - F.col("n")}).drop("upto", "_before", *[f"_g_{k}" for k in keys])
+
+
+def quantiles(df: DataFrame, keys: list[str], value: str, at: list[float]) -> DataFrame:
+    """(keys, at, quantile, total) of each group's values that aren't null, interpolated between neighbours; a null key is a group."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("n"))
+    ranked = _ranked(counts, keys, [F.col("_v")])
+    wanted = ranked.withColumn("at", F.explode(F.array(*[F.lit(float(p)) for p in at])))
+    place = F.col("at") * (F.col("total") - 1)
+    first, next_ = F.floor(place), F.least(F.floor(place) + 1, F.col("total") - 1)
+    holds = lambda k: (F.col("lo") <= k) & (k < F.col("hi"))
+    rows = wanted.where(holds(first) | holds(next_)).groupBy(*keys, "at", "total").agg(*[F.max(F.when(holds(k), F.col("_v"))).cast("double").alias(n) for k, n in ((first, "_a"), (next_, "_b"))])
+    between = F.col("_a") + (F.col("_b") - F.col("_a")) * (place - F.floor(place))
+    return rows.select(*keys, "at", F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(between).alias("quantile"), "total")
+
+
+def top_share(df: DataFrame, keys: list[str], order: list[Column], share: float) -> DataFrame:
+    """The first ``ceil(share * n)`` rows of each group of n, by an order that tells all its rows apart."""
+    ranked = _ranked(df.withColumn("n", F.lit(1).cast("long")), keys, order)
+    return ranked.where(F.col("hi") <= F.ceil(F.lit(float(share)) * F.col("total"))).select(*df.columns)
+
+
 def describe(df: DataFrame, value: str) -> DataFrame:
     """One row: count, mean, std, min, quartiles (interpolated), max."""
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    row = df.agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), q.alias("q"), F.max(value).alias("max"))
-    return row.select("n", "mean", "std", "min", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max")
+    row = df.agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"))
+    found = quantiles(df, [], value, [0.25, 0.5, 0.75])
+    quartiles = found.agg(*[F.max(F.when(F.col("at") == p, F.col("quantile"))).alias(f"q{round(100 * p)}") for p in (0.25, 0.5, 0.75)])
+    return row.join(F.broadcast(quartiles)).select("n", "mean", "std", "min", "q25", "q50", "q75", "max")  # one row each
 
 
 def leaderboard(df: DataFrame, key: str, label: str) -> DataFrame:

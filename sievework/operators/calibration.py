@@ -42,6 +42,11 @@ def derive(df: DataFrame, sequence: str, synthesis: str, ec50: str, potent: floa
     )
 
 
+def totals(df: DataFrame) -> DataFrame:
+    """One row (submitted, tested, hard_synth, active, hits) of a derived table."""
+    return df.agg(F.count("*").alias("submitted"), *[F.count_if(c).alias(n) for c, n in (("tested", "tested"), ("hard_synth", "hard_synth"), ("active", "active"), ("hit", "hits"))])
+
+
 def separation(df: DataFrame, scores: list[str], label: str, negatives: str | None = None) -> DataFrame:
     """(score, auc, median_pos, median_neg), best first.
 
@@ -53,7 +58,8 @@ def separation(df: DataFrame, scores: list[str], label: str, negatives: str | No
     side = ~flag & (F.expr(negatives) if negatives else F.lit(True))
     for name in scores:
         known = df.withColumn("_y", flag.cast("int"))
-        middle = known.agg(F.median(F.when(flag, F.col(name))).alias("median_pos"), F.median(F.when(side, F.col(name))).alias("median_neg"))
+        sided = known.withColumn("_side", F.when(flag, "pos").when(side, "neg")).where("_side is not null")
+        middle = stats.quantiles(sided, ["_side"], name, [0.5]).agg(*[F.max(F.when(F.col("_side") == s, F.col("quantile"))).alias(f"median_{s}") for s in ("pos", "neg")])
         parts.append(stats.auc(known, name, "_y").join(middle).select(F.lit(name).alias("score"), "auc", "median_pos", "median_neg"))  # one row each
     out = parts[0]
     for p in parts[1:]:

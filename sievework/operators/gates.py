@@ -12,9 +12,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sievework.functions import align, metrics, sequences
+from sievework.functions import vhh as antibody
 
 HARD = "gate:"
 SOFT = "look:"
+#: Share of a VHH's framework positions that must have a usual residue; ours, as no value is given.
+LEAST_FRAMEWORK = 0.8
 
 
 def _outside(sequence: Column, bounds) -> Column:
@@ -24,6 +27,7 @@ def _outside(sequence: Column, bounds) -> Column:
 def violated(sequence: Column, lowered: Column, profile: dict) -> list[tuple[str, Column]]:
     """(flag, condition) of the gates that a profile sets; ``lowered`` is what ``metrics.lower_keys`` gives."""
     peptide, gate, rules = (profile.get(k) or {} for k in ("peptide_specific", "gatekeeper_alignment", "developability"))
+    mini, gpcr = profile.get("minibinder_specific") or {}, profile.get("gpcr_specific") or {}
     counter, vhh = (profile.get("gpcr_specific") or {}).get("counter_screen") or {}, profile.get("vhh_specific") or {}
     value = lambda *names: F.coalesce(*[metrics.value_of(lowered, n) for n in names])
     out: list[tuple[str, Column]] = []
@@ -35,8 +39,17 @@ def violated(sequence: Column, lowered: Column, profile: dict) -> list[tuple[str
         out.append((HARD + "natural_similarity", align.identity(sequence) >= float(most)))
     if rules.get("cys_policy") == "even_count_only":
         out.append((HARD + "odd_cysteines", ~sequences.even_cysteines(sequence)))
-    if (most := rules.get("max_surface_hydrophobic_frac")) is not None:
-        out.append((HARD + "hydrophobic", sequences.hydrophobic_fraction(sequence) > float(most)))
+    limits = [x for x in (rules.get("max_surface_hydrophobic_frac"), (mini.get("solubility") or {}).get("max_surface_hydrophobic_frac")) if x is not None]
+    if limits:
+        out.append((HARD + "hydrophobic", sequences.hydrophobic_fraction(sequence) > float(min(limits))))
+    if bounds := mini.get("length"):
+        out.append((HARD + "minibinder_length", _outside(sequence, bounds)))
+    if mini.get("forbid_any_cys"):
+        out.append((HARD + "any_cysteine", sequence.contains("C")))
+    if (least := (profile.get("folding_confidence") or {}).get("ranking_score_select")) is not None:
+        out.append((HARD + "ranking_score", metrics.passes(value("ranking_score"), least, False) == F.lit(False)))
+    if gpcr.get("require_pocket_engagement"):
+        out.append((HARD + "no_pocket", value("pocket_engagement", "pocket_contacts") <= 0))
     if (most := rules.get("length_synthesizability")) is not None:
         out.append((SOFT + "length_synthesizability", F.length(sequence) > int(most)))
     if (least := gate.get("iptm_complex_min")) is not None:
@@ -55,8 +68,12 @@ def violated(sequence: Column, lowered: Column, profile: dict) -> list[tuple[str
         out.append((HARD + "known_structure", value("identity_vs_pdb") > float(most)))
     if vhh.get("forbid_unpaired_cys"):
         out.append((HARD + "unpaired_cysteine", ~sequences.even_cysteines(sequence)))
-    if bounds := vhh.get("cdr3_length"):
-        out.append((HARD + "cdr3_length", ~value("cdr3_length").between(*map(float, bounds))))
+    if (bounds := vhh.get("cdr3_length")) or vhh.get("framework_integrity"):
+        found = antibody.annotate(sequence)
+    if bounds:
+        out.append((HARD + "cdr3_length", ~F.coalesce(value("cdr3_length"), F.length(found["cdr3"])).between(*map(float, bounds))))
+    if vhh.get("framework_integrity"):
+        out.append((HARD + "framework", found["framework"] < LEAST_FRAMEWORK))
     if "M" in ((vhh.get("liability_scan") or {}).get("oxidation") or ()):
         out.append((SOFT + "oxidation", sequence.contains("M")))
     return out

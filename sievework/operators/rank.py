@@ -43,6 +43,15 @@ def final_score(lowered: Column, agreeing: Column, predictors: int = 4, sasa_ful
     return sum((F.lit(w) * F.coalesce(F.nanvl(terms[k].cast("double"), F.lit(0.0)), F.lit(0.0)) for k, w in WEIGHTS.items()), F.lit(0.0))
 
 
+def with_selectivity(score: Column, lowered: Column, target: dict) -> Column:
+    """The score, of which a target's ``selectivity_score`` gives a share to the metric ``srs``, between 0 and 1; a missing one is 0."""
+    rule = target.get("selectivity_score") or {}
+    if not rule.get("enabled") or not (weight := float(rule.get("weight_in_final") or 0)):
+        return score
+    srs = F.coalesce(F.nanvl(metrics.value_of(lowered, "srs").cast("double"), F.lit(0.0)), F.lit(0.0))
+    return score * (1 - weight) + F.greatest(F.least(srs, F.lit(1.0)), F.lit(0.0)) * weight
+
+
 def missing_terms(lowered: Column, agreeing: Column) -> Column:
     """Names of the score's terms that a record doesn't have."""
     has = {k: metrics.resolve(lowered, n).isNotNull() for k, n in (("i_pTM_mean", "i_pTM"), ("i_PAE_mean_inv", "i_PAE"), ("pLDDT_binder", "pLDDT_binder"), ("buried_sasa_norm", "buried_sasa_A2"), ("boltz2_affinity_prob", "boltz2_affinity_prob"))}

@@ -9,11 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sievework import audit_queries
 from sievework.functions import align, metrics, sequences, stats
-from sievework.operators import hierarchy, novelty, optimize, rank, structures
+from sievework.operators import contacts, hierarchy, novelty, optimize, rank, structures, surface
 from sievework.operators.ancestry import ancestry
 from sievework.plans.shared import new_path
 from sievework.sources.registry import Registry
@@ -256,7 +255,7 @@ def describe_stats(spark, sf_dir):
 
 @query("medians", "SELECT quality, median(n_chars) AS median, count(*) AS n FROM labels JOIN documents USING (doc_id) GROUP BY quality")
 def medians(spark, sf_dir):
-    return _scored(spark, sf_dir).groupBy("quality").agg(F.median("n_chars").alias("median"), F.count("*").alias("n"))
+    return stats.quantiles(_scored(spark, sf_dir), ["quality"], "n_chars", [0.5]).select("quality", F.col("quantile").alias("median"), F.col("total").alias("n"))
 
 
 @query("method_leaderboard", "SELECT source, count(*) AS n, sum(quality)::BIGINT AS hits, round_even(avg(quality), 2) AS rate FROM labels JOIN documents USING (doc_id) WHERE source IS NOT NULL GROUP BY source")
@@ -278,9 +277,7 @@ def quota_round_robin(spark, sf_dir):
     """SELECT o_orderkey, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS rn, count(*) OVER (PARTITION BY o_orderstatus) AS n FROM orders) WHERE rn <= ceil(0.1 * n)""",
 )
 def elite_fraction(spark, sf_dir):
-    w = Window.partitionBy("o_orderstatus")
-    o = _t(spark, sf_dir, "orders").withColumn("rn", F.row_number().over(w.orderBy(F.desc("o_totalprice"), "o_orderkey"))).withColumn("n", F.count("*").over(w))
-    return o.where(F.col("rn") <= F.ceil(0.1 * F.col("n"))).select("o_orderkey", "o_orderstatus")
+    return stats.top_share(_t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), ["o_orderstatus"], [-F.col("o_totalprice"), F.col("o_orderkey")], 0.1).select("o_orderkey", "o_orderstatus")
 
 
 @query(
@@ -396,6 +393,28 @@ def optimize_rounds(spark, sf_dir):
     return optimize.convergence(optimize.optimize(pool, optimize.OptimizeConfig(rounds=3))).withColumns({c: F.round(c, 9) for c in ("mean", "best")})
 
 
+def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors as structures of 21 atoms, of which the first ten are side A."""
+    e = _t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("structure"), F.col("embedding").alias("v"), F.explode(F.sequence(F.lit(0), F.lit(20))).alias("atom"))
+    return e.select("structure", F.when(F.col("atom") < 10, "A").otherwise("B").alias("side"), F.col("atom").cast("long").alias("atom"), F.lit("C").alias("element"), *[(F.col("v")[F.col("atom") * 3 + i].cast("double") * 20).alias(c) for i, c in enumerate("xyz")])
+
+
+@query(
+    "interface_contacts",
+    """WITH a AS (SELECT vec_id, i, embedding[3 * i + 1]::DOUBLE * 20 AS x, embedding[3 * i + 2]::DOUBLE * 20 AS y, embedding[3 * i + 3]::DOUBLE * 20 AS z FROM embeddings, range(21) r(i))
+       SELECT p.vec_id AS structure, count(*) AS contacts FROM a p JOIN a q ON p.vec_id = q.vec_id AND p.i < 10 AND q.i >= 10 WHERE sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2 + (p.z - q.z) ** 2) <= 2.5 GROUP BY p.vec_id""",
+)
+def interface_contacts(spark, sf_dir):
+    atoms = _places(spark, sf_dir)
+    return contacts.count_contacts(contacts.contacts(atoms.where("side = 'A'"), atoms.where("side = 'B'"), 2.5))
+
+
+@query("buried_surface")
+def buried_surface(spark, sf_dir):
+    """Exposed and buried area of every vector's atoms; tested on analytic spheres and a plain loop."""
+    return surface.buried_surface(_places(spark, sf_dir)).withColumns({c: F.round(c, 6) for c in ("exposed", "buried")})
+
+
 @query("event_window_counts", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL")
 def event_window_counts(spark, sf_dir):
     rows = window_counts(_t(spark, sf_dir, "events"))

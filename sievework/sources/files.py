@@ -231,6 +231,39 @@ def traces(paths: DataFrame, bases: list[str]) -> DataFrame:
     return _per_path(paths, one, "found string, xyz array<double>", [pa.string(), pa.list_(pa.float64())], ["found", "xyz"])
 
 
+def pdb_atoms(text: str) -> list[tuple]:
+    """(atom, side, residue_no, residue, name, element, x, y, z) of the first model's ATOM lines; lines without a place are left out."""
+    out = []
+    for line in text.splitlines():
+        if line.startswith("ENDMDL"):
+            break
+        if line.startswith("ATOM  "):
+            try:
+                place = tuple(float(line[i : i + 8]) for i in (30, 38, 46))
+            except ValueError:
+                continue
+            name = line[12:16].strip()
+            out.append((len(out) + 1, line[21:22], line[22:27].strip(), line[17:20].strip(), name, line[76:78].strip() or name.lstrip("0123456789")[:1], *place))
+    return out
+
+
+def atoms(paths: DataFrame, bases: list[str]) -> DataFrame:
+    """(structure, atom, side, residue_no, residue, name, element, x, y, z) of PDB files; ``structure`` is the path as given."""
+    fields = [("atom", pa.int64()), ("side", pa.string()), ("residue_no", pa.string()), ("residue", pa.string()), ("name", pa.string()), ("element", pa.string()), *[(c, pa.float64()) for c in "xyz"]]
+
+    def one(path: str) -> tuple:
+        where = find(path, bases)
+        try:
+            read = pdb_atoms(read_text(where)) if where and where.lower().endswith(".pdb") else []
+        except (OSError, ValueError):
+            read = []
+        return where, [dict(zip([n for n, _ in fields], row, strict=True)) for row in read]
+
+    schema = "array<struct<atom:long,side:string,residue_no:string,residue:string,name:string,element:string,x:double,y:double,z:double>>"
+    found = _per_path(paths, one, f"found string, atoms {schema}", [pa.string(), pa.list_(pa.struct(fields))], ["found", "atoms"])
+    return found.select(F.col("path").alias("structure"), F.explode("atoms").alias("a")).select("structure", "a.*")
+
+
 def read_fasta(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(file, header, sequence) of FASTA files; wrapped lines are joined, records without sequence are left out.
 

@@ -93,9 +93,12 @@ class Registry:
         """Insert or overwrite all columns but the key and ``created_at``, with null where the input has none.
 
         Rows that repeat an id must say which is last by a column ``_seq``,
-        different for each; else they are refused.  The input's plan runs
+        different for each; else they are refused.  A row without an id gets
+        one of 12 hexadecimal digits, drawn once.  The input's plan runs
         once; its result is checked on narrow columns before it is added.
         """
+        named = F.substring(F.replace(F.uuid(), F.lit("-"), F.lit("")), 1, 12)
+        rows = rows.withColumn("design_id", F.coalesce("design_id", named) if "design_id" in rows.columns else named)
         missing = [c for c in schema.NOT_NULL if c not in rows.columns]
         if missing:
             raise ValueError(f"columns without a value: {', '.join(missing)}")
