@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.functions import sequences
-from sievework.plans.shared import materialize
+from sievework.plans.shared import materialize, temporary
 from sievework.session import get_session
 
 log = logging.getLogger("jobs.intake_texts")
@@ -96,8 +96,8 @@ def run(spark: SparkSession, source: str, output: str, checkpoint: str, config:
     def take(texts: DataFrame, number: int) -> None:
         earlier = read_output(texts.sparkSession, output).where((F.col("batch") < number) & (F.col("status") != "duplicate"))
         before = earlier.groupBy("content").agg(F.min("doc_id").alias("first_id")).withColumn("known", F.lit(True))
-        found = judged(checked(texts, config), before)
-        found.write.mode("overwrite").partitionBy("status").parquet(f"{output}/batch={number}")
+        with temporary(texts.sparkSession):
+            judged(checked(texts, config), before).write.mode("overwrite").partitionBy("status").parquet(f"{output}/batch={number}")
         for row in read_output(texts.sparkSession, output).where(F.col("batch") == number).groupBy("status").count().orderBy("status").collect():  # four rows at most
             log.info("batch %d of %s: %d %s", number, source, row["count"], row["status"])
 

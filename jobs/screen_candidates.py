@@ -76,8 +76,9 @@ def run(spark: SparkSession, source: str, output: str, config: dict) -> DataFram
     how = "dynamic" if config.get("targets") else "static"
     found.write.mode("overwrite").option("partitionOverwriteMode", how).partitionBy("target").parquet(output)
     written = spark.read.schema(found.schema).parquet(output)
-    for row in written.groupBy("target").agg(F.count("*").alias("n"), F.count("score").alias("best")).orderBy("target").collect():  # a row a target
-        log.info("%s: target %s: %d rows, %d candidates on the shortlist", output, row["target"], row["n"], row["best"])
+    read = F.sum(F.when(F.col("place") <= 1, F.col("candidates")))  # each cluster has one row of place 0 or 1
+    for row in written.groupBy("target").agg(read.alias("read"), F.count("*").alias("n"), F.count("score").alias("best")).orderBy("target").collect():  # a row a target
+        log.info("target %s: read %d candidates; wrote %d rows to %s, %d candidates on the shortlist", row["target"], row["read"], row["n"], output, row["best"])
     return written
 
 

@@ -6,6 +6,7 @@ import argparse
 import sys
 from pathlib import Path
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from sievework.functions import metrics
@@ -14,7 +15,7 @@ from sievework.operators import rank as ranking
 from sievework.operators.structures import structure_pairs
 from sievework.plans.export import ExportBlocked, export
 from sievework.plans.review import build_context, http_reviewer, run_review
-from sievework.plans.shared import materialize
+from sievework.plans.shared import materialize, temporary
 from sievework.session import get_session
 from sievework.sources import files
 from sievework.sources.config import load_profile, load_yaml, target_id
@@ -63,13 +64,19 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         raise NotImplementedError("structures are prepared by external tools; register their output with a Run")
     if args.command == "generate":
         cfg = load_yaml(args.target)
-        mix = {k: float(v.get("share", 1) if isinstance(v, dict) else v) for k, v in (cfg.get("pipeline_mix") or {}).items()}
+        mix = {k: float(v.get("share", 1) if isinstance(v, dict) else v) for k, v in ((cfg.get("budget") or {}).get("pipeline_mix") or cfg.get("pipeline_mix") or {}).items()}
         wanted = args.pipelines.split(",") if args.pipelines else list(mix)
         shares = {p: mix.get(p, 1.0) for p in wanted}
         for pipeline, n in ranking.apportion(args.budget, shares).items():
             print(f"[generate] {pipeline}: {n}")
         return 0
     spark = spark or get_session()
+    with temporary(spark):
+        return _run(spark, args, target)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace, target: str) -> int:
+    """Run a command that works on the registry."""
     registry = Registry(spark, args.db or str(Path("runs") / target / "registry"))
     if args.command == "validate":
         ctx = build_context(spark, registry, target, target_path=args.target, repo_root=Path.cwd())

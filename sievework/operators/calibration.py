@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.functions import stats
+from sievework.sources.spreadsheet import read_spreadsheet
 
 # The motif that natural ligands end in, and what marks a sequence as hard to make.
 NATURAL_MOTIF = "F[YF][LM]M|CFYFLM|FVGLM"
 HARD = "Difficult"
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A calibration table from CSV (with a header) or Parquet."""
+def read_table(spark: SparkSession, path: str, sheet: str | None = None) -> DataFrame:
+    """A calibration table from a spreadsheet, CSV (with a header) or Parquet."""
+    if path.lower().endswith(".xlsx"):
+        return read_spreadsheet(spark, path, sheet)
     return spark.read.csv(path, header=True, inferSchema=True) if path.lower().endswith(".csv") else spark.read.parquet(path)
 
 

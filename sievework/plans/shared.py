@@ -10,7 +10,10 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,9 +45,26 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+_OWNERS = threading.local()
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete at its end what this thread materializes within; for work whose result is written elsewhere by then."""
+    stack = _OWNERS.__dict__.setdefault("stack", [])
+    stack.append([])
+    try:
+        yield
+    finally:
+        for path in stack.pop():
+            remove(spark, path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back; later plans start from the files."""
     spark = df.sparkSession
     path = new_path(spark, label)
+    if stack := getattr(_OWNERS, "stack", None):
+        stack[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievework import schema
-from sievework.plans.shared import materialize
+from sievework.plans.shared import materialize, temporary
 
 _BATCH = "batch="
 _PLACE = [T.StructField("_at", T.StringType()), T.StructField("_seq", T.LongType())]
@@ -105,14 +105,15 @@ class Registry:
         types = {f.name: f.dataType for f in schema.DESIGNS}
         columns = [F.col(c).cast(types[c]).alias(c) if c in rows.columns else F.lit(schema.DEFAULTS.get(c)).cast(types[c]).alias(c) for c in schema.COLUMNS]
         seq = F.col("_seq").cast("long") if "_seq" in rows.columns else F.lit(0).cast("long")
-        ready = materialize(rows.select(*columns, F.current_timestamp().alias("created_at"), seq.alias("_seq")), "upsert")
-        bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in schema.NOT_NULL], F.col("target_id") == "")
-        if not ready.where(bad).isEmpty():
-            raise ValueError(f"null in one of: {', '.join(schema.NOT_NULL)}; or an empty target_id")
-        if not ready.groupBy("design_id", "_seq").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-            raise ValueError("a design_id is repeated and nothing says which row is last")
-        numbers = [int(n.split("-")[0]) for n in self.batches()]
-        self._write(ready, max(numbers, default=0) + 1)
+        with temporary(self.spark):
+            ready = materialize(rows.select(*columns, F.current_timestamp().alias("created_at"), seq.alias("_seq")), "upsert")
+            bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in schema.NOT_NULL], F.col("target_id") == "")
+            if not ready.where(bad).isEmpty():
+                raise ValueError(f"null in one of: {', '.join(schema.NOT_NULL)}; or an empty target_id")
+            if not ready.groupBy("design_id", "_seq").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+                raise ValueError("a design_id is repeated and nothing says which row is last")
+            numbers = [int(n.split("-")[0]) for n in self.batches()]
+            self._write(ready, max(numbers, default=0) + 1)
 
     def update(self, changes: DataFrame) -> None:
         """Set the given columns of registered designs, by ``design_id``; all other columns stay as they are stored."""

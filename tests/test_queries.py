@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from jobs.queries import ORACLE_SQL as JOB_SQL
+from jobs.queries import QUERIES as JOBS
 from sievework import queries
 
 SF = "/root/testdata/sf0.001"
@@ -30,9 +32,9 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL | JOB_SQL))
 def test_query_equals_sql(spark, duck, name):
-    got, want = queries.QUERIES[name](spark, SF).toPandas(), duck.execute(queries.ORACLE_SQL[name]).df()
+    got, want = (queries.QUERIES | JOBS)[name](spark, SF).toPandas(), duck.execute((queries.ORACLE_SQL | JOB_SQL)[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert rows(got) == rows(want)
 

@@ -3,9 +3,12 @@ import threading
 import time
 from concurrent.futures import ThreadPoolExecutor
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
+from sievework.plans import shared
 from sievework.plans.provenance import Run, git_state, read_events, read_manifests, verify_artifacts
 from sievework.sources.config import config_hash, config_hashes, load_profile, target_id
 from sievework.sources.files import flatten_metrics, read_fasta
@@ -93,6 +96,17 @@ def test_an_upsert_runs_its_input_once_and_moves_targets(spark, tmp_path):
     assert "target_id#" in plan and "PartitionFilters: [isnotnull(target_id" in plan
 
 
+def test_intermediate_results_go_with_their_owner(spark):
+    with shared.temporary(spark):
+        inner = shared.materialize(spark.range(3), "kept")
+        place = Path(inner.inputFiles()[0].removeprefix("file://")).parent
+        with shared.temporary(spark):
+            gone = Path(shared.materialize(spark.range(3), "gone").inputFiles()[0].removeprefix("file://")).parent
+        assert place.exists() and not gone.exists() and inner.count() == 3
+    assert not place.exists()
+    assert shared.materialize(spark.range(3), "free").count() == 3
+
+
 def test_decode_json_columns(spark, tmp_path):
     r = Registry(spark, str(tmp_path / "r"))
     r.upsert_many([ROW | {"metrics": '{"iPTM": 0.9, "s": "0.5", "b": true, "n": null}', "final_score": float("nan")}, ROW | {"design_id": "b", "metrics": "{broken"}])
