@@ -54,7 +54,8 @@ def candidates(spark: SparkSession, source: str, config: dict) -> DataFrame:
         rows = rows.where(F.col("target").isin(*config["targets"]))
     low, agreeing = metrics.lower_keys(_metric_map(config["metrics"])), F.pmod("l_linenumber", F.lit(4)).cast("int")
     rows = rows.withColumns({"_low": low, "_score": metrics.lower_keys(_metric_map(config["score"])), "_agreeing": agreeing})
-    level = lambda name: metrics.passes_level(F.col("_low"), F.col("_agreeing"), config["profile"], name)
+    rows, values = metrics.bind(rows, F.col("_low"), config["profile"])
+    level = lambda name: metrics.passes_level(values, F.col("_agreeing"), config["profile"], name)
     score = F.round(rank.final_score(F.col("_score"), F.col("_agreeing")), 9)
     return rows.select("target", "cluster", *ID, level("screen").alias("screen"), level("select").alias("select"), score.alias("score"))
 

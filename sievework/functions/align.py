@@ -7,6 +7,7 @@ most matches.  Under ``MIN_COLUMNS`` columns there's no hit, identity 0.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,31 +18,61 @@ MIN_COLUMNS = 7
 REFERENCE = "HKTDSFVGLM"
 
 
+#: A score in halves, the columns and the matches of an alignment in one number, which orders them so.
+_HALF, _COLUMN, _MATCH, _NONE = 1 << 40, 1 << 20, 1, -(1 << 60)
+
+
+def _codes(texts: list[str], padding: int) -> np.ndarray:
+    out = np.full((len(texts), max(map(len, texts), default=0)), padding, dtype=np.int64)
+    for k, text in enumerate(texts):
+        out[k, : len(text)] = [ord(c) for c in text]
+    return out
+
+
+def local_identities(queries: list[str | None], references: list[str | None]) -> np.ndarray:
+    """Matches by columns of the best local alignment of each pair; 0 for a short or missing one.
+
+    All pairs are aligned at once, cell by cell; what pads shorter ones
+    matches nothing, so it never adds to the best.
+    """
+    q, r = _codes([x or "" for x in queries], -1), _codes([x or "" for x in references], -2)
+    many, width = len(q), r.shape[1] + 1
+    opened, longer = _COLUMN - 4 * _HALF, _COLUMN - _HALF
+    best = np.zeros(many, dtype=np.int64)
+    met = [np.zeros(many, dtype=np.int64) for _ in range(width)]
+    gap_q, gap_r = ([np.full(many, _NONE, dtype=np.int64) for _ in range(width)] for _ in range(2))
+    for i in range(q.shape[1]):
+        new_met, new_q, new_r = [np.zeros(many, dtype=np.int64)], [np.full(many, _NONE, dtype=np.int64)], [np.full(many, _NONE, dtype=np.int64)]
+        for j in range(1, width):
+            before = np.maximum(np.maximum(met[j - 1], gap_q[j - 1]), np.maximum(gap_r[j - 1], 0))
+            here = before + np.where(q[:, i] == r[:, j - 1], 2 * _HALF + _COLUMN + _MATCH, _COLUMN - 2 * _HALF)
+            new_met.append(np.where(here >= _HALF, here, 0))
+            new_r.append(np.maximum(np.maximum(met[j], gap_q[j]) + opened, gap_r[j] + longer))
+            new_q.append(np.maximum(np.maximum(new_met[j - 1], new_r[j - 1]) + opened, new_q[j - 1] + longer))
+            best = np.maximum(best, here)
+        met, gap_q, gap_r = new_met, new_q, new_r
+    columns, matches = best % _HALF // _COLUMN, best % _COLUMN
+    return np.where(columns >= MIN_COLUMNS, matches / np.maximum(columns, 1), 0.0)
+
+
 def local_identity(query: str | None, reference: str = REFERENCE) -> float:
-    """Matches by columns of the best local alignment; 0 for a short or missing one."""
-    none = (float("-inf"), 0, 0)
-    best = (0.0, 0, 0)
-    width = len(reference) + 1
-    met, gap_q, gap_r = [(0.0, 0, 0)] * width, [none] * width, [none] * width
-    for a in query or "":
-        new_met, new_gap_q, new_gap_r = [(0.0, 0, 0)], [none], [none]
-        for j, b in enumerate(reference, 1):
-            score, columns, same = max(met[j - 1], gap_q[j - 1], gap_r[j - 1], (0.0, 0, 0))
-            hit = a == b
-            here = (score + (1 if hit else -1), columns + 1, same + hit)
-            new_met.append(here if here[0] > 0 else (0.0, 0, 0))
-            opened = lambda x, cost: (x[0] - cost, x[1] + 1, x[2])
-            new_gap_r.append(max(opened(met[j], 2), opened(gap_q[j], 2), opened(gap_r[j], 0.5)))
-            new_gap_q.append(max(opened(new_met[j - 1], 2), opened(new_gap_r[j - 1], 2), opened(new_gap_q[j - 1], 0.5)))
-            best = max(best, here)
-        met, gap_q, gap_r = new_met, new_gap_q, new_gap_r
-    return best[2] / best[1] if best[1] >= MIN_COLUMNS else 0.0
+    """``local_identities`` of one pair."""
+    return float(local_identities([query], [reference])[0])
+
+
+#: Pairs that are aligned at once.
+AT_ONCE = 2_048
 
 
 @F.pandas_udf(T.DoubleType())
 def _identity(query: pd.Series, reference: pd.Series) -> pd.Series:
+    pairs = [(q if isinstance(q, str) else None, r if isinstance(r, str) else None) for q, r in zip(query, reference, strict=True)]
+    different = sorted(set(pairs), key=lambda p: (len(p[0] or ""), len(p[1] or ""), str(p)))
     known: dict = {}
-    return pd.Series([known[p] if p in known else known.setdefault(p, local_identity(*p)) for p in zip(query, reference, strict=True)], dtype="float64")
+    for at in range(0, len(different), AT_ONCE):
+        part = different[at : at + AT_ONCE]
+        known.update(zip(part, local_identities(*map(list, zip(*part, strict=True))), strict=True))
+    return pd.Series([known[p] for p in pairs], dtype="float64")
 
 
 def identity(query: Column, reference: Column | str = REFERENCE) -> Column:

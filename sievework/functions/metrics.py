@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Metrics for which a lower value is better, in lower case.
@@ -76,17 +76,29 @@ def specs(profile: dict, level: str, sections: tuple[str, ...] = SECTIONS) -> li
     return list(out.items())
 
 
-def verdicts(metrics: Column, profile: dict, level: str, sections: tuple[str, ...] = SECTIONS) -> list[tuple[str, Column, Column]]:
-    """(metric, value, pass) columns of a level; ``metrics`` is what ``lower_keys`` gives."""
+def bind(df: DataFrame, metrics: Column, profile: dict, name: str = "_bound") -> tuple[DataFrame, dict[str, Column]]:
+    """``df`` with the values of all metrics that a profile names, and these by metric.
+
+    Each value is searched for once a row, however many levels are compared.
+    """
+    keys = sorted({k for section in SECTIONS for k, spec in (profile.get(section) or {}).items() if isinstance(spec, dict)})
+    if not keys:
+        return df, {}
+    held = df.withColumn(name, F.struct(*[resolve(metrics, k).alias(f"v{i}") for i, k in enumerate(keys)]))
+    return held, {k: F.col(f"{name}.v{i}") for i, k in enumerate(keys)}
+
+
+def verdicts(metrics: Column | dict[str, Column], profile: dict, level: str, sections: tuple[str, ...] = SECTIONS) -> list[tuple[str, Column, Column]]:
+    """(metric, value, pass) columns of a level; ``metrics`` is what ``lower_keys`` or ``bind`` gives."""
     directions = profile.get("direction")
     out = []
     for key, threshold in specs(profile, level, sections):
-        value = resolve(metrics, key)
+        value = metrics[key] if isinstance(metrics, dict) else resolve(metrics, key)
         out.append((key, value, passes(value, threshold, lower_is_better(key, directions))))
     return out
 
 
-def threshold_report(metrics: Column, profile: dict, level: str) -> Column:
+def threshold_report(metrics: Column | dict[str, Column], profile: dict, level: str) -> Column:
     """Array of (key, threshold, value, pass) for every threshold of a level."""
     limits = dict(specs(profile, level))
     rows = [
@@ -102,7 +114,7 @@ def min_agreeing(profile: dict) -> int | None:
     return n if isinstance(n, int) else None
 
 
-def passes_level(metrics: Column, agreeing: Column, profile: dict, level: str) -> Column:
+def passes_level(metrics: Column | dict[str, Column], agreeing: Column, profile: dict, level: str) -> Column:
     """No measured metric fails and enough predictors agree; a null count is none."""
     tests = [F.coalesce(p, F.lit(True)) for _, _, p in verdicts(metrics, profile, level)]
     if (n := min_agreeing(profile)) is not None:
@@ -110,7 +122,7 @@ def passes_level(metrics: Column, agreeing: Column, profile: dict, level: str) -
     return reduce(lambda a, b: a & b, tests, F.lit(True))
 
 
-def failed_keys(metrics: Column, profile: dict, level: str) -> Column:
+def failed_keys(metrics: Column | dict[str, Column], profile: dict, level: str) -> Column:
     """Names of the thresholds that fail."""
     return F.array_compact(F.array(*[F.when(~p, F.lit(k)) for k, _, p in verdicts(metrics, profile, level)], F.lit(None).cast("string")))
 

@@ -160,13 +160,14 @@ def round_robin(designs: DataFrame, quota: int, id_col="design_id", cluster_col=
 def filter_stage(designs: DataFrame, profile: dict) -> DataFrame:
     """Set passed_screen, passed_select and liability_flags (with those of the profile's gates) of decoded designs."""
     low, agree = F.col("_low"), F.col("predictors_agreeing")
-    return designs.withColumn("_low", metrics.lower_keys(F.col("metrics"))).withColumns(
+    held, values = metrics.bind(designs.withColumn("_low", metrics.lower_keys(F.col("metrics"))), low, profile)
+    return held.withColumns(
         {
-            "passed_screen": metrics.passes_level(low, agree, profile, "screen"),
-            "passed_select": metrics.passes_level(low, agree, profile, "select"),
+            "passed_screen": metrics.passes_level(values, agree, profile, "screen"),
+            "passed_select": metrics.passes_level(values, agree, profile, "select"),
             "liability_flags": F.concat(sequences.liability_flags(F.col("sequence"), profile), gates.flags(F.col("sequence"), low, profile)),
         }
-    ).drop("_low")
+    ).drop("_low", "_bound")
 
 
 def apportion(total: int, shares: dict[str, float]) -> dict[str, int]:

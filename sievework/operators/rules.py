@@ -186,12 +186,12 @@ def recomputed_metrics(ctx: Context) -> DataFrame:
 def threshold_replay(ctx: Context) -> DataFrame:
     if not ctx.profile:
         return note(ctx, "R6", INFO, "no filter profile, thresholds not replayed")
-    d = ctx.designs.withColumn("_low", metrics.lower_keys(F.col("metrics")))
+    d, values = metrics.bind(ctx.designs.withColumn("_low", metrics.lower_keys(F.col("metrics"))), F.col("_low"), ctx.profile)
     parts = []
     for level, claim in (("screen", "passed_screen"), ("select", "passed_select")):
-        now = d.withColumn("_now", metrics.passes_level(F.col("_low"), F.col("predictors_agreeing"), ctx.profile, level))
+        now = d.withColumn("_now", metrics.passes_level(values, F.col("predictors_agreeing"), ctx.profile, level))
         wrong = now.where(F.col(claim).isNotNull() & (F.col(claim) != F.col("_now")))
-        failed = F.array_join(metrics.failed_keys(F.col("_low"), ctx.profile, level), ", ")
+        failed = F.array_join(metrics.failed_keys(values, ctx.profile, level), ", ")
         told = F.concat(F.initcap(F.col("_now").cast("string")), F.when(failed != "", F.concat(F.lit(", failed: "), failed)).otherwise(""))
         parts.append(finding(wrong, "R6", BLOCK, f"{claim} isn't what the present thresholds give", _id(), expected=told, actual=F.initcap(F.col(claim).cast("string"))))
     if metrics.min_agreeing(ctx.profile) is not None:

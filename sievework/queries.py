@@ -115,7 +115,8 @@ def add_column(spark, sf_dir):
 )
 def threshold_report(spark, sf_dir):
     rows = _candidates(spark, sf_dir)
-    report = metrics.threshold_report(F.col("low"), PROFILE, "screen")
+    rows, values = metrics.bind(rows, F.col("low"), PROFILE)
+    report = metrics.threshold_report(values, PROFILE, "screen")
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.explode(report).alias("r")).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "r.*")
 
 
@@ -124,9 +125,9 @@ def threshold_report(spark, sf_dir):
     f"WITH {_CAND} SELECT l_returnflag, {_SCREEN} AS passed_screen, {_SELECT} AS passed_select, count(*) AS n FROM cand GROUP BY ALL",
 )
 def threshold_pass(spark, sf_dir):
-    low = F.col("low")
-    level = lambda name: metrics.passes_level(low, F.col("agreeing"), PROFILE, name)
-    rows = _candidates(spark, sf_dir).select("l_returnflag", level("screen").alias("passed_screen"), level("select").alias("passed_select"))
+    rows, values = metrics.bind(_candidates(spark, sf_dir), F.col("low"), PROFILE)
+    level = lambda name: metrics.passes_level(values, F.col("agreeing"), PROFILE, name)
+    rows = rows.select("l_returnflag", level("screen").alias("passed_screen"), level("select").alias("passed_select"))
     return rows.groupBy("l_returnflag", "passed_screen", "passed_select").agg(F.count("*").alias("n"))
 
 
@@ -137,10 +138,9 @@ def threshold_pass(spark, sf_dir):
       FROM cand WHERE (l_linestatus = 'F') <> {_SCREEN}""",
 )
 def threshold_replay(spark, sf_dir):
-    low = F.col("low")
-    rows = _candidates(spark, sf_dir).withColumn("claimed", F.col("l_linestatus") == "F")
-    rows = rows.withColumn("recomputed", metrics.passes_level(low, F.col("agreeing"), PROFILE, "screen")).where("claimed <> recomputed")
-    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "claimed", "recomputed", F.array_join(metrics.failed_keys(low, PROFILE, "screen"), ",").alias("failed"))
+    rows, values = metrics.bind(_candidates(spark, sf_dir).withColumn("claimed", F.col("l_linestatus") == "F"), F.col("low"), PROFILE)
+    rows = rows.withColumn("recomputed", metrics.passes_level(values, F.col("agreeing"), PROFILE, "screen")).where("claimed <> recomputed")
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "claimed", "recomputed", F.array_join(metrics.failed_keys(values, PROFILE, "screen"), ",").alias("failed"))
 
 
 @query(
