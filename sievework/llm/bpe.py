@@ -43,7 +43,7 @@ _END = "\t"
 #: Chunks that a worker remembers at least; at twice this number the older half goes.
 REMEMBERED = 250_000
 #: The same for tasks that return ids, which share their worker's memory with other stages.
-REMEMBERED_IDS = 80_000
+REMEMBERED_IDS = 40_000
 #: Longest chunk that is remembered, so that the table is bounded in bytes too; longer ones are encoded each time.
 LONGEST = 64
 _CONTROL = re.compile("[\x1c-\x1f]")
@@ -125,7 +125,8 @@ class WordBpe:
         self._whole: dict[int, bool] = {}
         self._decimal = {i: str(i) for i in self.names}
         self._build_automaton()
-        self._chunks = _Remembered(remembered or REMEMBERED)
+        self.remembered = remembered or REMEMBERED
+        self._chunks = _Remembered(self.remembered)
 
     def _build_automaton(self) -> None:
         import ahocorasick
@@ -178,7 +179,7 @@ class WordBpe:
         pair = s << 20 | t
         known = self._fits.get(pair)
         if known is None:
-            if len(self._fits) > 8 * REMEMBERED:
+            if len(self._fits) > 8 * self.remembered:
                 self._fits.clear()
             known = self._fits[pair] = self._stays_apart(s, t)
         return known
