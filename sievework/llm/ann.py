@@ -14,7 +14,8 @@ from asymmetric distance tables (the query isn't quantised), the best
 precision, and the best of all shards are returned.  ``probes`` is set by
 measurement: for a bounded sample of queries the true neighbours are found
 among all rows, and the least number of lists that holds ``RECALL`` of them
-is taken.
+is taken.  A query whose lists hold fewer than ``k + 1`` rows goes on to
+further ones.
 
 Equal vectors are one index row with the ``k + 1`` smallest ids; more can't
 be returned to any query, since ties go to smaller ids.  So a vector that a
@@ -51,6 +52,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sievework.llm.names import column
+from sievework.llm.workers import slices
 from sievework.plans.shared import materialize
 
 #: Vectors the index is fitted on, queries that set the number of lists visited.
@@ -176,6 +178,13 @@ def _calibrate(base: DataFrame, asked: DataFrame, index: Index, k: int, unit: fl
     return int(np.quantile(places, RECALL, method="higher")) + 1 if len(places) else 1
 
 
+def visited(index: Index, q: np.ndarray, sizes: np.ndarray, probes: int, least: int) -> list[list[int]]:
+    """Lists that each query visits: the ``probes`` nearest, and further ones until they hold ``least`` rows."""
+    order = index.probe(q, len(index.centroids))
+    enough = (np.cumsum(sizes[order], axis=1) < least).sum(axis=1) + 1
+    return [row[: max(probes, n)].tolist() for row, n in zip(order, enough, strict=True)]
+
+
 def _shards(counts: dict[int, int]) -> dict[int, list[int]]:
     """Shards of every list: short lists are packed together, long ones split."""
     out, shard, room = {}, 0, SHARD
@@ -228,14 +237,15 @@ def search(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("v"), pa.array(near, pa.int32()), packed.cast(pa.binary())], ["key", "v", "list", "codes"])
 
     coded = materialize(base.select("key", "v").mapInArrow(encode, f"key long, v {kind}, list int, codes binary"), "ann-index")
-    shards = _shards({r["list"]: r["count"] for r in coded.groupBy("list").count().collect()})  # a row a list
+    sizes = {r["list"]: r["count"] for r in coded.groupBy("list").count().collect()}  # a row a list
+    shards, held_by = _shards(sizes), np.array([sizes.get(i, 0) for i in range(len(index.centroids))])
     of_list = spark.createDataFrame([(a, b) for a, b in shards.items()], "list int, shards array<int>")
     placed = coded.join(F.broadcast(of_list), "list").withColumn("shard", F.get("shards", F.pmod(F.xxhash64("key"), F.size("shards")).cast("int")))
 
     def visit(batches):
-        for batch in batches:
+        for batch in slices(batches, 512):
             out = []
-            for key, v, lists in zip(batch.column("key").to_pylist(), batch.column("v").to_pylist(), index.probe(scaled(batch.column("v")), probes).tolist(), strict=True):
+            for key, v, lists in zip(batch.column("key").to_pylist(), batch.column("v").to_pylist(), visited(index, scaled(batch.column("v")), held_by, probes, k + 1), strict=True):
                 by_shard: dict[int, list[int]] = {}
                 for number in lists:
                     for shard in shards.get(number, ()):

@@ -569,6 +569,18 @@ def test_nearest_neighbours_exact_in_the_input_s_precision(spark, kind):
     assert [r["vec_id"] for r in ann.search(ints, F.col("id") == 1, 3, "id", "v").orderBy("rank").collect()] == [29, 28, 27]
 
 
+def test_queries_go_on_to_further_lists_until_enough_rows_are_met(spark, monkeypatch):
+    """Outliers have lists of their own; with one list a query the nearest 20 must still be all there."""
+    rng = np.random.default_rng(12)
+    rows = [(i, [float(x) for x in rng.normal(size=8) * (1 + 40 * (i % 10 == 0))]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "_calibrate", lambda *a: 1)
+    found = ann.search(df, F.col("vec_id") % 10 == 0, 20).groupBy("query_id").agg(F.count("*").alias("n"), F.max("rank").alias("last")).collect()
+    assert len(found) == 40 and all((r["n"], r["last"]) == (20, 20) for r in found)
+    few = ann.search(df.where("vec_id < 30"), F.col("vec_id") % 10 == 0, 40).groupBy("query_id").count().collect()
+    assert {r["count"] for r in few} == {29} and len(few) == 3
+
+
 # personal data
 
 
