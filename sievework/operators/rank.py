@@ -74,9 +74,11 @@ def leader_clusters(pairs: DataFrame, items: DataFrame, threshold: float) -> Dat
     better = both.join(ranked.select(F.col("id").alias("a"), F.col("k").alias("ka")), "a").join(ranked.select(F.col("id").alias("b"), F.col("k").alias("kb")), "b").where("kb > ka")
     better = materialize(better.groupBy("a", "b", "kb").agg(F.max("similarity").alias("similarity")), "leader-better")  # b may lead a
     state = materialize(ranked.select("id", F.lit(None).cast("boolean").alias("leads")), "leader-state")
+    left = better.select("a", "b")
     while True:
         open_ = state.where("leads is null").select(F.col("id").alias("a"))
-        known = better.join(open_, "a", "left_semi").join(state.select(F.col("id").alias("b"), "leads"), "b")
+        left = materialize(left.join(open_, "a", "left_semi"), "leader-left")  # settled items need no pairs any more
+        known = left.join(state.select(F.col("id").alias("b"), "leads"), "b")
         seen = known.groupBy("a").agg(F.max(F.coalesce("leads", F.lit(False))).alias("led"), F.max(F.col("leads").isNull()).alias("waits"))
         told = F.when(F.col("led"), False).when(F.coalesce("waits", F.lit(False)), None).otherwise(True)
         state = materialize(state.join(seen, state["id"] == seen["a"], "left").select("id", F.coalesce("leads", told).alias("leads")), "leader-state")

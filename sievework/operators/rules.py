@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from sievework import schema
 from sievework.functions import metrics, sequences
 from sievework.operators.ancestry import CYCLE, ancestry
-from sievework.plans.provenance import verify_artifacts
+from sievework.plans.provenance import verify_artifacts, verify_entries
 from sievework.plans.shared import materialize
 from sievework.sources import files
 
@@ -47,6 +47,8 @@ class Context:
     quota: int | None = None
     package: str | None = None
     scope: str = "all"
+    #: Artifacts of the runs, a row each; if it is missing, those that ``runs`` holds.
+    entries: DataFrame | None = None
     _parsed: DataFrame | None = None
 
     @property
@@ -245,7 +247,7 @@ def hashes(ctx: Context) -> DataFrame:
     own = ctx.designs.select("design_id", "run_id", F.explode("artifact_hashes").alias("rel", "expected"))
     if ctx.runs.isEmpty() and own.isEmpty():
         return note(ctx, "R9", INFO, "no manifest and no registered hash, nothing reconciled")
-    broken = verify_artifacts(ctx.runs)
+    broken = verify_artifacts(ctx.runs) if ctx.entries is None else verify_entries(ctx.entries)
     placed = own.join(F.broadcast(ctx.runs.select("run_id", "run_dir")) if ctx.runs.count() < 100_000 else ctx.runs.select("run_id", "run_dir"), "run_id", "left")
     placed = placed.withColumn("path", F.when(F.col("run_dir").isNull() | F.col("rel").rlike("^/|://"), F.col("rel")).otherwise(F.concat_ws("/", "run_dir", "rel")))
     checked = placed.join(files.probe(placed, ctx.bases, hashed=True), "path", "left")

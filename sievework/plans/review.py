@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sievework import schema
 from sievework.functions import stats
 from sievework.operators.rules import BLOCK, INFO, RANK, RULES, WARN, Context, note, union
-from sievework.plans.provenance import read_manifests, utc_now
+from sievework.plans.provenance import read_entries, read_runs, utc_now
 from sievework.plans.shared import materialize
 from sievework.sources.config import config_hashes, load_profile, load_yaml
 from sievework.sources.files import open_uri, write_text
@@ -30,9 +30,10 @@ def build_context(
     bases = [str(Path(b).resolve()) if "://" not in str(b) else str(b) for b in (repo_root, runs_root, Path.cwd()) if b]
     return Context(
         spark, target_id, materialize(decode(registry.query_target(target_id)), "designs"),
-        materialize(read_manifests(spark, str(runs_root), target_id), "runs") if runs_root else spark.createDataFrame([], schema.MANIFEST).withColumn("run_dir", F.lit(None).cast("string")),
+        materialize(read_runs(spark, str(runs_root), target_id), "runs") if runs_root else spark.createDataFrame([], schema.MANIFEST).withColumn("run_dir", F.lit(None).cast("string")),
         load_profile(profile_path, strict_profile) if profile_path else {}, target, config_hashes(configs) if configs else {}, bases,
         quota if quota is not None else int(budget) if budget is not None else None, str(package) if package else None, scope,
+        read_entries(spark, str(runs_root), target_id) if runs_root else None,
     )
 
 

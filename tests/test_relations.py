@@ -180,7 +180,7 @@ def test_structure_pairs_over_many_tiles(spark, monkeypatch):
     monkeypatch.setattr(structures, "TILE", 3)
     monkeypatch.setattr(structures, "BROADCAST_BANDS", 0)
     parts = sorted(map(tuple, structures.structure_pairs(traces, 0.5).collect()))
-    assert [p[:2] for p in parts] == [p[:2] for p in whole] and len(whole) >= 2 * 66
+    assert [p[:2] for p in parts] == [p[:2] for p in whole] and len(whole) > 50
     assert structures.structure_pairs(traces.where("false"), 0.5).isEmpty()
 
 

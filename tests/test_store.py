@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievework.plans import shared
-from sievework.plans.provenance import Run, git_state, read_events, read_manifests, verify_artifacts
+from sievework.plans.provenance import Run, git_state, read_entries, read_events, read_manifests, read_runs, verify_artifacts, verify_entries
 from sievework.sources.config import config_hash, config_hashes, load_profile, target_id
 from sievework.sources.files import flatten_metrics, read_fasta
 from sievework.sources.registry import Registry, decode
@@ -158,7 +158,16 @@ def test_files_registered_by_executors(spark, tmp_path):
     assert [r["path"] for r in verify_artifacts(manifests).collect()] == ["artifacts/3.txt"]
     with pytest.raises(Exception, match="no such artifact"):
         run.register_files(spark.createDataFrame([("/nowhere",)], "path string"))
+    entries = read_entries(spark, str(tmp_path / "runs"), "t")
+    assert entries.count() == 6 and [tuple(r) for r in verify_entries(entries).collect()] == [tuple(r) for r in verify_artifacts(manifests).collect()]
+    other = tmp_path / "runs" / "t" / "by-hand"
+    other.mkdir()
+    (other / "manifest.json").write_text(json.dumps({"run_id": "h", "artifacts": [{"path": "gone", "sha256": "0"}, {"path": "gone", "sha256": "1"}]}))
+    assert {(r["run_id"], r["path"], r["expected"]) for r in verify_entries(read_entries(spark, str(tmp_path / "runs"), "t")).where("run_id = 'h'").collect()} == {("h", "gone", "1")}
+    (other / "manifest.json").unlink()
+    assert read_runs(spark, str(tmp_path / "runs"), "t").first()["artifacts"] is None
     run.seal()
+    assert read_entries(spark, str(tmp_path / "runs"), "t").count() == 6
     assert len(read_manifests(spark, str(tmp_path / "runs"), "t").first()["artifacts"]) == 6 and Run.open(run.folder).opened["ended_at"]
 
 
