@@ -35,7 +35,7 @@ def test_query_equals_sql(spark, name):
     import pandas as pd
 
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "labels", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got, want = queries.QUERIES[name](spark, SF).toPandas(), con.execute(queries.ORACLE_SQL[name]).df()
     columns = sorted(got.columns)
