@@ -10,7 +10,7 @@ branches with like label shares are merged: the children of a node whose
 shares of bad labels don't differ significantly pool their counts, so a
 branch with few labels borrows from its kin.  What a template lacks in
 labels it borrows from the nodes above it, the host, and the host's parent
-domains (the ``DOMAINS`` broadest): going down this chain from the share of
+domains, all of them: going down this chain from the share of
 bad labels among all, a level's share is (bad + PRIOR_WEIGHT * share above)
 / (labelled + PRIOR_WEIGHT), where bad and labelled leave out the next level,
 so that no label counts twice.  A template is rejected if its share so
@@ -21,11 +21,17 @@ of this package takes the verdicts of the rules themselves, so a host's
 unruled branches are judged by how its ruled ones came out, and a host
 without any by its domain.
 
-Scale: the work is a walk over depths, not over urls.  Urls are summed to
-(host, path shape) once; each depth sums and joins on (host, prefix), which
-spreads a host with a third of all urls over its prefixes, and sums are
-partial before they are shuffled.  Joins back to the shapes are plain
-shuffled joins, which Spark splits where a key is hot.
+Scale: the work is a walk down the tree, not over urls.  Urls are summed to
+(host, path shape) once.  A round takes ``LEVELS`` depths at once, as what
+varies at a node changes nothing above it: a shape goes down to its first
+node that varies, or to the round's end.  Segments that all shapes of a node
+have in common are passed in one step.  Shapes that are alone at their node,
+or whose node has nothing below, leave the walk, so rounds are few and carry
+what is still undecided.  Only paths that end at each of very many depths
+(/a, /a/a, ...) take many: one round for ``LEVELS`` of these depths.
+Sums are by (host, prefix), which spreads a host with a third of all urls
+over its prefixes, and partial before they are shuffled.  Joins back to the
+shapes are plain shuffled joins, which Spark splits where a key is hot.
 
 Defined results: a null url, or one without ``://``, has empty host and
 path and no rule, and is allowed by the method (there's nothing to judge);
@@ -48,8 +54,10 @@ from sievework.plans.shared import materialize
 MANY, VARIED = 8, 0.2
 PRIOR_WEIGHT = 4.0
 REJECT_AT = 0.8
-#: Parent domains of a host that its templates borrow from: the last label, the last two, and so on.
-DOMAINS = 4
+#: Parent domains of a host that its templates borrow from, the last label first: as many as a legal name has.
+DOMAINS = 126
+#: Depths that one round of the walk takes.
+LEVELS = 32
 #: Two-proportion z-value below which sibling branches are alike.
 ALIKE = 1.96
 
@@ -100,41 +108,93 @@ def _domains(shapes: DataFrame) -> DataFrame:
     return found.groupBy("host").agg(F.transform(F.sort_array(F.collect_list(F.struct("level", "bad", "labelled"))), lambda x: F.struct(x["bad"].alias("bad"), x["labelled"].alias("labelled"))).alias("above"))  # at most DOMAINS a host
 
 
+def _borrow(share: Column, bad: Column, labelled: Column) -> Column:
+    """The share of bad ones among so many, smoothed by the share above."""
+    return (bad + PRIOR_WEIGHT * share) / (labelled + PRIOR_WEIGHT)
+
+
+def _go_down(levels: Column, share: Column, bad: Column, labelled: Column) -> Column:
+    """(share, bad, labelled) after ``levels``: the share of all above the last one, and the counts of that.
+
+    A level counts without the one after it, so its share is taken when that
+    is known; ``bad`` and ``labelled`` are null where no level came before.
+    """
+    start = F.struct(share.alias("share"), bad.alias("bad"), labelled.alias("labelled"))
+
+    def step(x: Column, level: Column) -> Column:
+        own = _borrow(x["share"], x["bad"] - level["bad"], x["labelled"] - level["labelled"])
+        return F.struct(F.coalesce(own, x["share"]).alias("share"), level["bad"].alias("bad"), level["labelled"].alias("labelled"))
+
+    return F.aggregate(levels, start, step)
+
+
+_STATE = ("host", "shape", "n", "labelled", "bad", "template", "at", "above")
+
+
+def _descend(state: DataFrame) -> DataFrame:
+    """Every shape of ``state`` moved down by up to ``LEVELS`` depths, but not past a node that varies."""
+    rest = F.size("shape") - F.col("at")
+    each = state.select(*_STATE, F.explode(F.sequence(F.lit(0), F.least(rest, F.lit(LEVELS - 1)))).alias("level"))
+    each = each.withColumn("prefix", F.slice("shape", F.col("at") + 1, F.col("level"))).withColumn("segment", F.get("shape", F.col("at") + F.col("level")))
+    children = each.groupBy("host", "template", "prefix", "segment").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled"))
+    nodes = children.groupBy("host", "template", "prefix").agg(
+        F.count("segment").alias("different"), F.sum(F.when(F.col("segment").isNotNull(), F.col("n"))).alias("urls"), F.sum("bad").alias("node_bad"), F.sum("labelled").alias("node_labelled")
+    )
+    vary = (F.col("different") >= MANY) & (F.col("different") >= VARIED * F.col("urls"))
+    met = each.join(nodes.select("host", "template", "prefix", vary.alias("vary"), "node_bad", "node_labelled"), ["host", "template", "prefix"])
+    node = F.struct("level", "vary", F.col("node_bad").alias("bad"), F.col("node_labelled").alias("labelled"))
+    passed = met.groupBy(*_STATE).agg(F.sort_array(F.collect_list(node)).alias("nodes"))  # at most LEVELS a shape
+    first = F.array_position(F.transform("nodes", lambda x: x["vary"]), True)
+    passed = passed.withColumn("first", F.when((first > 0) & (first <= rest), first.cast("int"))).withColumn("down", F.coalesce("first", F.least(rest, F.lit(LEVELS))))
+    steps = F.slice("shape", F.col("at") + 1, F.col("down"))
+    wild = F.col("first").isNotNull() & (F.get("shape", F.col("at") + F.col("down") - 1) != "")
+    steps = F.when(wild, F.array_append(F.slice("shape", F.col("at") + 1, F.col("down") - 1), F.lit("*"))).otherwise(steps)
+    template = F.when(F.col("down") > 0, F.concat("template", F.lit("/"), F.array_join(steps, "/"))).otherwise(F.col("template"))
+    above = _go_down(F.slice("nodes", F.lit(1), F.col("down")), F.col("above.share"), F.col("above.bad"), F.col("above.labelled"))
+    return passed.select("host", "shape", "n", "labelled", "bad", template.alias("template"), (F.col("at") + F.col("down")).alias("at"), above.alias("above"))
+
+
 def learn_templates(urls: DataFrame) -> DataFrame:
     """(host, shape, template, bad, labelled, score, rejected) for rows (host, shape, label).
 
     ``shape`` is an array of segments; bad and labelled are those of the
     template with the branches it was merged with.  On the way down, ``above``
-    collects the counts of the host's domains, of the host, and of the nodes
-    passed.  The walk ends when every shape with further segments is alone at
-    its node, where nothing varies and nothing is borrowed.
+    holds the share of bad labels so far and the counts of the last level
+    passed: the host's domains, the host, and the nodes.  A shape leaves the
+    walk when it is alone at its node, where nothing varies and nothing is
+    borrowed, or when all shapes of its node have ended.
     """
     shapes = materialize(
         urls.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).cast("long").alias("bad")), "url-shapes"
     )
-    none = F.array().cast("array<struct<bad:bigint,labelled:bigint>>")
-    state = shapes.withColumn("template", F.lit("")).join(_domains(shapes), "host", "left").withColumn("above", F.coalesce("above", none))
-    state = materialize(state.select("host", "shape", "n", "labelled", "bad", "template", "above"), "url-start")
-    depth = 0
-    while not state.groupBy("host", "template").agg(F.count("*").alias("shapes"), F.max(F.size("shape")).alias("long")).where((F.col("shapes") > 1) & (F.col("long") > depth)).isEmpty():
-        here = state.withColumn("segment", F.get("shape", F.lit(depth)))
-        children = here.groupBy("host", "template", "segment").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled"))
-        inner = F.col("segment").isNotNull()
-        nodes = children.groupBy("host", "template").agg(
-            F.count("segment").alias("different"), F.sum(F.when(inner, F.col("n"))).alias("urls"), F.struct(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled")).alias("node")
-        )
-        vary = (F.col("different") >= MANY) & (F.col("different") >= VARIED * F.col("urls"))
-        joined = here.join(nodes.select("host", "template", vary.alias("vary"), "node"), ["host", "template"])
-        step = F.when(F.col("vary") & (F.col("segment") != ""), F.lit("*")).otherwise(F.col("segment"))
-        grown = F.when(inner, F.concat("template", F.lit("/"), step)).otherwise(F.col("template"))
-        above = F.when(inner, F.array_append("above", F.col("node"))).otherwise(F.col("above"))
-        state = materialize(joined.withColumns({"template": grown, "above": above}).select("host", "shape", "n", "labelled", "bad", "template", "above"), f"url-depth{depth}")
-        depth += 1
-    rest = F.when(F.size("shape") > depth, F.concat("template", F.lit("/"), F.array_join(F.slice("shape", depth + 1, F.size("shape")), "/")))
-    state = state.withColumn("template", F.coalesce(rest, "template"))
-    leaves = materialize(state.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"), F.first("above").alias("above")), "url-templates")
+    total = shapes.agg(F.coalesce(F.sum("bad") / F.sum("labelled").cast("double"), F.lit(0.0)).alias("prior"))  # one row
+    domains = F.coalesce("domains", F.array().cast("array<struct<bad:bigint,labelled:bigint>>"))
+    none = F.lit(None).cast("long")
+    state = shapes.join(_domains(shapes).withColumnRenamed("above", "domains"), "host", "left").join(F.broadcast(total))
+    state = state.select("host", "shape", "n", "labelled", "bad", F.lit("").alias("template"), F.lit(0).alias("at"), _go_down(domains, F.col("prior"), none, none).alias("above"))
+    settled: list[DataFrame] = []
+    while True:
+        state = materialize(state, f"url-walk{len(settled)}")
+        below = F.slice("shape", F.col("at") + 1, F.size("shape"))
+        spots = state.groupBy("host", "template").agg(F.count("*").alias("shapes"), F.min(below).alias("least"), F.max(below).alias("most"), F.struct(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled")).alias("node"))
+        differ = F.array_position(F.zip_with("least", "most", lambda x, y: ~x.eqNullSafe(y)), True)  # what the first and last of a sorted set share, all share
+        spots = spots.select("host", "template", ((F.col("shapes") > 1) & (F.size("most") > 0)).alias("open"), F.when(differ > 0, differ - 1).otherwise(F.size("most")).cast("int").alias("shared"), "node")
+        told = materialize(state.join(spots, ["host", "template"]).select(*_STATE, "open", "shared", "node"), f"url-told{len(settled)}")
+        settled.append(told.where(~F.col("open")).select(*_STATE))
+        on = F.col("shared") > 0
+        steps = F.array_join(F.slice("shape", F.col("at") + 1, F.col("shared")), "/")
+        above = _go_down(F.array("node"), F.col("above.share"), F.col("above.bad"), F.col("above.labelled"))
+        passed = {"template": F.when(on, F.concat("template", F.lit("/"), steps)).otherwise(F.col("template")), "at": F.col("at") + F.col("shared"), "above": F.when(on, above).otherwise(F.col("above"))}
+        going = told.where("open").withColumns(passed).select(*_STATE)
+        if going.isEmpty():
+            break
+        state = _descend(going)
+    walked = reduce(DataFrame.unionByName, settled)
+    rest = F.when(F.size("shape") > F.col("at"), F.concat("template", F.lit("/"), F.array_join(F.slice("shape", F.col("at") + 1, F.size("shape")), "/")))
+    walked = materialize(walked.withColumn("template", F.coalesce(rest, "template")), "url-walked")
+    leaves = materialize(walked.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"), F.first("above").alias("above")), "url-templates")
     scored = _merge_and_score(leaves)
-    return state.select("host", "shape", "template").join(scored.drop("n"), ["host", "template"])
+    return walked.select("host", "shape", "template").join(scored.drop("n"), ["host", "template"])
 
 
 def _merge_and_score(leaves: DataFrame) -> DataFrame:
@@ -157,11 +217,9 @@ def _merge_and_score(leaves: DataFrame) -> DataFrame:
     within = Window.partitionBy("host", "parent", "pool")
     pools = pools.withColumn("p_bad", F.sum("s_bad").over(within)).withColumn("p_labelled", F.sum("s_labelled").over(within)).select("host", "parent", "share", "p_bad", "p_labelled")
     every = known.join(pools, ["host", "parent", "share"], "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("p_bad", "p_labelled")})
-    total = leaves.agg((F.sum("bad") / F.sum("labelled").cast("double")).alias("prior"))  # one row
-    levels = F.concat("above", F.array(F.struct(F.col("p_bad").alias("bad"), F.col("p_labelled").alias("labelled"))))
-    own = F.zip_with(levels, F.slice(levels, F.lit(2), F.size(levels)), lambda x, y: F.struct((x["bad"] - F.coalesce(y["bad"], F.lit(0))).alias("bad"), (x["labelled"] - F.coalesce(y["labelled"], F.lit(0))).alias("labelled")))
-    score = F.aggregate(own, F.coalesce("prior", F.lit(0.0)), lambda share, x: (x["bad"] + PRIOR_WEIGHT * share) / (x["labelled"] + PRIOR_WEIGHT))
-    scored = every.join(F.broadcast(total)).withColumn("score", score)
+    pool = F.struct(F.col("p_bad").alias("bad"), F.col("p_labelled").alias("labelled"))
+    last = _go_down(F.array(pool), F.col("above.share"), F.col("above.bad"), F.col("above.labelled"))
+    scored = every.withColumn("score", _borrow(last["share"], last["bad"], last["labelled"]))
     return scored.select("host", "template", "n", F.col("p_bad").alias("bad"), F.col("p_labelled").alias("labelled"), "score", (F.col("score") >= REJECT_AT).alias("rejected"))
 
 

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -525,6 +526,36 @@ def test_url_branches_differ_at_any_depth(spark):
     assert got[0]["template"] == f"/{deep}/bad/*" and got[100]["template"] == f"/{deep}/good/*" and got[200]["template"] == f"/{deep}/{deep}" and got[300]["template"] == f"/{deep}/many/*/y"
 
 
+@pytest.mark.parametrize("levels", [1, 3, 32])
+def test_url_rounds_of_any_depth_give_the_same_templates(spark, levels, monkeypatch):
+    monkeypatch.setattr(url_tree, "LEVELS", levels)
+    rng = random.Random(34)
+    rows = []
+    for i in range(500):  # nodes that vary at several depths, and shapes that end within, at and after a round
+        path = "/".join(["", *(rng.choice(["a", "b", "", f"w{chr(97 + rng.randint(0, 25))}{chr(97 + rng.randint(0, 25))}"]) for _ in range(rng.choice([0, 1, 2, 3, 4, 5, 7])))])
+        rows.append((i, f"http://{rng.choice(['x.org', 'y.x.org'])}{path}", rng.choice([None, 0, 1]) if "a" not in path else 1))
+    df = spark.createDataFrame(rows, "page_id long, url string, bad int").repartition(3)
+    got = url_tree.judge(df, [], labels=F.col("bad")).select("page_id", "host", url_tree.shape_of(F.col("path")).alias("shape"), "template", "score").collect()
+    want = brute_templates([(r["host"], tuple(r["shape"]), rows[r["page_id"]][2]) for r in got])
+    assert all((r["template"], pytest.approx(r["score"])) == want[r["host"], tuple(r["shape"])] for r in got) and any("*" in r["template"] for r in got)
+
+
+def test_url_trap_of_two_thousand_segments(spark):
+    deep = "/again" * 2_000
+    labels = "deep." * 20 + "h.org"  # a host of 22 labels, which borrows from its nearest domains too
+    rows = [(0, f"http://h.org{deep}/x", 1), (1, f"http://h.org{deep}/y", 0), (2, f"http://h.org{deep}", None)]
+    rows += [(i, rows[i % 3][1], rows[i % 3][2]) for i in range(3, 30)]
+    rows += [(i, f"http://h.org{'/more' * i}", None) for i in range(100, 150)]  # an end at each depth
+    rows += [(40 + i, f"http://s{chr(97 + i)}.{labels}/p", 1) for i in range(9)] + [(60, f"http://other.{labels}/p", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, bad int")
+    began = time.monotonic()
+    got = {r["page_id"]: r for r in url_tree.judge(df, [], labels=F.col("bad")).collect()}
+    assert time.monotonic() - began < 60
+    assert [got[i]["template"] for i in range(3)] == [f"{deep}/x", f"{deep}/y", deep]
+    assert got[0]["score"] > got[2]["score"] > got[1]["score"] and got[60]["score"] > 0.8
+    assert all(got[i]["template"] == "/more" * i for i in range(100, 150))
+
+
 # nearest neighbours
 
 
