@@ -185,7 +185,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Only ids and hashes are joined to the texts.  Up to ``BROADCAST_IDS`` of
     those to drop are sent to every executor, so that texts aren't shuffled;
-    beyond, the join is a shuffled one.
+    beyond, the join is a shuffled one.  Of the texts only those of rows that
+    repeat an id and a text are shuffled.
     """
     prints = fingerprints(docs, id_col, text_col)
     place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")
@@ -193,9 +194,18 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = materialize(rows.select("root", "rows", place.alias("place")), "simhash-found")
     first = rows.groupBy("root").agg(F.min("place").alias("first"))
     told = materialize(rows.join(first, "root").select("place.*", "rows", (F.col("place") == F.col("first")).alias("head")), "simhash-ids")
-    counts = told.agg(F.count(F.when(~F.col("head"), True)).alias("drop"), F.max(F.when(F.col("head"), F.col("rows"))).alias("rows")).first()
+    many = F.col("head") & (F.col("rows") > 1)
+    counts = told.agg(F.count(F.when(~F.col("head"), True)).alias("drop"), F.count(F.when(many, True)).alias("many")).first()
     gone, key = fresh(docs, "gone_id", "gone_key")
-    drop = told.where(~F.col("head")).select(F.col("doc_id").alias(gone), F.col("key").alias(key))
     same = column(id_col).cast("long").eqNullSafe(F.col(gone)) & (F.xxhash64(column(text_col).cast("string")) == F.col(key))
-    kept = docs.join(F.broadcast(drop) if counts["drop"] <= BROADCAST_IDS else drop, same, "left_anti")
-    return kept.dropDuplicates([id_col, text_col]) if (counts["rows"] or 0) > 1 else kept  # rows alike
+
+    def named(which: Column, n: int) -> DataFrame:
+        ids = told.where(which).select(F.col("doc_id").alias(gone), F.col("key").alias(key))
+        return F.broadcast(ids) if n <= BROADCAST_IDS else ids
+
+    kept = docs.join(named(~F.col("head"), counts["drop"]), same, "left_anti")
+    if not counts["many"]:
+        return kept
+    repeated = named(many, counts["many"])
+    alike = kept.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col])
+    return kept.join(repeated, same, "left_anti").union(alike)

@@ -279,6 +279,18 @@ def test_keep_one_judges_rows_with_repeated_or_null_ids(spark):
     assert sorted(map(str, got)) == sorted(str(tuple(r)) for r in simhash.keep_one(df.repartition(5).orderBy(F.desc("text"))).collect())
 
 
+@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+def test_keep_one_shuffles_the_texts_of_repeated_rows_only(spark, broadcast, monkeypatch):
+    monkeypatch.setattr(simhash, "BROADCAST_IDS", broadcast)
+    rng = random.Random(22)
+    a, b, c = (prose(rng, 200) for _ in range(3))
+    rows = [(1, a, "x"), (1, a, "y"), (1, a, "z"), (2, b, "x"), (3, b, "x"), (3, b, "x"), (4, None, "x"), (4, None, "y"), (5, "", "x"), (None, c, "x"), (None, c, "y")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, n_chars string"))
+    got = [tuple(r) for r in kept.collect()]
+    assert sorted([r[:2] for r in got], key=str) == sorted([(1, a), (2, b), (4, None), (None, c)], key=str) and set(got) <= set(rows)
+    assert kept.columns == ["doc_id", "text", "n_chars"]
+
+
 def test_simhash_grid_is_finer_for_more_points(spark, monkeypatch):
     for n, groups in ((0, 5), (10**9, 6), (10**13, 16)):
         cells = simhash.grid(n)
