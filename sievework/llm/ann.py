@@ -2,20 +2,26 @@
 
 Index.  Coarse centroids and the codebooks of the residuals (``PARTS``
 sub-vectors, up to 256 words each) are fitted with numpy on a bounded
-sample of ``SAMPLE`` vectors; then every vector is assigned to its nearest
-centroid and its residual, divided by its list's root mean square so that
-dense lists are told apart as finely as wide ones, is coded in ``PARTS``
-bytes.
-
-Search.  A query visits the ``probes`` lists whose centroids have the
-largest inner product with it.  Within them the inner product is estimated
-from asymmetric distance tables (the query isn't quantised), the best
-``RERANK`` of a shard are scored again on the original vectors in double
-precision, and the best of all shards are returned.  ``probes`` is set by
-measurement: for a bounded sample of queries the true neighbours are found
-among all rows, and the least number of lists that holds ``RECALL`` of them
-is taken.  A query whose lists hold fewer than ``k + 1`` rows goes on to
-further ones.
+sample of ``SAMPLE`` vectors' directions; then every vector is assigned to
+the nearest centroid of its direction and its residual, divided by its
+list's root mean square so that dense lists are told apart as finely as wide
+ones, is coded in ``PARTS`` bytes.  Kept with the code are the vector's
+length and the length of what the code misses.
+
+Search.  A query visits the ``probes`` lists whose centroids, times their
+vectors' mean length, have the largest inner product with it.  Within them
+the inner product is estimated from asymmetric distance tables (the query
+isn't quantised), and the best ``RERANK`` of a shard are scored on the
+original vectors in double precision.  Then bounds take over: by what the
+code misses, a row's inner product can't pass a limit, and all rows whose
+limit reaches the score of the (k + 1)-th are scored too.  In the same way a
+list's angle and largest length limit its rows, and a second pass visits
+every further list that could hold a better row.  So nothing is missed, on
+whatever rows: the sample, ``probes`` and ``RERANK`` decide speed only.
+``probes`` is set by measurement: for a bounded sample of queries the true
+neighbours are found among all rows, and the least number of lists that
+holds ``RECALL`` of them is taken.  A query whose lists hold fewer than
+``k + 1`` rows goes on to further ones.
 
 Equal vectors are one index row with the ``k + 1`` smallest ids; more can't
 be returned to any query, since ties go to smaller ids.  So a vector that a
@@ -29,11 +35,11 @@ sample, which is what a bounded sample can place; beyond, lists grow and take
 more shards.  Work grows as queries times the share of rows visited, which is
 small on clustered vectors and large on vectors without structure.  Who needs
 more lists passes a larger ``sample``; ``exact`` visits all lists and scores
-all rows.
+all rows at once.
 
 Scores are inner products in double precision of the vectors as they are
-stored, floats or doubles; the index alone works on vectors divided by the
-largest component.
+stored, floats or doubles; the index alone works on directions, and on lengths
+in units of the largest component.
 
 Defined results: vectors that are null, empty, zero, or hold null or
 non-finite components, and vectors of another length than the most common
@@ -98,9 +104,13 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.ndarray:
 class Index:
     """Coarse centroids and residual codebooks."""
 
-    def __init__(self, sample: np.ndarray, lists: int):
+    def __init__(self, sample: np.ndarray, norms: np.ndarray, lists: int):
         self.centroids = kmeans(sample, lists)
         near = nearest_centroid(sample, self.centroids)
+        held = np.bincount(near, minlength=len(self.centroids))
+        self.weight = np.where(held > 0, np.bincount(near, norms, len(self.centroids)) / np.maximum(held, 1), norms.mean())
+        length = np.linalg.norm(self.centroids.astype(np.float64), axis=1)
+        self.axes, self.aimless = self.centroids / np.maximum(length, 1e-6)[:, None], length < 1e-6
         rest = sample - self.centroids[near]
         square = np.bincount(near, (rest * rest).sum(1), minlength=len(self.centroids)) / np.maximum(np.bincount(near, minlength=len(self.centroids)), 1)
         self.scale = np.sqrt(np.where(square > 0, square, (rest * rest).sum(1).mean() or 1.0)).astype(np.float32)
@@ -109,15 +119,27 @@ class Index:
         self.cuts = [(int(c[0]), int(c[-1]) + 1) for c in np.array_split(np.arange(self.dim), min(PARTS, self.dim))]
         self.books = [kmeans(np.ascontiguousarray(rest[:, a:b]), 256, rounds=6, seed=7 + a) for a, b in self.cuts]
 
-    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(list, codes) of rows."""
-        near = nearest_centroid(x, self.centroids)
-        rest = (x - self.centroids[near]) / self.scale[near][:, None]
-        return near, np.stack([nearest_centroid(rest[:, a:b], book) for (a, b), book in zip(self.cuts, self.books, strict=True)], axis=1).astype(np.uint8)
+    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(list, codes, length of what the code misses, angle to the list's axis) of directions."""
+        y = x.astype(np.float32)
+        near = nearest_centroid(y, self.centroids)
+        rest = (y - self.centroids[near]) / self.scale[near][:, None]
+        codes = np.stack([nearest_centroid(rest[:, a:b], book) for (a, b), book in zip(self.cuts, self.books, strict=True)], axis=1).astype(np.uint8)
+        for part, ((a, b), book) in enumerate(zip(self.cuts, self.books, strict=True)):
+            rest[:, a:b] -= book[codes[:, part]]
+        missed = np.linalg.norm(rest, axis=1).astype(np.float64) * self.scale[near]
+        angle = np.arccos(np.clip((x * self.axes[near]).sum(1), -1, 1))
+        return near, codes, missed, np.where(self.aimless[near], np.pi, angle)
 
     def probe(self, q: np.ndarray, probes: int) -> np.ndarray:
         """Lists to visit, best first."""
-        return np.argsort(-(q @ self.centroids.T), axis=1, kind="stable")[:, :probes]
+        return np.argsort(-(q @ self.centroids.T) * self.weight, axis=1, kind="stable")[:, :probes]
+
+    def limits(self, q: np.ndarray, angle: np.ndarray, least: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """What no inner product of directions q with a list's rows passes, by the lists' widest angle and least and greatest length."""
+        apart = np.where(self.aimless, 0, np.arccos(np.clip(q @ self.axes.T, -1, 1)))
+        cosine = np.cos(np.maximum(apart - angle - 1e-6, 0)) + 1e-12
+        return cosine * np.where(cosine >= 0, most, least)
 
     def tables(self, q: np.ndarray) -> list[np.ndarray]:
         """Asymmetric tables: inner products of each query's sub-vectors with the words of each book."""
@@ -129,6 +151,15 @@ def _vectors(array: pa.Array, dim: int) -> np.ndarray:
     return array.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
+def _directions(x: np.ndarray, unit: float) -> tuple[np.ndarray, np.ndarray]:
+    """(directions, lengths in units) of rows that aren't zero, in double precision."""
+    x = x.astype(np.float64)
+    peak = np.abs(x).max(axis=1, initial=0)
+    x = x / peak[:, None]
+    length = np.sqrt((x * x).sum(1))
+    return x / length[:, None], peak / unit * length
+
+
 def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k best, ties to smaller ids."""
     return np.lexsort((ids, -scores))[:k]
@@ -153,14 +184,14 @@ def valid_vectors(table: DataFrame, id_col: str, vector_col: str) -> tuple[DataF
 def _calibrate(base: DataFrame, asked: DataFrame, index: Index, k: int, unit: float) -> int:
     """Lists to visit: the least number that holds ``RECALL`` of the true neighbours of a sample of queries."""
     rows = asked.orderBy(F.xxhash64("key")).limit(CALIBRATION).toPandas()  # a bounded sample
-    q, keys, dim = (np.stack(rows["v"].map(np.asarray)) / unit).astype(np.float32), rows["key"].to_numpy(), index.dim
+    q, keys, dim = _directions(np.stack(rows["v"].map(np.asarray)), unit)[0], rows["key"].to_numpy(), index.dim
 
     def run(batches):
         best = [(np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(q)
-        for batch in batches:
-            x, ids = (_vectors(batch.column("v"), dim) / unit).astype(np.float32), batch.column("key").to_numpy()
-            near = nearest_centroid(x, index.centroids)
-            for i, scores in enumerate(q @ x.T):
+        for batch in slices(batches, 4096):
+            (x, norms), ids = _directions(_vectors(batch.column("v"), dim), unit), batch.column("key").to_numpy()
+            near = nearest_centroid(x.astype(np.float32), index.centroids)
+            for i, scores in enumerate(q @ x.T * norms):
                 scores = np.where(ids == keys[i], -np.inf, scores)
                 part = np.argpartition(-scores, min(k, len(scores) - 1))[:k]
                 s, n = np.concatenate([best[i][0], scores[part]]), np.concatenate([best[i][1], near[part]])
@@ -173,7 +204,7 @@ def _calibrate(base: DataFrame, asked: DataFrame, index: Index, k: int, unit: fl
     found = base.select("key", "v").mapInArrow(run, "q int, score double, list int, key long").where(F.col("score") > float("-inf"))
     nearest = Window.partitionBy("q").orderBy(F.desc("score"), "key")  # limited before it is shuffled
     found = found.withColumn("at", F.row_number().over(nearest)).where(F.col("at") <= k).select("q", "list").toPandas()  # CALIBRATION * k rows at most
-    order = np.argsort(np.argsort(-(q @ index.centroids.T), axis=1, kind="stable"), axis=1)
+    order = np.argsort(index.probe(q, len(index.centroids)), axis=1)
     places = order[found["q"].to_numpy(), found["list"].to_numpy()]
     return int(np.quantile(places, RECALL, method="higher")) + 1 if len(places) else 1
 
@@ -224,44 +255,51 @@ def search(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
 
     unit = float(base.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0])
     drawn = base.select("key", "v").orderBy(F.xxhash64("key")).limit(sample).select("v").toPandas()["v"]  # a bounded sample
-    index = Index((np.stack(drawn.map(np.asarray)) / unit).astype(np.float32), max(1, min(sample // PER_LIST, round(n**0.5))))
+    aims, norms = _directions(np.stack(drawn.map(np.asarray)), unit)
+    index = Index(aims.astype(np.float32), norms, max(1, min(sample // PER_LIST, round(n**0.5))))
     if asked.isEmpty():
         return spark.createDataFrame([], RESULT)
     probes = len(index.centroids) if exact else _calibrate(base, asked, index, k, unit)
-    scaled = lambda x: (_vectors(x, dim) / unit).astype(np.float32)
+    directions = lambda x: _directions(_vectors(x, dim), unit)
 
     def encode(batches):
-        for batch in batches:
-            near, codes = index.encode(scaled(batch.column("v")))
+        for batch in slices(batches, 4096):
+            aims, norms = directions(batch.column("v"))
+            near, codes, missed, angle = index.encode(aims)
             packed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(codes.shape[1]), len(codes), [None, pa.py_buffer(np.ascontiguousarray(codes))])
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("v"), pa.array(near, pa.int32()), packed.cast(pa.binary())], ["key", "v", "list", "codes"])
-
-    coded = materialize(base.select("key", "v").mapInArrow(encode, f"key long, v {kind}, list int, codes binary"), "ann-index")
-    sizes = {r["list"]: r["count"] for r in coded.groupBy("list").count().collect()}  # a row a list
-    shards, held_by = _shards(sizes), np.array([sizes.get(i, 0) for i in range(len(index.centroids))])
+            columns = [batch.column("key"), batch.column("v"), pa.array(near, pa.int32()), packed.cast(pa.binary()), pa.array(norms), pa.array(missed), pa.array(angle)]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "v", "list", "codes", "norm", "missed", "angle"])
+
+    coded = materialize(base.select("key", "v").mapInArrow(encode, f"key long, v {kind}, list int, codes binary, norm double, missed double, angle double"), "ann-index")
+    told = coded.groupBy("list").agg(F.count("*").alias("n"), F.max("angle"), F.min("norm"), F.max("norm")).collect()  # a row a list
+    shards, lists = _shards({r["list"]: r["n"] for r in told}), len(index.centroids)
+    held_by, angles, least, most = np.zeros(lists, np.int64), np.zeros(lists), np.zeros(lists), np.zeros(lists)
+    for number, *row in told:
+        held_by[number], angles[number], least[number], most[number] = row
     of_list = spark.createDataFrame([(a, b) for a, b in shards.items()], "list int, shards array<int>")
     placed = coded.join(F.broadcast(of_list), "list").withColumn("shard", F.get("shards", F.pmod(F.xxhash64("key"), F.size("shards")).cast("int")))
 
     def visit(batches):
+        """Visits of the nearest lists, where nothing is known yet, and else of the others that may hold as good a row."""
         for batch in slices(batches, 512):
             out = []
-            for key, v, lists in zip(batch.column("key").to_pylist(), batch.column("v").to_pylist(), visited(index, scaled(batch.column("v")), held_by, probes, k + 1), strict=True):
+            q, norms = directions(batch.column("v"))
+            near, limits = visited(index, q, held_by, probes, k + 1), index.limits(q, angles, least, most)
+            for i, (key, v, score) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("key", "v", "score")), strict=True)):
+                floor, numbers = float("-inf"), near[i]
+                if score is not None:
+                    floor = score / (norms[i] * unit) / unit if 0 < norms[i] * unit < np.inf else floor
+                    numbers = np.setdiff1d(np.flatnonzero(limits[i] >= floor - 1e-12 * most), numbers).tolist()
                 by_shard: dict[int, list[int]] = {}
-                for number in lists:
+                for number in numbers:
                     for shard in shards.get(number, ()):
                         by_shard.setdefault(shard, []).append(number)
-                out += [(key, v, shard, of) for shard, of in by_shard.items()]
-            columns = list(zip(*out, strict=True)) or [[], [], [], []]
-            types = (pa.int64(), batch.schema.field("v").type, pa.int32(), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], ["key", "v", "shard", "lists"])
-
-    visits = materialize(asked.mapInArrow(visit, f"key long, v {kind}, shard int, lists array<int>"), "ann-visits")
-    blocks = visits.groupBy("shard").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    left = visits.join(F.broadcast(blocks), "shard").withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))  # a row a shard
-    right = placed.join(F.broadcast(blocks), "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = left.select("shard", "block", "key", "v", "lists").groupBy("shard", "block").cogroup(
-        right.select("shard", "block", "key", "v", "list", "codes").groupBy("shard", "block")
-    )
+                out += [(key, v, floor, shard, of) for shard, of in by_shard.items()]
+            columns = list(zip(*out, strict=True)) or [[], [], [], [], []]
+            types = (pa.int64(), batch.schema.field("v").type, pa.float64(), pa.int32(), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], ["key", "v", "floor", "shard", "lists"])
+
+    rounding = 2.4e-7 * (dim + 32)  # of estimates in single precision
 
     def scan(asks: pa.Table, held: pa.Table) -> pa.Table:
         out = [[], [], []]
@@ -269,13 +307,15 @@ def search(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
             held = held.sort_by("list").combine_chunks()
             asks = asks.combine_chunks()
             vectors, keys, lists = _vectors(held.column("v").chunk(0), dim), held.column("key").to_numpy(), held.column("list").to_numpy()
+            aims, norms, missed = directions(held.column("v").chunk(0))[0], held.column("norm").to_numpy(), held.column("missed").to_numpy() + rounding
             codes = np.frombuffer(b"".join(held.column("codes").to_pylist()), np.uint8).reshape(len(keys), -1)
             starts = np.flatnonzero(np.r_[True, lists[1:] != lists[:-1]])
             slices = {int(lists[a]): (int(a), int(b)) for a, b in zip(starts, np.r_[starts[1:], len(lists)], strict=True)}
-            q_all, q_keys, q_lists = _vectors(asks.column("v").chunk(0), dim), asks.column("key").to_numpy(), asks.column("lists").to_pylist()
+            q_all, q_keys, q_lists, floors = _vectors(asks.column("v").chunk(0), dim), asks.column("key").to_numpy(), asks.column("lists").to_pylist(), asks.column("floor").to_numpy()
+            q_aims = directions(asks.column("v").chunk(0))[0]
             for at in range(0, len(q_keys), 256):
-                q = q_all[at : at + 256]
-                near = (q / unit).astype(np.float32)
+                q, aim = q_all[at : at + 256], q_aims[at : at + 256]
+                near = aim.astype(np.float32)
                 tables, coarse = index.tables(near), near @ index.centroids.T
                 scores = np.full((len(q), len(keys)), -np.inf, np.float32)
                 visitors: dict[int, list[int]] = {}
@@ -289,10 +329,22 @@ def search(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
                         for part, table in enumerate(tables):
                             estimate += table[who][:, codes[a:b, part]]
                         scores[np.asarray(who), a:b] = coarse[who, number][:, None] + index.scale[number] * estimate
-                depth = len(keys) if exact else min(RERANK, len(keys))
-                best = np.argpartition(-scores, depth - 1, axis=1)[:, :depth]
+                likely, depth = scores * norms, min(RERANK, len(keys))
+                best = np.argpartition(-likely, depth - 1, axis=1)[:, :depth]
+                wanted = np.zeros(scores.shape, bool)
                 for i in range(len(q)):
                     mine = best[i][scores[i][best[i]] > -np.inf]
+                    known, floor = np.sort(aims[mine] @ aim[i] * norms[mine]), floors[at + i]
+                    floor = max(floor, known[-k - 1]) if len(known) > k else floor
+                    wanted[i] = (scores[i] > -np.inf) & (exact | ((scores[i] + missed) * norms >= floor - 1e-12 * norms))
+                    wanted[i, mine] = True
+                some = np.flatnonzero(wanted.any(0))
+                close = aim @ aims[some].T * norms[some]
+                for i in range(len(q)):
+                    here = np.flatnonzero(wanted[i, some])
+                    score, mine = close[i, here], some[here]
+                    if len(score) > k + 1:  # those that rounding may exchange are told apart by their exact scores
+                        mine = mine[score + 1e-12 * norms[mine] >= np.partition(score, -k - 1)[-k - 1]]
                     found = exact_scores(vectors[mine], q[i][None, :])
                     top = _top(found, keys[mine], k + 1)
                     out[0].append(np.full(len(top), q_keys[at + i]))
@@ -301,7 +353,21 @@ def search(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
         flat = [np.concatenate(x) if x else np.zeros(0) for x in out]
         return pa.table({"key": pa.array(flat[0], pa.int64()), "found": pa.array(flat[1], pa.int64()), "score": pa.array(flat[2], pa.float64())})
 
-    found = materialize(pairs.applyInArrow(scan, "key long, found long, score double"), "ann-found")
+    def scanned(asks: DataFrame) -> DataFrame:
+        visits = materialize(asks.mapInArrow(visit, f"key long, v {kind}, floor double, shard int, lists array<int>"), "ann-visits")
+        blocks = visits.groupBy("shard").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+        left = visits.join(F.broadcast(blocks), "shard").withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))  # a row a shard
+        right = placed.join(F.broadcast(blocks), "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        pairs = left.select("shard", "block", "key", "v", "floor", "lists").groupBy("shard", "block").cogroup(
+            right.select("shard", "block", "key", "v", "list", "codes", "norm", "missed").groupBy("shard", "block")
+        )
+        return materialize(pairs.applyInArrow(scan, "key long, found long, score double"), "ann-found")
+
+    found = scanned(asked.withColumn("score", F.lit(None).cast("double")))
+    if probes < lists:  # what is known now bounds what the other lists must offer
+        falling = Window.partitionBy("key").orderBy(F.desc("score"), "found")
+        last = found.withColumn("at", F.row_number().over(falling)).where(F.col("at") <= k + 1).groupBy("key").agg(F.when(F.count("*") > k, F.min("score")).otherwise(float("-inf")).alias("score"))
+        found = found.union(scanned(asked.join(last, "key").select("key", "v", "score")))
     best = Window.partitionBy("key").orderBy(F.desc("score"), "found")
     near = found.withColumn("at", F.row_number().over(best)).where(F.col("at") <= k + 1).drop("at")
     spread = near.join(base.select(F.col("key").alias("found"), "ids"), "found").select("key", "score", F.explode("ids").alias("vec_id"))

@@ -624,6 +624,26 @@ def test_queries_go_on_to_further_lists_until_enough_rows_are_met(spark, monkeyp
     assert {r["count"] for r in few} == {29} and len(few) == 3
 
 
+@pytest.mark.parametrize("rows", ["near copies", "long tails", "no structure"])
+def test_nearest_neighbours_are_the_true_ones_on_any_rows(spark, rows):
+    """More near copies than are scored at first, lengths over many magnitudes, and vectors without structure."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(3000, 96))
+    if rows == "near copies":
+        x = np.concatenate([x[:600], x[rng.integers(0, 2, 2400)] + 0.003 * rng.normal(size=(2400, 96))])
+    elif rows == "long tails":
+        x *= np.exp(rng.normal(size=(3000, 1)) * 8)
+    x = x.astype("f4")
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    got = defaultdict(list)
+    for r in ann.search(df, F.col("vec_id") % 20 == 0, 20).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    for q in range(0, 3000, 20):
+        scores = ann.exact_scores(x, x[q][None])
+        order = np.lexsort((np.arange(3000), -scores))
+        assert got[q] == [(i, scores[i]) for i in order[order != q][:20].tolist()]
+
+
 # personal data
 
 
