@@ -1,73 +1,186 @@
 """How far designs are from known sequences: fewest edits, greatest identity, exact copies.
 
-A search within d edits cuts every known sequence into d + 1 pieces.  Fewer
-edits than pieces leave one piece whole, and there is one that has at most i
-edits before it (if it is the i-th) and d - i after it, which bounds where it
-can lie in the design.  So an index of pieces by length of the known
-sequence, number and text finds every pair within d edits by an equi-join;
-the built-in edit distance checks what it finds.  Long sequences have long
-pieces, which few others share; sequences of d residues or fewer have an
-empty one and meet all designs of like length.
+Known sequences are dealt into tiles by range, so that those of a tile share
+beginnings, and designs into blocks; a tile and a block meet in a group of
+their own.  There the known sequences are a tree of beginnings, and all
+designs go down it at once, a residue a step, each with the band of its edit
+distances to the beginning that it met; where the band exceeds the edits that
+the design may have, the whole branch is left out.  So what known sequences
+share is compared once, and no pair is ever listed.
+
+Designs are searched within one edit first, then within two, four and so
+on; those that can't get nearer any more leave.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.plans.shared import materialize
 
-#: Different lengths up to which their table is broadcast; there are never more than the longest sequence has residues.
-BROADCAST_LENGTHS = 100_000
+#: Known sequences, and residues of them, of a tile; designs that go down its tree at once; cells of their bands held at once.
+TILE, RESIDUES, TOGETHER, HELD = 32_768, 2_000_000, 512, 1_000_000
+#: Designs of a block: a share of all between these bounds; partitions of a search at most.
+SHARE, LEAST, MOST, SPREAD = 64, 512, 65_536, 4_096
+#: More than any distance.
+FAR = 1 << 14
 #: Names of the values that ``measured`` adds to the metrics.
 MUTATIONS, IDENTITY = "mutations_vs_known", "identity_vs_pdb"
 
 
-def _pieces(edits: Column, length: Column) -> Column:
-    """Numbers of a known sequence's pieces: one more than the edits, or one empty piece."""
-    return F.when(length > edits, F.sequence(F.lit(0).cast("long"), edits)).otherwise(F.array(F.lit(0).cast("long")))
+def _codes(texts: list[str]) -> np.ndarray:
+    """The texts' code points, a row each, filled up with zeros."""
+    held = np.array(texts, dtype=np.str_)
+    return held.view(np.int32).reshape(len(texts), -1)
 
 
-def _bound(number: Column, edits: Column, length: Column) -> Column:
-    return F.when(length > edits, F.floor(number * length / (edits + 1))).otherwise(F.lit(0))
+class Tree:
+    """The beginnings of different sequences, level by level; a beginning is named by its first sequence in order."""
 
+    def __init__(self, texts: list[str]):
+        texts = sorted(texts)
+        self.lengths = np.array([len(x) for x in texts], dtype=np.int64)
+        self.at = np.cumsum(self.lengths) - self.lengths
+        self.common = np.full(len(texts), -1, dtype=np.int64)  # residues shared with the sequence before
+        step, codes = max(1, HELD // max(int(self.lengths.max(initial=0)), 1)), []
+        for lo in range(0, len(texts), step):
+            part = _codes(texts[max(lo - 1, 0) : lo + step])
+            sizes = self.lengths[max(lo - 1, 0) : lo + step]
+            differ = np.column_stack([part[1:] != part[:-1], np.ones(len(part) - 1, dtype=bool)])
+            self.common[max(lo, 1) : lo + step] = np.minimum(differ.argmax(axis=1), np.minimum(sizes[1:], sizes[:-1]))
+            codes.append(part[np.arange(part.shape[1]) < sizes[:, None]][int(sizes[0]) if lo else 0 :])
+        self.codes = np.concatenate(codes) if codes else np.zeros(0, np.int32)
+        self.known: dict[int, np.ndarray] = {}
 
-def pairs_within(designs: DataFrame, known: DataFrame, edits: Callable[[Column], Column]) -> DataFrame:
-    """(sequence, other, edits) of different design and known sequences no more than ``edits`` of the known one's length apart.
+    def starts(self, depth: int) -> np.ndarray:
+        """Names of the beginnings of a length, in order."""
+        if depth not in self.known:
+            self.known[depth] = np.flatnonzero((self.lengths >= depth) & (self.common < depth))
+        return self.known[depth]
+
+
+def nearest(tree: Tree, texts: list[str], budget: np.ndarray, relative: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(numbers of texts, edits, longer lengths): of each text the nearest sequence of the tree within its budget, by edits or by their share of the longer length.
+
+    Parts of the texts may come one by one, and a text several times.
+    """
+    size, widest = np.array([len(x) for x in texts], dtype=np.int64), int(budget.max())
+    width = 2 * widest + 1
+    padded = np.full((len(texts), int(max(size.max(), tree.lengths.max())) + width + 1), -1, dtype=np.int32)
+    codes = _codes(texts)[:, : size.max()]
+    padded[:, widest : widest + codes.shape[1]] = np.where(np.arange(codes.shape[1]) < size[:, None], codes, -1)
+    steps = np.arange(width, dtype=np.int16)
+    first = np.where(steps >= widest, steps - widest, FAR).astype(np.int16)
+    band = np.where(steps[None] - widest > size[:, None], FAR, first[None]).astype(np.int16)
+    stack = [(0, np.arange(len(texts)), np.zeros(len(texts), dtype=np.int64), band)] if len(tree.lengths) else []
+    while stack:
+        depth, who, node, band = stack.pop()
+        row = tree.starts(depth)[node]
+        cell = size[who] - depth + widest
+        whole = (tree.lengths[row] == depth) & (cell >= 0) & (cell < width)
+        edits = band[np.flatnonzero(whole), cell[whole]].astype(np.int64)
+        near = edits <= budget[who[whole]]
+        if near.any():
+            found, edits = who[whole][near], edits[near]
+            longer = np.maximum(np.maximum(size[found], depth), 1)
+            order = np.lexsort((edits / longer if relative else edits, found))
+            keep = order[np.r_[True, found[order][1:] != found[order][:-1]]]
+            yield found[keep], edits[keep], longer[keep]
+        below = tree.starts(depth + 1)
+        lo = np.searchsorted(below, row)
+        ends = np.r_[tree.starts(depth), len(tree.lengths)][node + 1]
+        many = np.searchsorted(below, ends) - lo
+        step = max(1, HELD // width)
+        upto = np.cumsum(many)
+        cuts = np.searchsorted(upto, np.arange(step, upto[-1] + step, step), side="right") if len(upto) else []
+        for a, b in zip([0, *cuts], [*cuts, len(many)], strict=True):
+            if a >= b or not (total := int(many[a:b].sum())):
+                continue
+            old = np.repeat(np.arange(a, b), many[a:b])
+            child = lo[old] + np.arange(total) - np.repeat(np.cumsum(many[a:b]) - many[a:b], many[a:b])
+            mine, letter = who[old], tree.codes[tree.at[below[child]] + depth]
+            before = band[old]
+            new = before + (padded[:, depth : depth + width][mine] != letter[:, None])
+            np.minimum(new[:, :-1], before[:, 1:] + 1, out=new[:, :-1])
+            new = (np.minimum.accumulate(new - steps, axis=1) + steps).astype(np.int16)
+            new[steps[None] + (depth + 1 - widest) > size[mine, None]] = FAR
+            np.minimum(new, FAR, out=new)
+            alive = new.min(axis=1) <= budget[mine]
+            if alive.any():
+                stack.append((depth + 1, mine[alive], child[alive], new[alive]))
+
+
+def _meet(relative: bool):
+    """Of each design of a block the nearest sequence of a tile within its budget."""
+
+    def run(designs: pa.Table, known: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        if designs.num_rows and known.num_rows:
+            tree = Tree(known["other"].to_pylist())
+            texts, budget = designs["sequence"].to_pylist(), designs["budget"].to_numpy()
+            order = np.argsort([len(x) for x in texts], kind="stable")
+            for at in range(0, len(order), TOGETHER):
+                part = order[at : at + TOGETHER]
+                for who, edits, longer in nearest(tree, [texts[i] for i in part], budget[part], relative):
+                    out += zip([texts[i] for i in part[who]], edits.tolist(), longer.tolist(), strict=True)
+        columns = list(zip(*out, strict=True)) or [[], [], []]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64()), strict=True)], ["sequence", "edits", "longer"])
+
+    return run
+
+
+def _nearest(designs: DataFrame, known: DataFrame, most: Column, relative: bool) -> DataFrame:
+    """(sequence, edits, longer): the nearest known sequence of the designs that have one within ``most`` edits, an expression of the length ``n``.
 
     Null sequences take no part; empty ones do.
     """
-    left = designs.select("sequence").where("sequence is not null").distinct().withColumn("n", F.length("sequence").cast("long"))
-    right = known.select(F.col("sequence").alias("other")).where("other is not null").distinct().withColumn("m", F.length("other").cast("long")).withColumn("d", edits(F.col("m")).cast("long"))
-    m, d, i = F.col("m"), F.col("d"), F.col("i")
-    right = materialize(right, "novelty-known")
-    index = right.withColumn("i", F.explode(_pieces(d, m))).withColumn("start", _bound(i, d, m))
-    index = index.select("other", "m", "d", "i", F.substr("other", F.col("start") + 1, _bound(i + 1, d, m) - F.col("start")).alias("piece"))
-    lengths = right.select("m", "d").distinct()
-    lengths = F.broadcast(lengths) if lengths.count() <= BROADCAST_LENGTHS else lengths
-    shift = F.col("n") - m
-    probes = left.join(lengths, F.abs(F.col("n") - m) <= d).withColumn("i", F.explode(_pieces(d, m)))
-    low, high = F.greatest(-i, shift - (d - i)), F.least(i, shift + (d - i))
-    at = F.when(m > d, F.when(low <= high, F.sequence(low, high))).otherwise(F.array(F.lit(0).cast("long")))
-    probes = probes.withColumns({"start": _bound(i, d, m), "size": _bound(i + 1, d, m) - _bound(i, d, m)}).withColumn("s", F.explode(at)).withColumn("start", F.col("start") + F.col("s"))
-    probes = probes.where("start >= 0 and start + size <= n").select("sequence", "m", "i", F.substr("sequence", F.col("start") + 1, F.col("size")).alias("piece"))
-    found = probes.join(index, ["m", "i", "piece"]).select("sequence", "other", "d").distinct()
-    return found.withColumn("edits", F.levenshtein("sequence", "other").cast("long")).where("edits <= d").select("sequence", "other", "edits")
+    left = designs.select("sequence").where("sequence is not null").distinct().withColumn("n", F.length("sequence").cast("long")).withColumn("most", most.cast("long"))
+    open_ = materialize(left.where("most >= 0"), "novelty-designs")
+    right = materialize(known.select(F.col("sequence").alias("other")).where("other is not null").distinct(), "novelty-known")
+    size = right.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("other")), F.lit(0)).alias("residues")).first()
+    tiles = max(1, -(-size["n"] // TILE), -(-size["residues"] // RESIDUES))
+    right = materialize(right.repartitionByRange(tiles, "other").withColumn("tile", F.spark_partition_id()), "novelty-tiles")
+    worth = F.col("edits") / F.col("longer") if relative else F.col("edits")
+    limit, settled = 1, None
+    while True:
+        told = open_.agg(F.count("*").alias("n"), F.max("most").alias("most")).first()
+        if not told["n"]:
+            break
+        block = min(max(-(-told["n"] // SHARE), LEAST), MOST)
+        blocks = -(-told["n"] // block)
+        asks = open_.select("sequence", F.least("most", F.lit(limit)).alias("budget"), F.pmod(F.xxhash64("sequence"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("tile"))
+        held = right.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        parts = min(tiles * blocks, SPREAD)  # told, so that small groups of much work aren't put together
+        asks, held = (x.repartition(parts, "tile", "block") for x in (asks, held))
+        met = asks.groupBy("tile", "block").cogroup(held.groupBy("tile", "block")).applyInArrow(_meet(relative), "sequence string, edits long, longer long")
+        best = met.groupBy("sequence").agg(F.min_by(F.struct("edits", "longer"), worth).alias("b")).select("sequence", "b.edits", "b.longer")
+        # With more edits than the limit a known sequence has at most as many residues more than the design.
+        after = F.lit(limit + 1) / (F.col("n") + limit + 1) if relative else F.lit(limit + 1)
+        rated = materialize(open_.join(best, "sequence", "left").withColumn("done", (F.col("most") <= limit) | F.coalesce(worth <= after, F.lit(False))), "novelty-rated")
+        part = rated.where("done and edits is not null").select("sequence", "edits", "longer")
+        settled = part if settled is None else settled.unionByName(part)
+        open_ = rated.where("not done").select("sequence", "n", "most")
+        if told["most"] <= limit:
+            break
+        limit *= 2
+    return settled if settled is not None else open_.select("sequence", F.lit(0).cast("long").alias("edits"), F.lit(0).cast("long").alias("longer")).limit(0)
 
 
 def fewest_mutations(designs: DataFrame, known: DataFrame, least: int) -> DataFrame:
     """(sequence, mutations): edits to the nearest known sequence of the designs that have one within ``least - 1``."""
-    near = pairs_within(designs, known, lambda m: F.lit(max(least - 1, 0))).where(F.col("edits") < least)
-    return near.groupBy("sequence").agg(F.min("edits").alias("mutations"))
+    return _nearest(designs, known, F.lit(least - 1), False).select("sequence", F.col("edits").alias("mutations"))
 
 
 def greatest_identity(designs: DataFrame, known: DataFrame, most: float) -> DataFrame:
     """(sequence, identity): one less the edits by the longer length, to the nearest known sequence, of the designs whose identity reaches ``most``."""
-    near = pairs_within(designs, known, lambda m: F.floor(F.floor(m / most + 1e-9) * (1 - most) + 1e-9))
-    longer = F.greatest(F.length("sequence"), F.length("other"), F.lit(1))
-    return near.groupBy("sequence").agg(F.max(1 - F.col("edits") / longer).alias("identity")).where(F.col("identity") >= most)
+    edits = F.floor(F.col("n") * (1 - most) / most + 1e-9) if most > 0 else F.lit(FAR)
+    near = _nearest(designs, known, edits, True)
+    return near.select("sequence", (1 - F.col("edits") / F.col("longer")).alias("identity")).where(F.col("identity") >= most)
 
 
 def copies(designs: DataFrame, lists: dict[str, DataFrame]) -> DataFrame:
