@@ -1,7 +1,7 @@
 """Similarity of structures: TM-score of CA traces by superposition.
 
 Two traces are threaded along each other without gaps.  Each alignment is
-superposed on fragments (the whole, halves, quarters) by singular values, and
+superposed on fragments (the whole, halves, quarters) by quaternions, and
 superposed again on the residues that came near, a few times; the best
 score counts.  It is divided by the longer length, so it is symmetric and
 never above the shorter length by the longer: pairs beyond that bound, and
@@ -25,11 +25,13 @@ from pyspark.sql import functions as F
 from sievework.plans.shared import materialize
 
 #: Structures of a tile; numbers that a batch of superpositions may hold.
-TILE, HELD = 64, 2_000_000
+TILE, HELD = 64, 200_000
 #: Times that a superposition is made again on the residues that came near.
 REFINED = 6
 #: Bands up to which the table of their sizes is broadcast; a shuffled join beyond.
 BROADCAST_BANDS = 50_000
+#: Partitions of the comparison at most.
+PARTS = 2_048
 #: Fewest residues of an alignment.
 LEAST = 5
 
@@ -51,13 +53,50 @@ def fragments(n: int) -> list[tuple[int, int]]:
     return [c for c in dict.fromkeys(cuts) if c[1] - c[0] >= min(LEAST, n)]
 
 
+def rotations(h: np.ndarray) -> np.ndarray:
+    """The proper rotations r that make the trace of r' h largest, for moments h (m, 3, 3).
+
+    Each is the quaternion of the largest root of Horn's symmetric matrix,
+    found by Newton's steps from above and read off the matrix's adjugate;
+    where that root nearly repeats, singular values are used.
+    """
+    size = np.sqrt((h * h).sum((1, 2)))
+    s = h / np.where(size > 0, size, 1)[:, None, None]
+    n = np.empty((len(h), 4, 4))
+    n[:, 0, 0] = s[:, 0, 0] + s[:, 1, 1] + s[:, 2, 2]
+    for k, (i, j) in enumerate(((1, 2), (2, 0), (0, 1)), 1):
+        n[:, 0, k] = n[:, k, 0] = s[:, i, j] - s[:, j, i]
+        n[:, k, k] = 2 * s[:, k - 1, k - 1] - n[:, 0, 0]
+        a, b = sorted((i + 1, j + 1))
+        n[:, a, b] = n[:, b, a] = s[:, i, j] + s[:, j, i]
+    square = n @ n
+    two, three, four = 4 * (s * s).sum((1, 2)), (square * n).sum((1, 2)), (square * square).sum((1, 2))
+    c2, c1, c0 = -two / 2, -three / 3, (two * two / 2 - four) / 4
+    root = np.full(len(h), 3**0.5)
+    for _ in range(14):
+        slope = (4 * root * root + 2 * c2) * root + c1
+        root -= (((root * root + c2) * root + c1) * root + c0) / np.where(slope > 1e-9, slope, 1)
+    slope = (4 * root * root + 2 * c2) * root + c1
+    shift = np.eye(4)
+    adjugate = square @ (n + root[:, None, None] * shift) + (root * root + c2)[:, None, None] * n + ((root * root + c2) * root + c1)[:, None, None] * shift
+    at = np.abs(np.einsum("mii->mi", adjugate)).argmax(1)
+    q = adjugate[np.arange(len(h)), at]
+    w, x, y, z = (q / np.maximum(np.sqrt((q * q).sum(1)), 1e-300)[:, None]).T
+    out = np.stack([1 - 2 * (y * y + z * z), 2 * (x * y + w * z), 2 * (x * z - w * y), 2 * (x * y - w * z), 1 - 2 * (x * x + z * z), 2 * (y * z + w * x), 2 * (x * z + w * y), 2 * (y * z - w * x), 1 - 2 * (x * x + y * y)], axis=1).reshape(-1, 3, 3)
+    if (poor := np.flatnonzero(~(slope > 1e-3))).size:
+        u, _, vt = np.linalg.svd(h[poor])
+        u[:, :, 2] *= np.sign(np.linalg.det(u @ vt))[:, None]
+        out[poor] = u @ vt
+    return out
+
+
 def superpose(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
     """Squared distances of points after the best rigid motion of x (m, n, 3) onto y by weights (m, n)."""
     total = w.sum(1)[:, None, None]
-    cx, cy = (w[:, :, None] * x).sum(1, keepdims=True) / total, (w[:, :, None] * y).sum(1, keepdims=True) / total
-    u, _, vt = np.linalg.svd(np.einsum("mn,mni,mnj->mij", w, x - cx, y - cy))
-    u[:, :, 2] *= np.sign(np.linalg.det(u @ vt))[:, None]
-    return (((x - cx) @ (u @ vt) + cy - y) ** 2).sum(2)
+    cx, cy = w[:, None] @ x / total, w[:, None] @ y / total
+    x, y = x - cx, y - cy
+    gap = x @ rotations((w[:, :, None] * x).transpose(0, 2, 1) @ y) - y
+    return np.einsum("mni,mni->mn", gap, gap)
 
 
 def _best(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
@@ -74,13 +113,17 @@ def _best(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
             p, q = x[at : at + step, i : i + n], y[at : at + step, j : j + n]
             p, q = np.repeat(p, len(parts), 0), np.repeat(q, len(parts), 0)
             w = np.tile(first, (len(p) // len(parts), 1))
+            pair, whole = np.repeat(np.arange(at, min(at + step, len(x))), len(parts)), first[0].all()
             for _ in range(REFINED):
                 far = superpose(p, q, w)
-                score = (1 / (1 + far / half**2)).sum(1) / long
-                part = best[at : at + step]
-                np.maximum(part, score.reshape(-1, len(parts)).max(1), out=part)
+                np.maximum.at(best, pair, (1 / (1 + far / half**2)).sum(1) / long)
                 third = np.partition(far, 2, axis=1)[:, 2:3]
-                w = (far <= np.maximum(max(half, 4.5) ** 2, third)).astype(np.float64)
+                new = (far <= np.maximum(max(half, 4.5) ** 2, third)).astype(np.float64)
+                # What is superposed on the same residues again, or on all, as the first fragment was, tells nothing new.
+                go = (new != w).any(1) & ~(new.all(1) & whole)
+                if not go.any():
+                    break
+                p, q, w, pair = p[go], q[go], new[go], pair[go]
     return best
 
 
@@ -144,5 +187,7 @@ def structure_pairs(traces: DataFrame, threshold: float, block: tuple[str, ...]
     here, there = F.struct("band", "tile"), F.struct(F.col("band2").alias("band"), F.col("tile2").alias("tile"))
     met = near.select(*block, "id", "xyz", F.least(here, there).alias("lo"), F.greatest(here, there).alias("hi"), (here <= there).alias("mine"), (here == there).alias("own"))
     kind = traces.schema["id"].dataType.simpleString()
-    pairs = met.groupBy(*block, "lo", "hi").applyInArrow(_meet(threshold), f"a {kind}, b {kind}, similarity double")
+    groups = sizes.agg(F.sum(F.col("tiles").cast("long") * F.col("tiles"))).first()[0] or 0
+    parts = max(1, min(groups, PARTS))  # told, so that groups of few bytes and much work aren't put together
+    pairs = met.repartition(parts, *block, "lo", "hi").groupBy(*block, "lo", "hi").applyInArrow(_meet(threshold), f"a {kind}, b {kind}, similarity double")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity").where("a < b")
