@@ -28,6 +28,8 @@ from sievework import schema
 from sievework.plans.shared import materialize, temporary
 
 _BATCH = "batch="
+#: Rows that a task of a write sorts by target.
+ROWS = 500_000
 _PLACE = [T.StructField("_at", T.StringType()), T.StructField("_seq", T.LongType())]
 
 
@@ -63,7 +65,8 @@ class Registry:
         winners = rows.groupBy(F.col("design_id").alias("_id")).agg(F.max(F.struct("_at", "_seq")).alias("_won"), F.min("created_at").alias("_created"))
         wanted = rows if only is None else rows.where(only)
         same = (wanted["design_id"] == F.col("_id")) & (wanted["_at"] == F.col("_won._at")) & (wanted["_seq"] == F.col("_won._seq"))
-        return wanted.join(winners, same).withColumn("created_at", F.col("_created")).select(*schema.DESIGNS.names, "_at", "_seq")
+        # Files of well compressed rows look small enough to be broadcast; sorted runs can spill.
+        return wanted.join(winners.hint("merge"), same).withColumn("created_at", F.col("_created")).select(*schema.DESIGNS.names, "_at", "_seq")
 
     def _latest(self, only: Column | None = None) -> DataFrame:
         return self._last(self._rows(self.batches()), only).drop("_at", "_seq")
@@ -83,10 +86,11 @@ class Registry:
         return rows[0].asDict() if rows else None
 
     def _write(self, rows: DataFrame, number: int) -> str:
-        """Add a batch of rows with ``_seq``; rows without ``_at`` came with this one."""
+        """Add a batch of rows with ``_seq``, which are written already somewhere; rows without ``_at`` came with this one."""
         name = f"{number:09d}-{uuid.uuid4().hex[:12]}"
         placed = rows if "_at" in rows.columns else rows.withColumn("_at", F.lit(name))
-        placed.hint("rebalance", "target_id").write.partitionBy("target_id").parquet(f"{self.path}/{_BATCH}{name}")
+        parts = max(1, -(-placed.count() // ROWS))  # told: rows compress so well that tasks cut by bytes would hold millions
+        placed.repartitionByRange(parts, "target_id", "design_id").write.partitionBy("target_id").parquet(f"{self.path}/{_BATCH}{name}")
         return name
 
     def upsert(self, rows: DataFrame) -> None:
@@ -141,7 +145,8 @@ class Registry:
         """Replace the batches that are there by one with the rows that are last."""
         read = self.batches()
         if len(read) > 1:
-            self._write(self._last(self._rows(read)), int(read[-1].split("-")[0]))
+            with temporary(self.spark):
+                self._write(materialize(self._last(self._rows(read)), "compact"), int(read[-1].split("-")[0]))
             for n in read:
                 self._fs.delete(self._path(f"{self.path}/{_BATCH}{n}"), True)
 

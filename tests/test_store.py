@@ -195,3 +195,16 @@ def test_fasta(spark, tmp_path):
     path.write_text("stray\n>a|1\nAC\n DE \n\n>b\n>c>d\nFG\n")
     rows = {(r["header"], r["sequence"]) for r in read_fasta(spark, [str(path)]).collect()}
     assert rows == {(None, "stray"), ("a|1", "ACDE"), ("c>d", "FG")}
+
+
+def test_a_write_s_tasks_hold_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    """One target's rows, which compress to almost nothing, go to several tasks, here by upsert and by compaction."""
+    monkeypatch.setattr("sievework.sources.registry.ROWS", 300)
+    registry = Registry(spark, str(tmp_path / "r"))
+    blank = {c: F.lit("x") for c in ("target_id", "modality", "pipeline", "config_hash", "sequence")} | {"length": F.lit(1)}
+    for start in (0, 1000):
+        registry.upsert(spark.range(start, start + 1500).select(F.col("id").cast("string").alias("design_id")).withColumns(blank))
+        assert all(len(list(b.glob("target_id=x/*.parquet"))) >= 4 for b in (tmp_path / "r").glob("batch=*"))
+    registry.compact()
+    assert len(registry.batches()) == 1 and len(list((tmp_path / "r").glob("batch=*/target_id=x/*.parquet"))) >= 7
+    assert registry.read().count() == 2500
