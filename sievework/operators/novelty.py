@@ -9,7 +9,10 @@ the design may have, the whole branch is left out.  So what known sequences
 share is compared once, and no pair is ever listed.
 
 Designs are searched within one edit first, then within two, four and so
-on; those that can't get nearer any more leave.
+on; those that can't get nearer any more leave.  Within one and two edits a
+short design meets no tree: what two edits can do to a sequence is a few
+hundred keys, and two sequences are that near exactly if they share one, so
+a plain semi join finds out, and work grows with the sequences alone.
 """
 
 from __future__ import annotations
@@ -27,6 +30,10 @@ from sievework.plans.shared import materialize
 TILE, RESIDUES, TOGETHER, HELD = 32_768, 2_000_000, 512, 1_000_000
 #: Designs of a block: a share of all between these bounds; partitions of a search at most.
 SHARE, LEAST, MOST, SPREAD = 64, 512, 65_536, 4_096
+#: Residues up to which a design is found by keys, and the edits that keys know of.
+SHORT, KEYED = 32, 2
+#: Sequences of a task that makes the keys of one edit; it takes fewer for two.
+AT_ONCE = 20_000
 #: More than any distance.
 FAR = 1 << 14
 #: Names of the values that ``measured`` adds to the metrics.
@@ -134,6 +141,88 @@ def _meet(relative: bool):
     return run
 
 
+def _without(text: Column, i: Column) -> Column:
+    return F.concat(F.substr(text, F.lit(1), i - 1), F.substr(text, i + 1))
+
+
+def _places(text: Column, make) -> Column:
+    """What ``make`` makes of every place of a text; nothing of an empty one."""
+    return F.when(F.length(text) > 0, F.transform(F.sequence(F.lit(1), F.length(text)), make)).otherwise(F.array().cast("array<string>"))
+
+
+def _dropped(text: Column) -> Column:
+    """The text without one residue, for every residue."""
+    return F.array_distinct(_places(text, lambda i: _without(text, i)))
+
+
+def _holes(text: Column) -> Column:
+    """The text with one residue unknown, for every residue; its place is told."""
+    return _places(text, lambda i: F.concat(i.cast("string"), F.lit(":"), _without(text, i)))
+
+
+def _two_holes(text: Column) -> Column:
+    later = lambda i: F.transform(F.sequence(i + 1, F.length(text)), lambda j: F.concat(i.cast("string"), F.lit(","), j.cast("string"), F.lit(":"), _without(_without(text, j), i)))
+    return F.when(F.length(text) > 1, F.flatten(F.transform(F.sequence(F.lit(1), F.length(text) - 1), later))).otherwise(F.array().cast("array<string>"))
+
+
+def _twice(text: Column, make) -> Column:
+    return F.array_distinct(F.flatten(F.transform(_dropped(text), make)))
+
+
+def _itself(text: Column) -> Column:
+    return F.array(text)
+
+
+#: Ways from a design to a known sequence: edits, residues that the known one has more, and the keys of both, which are equal exactly if the way exists.
+WAYS = {
+    "=": (0, 0, _itself, _itself),
+    "s": (1, 0, _holes, _holes), "i": (1, 1, _itself, _dropped), "d": (1, -1, _dropped, _itself),
+    "ss": (2, 0, _two_holes, _two_holes), "id": (2, 0, _dropped, _dropped), "is": (2, 1, _holes, lambda t: _twice(t, _holes)), "ds": (2, -1, lambda t: _twice(t, _holes), _holes),
+    "ii": (2, 2, _itself, lambda t: _twice(t, _dropped)), "dd": (2, -2, lambda t: _twice(t, _dropped), _itself),
+}
+
+
+def _by_keys(designs: DataFrame, known: DataFrame, many: tuple[int, int], limit: int, worth: Column) -> DataFrame:
+    """(sequence, edits, longer): the nearest known sequence (other) within ``limit`` edits, ``KEYED`` at most, of short designs (sequence, n, most).
+
+    ``many`` are the rows of both.  Keys are made only of sequences of lengths that the other table has a partner for.
+    """
+    designs, known = (x.repartition(min(max(1, n * limit * limit // AT_ONCE), SPREAD)) for x, n in zip((designs, known), many, strict=True))  # told: narrow rows that become many
+    lengths = lambda rows, n: [r["n"] for r in rows.select(n.alias("n")).where(F.col("n") <= SHORT + KEYED).distinct().collect()]  # noqa: E731 - one row a length
+    ours, theirs = lengths(designs, F.col("n")), lengths(known, F.length("other").cast("long"))
+    tag = lambda way, keys: F.transform(keys, lambda k: F.concat(F.lit(way + "|"), k))
+    none, asks, held = F.array().cast("array<string>"), [], []
+    for way, (edits, more, of_design, of_known) in WAYS.items():
+        meet = [n for n in ours if n + more in theirs]
+        if edits > limit or not meet:
+            continue
+        told = lambda keys, e=edits, m=more: F.transform(keys, lambda k: F.struct(k.alias("key"), F.lit(e).cast("long").alias("edits"), F.greatest(F.col("n") + max(m, 0), F.lit(1)).alias("longer")))
+        made = F.when(F.col("n").isin(meet) & (F.col("most") >= edits), tag(way, of_design(F.col("sequence")))).otherwise(none)
+        asks.append(told(made))
+        held.append(F.when(F.length("other").isin([n + more for n in meet]), tag(way, of_known(F.col("other")))).otherwise(none))
+    if not asks:
+        return designs.select("sequence", F.lit(0).cast("long").alias("edits"), F.lit(0).cast("long").alias("longer")).limit(0)
+    left = designs.select("sequence", F.explode(F.concat(*asks)).alias("k")).select("sequence", "k.*")
+    right = known.select(F.explode(F.concat(*held)).alias("key"))
+    met = left.join(right, "key", "left_semi")
+    return met.groupBy("sequence").agg(F.min_by(F.struct("edits", "longer"), worth).alias("b")).select("sequence", "b.edits", "b.longer")
+
+
+def _by_trees(open_: DataFrame, right: DataFrame, tiles: int, limit: int, relative: bool, worth: Column) -> DataFrame | None:
+    """(sequence, edits, longer): the nearest known sequence of the tiles within ``limit`` edits; None without designs."""
+    many = open_.count()
+    if not many:
+        return None
+    block = min(max(-(-many // SHARE), LEAST), MOST)
+    blocks = -(-many // block)
+    asks = open_.select("sequence", F.least("most", F.lit(limit)).alias("budget"), F.pmod(F.xxhash64("sequence"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("tile"))
+    held = right.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    parts = min(tiles * blocks, SPREAD)  # told, so that small groups of much work aren't put together
+    asks, held = (x.repartition(parts, "tile", "block") for x in (asks, held))
+    met = asks.groupBy("tile", "block").cogroup(held.groupBy("tile", "block")).applyInArrow(_meet(relative), "sequence string, edits long, longer long")
+    return met.groupBy("sequence").agg(F.min_by(F.struct("edits", "longer"), worth).alias("b")).select("sequence", "b.edits", "b.longer")
+
+
 def _nearest(designs: DataFrame, known: DataFrame, most: Column, relative: bool) -> DataFrame:
     """(sequence, edits, longer): the nearest known sequence of the designs that have one within ``most`` edits, an expression of the length ``n``.
 
@@ -151,14 +240,11 @@ def _nearest(designs: DataFrame, known: DataFrame, most: Column, relative: bool)
         told = open_.agg(F.count("*").alias("n"), F.max("most").alias("most")).first()
         if not told["n"]:
             break
-        block = min(max(-(-told["n"] // SHARE), LEAST), MOST)
-        blocks = -(-told["n"] // block)
-        asks = open_.select("sequence", F.least("most", F.lit(limit)).alias("budget"), F.pmod(F.xxhash64("sequence"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("tile"))
-        held = right.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        parts = min(tiles * blocks, SPREAD)  # told, so that small groups of much work aren't put together
-        asks, held = (x.repartition(parts, "tile", "block") for x in (asks, held))
-        met = asks.groupBy("tile", "block").cogroup(held.groupBy("tile", "block")).applyInArrow(_meet(relative), "sequence string, edits long, longer long")
-        best = met.groupBy("sequence").agg(F.min_by(F.struct("edits", "longer"), worth).alias("b")).select("sequence", "b.edits", "b.longer")
+        keyed = limit <= KEYED
+        best = _by_trees(open_.where(F.col("n") > SHORT) if keyed else open_, right, tiles, limit, relative, worth)
+        if keyed:
+            found = _by_keys(open_.where(F.col("n") <= SHORT), right, (told["n"], size["n"]), limit, worth)
+            best = found if best is None else best.unionByName(found)
         # With more edits than the limit a known sequence has at most as many residues more than the design.
         after = F.lit(limit + 1) / (F.col("n") + limit + 1) if relative else F.lit(limit + 1)
         rated = materialize(open_.join(best, "sequence", "left").withColumn("done", (F.col("most") <= limit) | F.coalesce(worth <= after, F.lit(False))), "novelty-rated")

@@ -90,3 +90,19 @@ def test_designs_that_share_most_of_their_residues_are_not_listed_pair_by_pair(s
     got = {r["sequence"]: r["mutations"] for r in novelty.fewest_mutations(rows.where("id % 5 > 0"), rows.where("id % 5 = 0"), 3).collect()}
     assert time.monotonic() - began < 60
     assert got == {f"Customer#{i:09d}": 1 for i in range(15000) if i % 5}
+
+
+def test_short_designs_meet_no_tree_within_two_edits(spark, monkeypatch):
+    """All ways of one and two edits against brute force, both measures; trees are for what is longer or farther."""
+    rng = random.Random(5)
+    left, right = ([("".join(rng.choices("ab", k=rng.randint(0, 7)))) for _ in range(60)] for _ in range(2))
+    met = []
+    trees = novelty._by_trees
+    monkeypatch.setattr(novelty, "_by_trees", lambda open_, *rest: met.extend(r["n"] for r in open_.collect()) or trees(open_, *rest))
+    near = {d: min(distance(d, k) for k in set(right[:6])) for d in left}
+    got = novelty.fewest_mutations(sequences(spark, left), sequences(spark, right[:6]), 3).collect()
+    assert {r["sequence"]: r["mutations"] for r in got} == {d: n for d, n in near.items() if n <= 2} and len(set(near.values())) > 2
+    like = {d: max(1 - distance(d, k) / max(len(d), len(k), 1) for k in right) for d in left}
+    got = {r["sequence"]: r["identity"] for r in novelty.greatest_identity(sequences(spark, left), sequences(spark, right), 0.7).collect()}
+    assert got == pytest.approx({d: i for d, i in like.items() if i >= 0.7})
+    assert not met
