@@ -1,4 +1,4 @@
-"""Words of a text and bounded samples of labelled documents, for the trained classifiers."""
+"""Words of a text, and labelled documents, all or a bounded sample, for the trained classifiers."""
 
 from __future__ import annotations
 
@@ -18,6 +18,21 @@ def in_fold(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
+def _graded(labels: DataFrame, label: Column) -> DataFrame:
+    """(__id, __label) outside the held-out fold; ids with contradicting labels are left out."""
+    graded = labels.select(F.col("doc_id").cast("long").alias("__id"), label.cast("int").alias("__label")).where("__id is not null and __label is not null")
+    return graded.where(~in_fold(F.col("__id"))).groupBy("__id").agg(F.min("__label").alias("__label"), F.max("__label").alias("__other")).where("__label = __other")
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: Column, id_col="doc_id", text_col="text", extra: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (id, label, text, *extra) of all labelled documents outside the held-out fold, written once; of documents with one id the least."""
+    graded = _graded(labels, label).select("__id", "__label")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    found = docs.select(F.col(id_col).cast("long").alias("__id"), F.struct(text.alias("text"), *[F.col(c).alias(c) for c in extra]).alias("r"))
+    picked = found.join(graded, "__id").groupBy("__id", "__label").agg(F.min("r").alias("r"))
+    return materialize(picked.select(F.col("__id").alias("id"), F.col("__label").alias("label"), "r.*"), "labelled")
+
+
 def sample_labelled(docs: DataFrame, labels: DataFrame, label: Column, per_class: dict[int, int], max_chars: int, id_col="doc_id", text_col="text", extra: tuple[str, ...] = ()) -> list[tuple]:
     """Rows (label, text, *extra) of labelled documents outside the held-out fold, at most ``per_class`` of each label and ``max_chars`` in all.
 
@@ -26,8 +41,7 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label: Column, per_class
     that would pass the bound of characters are skipped; texts are whole.
     The chosen rows are written, so the texts are read once.
     """
-    graded = labels.select(F.col("doc_id").cast("long").alias("__id"), label.cast("int").alias("__label")).where("__id is not null and __label is not null")
-    graded = graded.where(~in_fold(F.col("__id"))).groupBy("__id").agg(F.min("__label").alias("__label"), F.max("__label").alias("__other")).where("__label = __other")
+    graded = _graded(labels, label)
     order = F.xxhash64(F.lit("sample"), F.col("__id"))
     chosen = None
     for value, n in per_class.items():

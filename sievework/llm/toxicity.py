@@ -6,13 +6,15 @@ rectified and max-pooled over the whole text, feed a logistic output.  Max
 pooling passes a gradient to one place a filter only, so training touches a
 few rows of the embeddings a document.
 
-The model is fitted on the driver on a bounded sample of labelled rows
-outside the held-out fold (``PER_CLASS``, ``MAX_CHARS``) and sent to the
-executors (some MB).  Inputs of a score are the text's words and nothing
-else.  Decision thresholds are calibrated by language on a part of the
-sample that isn't trained on: a language's best threshold is shrunk towards
-that of all languages by its number of toxic rows, so a rare language
-borrows and no number switches.
+The model is fitted on all labelled rows outside the held-out fold.  They
+are dealt into shards by a hash of their id; in each of some rounds every
+shard goes on from the same model (some MB) for some epochs, and what it
+changed is averaged: a row of the embeddings over the shards that touched
+it, by how often, all else by the shards' rows.  Inputs of a score are the
+text's words and nothing else.  Decision thresholds are calibrated by
+language on a fifth of the rows, by hash, which isn't trained on: a
+language's best threshold is shrunk towards that of all languages by its
+number of toxic rows, so a rare language borrows and no number switches.
 
 On executors the filters' products with a word are looked up: they are
 computed once for a word and kept in a bounded table, so a document costs
@@ -28,6 +30,7 @@ read.
 
 from __future__ import annotations
 
+import copy
 import zlib
 
 import numpy as np
@@ -35,16 +38,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.labelled import WORD, in_fold, sample_labelled
-from sievework.llm.workers import map_batches, map_rows, slices
+from sievework.functions import stats
+from sievework.llm.labelled import WORD, in_fold, labelled
+from sievework.llm.workers import map_batches, map_rows, release, slices
+from sievework.plans.shared import materialize
 
-#: Labelled documents the model is fitted on, by label, and their characters in all.
-PER_CLASS, MAX_CHARS = {1: 1500, 0: 3000}, 16_000_000
+#: Labelled documents of a shard and their characters, on average; rounds after which shards are averaged; rows of the embeddings that are averaged together.
+SHARD, SHARD_CHARS, TURNS, PIECE = 4000, 16_000_000, 2, 1024
 ROWS, DIM, FILTERS, WIDTHS = 1 << 16, 16, 16, (1, 2, 3)
 EPOCHS, BATCH = 6, 32
 #: Steps of the filters and the output (Adam) and of the embeddings (Adagrad by row).
 RATE, ROW_RATE = 0.01, 0.15
-#: Share of the sample that thresholds are calibrated on, and toxic rows that the threshold of all counts for when a language's is shrunk towards it.
+#: Share of the rows that thresholds are calibrated on, and toxic rows that the threshold of all counts for when a language's is shrunk towards it.
 CALIBRATION, WEIGHT = 5, 20
 #: Words whose products a worker keeps.
 REMEMBERED = 100_000
@@ -151,30 +156,24 @@ def gradients(model: Model, known: np.ndarray, ids: list[np.ndarray], labels: np
     return grads, float(miss.sum()), unique, total
 
 
-def fit(rows: list[tuple], seed: int = 3) -> Model:
-    """Fit rows (label, text, lang)."""
-    model = Model(seed)
-    labels = np.array([r[0] for r in rows], np.float64)
-    if not len(rows) or labels.min() == labels.max():
-        model.constant = float(labels.mean()) if len(rows) else 0.0
-        return model
+def learn(model: Model, labels: np.ndarray, texts: list[str | None], epochs: range, seed: int = 3) -> np.ndarray:
+    """Train the model on texts for some of ``EPOCHS``; tells how many steps touched each row of the embeddings."""
     numbers: dict[str, int] = {}
-    ids = [np.array([numbers.setdefault(w, len(numbers) + 1) for w in words_of(r[1])], np.int64) for r in rows]
+    ids = [np.array([numbers.setdefault(w, len(numbers) + 1) for w in words_of(t)], np.int64) for t in texts]
     known = np.array([(0, 0, 0, 0)] + [features(w) for w in numbers], np.int64)
-    rng = np.random.default_rng(seed)
-    order = rng.permutation(len(rows))
-    held, train = order[: len(rows) // CALIBRATION], order[len(rows) // CALIBRATION :]
-    seen = np.full(ROWS, 1e-8, np.float32)  # Adagrad's sums, a row each
+    rng, order = np.random.default_rng((seed, epochs.start)), np.arange(len(texts))
+    seen, touched = np.full(ROWS, 1e-8, np.float32), np.zeros(ROWS)  # Adagrad's sums, a row each
     weights = [*model.filters, *model.bias, model.out]
     moments = [[np.zeros_like(w), np.zeros_like(w)] for w in weights]
     bias_moment, step = [0.0, 0.0], 0
-    for epoch in range(EPOCHS):
-        rng.shuffle(train)
-        for lo in range(0, len(train), BATCH):
-            part = train[lo : lo + BATCH]
+    for epoch in epochs:
+        rng.shuffle(order)
+        for lo in range(0, len(order), BATCH):
+            part = order[lo : lo + BATCH]
             grads, to_base, unique, total = gradients(model, known, [ids[i] for i in part], labels[part])
             decay = 1 - epoch / EPOCHS
             seen[unique] += (total * total).mean(1)
+            touched[unique] += 1
             model.table[unique] -= (ROW_RATE * decay / np.sqrt(seen[unique]))[:, None] * total
             step += 1
             for w, g, (m, v) in zip(weights, grads, moments, strict=True):
@@ -183,6 +182,19 @@ def fit(rows: list[tuple], seed: int = 3) -> Model:
                 w -= RATE * decay * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
             bias_moment = [0.9 * bias_moment[0] + 0.1 * to_base, 0.99 * bias_moment[1] + 0.01 * to_base * to_base]
             model.base -= RATE * decay * (bias_moment[0] / (1 - 0.9**step)) / ((bias_moment[1] / (1 - 0.99**step)) ** 0.5 + 1e-8)
+    return touched
+
+
+def fit(rows: list[tuple], seed: int = 3) -> Model:
+    """Fit a few rows (label, text, lang) at once."""
+    model = Model(seed)
+    labels = np.array([r[0] for r in rows], np.float64)
+    if not len(rows) or labels.min() == labels.max():
+        model.constant = float(labels.mean()) if len(rows) else 0.0
+        return model
+    order = np.random.default_rng(seed).permutation(len(rows))
+    held, train = order[: len(rows) // CALIBRATION], order[len(rows) // CALIBRATION :]
+    learn(model, labels[train], [rows[i][1] for i in train], range(EPOCHS), seed)
     scorer = Scorer(model)
     scores = np.concatenate([scorer.score([rows[i][1] for i in held[k : k + 64]]) for k in range(0, len(held), 64)] or [np.zeros(0)])
     toxic = labels[held] == 1
@@ -253,9 +265,96 @@ def _groups(texts: list[str | None], chars: int = 200_000):
         yield lo, len(texts)
 
 
+_PIECES = "piece int, fan int, sums binary, weights binary"
+
+
+def _shard(model: Model, epochs: range, fan: int):
+    """For applyInArrow: what a shard changes, weighted, a row a piece of the embeddings and one of all else (piece -1)."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        mine = copy.deepcopy(model)
+        labels = rows["label"].to_numpy().astype(np.float64)
+        shard = rows["shard"][0].as_py()
+        order = np.argsort(rows["id"].to_numpy(), kind="stable")  # reruns agree
+        texts = rows["text"].to_pylist()
+        touched = learn(mine, labels[order], [texts[i] for i in order], epochs, shard)
+        n = np.array([float(len(order))])
+        out = [(-1, n[0] * (dense(mine) - dense(model)), n)]
+        for at in range(0, ROWS, PIECE):
+            times = touched[at : at + PIECE]
+            if times.any():
+                out.append((at // PIECE, times[:, None] * (mine.table[at : at + PIECE].astype(np.float64) - model.table[at : at + PIECE]), times))
+        made = pa.table({"piece": pa.array([p for p, _, _ in out], pa.int32()), "fan": pa.array([shard % fan] * len(out), pa.int32()), "sums": [s.tobytes() for _, s, _ in out], "weights": [w.tobytes() for _, _, w in out]})
+        release()
+        return made
+
+    return run
+
+
+def _add(rows: pa.Table) -> pa.Table:
+    """The sums of a piece's rows, in an order of their own so that reruns agree."""
+    held = sorted(zip(rows["sums"].to_pylist(), rows["weights"].to_pylist(), strict=True))
+    sums, weights = (sum(np.frombuffer(r[k]) for r in held) for k in (0, 1))
+    return pa.table({"piece": rows["piece"][:1], "fan": rows["fan"][:1], "sums": [sums.tobytes()], "weights": [weights.tobytes()]})
+
+
+def dense(model: Model) -> np.ndarray:
+    """Filters, biases, output and base behind each other."""
+    return np.concatenate([np.ravel(w).astype(np.float64) for w in (*model.filters, *model.bias, model.out, model.base)])
+
+
+def _move(model: Model, by: np.ndarray) -> None:
+    at = 0
+    for w in (*model.filters, *model.bias, model.out):
+        w += by[at : at + w.size].reshape(w.shape).astype(w.dtype)
+        at += w.size
+    model.base += float(by[at])
+
+
 def train(docs: DataFrame, labels: DataFrame, text_col="text", lang_col="lang") -> Model:
-    """Fit the model on labelled documents (``labels``: doc_id, toxic)."""
-    return fit(sample_labelled(docs, labels, F.when(F.col("toxic").isin(0, 1), F.col("toxic")), PER_CLASS, MAX_CHARS, text_col=text_col, extra=(lang_col,)))
+    """Fit the model on all labelled documents outside the held-out fold (``labels``: doc_id, toxic)."""
+    rows = labelled(docs, labels, F.when(F.col("toxic").isin(0, 1), F.col("toxic")), text_col=text_col, extra=(lang_col,)).withColumnRenamed(lang_col, "lang")
+    calibrates = F.pmod(F.xxhash64(F.lit("calibration"), "id"), F.lit(CALIBRATION)) == 0
+    told = rows.agg(F.count("*").alias("n"), F.sum("label").alias("toxic"), F.sum(F.length("text")).alias("chars")).first()
+    model = Model()
+    if not told["n"] or told["toxic"] in (0, told["n"]):
+        model.constant = told["toxic"] / told["n"] if told["n"] else 0.0
+        return model
+    shards = max(1, -(-told["n"] // SHARD), -(-told["chars"] // SHARD_CHARS))
+    fan, epochs = int(shards**0.5) + 1, EPOCHS // TURNS
+    dealt = rows.where(~calibrates).select("id", "label", "text", F.pmod(F.xxhash64(F.lit("shard"), "id"), F.lit(shards)).cast("int").alias("shard")).repartition(min(shards, 4096), "shard")
+    for turn in range(TURNS):
+        made = dealt.groupBy("shard").applyInArrow(_shard(model, range(turn * epochs, (turn + 1) * epochs), fan), _PIECES)
+        added = made.groupBy("piece", "fan").applyInArrow(_add, _PIECES).groupBy("piece").applyInArrow(_add, _PIECES)
+        for piece in added.collect():  # the model's size
+            sums, weights = (np.frombuffer(bytes(piece[k])) for k in ("sums", "weights"))
+            if piece["piece"] < 0:
+                _move(model, sums / weights[0])
+            else:
+                at = piece["piece"] * PIECE
+                model.table[at : at + PIECE] += (sums.reshape(-1, DIM) / np.maximum(weights, 1)[:, None]).astype(np.float32)
+    _calibrate(model, rows.where(calibrates))
+    return model
+
+
+def _calibrate(model: Model, rows: DataFrame) -> None:
+    """Set the thresholds from rows (label, text, lang) that weren't trained on, by exact running counts."""
+    scored = map_batches(rows.select("label", F.col("lang").cast("string").alias("lang"), F.col("text").alias("__text")), _scorer(model), "label int, lang string, __score double")
+    scopes = F.explode(F.array(F.struct(F.lit(True).alias("every"), F.lit(None).cast("string").alias("lang")), F.struct(F.lit(False).alias("every"), "lang")))
+    counts = scored.select(scopes.alias("scope"), F.col("__score").alias("score"), "label").groupBy("scope", "score").agg(F.sum("label").alias("pos"), F.count("*").alias("n"))
+    upto = materialize(stats.cumulate(counts, F.struct("scope", -F.col("score")), {"hits": "pos", "taken": "n"}), "calibration")
+    whole = upto.groupBy("scope").agg(F.min(F.col("hits") - F.col("pos")).alias("hits0"), F.min(F.col("taken") - F.col("n")).alias("taken0"), F.sum("pos").alias("toxic")).where("toxic > 0")
+    f1 = 2 * (F.col("hits") - F.col("hits0")) / (F.col("taken") - F.col("taken0") + F.col("toxic"))
+    best = upto.alias("u").join(F.broadcast(whole.alias("w")), F.col("u.scope").eqNullSafe(F.col("w.scope"))).groupBy("u.scope", "toxic").agg(F.max_by("score", F.struct(f1.alias("f1"), "score")).alias("at"))
+    below = upto.alias("u").join(F.broadcast(best.alias("b")), F.col("u.scope").eqNullSafe(F.col("b.scope")), "right")
+    found = below.groupBy("b.scope", "toxic", "at").agg(F.coalesce(F.max(F.when(F.col("score") < F.col("at"), F.col("score"))), F.lit(0.0)).alias("below")).select("scope.every", "scope.lang", "toxic", "at", "below").collect()  # a row a language
+    middle = lambda r: float(np.clip((r["at"] + r["below"]) / 2, 0.3, 0.9))
+    for r in found:
+        if r["every"]:
+            model.threshold = middle(r)
+    for r in found:
+        if not r["every"]:
+            model.thresholds[r["lang"]] = (r["toxic"] * middle(r) + WEIGHT * model.threshold) / (r["toxic"] + WEIGHT)
 
 
 def _scorer(model: Model):

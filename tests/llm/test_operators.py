@@ -852,6 +852,18 @@ def test_toxicity_network_equals_plain_scoring_and_its_gradient_is_right():
     assert to_base == pytest.approx((up - loss()) / 2e-5, abs=1e-5)
 
 
+def test_toxicity_learns_from_all_labelled_rows(spark, monkeypatch):
+    """A text that is toxic as often as not tells the share of toxic rows among all, not in a sample; many shards learn what one does."""
+    monkeypatch.setattr(toxicity, "SHARD", 1500)
+    df = docs(spark, ["the same words in every text"] * 9600)
+    rows = spark.range(9600).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), (F.col("id") % 8 == 0).cast("int").alias("toxic"))
+    one = toxicity.train(df, rows)
+    got = toxicity.score(df, one).agg(F.min("score").alias("low"), F.max("score").alias("high")).first()
+    assert got["low"] == got["high"] == pytest.approx(1 / 8, abs=0.05)
+    again = toxicity.train(df.repartition(3), rows)
+    assert (again.table == one.table).all() and again.thresholds == one.thresholds
+
+
 def test_toxicity_thresholds_of_rare_languages_borrow():
     rng = random.Random(42)
     rows = [(int(i % 3 == 0), prose(rng, 20) + (" grobian" if i % 3 == 0 else ""), "de" if i % 40 == 0 else "en") for i in range(600)]
