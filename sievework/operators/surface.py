@@ -18,6 +18,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +30,10 @@ OTHER_RADIUS, PROBE = 1.70, 1.40
 # Side-chain atoms that give or take hydrogen; the chain's N gives (not that of PRO) and its O and OXT take.
 DONORS = {"ARG": ("NE", "NH1", "NH2"), "ASN": ("ND2",), "GLN": ("NE2",), "HIS": ("ND1", "NE2"), "LYS": ("NZ",), "SER": ("OG",), "THR": ("OG1",), "TRP": ("NE1",), "TYR": ("OH",), "CYS": ("SG",)}
 ACCEPTORS = {"ASN": ("OD1",), "ASP": ("OD1", "OD2"), "GLN": ("OE1",), "GLU": ("OE1", "OE2"), "HIS": ("ND1", "NE2"), "SER": ("OG",), "THR": ("OG1",), "TYR": ("OH",), "MET": ("SD",)}
-#: Points on a sphere, edge of a block in Angstrom, and atoms whose points are tested at once.
-POINTS, BLOCK, AT_ONCE = 96, 16.0, 64
+#: Points on a sphere, and edge of a block in Angstrom.
+POINTS, BLOCK = 96, 16.0
+#: Rows of blocks, atoms, pairs of atoms, and near pairs that are met at once.
+ROWS, OWN, PAIRS, TESTED = 8192, 4096, 200_000, 4096
 #: Farthest that a bound atom may lie.
 BOND = 2.1
 
@@ -48,31 +51,75 @@ def sphere(n: int = POINTS) -> np.ndarray:
     return np.stack([flat * np.cos(turn), flat * np.sin(turn), z], axis=1)
 
 
+def _exposed(places: np.ndarray, reach: np.ndarray, sides: np.ndarray, blocks: np.ndarray, own: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(area in the complex, area without the other sides) of the atoms ``own`` among all of their blocks, rows in the order of the blocks; ``reach`` is radius and probe."""
+    bare = np.ones((2, len(own), len(points)), dtype=bool)
+    starts, ends = np.searchsorted(blocks, blocks[own]), np.searchsorted(blocks, blocks[own], side="right")
+    lo = 0
+    while lo < len(own):
+        hi = max(lo + 1, int(np.searchsorted(np.cumsum(ends[lo:] - starts[lo:]), PAIRS, side="right")) + lo)
+        many = ends[lo:hi] - starts[lo:hi]
+        mine = np.repeat(np.arange(lo, hi), many)
+        other = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(starts[lo:hi], many)
+        apart = places[own[mine]] - places[other]
+        near = (np.sqrt((apart * apart).sum(1)) < reach[other] + reach[own[mine]]) & (other != own[mine])
+        mine, other = mine[near], other[near]
+        for at in range(0, len(mine), TESTED):
+            i, j = mine[at : at + TESTED], other[at : at + TESTED]
+            on = places[own[i]][:, None] + reach[own[i]][:, None, None] * points
+            inside = ((on - places[j][:, None]) ** 2).sum(2) < (reach[j] ** 2)[:, None]
+            same = sides[j] == sides[own[i]]
+            for k, which in ((0, slice(None)), (1, same)):
+                rows = i[which]
+                if len(rows):
+                    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])  # pairs of an atom follow each other
+                    bare[k, rows[first]] &= ~np.logical_or.reduceat(inside[which], first, axis=0)
+        lo = hi
+    unit = 4 * math.pi * reach[own] ** 2 / len(points)
+    return bare[0].sum(1) * unit, bare[1].sum(1) * unit
+
+
 def exposed(places: np.ndarray, reach: np.ndarray, sides: np.ndarray, own: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(area in the complex, area without the other sides) of the atoms ``own`` among all; ``reach`` is radius and probe."""
-    whole, alone = np.zeros(len(own)), np.zeros(len(own))
-    for k, a in enumerate(own):
-        far = np.linalg.norm(places - places[a], axis=1)
-        near = np.flatnonzero((far < reach + reach[a]) & (np.arange(len(places)) != a))
-        on = places[a] + reach[a] * points
-        covered = np.zeros((2, len(points)), dtype=bool)
-        for at in range(0, len(near), AT_ONCE):
-            part = near[at : at + AT_ONCE]
-            inside = ((on[:, None] - places[part]) ** 2).sum(2) < reach[part] ** 2
-            covered[0] |= inside.any(1)
-            covered[1] |= inside[:, sides[part] == sides[a]].any(1)
-        unit = 4 * math.pi * reach[a] ** 2 / len(points)
-        whole[k], alone[k] = (~covered).sum(1) * unit
-    return whole, alone
-
-
-def _block(points: np.ndarray):
-    def run(rows: pa.Table) -> pa.Table:
-        places = np.stack([rows[c].to_numpy() for c in "xyz"], axis=1)
-        _, sides = np.unique(np.array(rows["side"].to_pylist(), dtype=object).astype(str), return_inverse=True)
-        own = np.flatnonzero(rows["own"].to_numpy(zero_copy_only=False))
-        whole, alone = exposed(places, rows["reach"].to_numpy(), sides, own, points)
-        return pa.table({"structure": rows["structure"].take(pa.array(own)), "side": rows["side"].take(pa.array(own)), "atom": rows["atom"].take(pa.array(own)), "whole": whole, "alone": alone})
+    """(area in the complex, area without the other sides) of the atoms ``own`` among all, as one block."""
+    return _exposed(places, reach, sides, np.zeros(len(places), dtype=np.int64), own, points)
+
+
+def _areas(rows: pa.Table, points: np.ndarray) -> pa.Table:
+    """Areas of the atoms that whole blocks own."""
+    keys = [rows["structure"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False), *(rows[c].to_numpy() for c in ("bx", "by", "bz"))]
+    new = np.r_[False, np.any([k[1:] != k[:-1] for k in keys], axis=0)] if rows.num_rows else np.zeros(0, bool)
+    blocks = np.cumsum(new)
+    places = np.stack([rows[c].to_numpy() for c in "xyz"], axis=1)
+    sides = rows["side"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    own = np.flatnonzero(rows["own"].to_numpy(zero_copy_only=False))
+    parts = [_exposed(places, rows["reach"].to_numpy(), sides, blocks, own[at : at + OWN], points) for at in range(0, len(own), OWN)] or [(np.zeros(0), np.zeros(0))]
+    whole, alone = (np.concatenate(x) for x in zip(*parts, strict=True))
+    kept = rows.select(["structure", "side", "atom"]).take(pa.array(own)).combine_chunks()
+    return pa.table([*kept.columns, pa.array(whole), pa.array(alone)], ["structure", "side", "atom", "whole", "alone"])
+
+
+def _blocks(points: np.ndarray):
+    """For mapInArrow over rows in the order of their blocks: many small blocks are met at once; the last block waits for its other rows."""
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        size, due = 0, ROWS
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size < due:
+                continue
+            rows = pa.Table.from_batches(held)
+            last = np.ones(size, dtype=bool)
+            for c in ("structure", "bx", "by", "bz"):
+                last &= pc.equal(rows[c], rows[c][size - 1]).to_numpy()
+            cut = size - int(last.sum())
+            if cut:
+                yield from _areas(rows.slice(0, cut), points).to_batches()
+            held, size = rows.slice(cut).to_batches(), size - cut
+            due = max(ROWS, 2 * size)
+        if size:
+            yield from _areas(pa.Table.from_batches(held), points).to_batches()
 
     return run
 
@@ -88,16 +135,19 @@ def areas(atoms: DataFrame, probe: float = PROBE, points: int = POINTS) -> DataF
     known = atoms.select("structure", "side", "atom", radius(F.col("element")).alias("r"), *[F.col(c).cast("double").alias(c) for c in "xyz"])
     known = known.where(F.col("structure").isNotNull() & F.col("side").isNotNull() & fine[0] & fine[1] & fine[2])
     most = max(*RADII.values(), OTHER_RADIUS) + probe
-    cell = lambda c, by: F.floor((F.col(c) + by) / BLOCK)
-    around = lambda c: F.explode(F.sequence(cell(c, -2 * most), cell(c, 2 * most)))
-    dealt = known.withColumn("reach", F.col("r") + probe).withColumns({f"h{c}": cell(c, 0.0) for c in "xyz"})
+    # Blocks begin at a structure's least place, so that a small structure is one block.
+    spans = known.groupBy("structure").agg(*[f(c).alias(f"{n}{c}") for c in "xyz" for f, n in ((F.min, "l"), (F.max, "u"))])
+    cell = lambda at, c: F.floor((at - F.col(f"l{c}")) / BLOCK)
+    around = lambda c: F.explode(F.sequence(F.greatest(cell(F.col(c) - 2 * most, c), F.lit(0)), F.least(cell(F.col(c) + 2 * most, c), cell(F.col(f"u{c}"), c))))
+    dealt = known.join(spans, "structure").withColumn("reach", F.col("r") + probe).withColumns({f"h{c}": cell(F.col(c), c) for c in "xyz"})
     for c in "xyz":
         dealt = dealt.withColumn(f"b{c}", around(c))
     own = (F.col("bx") == F.col("hx")) & (F.col("by") == F.col("hy")) & (F.col("bz") == F.col("hz"))
     dealt = dealt.select("structure", "side", "atom", "reach", *"xyz", own.alias("own"), "bx", "by", "bz")
     kinds = {c: atoms.schema[c].dataType.simpleString() for c in ("structure", "side", "atom")}
-    made = dealt.groupBy("structure", "bx", "by", "bz").applyInArrow(_block(sphere(points)), ", ".join(f"{c} {t}" for c, t in kinds.items()) + ", whole double, alone double")
-    return made
+    by = ("structure", "bx", "by", "bz")
+    parts = int(atoms.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # told, so that few bytes of much work aren't put together
+    return dealt.repartition(parts, *by).sortWithinPartitions(*by).mapInArrow(_blocks(sphere(points)), ", ".join(f"{c} {t}" for c, t in kinds.items()) + ", whole double, alone double")
 
 
 def buried_surface(atoms: DataFrame, probe: float = PROBE, points: int = POINTS) -> DataFrame:

@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,3 +95,23 @@ def test_atoms_of_pdb_files(spark, tmp_path):
     got = files.atoms(spark.createDataFrame([("x.pdb",), ("gone.pdb",)], "path string"), [str(tmp_path)])
     assert [tuple(r) for r in got.collect()] == [("x.pdb", 1, "B", "12A", "SER", "OG", "O", 1.5, 2.0, -3.5)]
     assert got.select(F.round(surface.radius(F.col("element")), 2)).first()[0] == 1.52
+
+
+def test_small_blocks_are_met_together_and_those_cut_by_a_batch_are_whole(monkeypatch):
+    rng, points = np.random.default_rng(8), surface.sphere()
+    n = 120
+    key = np.sort(rng.integers(0, 25, n))
+    rows = pa.table({"structure": key, "side": rng.choice(["A", "B"], n), "atom": np.arange(n), "reach": rng.uniform(2.5, 3.2, n), **{c: rng.uniform(0, 6, n) for c in "xyz"}, "own": rng.random(n) < 0.8, **{b: np.zeros(n, int) for b in ("bx", "by", "bz")}})
+    monkeypatch.setattr(surface, "ROWS", 10)
+    monkeypatch.setattr(surface, "TESTED", 7)
+    got = pa.Table.from_batches(surface._blocks(points)(iter(rows.to_batches(max_chunksize=3)))).to_pylist()
+    at = np.stack([rows[c].to_numpy() for c in "xyz"], axis=1)
+    reach, side, own = rows["reach"].to_numpy(), np.array(rows["side"].to_pylist()), rows["own"].to_pylist()
+    want = {}
+    for i in np.flatnonzero(own):
+        on = at[i] + reach[i] * points
+        covers = lambda j: ((on - at[j]) ** 2).sum(1) < reach[j] ** 2  # noqa: B023, E731
+        others = [j for j in range(n) if j != i and key[j] == key[i]]
+        free = [~np.any([covers(j) for j in js] or [np.zeros(len(points), bool)], axis=0) for js in (others, [j for j in others if side[j] == side[i]])]
+        want[int(i)] = tuple(f.sum() * 4 * np.pi * reach[i] ** 2 / len(points) for f in free)
+    assert {r["atom"]: (r["whole"], r["alone"]) for r in got} == {k: pytest.approx(v) for k, v in want.items()} and len(got) == len(want)
