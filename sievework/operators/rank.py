@@ -90,8 +90,26 @@ def leader_clusters(pairs: DataFrame, items: DataFrame, threshold: float) -> Dat
     return materialize(leaders.select(F.col("b").alias("id"), F.col("b").alias("cluster")).union(followers), "leader-clusters")
 
 
-def _meet(threshold: float) -> Callable[[pa.Table], pa.Table]:
-    """The similar pairs between two tiles, or within one if ``lo`` and ``hi`` are equal."""
+def _forest(i: np.ndarray, j: np.ndarray, similarity: np.ndarray) -> np.ndarray:
+    """Which edges a spanning forest of the greatest similarities keeps: at every cut they connect what all edges connect; NaN counts as large."""
+    order = np.argsort(-np.where(np.isnan(similarity), np.inf, similarity), kind="stable")
+    root, kept = list(range(int(max(i.max(), j.max())) + 1 if len(i) else 0)), []
+    most = len(np.unique(np.r_[i, j])) - 1
+    for k, a, b in zip(order.tolist(), i[order].tolist(), j[order].tolist(), strict=True):
+        while root[a] != a:
+            root[a] = a = root[root[a]]
+        while root[b] != b:
+            root[b] = b = root[root[b]]
+        if a != b:
+            root[a] = b
+            kept.append(k)
+            if len(kept) == most:
+                break
+    return np.array(kept, dtype=np.int64)
+
+
+def _meet(threshold: float, forest: bool) -> Callable[[pa.Table], pa.Table]:
+    """The similar pairs between two tiles, or within one if ``lo`` and ``hi`` are equal; or a spanning forest of them."""
 
     def run(rows: pa.Table) -> pa.Table:
         vectors = rows["v"].combine_chunks()
@@ -109,17 +127,23 @@ def _meet(threshold: float) -> Callable[[pa.Table], pa.Table]:
             i, j = np.nonzero(np.triu(near, 1) if lo[0] == hi[0] else near)
             found.append((left[i], right[j], cosine[i, j]))
         i, j, cosine = (np.concatenate(x) for x in zip(*found, strict=True))
+        if forest:
+            kept = _forest(i, j, cosine)
+            i, j, cosine = i[kept], j[kept], cosine[kept]
         return pa.table({"a": rows["id"].take(pa.array(i)), "b": rows["id"].take(pa.array(j)), "similarity": cosine})
 
     return run
 
 
-def similar_pairs(vectors: DataFrame, block: list[str], threshold: float) -> DataFrame:
+def similar_pairs(vectors: DataFrame, block: list[str], threshold: float, forest: bool = False) -> DataFrame:
     """(a, b, similarity) of the pairs within a block whose cosine reaches ``threshold``; rows (id, v, *block).
 
     All pairs of a block are compared.  A block of any size is dealt by id
     into tiles of about ``TILE`` rows, and each two tiles meet in a group
-    of their own, so that no task holds more than two tiles at once.
+    of their own, so that no task holds more than two tiles at once.  With
+    ``forest`` a group tells only the pairs of a spanning forest of its own,
+    fewer than it has rows, which connect the same rows at every cut: all
+    that single linkage needs.
     """
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, z: s + z)
     named = reduce(Column.__and__, [F.col(k).isNotNull() for k in block], F.col("id").isNotNull())
@@ -128,7 +152,7 @@ def similar_pairs(vectors: DataFrame, block: list[str], threshold: float) -> Dat
     dealt = unit.join(F.broadcast(sizes) if sizes.count() <= BROADCAST_BLOCKS else sizes, block).withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumns({"lo": F.least("tile", "other"), "hi": F.greatest("tile", "other")})
     kind = vectors.schema["id"].dataType.simpleString()
-    pairs = met.select(*block, "id", "v", "tile", "lo", "hi").groupBy(*block, "lo", "hi").applyInArrow(_meet(threshold), f"a {kind}, b {kind}, similarity double")
+    pairs = met.select(*block, "id", "v", "tile", "lo", "hi").groupBy(*block, "lo", "hi").applyInArrow(_meet(threshold, forest), f"a {kind}, b {kind}, similarity double")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity").where("a < b")
 
 

@@ -351,7 +351,7 @@ def lineage_depth(spark, sf_dir):
 )
 def linkage_cuts(spark, sf_dir):
     """Single-linkage clusters of the vectors of a label at three similarities."""
-    pairs = rank.similar_pairs(_by_label(spark, sf_dir), ["label"], 0.3)
+    pairs = rank.similar_pairs(_by_label(spark, sf_dir), ["label"], 0.3, forest=True)
     return hierarchy.single_linkage(pairs, _t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id")), [0.30, 0.35, 0.45])
 
 

@@ -169,3 +169,21 @@ def test_leaders_use_the_pairs_of_whole_labels(spark):
     leaders = [i for i in cluster if cluster[i] == i]
     assert set(cluster) == set(rows)
     assert not [(i, j) for i in leaders for j in leaders if i < j and rows[i]["label"] == rows[j]["label"] and unit[i] @ unit[j] >= 0.2]
+
+
+def test_forest_of_tiles_lists_few_pairs_and_links_the_same(spark):
+    rows = [(i, [1.0, i / 400, (i * 7 % 11) / 30], "x") for i in range(200)]
+    vectors = spark.createDataFrame(rows, "id long, v array<double>, label string")
+    whole, few = (rank.similar_pairs(vectors, ["label"], 0.9, forest=f).collect() for f in (False, True))
+    assert len(whole) > 10_000 and len(few) < 200
+
+    def linked(pairs, cut):
+        names = list(range(200))
+        for r in pairs:
+            if r["similarity"] >= cut and names[r["a"]] != names[r["b"]]:
+                old, new = sorted((names[r["a"]], names[r["b"]]), reverse=True)
+                names = [new if n == old else n for n in names]
+        return names
+
+    assert all(linked(whole, c) == linked(few, c) for c in (0.9, 0.999, 0.9999, 0.99999))
+    assert len(set(linked(few, 0.99999))) > 1
