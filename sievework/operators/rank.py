@@ -135,6 +135,13 @@ def _meet(threshold: float, forest: bool) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
+def comparable(block: list[str]) -> Column:
+    """Whether a row (id, v, *block) has a name, a block and a vector with a length."""
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, z: s + z)
+    named = reduce(Column.__and__, [F.col(k).isNotNull() for k in block], F.col("id").isNotNull())
+    return named & (dot(F.col("v"), F.col("v")) > 0)
+
+
 def similar_pairs(vectors: DataFrame, block: list[str], threshold: float, forest: bool = False) -> DataFrame:
     """(a, b, similarity) of the pairs within a block whose cosine reaches ``threshold``; rows (id, v, *block).
 
@@ -145,9 +152,7 @@ def similar_pairs(vectors: DataFrame, block: list[str], threshold: float, forest
     fewer than it has rows, which connect the same rows at every cut: all
     that single linkage needs.
     """
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, z: s + z)
-    named = reduce(Column.__and__, [F.col(k).isNotNull() for k in block], F.col("id").isNotNull())
-    unit = vectors.select("id", "v", *block).where(named & (dot(F.col("v"), F.col("v")) > 0))
+    unit = vectors.select("id", "v", *block).where(comparable(block))
     sizes = materialize(unit.groupBy(*block).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")), "pair-blocks")
     dealt = unit.join(F.broadcast(sizes) if sizes.count() <= BROADCAST_BLOCKS else sizes, block).withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumns({"lo": F.least("tile", "other"), "hi": F.greatest("tile", "other")})

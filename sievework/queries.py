@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sievework import audit_queries
 from sievework.functions import align, metrics, sequences, stats
-from sievework.operators import contacts, hierarchy, novelty, optimize, rank, structures, surface
+from sievework.operators import contacts, hierarchy, leaders, novelty, optimize, rank, structures, surface
 from sievework.operators.ancestry import ancestry
 from sievework.plans.shared import new_path
 from sievework.sources.registry import Registry
@@ -322,9 +322,8 @@ def similar_pairs(spark, sf_dir):
 
 @query("leader_clusters")
 def leader_clusters(spark, sf_dir):
-    """Greedy leaders over the similar pairs of whole labels: iterative, tested against a plain loop."""
-    items = _t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding")[0].cast("double").alias("score"))
-    return rank.leader_clusters(rank.similar_pairs(_by_label(spark, sf_dir), ["label"], 0.2), items, 0.2)
+    """Greedy leaders by the similarity of whole labels: iterative, tested against a plain loop."""
+    return leaders.vector_leaders(_by_label(spark, sf_dir).withColumn("score", F.col("v")[0].cast("double")), ["label"], 0.2)
 
 
 @query(
