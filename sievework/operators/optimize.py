@@ -80,9 +80,9 @@ OBJECTIVES: dict[str, Callable[[Column, Column], Column]] = {
 
 
 def shared(population: DataFrame, score: Callable[[Column, Column], Column], weight: float) -> DataFrame:
-    """Rows (sequence, given, ...) with score, niche, niche_size and fitness."""
-    scored = population.withColumns({"score": score(F.col("sequence"), F.col("given")), "niche": niche(F.col("sequence"))})
-    sizes = scored.groupBy("niche").agg(F.count("*").alias("niche_size"))
+    """Rows (sequence, given, ...) with score, niche, niche_size and fitness; each row's niche and score are computed once."""
+    scored = materialize(population.withColumns({"score": score(F.col("sequence"), F.col("given")), "niche": niche(F.col("sequence"))}), "scored")
+    sizes = materialize(scored.groupBy("niche").agg(F.count("*").alias("niche_size")), "niches")
     return scored.join(sizes, "niche").withColumn("fitness", F.col("score") - weight * F.log(F.col("niche_size").cast("double")))
 
 
@@ -113,10 +113,11 @@ def optimize(pool: DataFrame, config: OptimizeConfig, score: Callable[[Column, C
     """
     score, history = score or OBJECTIVES[config.objective], None
     now = pool.select("design_id", *[F.lit(None).cast("string").alias(c) for c in ("parent_id", "mate_id")], "sequence", F.col("given").cast("double"))
+    now = now.repartition("design_id")  # a pool may come in few files; and its expressions end here instead of within each word of a niche
     elites_of = max(1, round(config.population * config.elite_frac))
     fields = ["design_id", "parent_id", "mate_id", "sequence", "given"]
     for turn in range(config.rounds):
-        rated = materialize(shared(now, score, config.diversity_weight), f"rated-{turn}")
+        rated = shared(now, score, config.diversity_weight)
         elites = materialize(rated.orderBy(F.desc("fitness"), "design_id").limit(elites_of), f"elites-{turn}")
         marked = rated.join(F.broadcast(elites.select("design_id", F.lit(True).alias("elite"))), "design_id", "left").withColumns({"elite": F.coalesce("elite", F.lit(False)), "round": F.lit(turn)})
         marked = materialize(marked.select(*fields, "niche", "score", "niche_size", "fitness", "elite", "round"), f"round-{turn}")

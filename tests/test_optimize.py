@@ -76,3 +76,22 @@ def test_rounds_in_the_registry_and_their_statistics(spark, tmp_path):
 
 def test_an_empty_pool(spark):
     assert opt.optimize(family(spark).where("false"), opt.OptimizeConfig(rounds=2)).isEmpty()
+
+
+def test_a_pool_is_read_once_and_dealt_over_tasks(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(text):
+        read.add(1)
+        return text
+
+    pool = family(spark).coalesce(1).select("design_id", told("sequence").alias("sequence"), "given")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        rows = opt.optimize(pool, opt.OptimizeConfig(rounds=1, population=20), lambda s, given: F.spark_partition_id().cast("double")).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert read.value == len(rows) == 16 and len({r["score"] for r in rows}) > 1
