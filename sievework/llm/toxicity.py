@@ -17,8 +17,9 @@ language's best threshold is shrunk towards that of all languages by its
 number of toxic rows, so a rare language borrows and no number switches.
 
 On executors the filters' products with a word are looked up: they are
-computed once for a word and kept in a bounded table, so a document costs
-some sums of looked-up rows, whatever its length.
+computed once for a word (in training: once for a step's word) and kept in a
+bounded table, so a document costs some sums of looked-up rows, whatever its
+length.
 
 Defined results: null and empty texts are scored like a text of one unknown
 word; without labels of both kinds every score is the share of toxic labels
@@ -31,7 +32,9 @@ read.
 from __future__ import annotations
 
 import copy
+import re
 import zlib
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -51,24 +54,67 @@ EPOCHS, BATCH = 6, 32
 RATE, ROW_RATE = 0.01, 0.15
 #: Share of the rows that thresholds are calibrated on, and toxic rows that the threshold of all counts for when a language's is shrunk towards it.
 CALIBRATION, WEIGHT = 5, 20
-#: Words whose products a worker keeps.
-REMEMBERED = 100_000
+#: Words whose products a worker keeps; places of a text that are pooled at once.
+REMEMBERED, SPAN = 100_000, 4096
+#: Columns of the filters that are too narrow for a first, second and third word.
+SKIP = tuple(FILTERS * sum(w <= i for w in WIDTHS) for i in range(max(WIDTHS)))
+#: What is no word, outside ASCII, and bytes with all that is no word within ASCII made blank.
+ODD, BLANKS = re.compile(r"[^\w\x00-\x7f]+"), bytes(32 if i < 128 and not WORD.match(chr(i)) else i for i in range(256))
+
+
+def hashed(words: list[str]) -> np.ndarray:
+    """Rows of the embeddings of lower-cased words, (n, 4): of themselves and of their first 3, 4 and 5 letters."""
+    rows = np.empty((len(words), 4), np.int64)
+    for k, letters in enumerate((None, 3, 4, 5)):
+        parts = "\n".join([w[:letters] for w in words]).encode("utf-8", "surrogatepass").split(b"\n")  # no word holds a line's end
+        start = zlib.crc32(str(letters).encode()) if letters else 0
+        rows[:, k] = np.fromiter(map(zlib.crc32, parts, repeat(start)), np.int64, len(parts))[: len(words)]
+    return rows % ROWS
 
 
 def features(word: str) -> tuple[int, int, int, int]:
-    """Rows of the embeddings of a lower-cased word: itself and its first 3, 4 and 5 letters."""
-    h = zlib.crc32
-    b = word.encode("utf-8", "surrogatepass")
-    return (
-        h(b) % ROWS,
-        h(b"3" + word[:3].encode("utf-8", "surrogatepass")) % ROWS,
-        h(b"4" + word[:4].encode("utf-8", "surrogatepass")) % ROWS,
-        h(b"5" + word[:5].encode("utf-8", "surrogatepass")) % ROWS,
-    )
+    """Rows of the embeddings of one lower-cased word."""
+    return tuple(hashed([word])[0].tolist())
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    """The matches of ``WORD`` in the lower-cased text."""
+    low = (text or "").lower()
+    if not low.isascii():  # what is no word parts words, first outside ASCII, then within
+        low = ODD.sub(" ", low).encode("utf-8", "surrogatepass").translate(BLANKS).decode("utf-8", "surrogatepass")
+        return low.split()
+    return low.encode().translate(BLANKS).decode().split()
+
+
+class Numbers(dict):
+    """Numbers of words from 1 on, given as they are asked for."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self) + 1
+        return n
+
+    def of(self, words: list[str]) -> np.ndarray:
+        return np.array([*map(self.__getitem__, words)], np.int64)
+
+    def since(self, used: int) -> list[str]:
+        """The words whose numbers are above ``used``."""
+        return [*islice(reversed(self), len(self) - used)][::-1]
+
+
+def distinct(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different ones of some numbers below ``size``, and where each number is among them."""
+    slot, at = np.empty(size, np.int64), np.arange(len(keys))
+    slot[keys] = at
+    first = keys[slot[keys] == at]
+    slot[first] = np.arange(len(first))
+    return first, slot[keys]
+
+
+def add_up(keys: np.ndarray, values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys (below ``size``) and the sums of their rows of values."""
+    unique, inverse = distinct(keys, size)
+    cells = (inverse[:, None] * DIM + np.arange(DIM)).ravel()
+    return unique, np.bincount(cells, values.ravel(), len(unique) * DIM).reshape(-1, DIM)
 
 
 class Model:
@@ -84,42 +130,51 @@ class Model:
         self.constant: float | None = None
         self.threshold, self.thresholds = 0.5, {}  # of all languages, and by language
 
-    def products(self, rows: np.ndarray) -> np.ndarray:
-        """What each of some words (feature rows) adds to every filter at each of its places, as float32 (n, places * FILTERS)."""
-        vectors = self.table[rows].mean(axis=1)
-        return np.concatenate([vectors @ f[i] for f in self.filters for i in range(len(f))], axis=1)
-
-    def pool(self, products: np.ndarray, at: np.ndarray, starts: np.ndarray, sizes: np.ndarray, places: bool = False):
-        """Max-pooled activations of texts (and where they come from): ``at`` are rows of ``products``, two spare ones after each text."""
-        ends = starts + np.maximum(sizes, 1)
-        cuts = np.empty(2 * len(starts), np.int64)
-        cuts[0::2], cuts[1::2] = starts, ends
-        pooled, where, offset = [], [], 0
-        for f, b in zip(self.filters, self.bias, strict=True):
-            n = len(at) - 2
-            total = products[at[:n], offset : offset + FILTERS].copy()
-            for i in range(1, len(f)):
-                total += products[at[i : n + i], offset + i * FILTERS : offset + (i + 1) * FILTERS]
-            offset += len(f) * FILTERS
-            best = np.maximum.reduceat(total, cuts, axis=0)[0::2]
-            pooled.append(np.maximum(best + b, 0))
-            if places:
-                where.append(np.stack([s + total[s:e].argmax(axis=0) for s, e in zip(starts, ends, strict=True)]))
-        return (np.concatenate(pooled, axis=1), where) if places else np.concatenate(pooled, axis=1)
+    def vectors(self, rows: np.ndarray) -> np.ndarray:
+        """The means of some words' embeddings (feature rows), (n, DIM)."""
+        total = self.table.take(rows[:, 0], axis=0)
+        for k in range(1, rows.shape[1]):
+            total += self.table.take(rows[:, k], axis=0)
+        return total / rows.shape[1]
+
+    def products(self, vectors: np.ndarray) -> list[np.ndarray]:
+        """What words add to the filters at their first, second and third place: (n, FILTERS * filters that wide) each."""
+        return [vectors @ np.concatenate([f[i] for f in self.filters[skip // FILTERS :]], axis=1) for i, skip in enumerate(SKIP)]
+
+    def pool(self, products: list[np.ndarray], texts: list[np.ndarray], places: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Max-pooled activations of texts and the places they come from, if asked for: rows of ``products``, two spare ones at the end."""
+        best = np.empty((len(texts), FILTERS * len(WIDTHS)), products[0].dtype)
+        where, column = np.zeros(best.shape, np.int64), np.arange(best.shape[1])
+        for t, at in enumerate(texts):
+            n = len(at) - len(SKIP) + 1
+            for lo in range(0, n, SPAN):
+                hi = min(lo + SPAN, n)
+                total = products[0].take(at[lo:hi], axis=0)
+                for i, skip in enumerate(SKIP[1:], 1):
+                    total[:, skip:] += products[i].take(at[lo + i : hi + i], axis=0)
+                if places:
+                    place = total.argmax(axis=0)
+                    top = total[place, column]
+                    more = top > best[t] if lo else slice(None)
+                    where[t, more] = lo + place[more]
+                else:
+                    top = total.max(axis=0)
+                best[t] = np.maximum(best[t], top) if lo else top
+        return np.maximum(best + np.concatenate(self.bias), 0), where
 
     def score(self, pooled: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(pooled @ self.out + self.base, -30, 30)))
 
 
 def lay_out(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Texts' word numbers behind each other, with two spare zeros after each text (three after an empty one)."""
-    sizes = np.array([len(x) for x in ids], np.int64)
-    room = np.maximum(sizes, 1) + 2
-    starts = np.concatenate([[0], np.cumsum(room)[:-1]])
-    at = np.zeros(int(room.sum()) + 2, np.int64)
-    for s, x in zip(starts, ids, strict=True):
+    """Texts' word numbers behind each other, with two spare zeros after each text (three for an empty one); where each begins and ends."""
+    room = np.array([max(len(x), 1) + len(SKIP) - 1 for x in ids], np.int64)
+    ends = np.cumsum(room)
+    starts = ends - room
+    at = np.zeros(int(room.sum()), np.int64)
+    for s, x in zip(starts.tolist(), ids, strict=True):
         at[s : s + len(x)] = x
-    return at, starts, sizes
+    return at, starts, ends
 
 
 def gradients(model: Model, known: np.ndarray, ids: list[np.ndarray], labels: np.ndarray) -> tuple[list[np.ndarray], float, np.ndarray, np.ndarray]:
@@ -128,39 +183,38 @@ def gradients(model: Model, known: np.ndarray, ids: list[np.ndarray], labels: np
     By the filters, their biases and the output; by the base; and the rows of
     the embeddings touched with theirs.
     """
-    at, starts, sizes = lay_out(ids)
-    here, local = np.unique(at, return_inverse=True)
-    products = model.products(known[here])
-    products[here == 0] = 0
-    pooled, where = model.pool(products, local, starts, sizes, places=True)
+    at, starts, ends = lay_out(ids)
+    here, local = distinct(at, len(known))
+    vectors = model.vectors(known[here])
+    vectors[here == 0] = 0
+    pooled, where = model.pool(model.products(vectors), [local[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)], places=True)
+    where += starts[:, None]
     miss = (model.score(pooled) - labels) / len(labels)
     weights = [*model.filters, *model.bias, model.out]
     grads = [np.zeros_like(w) for w in weights]
     grads[-1][:] = pooled.T @ miss
-    back = (miss[:, None] * model.out[None, :]) * (pooled > 0)
+    back = ((miss[:, None] * model.out[None, :]) * (pooled > 0)).astype(model.table.dtype)
     touched, values = [], []
-    for k, (f, places) in enumerate(zip(model.filters, where, strict=True)):
-        g = back[:, k * FILTERS : (k + 1) * FILTERS].astype(model.table.dtype)
+    for k, f in enumerate(model.filters):
+        mine = slice(k * FILTERS, (k + 1) * FILTERS)
+        g = back[:, mine]
         grads[len(WIDTHS) + k][:] = g.sum(0)
         for i in range(len(f)):
-            word = at[np.minimum(places + i, len(at) - 1)]  # (texts, filters)
-            vectors = model.table[known[word]].mean(axis=2) * (word > 0)[..., None]
-            grads[k][i] = np.einsum("bfd,bf->df", vectors, g)
-            live = (word > 0) & (g != 0)
-            touched.append(known[word[live]])
-            values.append((g[..., None] * f[i].T[None])[live] / 4)
-    value = np.repeat(np.concatenate(values)[:, None, :], 4, axis=1).reshape(-1, DIM)
-    unique, inverse = np.unique(np.concatenate(touched).reshape(-1), return_inverse=True)
-    total = np.zeros((len(unique), DIM), model.table.dtype)
-    np.add.at(total, inverse, value)
-    return grads, float(miss.sum()), unique, total
+            word = local[where[:, mine] + i]  # (texts, filters)
+            grads[k][i] = np.einsum("bfd,bf->df", vectors[word], g)
+            live = (here[word] > 0) & (g != 0)
+            touched.append(word[live])
+            values.append(g[live][:, None] * f[i].T[np.nonzero(live)[1]] / 4)
+    words, total = add_up(np.concatenate(touched), np.concatenate(values), len(here))
+    rows, total = add_up(known[here[words]].ravel(), np.repeat(total, 4, axis=0), ROWS)
+    return grads, float(miss.sum()), rows, total.astype(model.table.dtype)
 
 
 def learn(model: Model, labels: np.ndarray, texts: list[str | None], epochs: range, seed: int = 3) -> np.ndarray:
     """Train the model on texts for some of ``EPOCHS``; tells how many steps touched each row of the embeddings."""
-    numbers: dict[str, int] = {}
-    ids = [np.array([numbers.setdefault(w, len(numbers) + 1) for w in words_of(t)], np.int64) for t in texts]
-    known = np.array([(0, 0, 0, 0)] + [features(w) for w in numbers], np.int64)
+    numbers = Numbers()
+    ids = [numbers.of(words_of(t)) for t in texts]
+    known = np.concatenate([np.zeros((1, 4), np.int64), hashed([*numbers])])
     rng, order = np.random.default_rng((seed, epochs.start)), np.arange(len(texts))
     seen, touched = np.full(ROWS, 1e-8, np.float32), np.zeros(ROWS)  # Adagrad's sums, a row each
     weights = [*model.filters, *model.bias, model.out]
@@ -222,35 +276,34 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.width = FILTERS * sum(WIDTHS)
         self._reset()
 
     def _reset(self, room: int = 0) -> None:
         """Forget all words; with room for ``room`` of them at least (memory is only used as it is filled)."""
-        self.numbers: dict[str, int] = {}
-        self.products = np.zeros((max(room, REMEMBERED) + 1, self.width), np.float32)
-        self.used = 1
-
-    def _learn(self, words: list[list[str]]) -> None:
-        new = {w for ws in words for w in ws if w not in self.numbers}
-        if self.used + len(new) > len(self.products):
-            new = {w for ws in words for w in ws}
-            self._reset(len(new))
-        new = list(new)
+        self.numbers, self.used = Numbers(), 0
+        self.products = [np.zeros((max(room, REMEMBERED) + 1, FILTERS * len(WIDTHS) - skip), np.float32) for skip in SKIP]
+
+    def _learn(self, words: list[list[str]]) -> list[np.ndarray]:
+        """The words' numbers, which are the rows of their products."""
+        ids = [self.numbers.of(ws) for ws in words]
+        if len(self.numbers) >= len(self.products[0]):
+            self._reset(len({w for ws in words for w in ws}))
+            ids = [self.numbers.of(ws) for ws in words]
+        new = self.numbers.since(self.used)
         for lo in range(0, len(new), 8192):
             part = new[lo : lo + 8192]
-            self.products[self.used : self.used + len(part)] = self.model.products(np.array([features(w) for w in part], np.int64))
-            self.numbers.update(zip(part, range(self.used, self.used + len(part)), strict=True))
+            at = self.used + 1
+            for held, made in zip(self.products, self.model.products(self.model.vectors(hashed(part))), strict=True):
+                held[at : at + len(part)] = made
             self.used += len(part)
+        return ids
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         if self.model.constant is not None:
             return np.full(len(texts), self.model.constant)
-        words = [words_of(t) for t in texts]
-        self._learn(words)
-        numbers = self.numbers
-        at, starts, sizes = lay_out([np.array([numbers[w] for w in ws], np.int64) for ws in words])
-        return self.model.score(self.model.pool(self.products, at, starts, sizes))
+        at, starts, ends = lay_out(self._learn([words_of(t) for t in texts]))
+        pooled, _ = self.model.pool(self.products, [at[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)])
+        return self.model.score(pooled)
 
 
 def _groups(texts: list[str | None], chars: int = 200_000):
@@ -311,6 +364,12 @@ def _move(model: Model, by: np.ndarray) -> None:
     model.base += float(by[at])
 
 
+def _deal(rows: DataFrame, shards: int) -> DataFrame:
+    """Rows (id, label, text) with their shard; each of up to 4,096 shards is a partition of its own."""
+    shard = F.pmod(F.xxhash64(F.lit("shard"), "id"), F.lit(shards)).cast("int").alias("shard")
+    return rows.select("id", "label", "text", shard).repartitionById(min(shards, 4096), F.col("shard"))
+
+
 def train(docs: DataFrame, labels: DataFrame, text_col="text", lang_col="lang") -> Model:
     """Fit the model on all labelled documents outside the held-out fold (``labels``: doc_id, toxic)."""
     rows = labelled(docs, labels, F.when(F.col("toxic").isin(0, 1), F.col("toxic")), text_col=text_col, extra=(lang_col,)).withColumnRenamed(lang_col, "lang")
@@ -322,7 +381,7 @@ def train(docs: DataFrame, labels: DataFrame, text_col="text", lang_col="lang")
         return model
     shards = max(1, -(-told["n"] // SHARD), -(-told["chars"] // SHARD_CHARS))
     fan, epochs = int(shards**0.5) + 1, EPOCHS // TURNS
-    dealt = rows.where(~calibrates).select("id", "label", "text", F.pmod(F.xxhash64(F.lit("shard"), "id"), F.lit(shards)).cast("int").alias("shard")).repartition(min(shards, 4096), "shard")
+    dealt = _deal(rows.where(~calibrates), shards)
     for turn in range(TURNS):
         made = dealt.groupBy("shard").applyInArrow(_shard(model, range(turn * epochs, (turn + 1) * epochs), fan), _PIECES)
         added = made.groupBy("piece", "fan").applyInArrow(_add, _PIECES).groupBy("piece").applyInArrow(_add, _PIECES)

@@ -6,6 +6,7 @@ import math
 import random
 import re
 import time
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -864,6 +865,73 @@ def test_toxicity_learns_from_all_labelled_rows(spark, monkeypatch):
     assert (again.table == one.table).all() and again.thresholds == one.thresholds
 
 
+def test_toxicity_words_and_their_rows_are_those_of_the_pattern():
+    every = [f"a{c}b{c}{c}cd {c}" for c in map(chr, [*range(0x3100), *range(0xD7F0, 0xE010), *range(0xF900, 0x10000), 0x1D7D8, 0x1F600, 0x2F800])]
+    odd = ["", "  ", "Dix-huit \u201equotes\u201c\u2026 und\u2014dashes \u0130X \u03a3\u03a3 e\u0301 \ud800x", "x_1 A.B\x1c\x85c\n\u2028d"]
+    assert toxicity.words_of(None) == [] and all(toxicity.words_of(t) == toxicity.WORD.findall(t.lower()) for t in [*every, *odd])
+    words = ["a", "abc", "straße", "\ud800xyz1", "toxicity"]
+    want = [[zlib.crc32(h + w[:n].encode("utf-8", "surrogatepass")) % toxicity.ROWS for h, n in ((b"", None), (b"3", 3), (b"4", 4), (b"5", 5))] for w in words]
+    assert toxicity.hashed(words).tolist() == want and [list(toxicity.features(w)) for w in words] == want and toxicity.hashed([]).shape == (0, 4)
+
+
+def test_toxicity_pools_long_texts_in_spans(monkeypatch):
+    rng = random.Random(43)
+    model, texts = toxicity.Model(), [prose(rng, n) for n in (0, 1, 2, 3, 8, 50)]
+    numbers = toxicity.Numbers()
+    ids = [numbers.of(toxicity.words_of(t)) for t in texts]
+    known = np.concatenate([np.zeros((1, 4), np.int64), toxicity.hashed([*numbers])])
+    labels = np.array([0.0, 1, 0, 1, 0, 1])
+    whole, scores = toxicity.gradients(model, known, ids, labels), toxicity.Scorer(model).score(texts)
+    monkeypatch.setattr(toxicity, "SPAN", 3)
+    cut = toxicity.gradients(model, known, ids, labels)
+    assert all((a == b).all() for a, b in zip(whole[0], cut[0], strict=True)) and whole[1] == cut[1] and (whole[2] == cut[2]).all() and (whole[3] == cut[3]).all()
+    assert (toxicity.Scorer(model).score(texts) == scores).all()
+
+
+def test_toxicity_forgets_words_beyond_its_bound(monkeypatch):
+    rng = random.Random(44)
+    model, texts = toxicity.Model(), [prose(rng, 30) + f" w{i} v{i}" for i in range(40)]
+    scores = toxicity.Scorer(model).score(texts)
+    monkeypatch.setattr(toxicity, "REMEMBERED", 25)
+    few = toxicity.Scorer(model)
+    assert np.concatenate([few.score(texts[i : i + 4]) for i in range(0, 40, 4)]) == pytest.approx(scores, abs=1e-6)
+
+
+def test_toxicity_gives_each_shard_a_task(spark):
+    """By the hash of their numbers several shards met in one task."""
+    rows = spark.range(4000).select("id", F.lit(0).alias("label"), F.lit("a text").alias("text"))
+    dealt = toxicity._deal(rows, 21)
+    assert {tuple(r) for r in dealt.select("shard", F.spark_partition_id()).distinct().collect()} == {(i, i) for i in range(21)}
+    assert toxicity._deal(rows, 5000).select("shard", F.spark_partition_id()).distinct().count() == rows.select(F.pmod(F.xxhash64(F.lit("shard"), "id"), F.lit(5000))).distinct().count()
+
+
+class Counted(np.ndarray):
+    """Counts the rows that are looked up in it."""
+
+    rows = 0
+
+    def take(self, at, axis=None):
+        Counted.rows += np.size(at)
+        return np.asarray(self).take(at, axis)
+
+    def __getitem__(self, at):
+        Counted.rows += np.size(at)
+        return np.asarray(self)[at]
+
+
+def test_toxicity_looks_each_word_of_a_step_up_once(monkeypatch):
+    """It looked words up again for each filter that they were the place of."""
+    rng = random.Random(45)
+    model, texts = toxicity.Model(), [prose(rng, 40) + f" rare{i}" for i in range(32)]
+    monkeypatch.setattr(Counted, "rows", 0)
+    model.table = model.table.view(Counted)
+    numbers = {}
+    ids = [np.array([numbers.setdefault(w, len(numbers) + 1) for w in toxicity.words_of(t)]) for t in texts]
+    known = np.array([(0, 0, 0, 0)] + [toxicity.features(w) for w in numbers])
+    toxicity.gradients(model, known, ids, np.array([float(i % 4 == 0) for i in range(32)]))
+    assert 0 < Counted.rows <= 4 * (len(numbers) + 1)
+
+
 def test_toxicity_thresholds_of_rare_languages_borrow():
     rng = random.Random(42)
     rows = [(int(i % 3 == 0), prose(rng, 20) + (" grobian" if i % 3 == 0 else ""), "de" if i % 40 == 0 else "en") for i in range(600)]
