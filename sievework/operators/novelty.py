@@ -12,7 +12,9 @@ Designs are searched within one edit first, then within two, four and so
 on; those that can't get nearer any more leave.  Within one and two edits a
 short design meets no tree: what two edits can do to a sequence is a few
 hundred keys, and two sequences are that near exactly if they share one, so
-a plain semi join finds out, and work grows with the sequences alone.
+a plain semi join finds out, and work grows with the sequences alone.  Joins
+are told to shuffle both sides: Spark rates rows by their compressed files and
+keys by the rows that they come from, so it would send millions to the driver.
 """
 
 from __future__ import annotations
@@ -204,7 +206,7 @@ def _by_keys(designs: DataFrame, known: DataFrame, many: tuple[int, int], limit:
         return designs.select("sequence", F.lit(0).cast("long").alias("edits"), F.lit(0).cast("long").alias("longer")).limit(0)
     left = designs.select("sequence", F.explode(F.concat(*asks)).alias("k")).select("sequence", "k.*")
     right = known.select(F.explode(F.concat(*held)).alias("key"))
-    met = left.join(right, "key", "left_semi")
+    met = left.join(right.hint("merge"), "key", "left_semi")
     return met.groupBy("sequence").agg(F.min_by(F.struct("edits", "longer"), worth).alias("b")).select("sequence", "b.edits", "b.longer")
 
 
@@ -247,7 +249,7 @@ def _nearest(designs: DataFrame, known: DataFrame, most: Column, relative: bool)
             best = found if best is None else best.unionByName(found)
         # With more edits than the limit a known sequence has at most as many residues more than the design.
         after = F.lit(limit + 1) / (F.col("n") + limit + 1) if relative else F.lit(limit + 1)
-        rated = materialize(open_.join(best, "sequence", "left").withColumn("done", (F.col("most") <= limit) | F.coalesce(worth <= after, F.lit(False))), "novelty-rated")
+        rated = materialize(open_.join(best.hint("merge"), "sequence", "left").withColumn("done", (F.col("most") <= limit) | F.coalesce(worth <= after, F.lit(False))), "novelty-rated")
         part = rated.where("done and edits is not null").select("sequence", "edits", "longer")
         settled = part if settled is None else settled.unionByName(part)
         open_ = rated.where("not done").select("sequence", "n", "most")
@@ -272,7 +274,7 @@ def greatest_identity(designs: DataFrame, known: DataFrame, most: float) -> Data
 def copies(designs: DataFrame, lists: dict[str, DataFrame]) -> DataFrame:
     """(sequence, copy_of): names of the lists that hold a design's sequence, sorted."""
     own = designs.select("sequence").where("sequence is not null").distinct()
-    found = [own.join(rows.select("sequence").distinct(), "sequence").withColumn("name", F.lit(name)) for name, rows in lists.items()]
+    found = [own.join(rows.select("sequence").distinct().hint("merge"), "sequence").withColumn("name", F.lit(name)) for name, rows in lists.items()]
     every = found[0] if found else own.limit(0).withColumn("name", F.lit(""))
     for more in found[1:]:
         every = every.union(more)
@@ -290,12 +292,12 @@ def measured(designs: DataFrame, profile: dict, known: DataFrame | None = None,
     least, most = rules.get("min_mutations_vs_known_binders"), rules.get("max_identity_vs_pdb")
     told = {}
     if known is not None and least is not None:
-        out = out.join(fewest_mutations(designs, known, int(least)), "sequence", "left")
+        out = out.join(fewest_mutations(designs, known, int(least)).hint("merge"), "sequence", "left")
         told[MUTATIONS] = F.coalesce("mutations", F.lit(int(least)))
     if pdb is not None and most is not None:
-        out = out.join(greatest_identity(designs, pdb, float(most)), "sequence", "left")
+        out = out.join(greatest_identity(designs, pdb, float(most)).hint("merge"), "sequence", "left")
         told[IDENTITY] = F.coalesce("identity", F.lit(0.0))
-    out = out.join(copies(designs, {n: rows for n, rows in (lists or {}).items() if n in wanted}), "sequence", "left").withColumn("copy_of", F.coalesce("copy_of", F.array().cast("array<string>")))
+    out = out.join(copies(designs, {n: rows for n, rows in (lists or {}).items() if n in wanted}).hint("merge"), "sequence", "left").withColumn("copy_of", F.coalesce("copy_of", F.array().cast("array<string>")))
     if told:
         others = F.map_filter("metrics", lambda k, v: ~F.lower(k).isin(*told))
         out = out.withColumn("metrics", F.map_concat(others, F.create_map(*[x for k, v in told.items() for x in (F.lit(k), v.cast("double"))])))

@@ -106,3 +106,17 @@ def test_short_designs_meet_no_tree_within_two_edits(spark, monkeypatch):
     got = {r["sequence"]: r["identity"] for r in novelty.greatest_identity(sequences(spark, left), sequences(spark, right), 0.7).collect()}
     assert got == pytest.approx({d: i for d, i in like.items() if i >= 0.7})
     assert not met
+
+
+def test_keys_and_results_are_not_broadcast(spark, monkeypatch):
+    """Compressed files and rows before explode() say little of a join's size: no side of it may be sent to the driver."""
+    plans, keep = [], novelty.materialize
+    monkeypatch.setattr(novelty, "materialize", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df, label))
+    rows = spark.range(400).select(F.format_string("Customer#%09d", "id").alias("sequence"), "id")
+    got = novelty.fewest_mutations(rows.where("id % 5 > 0"), rows.where("id % 5 = 0"), 3)
+    assert got.count() == 320 and any("LeftSemi" in p for p in plans)
+    profile = {"novelty": {"min_mutations_vs_known_binders": 3, "max_identity_vs_pdb": 0.9}, "peptide_specific": {"disallow_exact_duplicate_of": ["earlier"]}}
+    designs, known = rows.select("sequence", F.create_map(F.lit("iptm"), F.lit(0.9)).alias("metrics")), rows.where("id % 5 = 0")
+    told = novelty.measured(designs, profile, known=known, pdb=known, lists={"earlier": known})
+    plans.append(told._jdf.queryExecution().executedPlan().toString())
+    assert not any("Broadcast" in p for p in plans) and told.where("size(copy_of) = 1").count() == 80
