@@ -11,6 +11,13 @@ Structures are dealt into bands of length, of which only equal and
 neighbouring ones can pass the bound, and bands into tiles; two tiles meet in
 a group of their own, and numpy works on all pairs of equal lengths in it at
 once.
+
+Where two structures are so small that all residues come near after any
+superposition, none is superposed again.  All their superpositions are then
+rated in single precision first, all pairs of two tiles at once, and only
+those whose rating is within ``MARGIN`` of the pair's best and of the
+threshold, or that single precision can't settle, are made in double
+precision.
 """
 
 from __future__ import annotations
@@ -24,16 +31,22 @@ from pyspark.sql import functions as F
 
 from sievework.plans.shared import materialize
 
-#: Structures of a tile; numbers that a batch of superpositions may hold.
-TILE, HELD = 64, 200_000
+#: Structures of a tile at least and at most, tiles of a band between these bounds; numbers that a batch of superpositions may hold.
+TILE, MOST, SPREAD, HELD = 64, 512, 8, 200_000
+#: Superpositions rated at once, columns of a step of them, pairs below which nothing is rated.
+RATED, COLUMNS, FEW = 16_384, 1_024, 64
+#: Laguerre's steps in single precision; least slope (an eighth of the quartic's) and greatest last step, by the slope, of a rotation that counts as settled.
+STEPS, SLOPE, LAST = 5, 1e-2, 0.1
+#: More than twice the error of a settled rating: rotations are off by 1e-4 at most, as measured on 400,000.
+MARGIN = 2e-3
 #: Times that a superposition is made again on the residues that came near.
 REFINED = 6
 #: Bands up to which the table of their sizes is broadcast; a shuffled join beyond.
 BROADCAST_BANDS = 50_000
 #: Partitions of the comparison at most.
 PARTS = 2_048
-#: Fewest residues of an alignment.
-LEAST = 5
+#: Fewest residues of an alignment; distance within which a residue is near, if half a count isn't farther.
+LEAST, NEAR = 5, 4.5
 
 
 def scale(length: int) -> float:
@@ -118,7 +131,7 @@ def _best(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
                 far = superpose(p, q, w)
                 np.maximum.at(best, pair, (1 / (1 + far / half**2)).sum(1) / long)
                 third = np.partition(far, 2, axis=1)[:, 2:3]
-                new = (far <= np.maximum(max(half, 4.5) ** 2, third)).astype(np.float64)
+                new = (far <= np.maximum(max(half, NEAR) ** 2, third)).astype(np.float64)
                 # What is superposed on the same residues again, or on all, as the first fragment was, tells nothing new.
                 go = (new != w).any(1) & ~(new.all(1) & whole)
                 if not go.any():
@@ -127,6 +140,120 @@ def _best(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
     return best
 
 
+def _turns(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``rotations`` in single precision of the moments e[:3, :3] (5, 5, m), which are overwritten, as (3, 3, m), and which of them aren't settled.
+
+    With the moments h = r u, u symmetric of invariants i1 (the quartic's
+    largest root), i2 and i3, and the cofactors c of h, it holds that
+    (i1 i2 - i3) r = i1 c + (i1² - i2) h - h h' h.
+    """
+    s = e[:3, :3]
+    s *= 1 / np.maximum(np.sqrt(np.add.reduce(np.square(s).reshape(9, -1), axis=0)), np.float32(1e-12))
+    e[3:, :3], e[:, 3:] = e[:2, :3], e[:, :2]
+    r = e[1:4, 1:4] * e[2:5, 2:5]
+    r -= e[1:4, 2:5] * e[2:5, 1:4]
+    i3 = np.add.reduce(e[0, :3] * r[0], axis=0)
+    c0, c1, i1 = 1 - 4 * np.add.reduce(np.square(r).reshape(9, -1), axis=0), -8 * i3, np.full_like(i3, 3**0.5)
+    for _ in range(STEPS):
+        t = np.square(i1)
+        value = t - 2
+        value *= t
+        value += c0
+        value += c1 * i1
+        slope = t - 1
+        slope *= i1
+        slope *= 4
+        slope += c1
+        t *= 144
+        t -= 48
+        t *= value
+        under = np.square(slope)
+        under *= 9
+        under -= t
+        slope += np.sqrt(np.maximum(under, 0, out=under), out=under)
+        value /= np.maximum(slope, np.float32(1e-4), out=slope)
+        value *= 4
+        i1 -= value
+    i2 = (np.square(i1) - 1) / 2
+    d = i1 * i2 - i3
+    h = s[0][:, None] * s[0][None]
+    for a in (1, 2):
+        h += s[a][:, None] * s[a][None]
+    np.negative(h, out=h)
+    for a in range(3):
+        h[a, a] += np.square(i1) - i2
+    r *= i1
+    for a in range(3):
+        r += s[:, a][:, None] * h[a][None]
+    r *= 1 / np.maximum(d, np.float32(1e-6))
+    return r, (d < SLOPE) | (np.abs(value) > LAST * d)
+
+
+def _rated(x: np.ndarray, y: np.ndarray, tried: list[tuple[int, ...]], half: float) -> np.ndarray:
+    """Scores (superposition, left, right) in single precision of all pairs of x (3, left, short) and y (3, long, right), infinite if not settled."""
+    many, wide = x.shape[1], y.shape[2]
+    out, e, step = np.empty((len(tried), many, wide), np.float32), np.empty((5, 5, many * wide), np.float32), max(1, COLUMNS // wide)
+    for k, (i, j, n, a, b) in enumerate(tried):
+        p, q = x[:, :, i : i + n], y[:, j : j + n]
+        p, q = p - p[:, :, a:b].mean(2, keepdims=True), q - q[:, a:b].mean(1, keepdims=True)
+        e[:3, :3] = np.matmul(p[:, None, :, a:b], q[None, :, a:b]).reshape(3, 3, -1)
+        r, shaky = _turns(e)
+        r = r.reshape(3, 3, many, wide)
+        left, right, turned = np.square(p).sum(0) + 1, np.square(q).sum(0), -2 * p.transpose(1, 2, 0)
+        for at in range(0, many, step):
+            v = np.matmul(turned[at : at + step, None], r[:, :, at : at + step].transpose(2, 1, 0, 3))
+            v *= q
+            far = v[:, 0]
+            far += v[:, 1]
+            far += v[:, 2]
+            far += right
+            far += left[at : at + step, :, None]
+            np.add.reduce(np.reciprocal(far, out=far), axis=1, out=out[k, at : at + step])
+        out[k][shaky.reshape(many, wide)] = np.inf
+    return out
+
+
+def _small(x: np.ndarray, limit: float) -> np.ndarray:
+    """Which structures (m, n, 3) have no two residues farther apart than the limit."""
+    small = np.square(x - x.mean(1, keepdims=True)).sum(2).max(1) <= limit**2  # the mean is nearer than the farthest residue
+    for k in range(x.shape[1]):
+        some = np.flatnonzero(small)
+        small[some] = np.square(x[some] - x[some, k : k + 1]).sum(2).max(1) <= limit**2
+    return small
+
+
+def _best_of_small(x: np.ndarray, y: np.ndarray, threshold: float, own: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(left, right, score) of the pairs of small structures x (p, short, 3) and y (q, long, 3) that may reach the threshold; of the same ones only left < right."""
+    short, long = x.shape[1], y.shape[1]
+    half = scale(long)
+    tried = [(i, j, n, a, b) for i, j, n in alignments(short, long, threshold) for a, b in fragments(n)]
+    xs, ys = (((z - z.mean(1, keepdims=True)) / half).astype(np.float32) for z in (x, y))
+    xs, ys, found = np.ascontiguousarray(xs.transpose(2, 0, 1)), np.ascontiguousarray(ys.transpose(2, 1, 0)), []
+    step = max(1, min(RATED // len(y), len(x) // 4 if own else len(x)))  # steps of the same ones leave out what lies before them
+    for at in range(0, len(x), step):
+        first = at + 1 if own else 0
+        for lo in range(first, len(y), RATED):
+            score = _rated(xs[:, at : at + step], np.ascontiguousarray(ys[:, :, lo : lo + RATED]), tried, half) / long
+            settled = np.isfinite(score)
+            cut = np.maximum(np.where(settled, score, 0).max(0), threshold) - MARGIN
+            k, i, j = np.nonzero(score >= cut)
+            found.append((k, i + at, j + lo))
+    k, i, j = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.empty(0, int),) * 3
+    if own:
+        k, i, j = (c[i < j] for c in (k, i, j))
+    pairs, pair = np.unique(i * len(y) + j, return_inverse=True)
+    best, order = np.zeros(len(pairs)), np.argsort(k, kind="stable")
+    for some in np.split(order, np.flatnonzero(np.diff(k[order])) + 1) if len(order) else ():
+        m, o, n, a, b = tried[k[some[0]]]
+        wide = max(1, HELD // (n * 3))
+        for part in (some[at : at + wide] for at in range(0, len(some), wide)):
+            w = np.zeros((len(part), n))
+            w[:, a:b] = 1
+            far = superpose(x[i[part], m : m + n], y[j[part], o : o + n], w)
+            np.maximum.at(best, pair[part], (1 / (1 + far / half**2)).sum(1) / long)
+    return pairs // len(y), pairs % len(y), best
+
+
 def tm_score(x: np.ndarray, y: np.ndarray, threshold: float = 0.0) -> float:
     """Score of two traces (n, 3); 0 if the lengths can't reach the threshold."""
     x, y = sorted((np.asarray(x, dtype=np.float64), np.asarray(y, dtype=np.float64)), key=len)
@@ -145,20 +272,30 @@ def _meet(threshold: float):
         found = []
         for n in np.unique(size[left]):
             for m in np.unique(size[right]):
-                if min(n, m) < threshold * max(n, m) - 1e-9:
-                    continue
-                i, j = (g.ravel() for g in np.meshgrid(left[size[left] == n], right[size[right] == m], indexing="ij"))
-                if own:
-                    i, j = i[i < j], j[i < j]
-                if not len(i):
+                if min(n, m) < threshold * max(n, m) - 1e-9 or own and n > m:
                     continue
-                short, long = (i, j) if n <= m else (j, i)
-                for at in range(0, len(i), 4096):
-                    a, b = short[at : at + 4096], long[at : at + 4096]
-                    take = lambda k: values[ends[k][:, None] + np.arange(3 * size[k[0]])].reshape(len(k), -1, 3)
-                    score = _best(take(a), take(b), threshold)
+                short, long = left[size[left] == n], right[size[right] == m]
+                if n > m:
+                    short, long = long, short
+                take = lambda k: values[ends[k][:, None] + np.arange(3 * size[k[0]])].reshape(len(k), -1, 3)
+                tiny = [_small(take(k), max(scale(max(n, m)), NEAR) / 2) for k in (short, long)]
+                rated = tiny[0].sum() * tiny[1].sum() >= FEW
+                if rated:
+                    a, b = short[tiny[0]], long[tiny[1]]
+                    i, j, score = _best_of_small(take(a), take(b), threshold, own and n == m)
+                    a, b = a[i], b[j]
                     near = score >= threshold
                     found.append((a[near], b[near], score[near]))
+                a, b = (g.ravel() for g in np.meshgrid(short, long, indexing="ij"))
+                rest = ~np.logical_and.outer(*tiny).ravel() if rated else np.ones(len(a), dtype=bool)
+                if own and n == m:
+                    rest &= a < b
+                a, b = a[rest], b[rest]
+                for at in range(0, len(a), 4096):
+                    i, j = a[at : at + 4096], b[at : at + 4096]
+                    score = _best(take(i), take(j), threshold)
+                    near = score >= threshold
+                    found.append((i[near], j[near], score[near]))
         i, j, score = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.empty(0, int), np.empty(0, int), np.empty(0))
         return pa.table({"a": ids.take(pa.array(i)), "b": ids.take(pa.array(j)), "similarity": score})
 
@@ -178,7 +315,7 @@ def structure_pairs(traces: DataFrame, threshold: float, block: tuple[str, ...]
     fine = traces.where(F.col("id").isNotNull()).dropna(subset=list(block)) if block else traces.where(F.col("id").isNotNull())
     fine = fine.select("id", *block, F.transform("xyz", lambda v: v.cast("double")).alias("xyz")).where(F.col("xyz").isNotNull() & finite & (n >= LEAST)).withColumn("band", band)
     keys = [*block, "band"]
-    sizes = materialize(fine.groupBy(*keys).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")), "structure-bands")
+    sizes = materialize(fine.groupBy(*keys).agg(F.ceil(F.count("*") / F.least(F.greatest(F.ceil(F.count("*") / SPREAD), F.lit(TILE)), F.lit(max(TILE, MOST)))).cast("int").alias("tiles")), "structure-bands")
     small = F.broadcast(sizes) if sizes.count() <= BROADCAST_BANDS else sizes
     dealt = fine.join(small, keys).withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")).drop("tiles")
     other = small.select(*block, F.col("band").alias("band2"), F.col("tiles").alias("tiles2"))

@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -220,3 +221,43 @@ def test_superpositions_that_tell_nothing_new_are_not_made(monkeypatch):
     s, sign = np.linalg.svd(h, compute_uv=False), np.sign(np.linalg.det(h))
     assert np.allclose(r @ r.transpose(0, 2, 1), np.eye(3)) and np.allclose(np.linalg.det(r), 1)
     assert np.allclose((r * h).sum((1, 2))[:200], (s[:, 0] + s[:, 1] + sign * s[:, 2])[:200]) and np.allclose((r * h).sum((1, 2))[200:], [*s[200:209, 0], 0, 1])
+
+
+def test_pairs_of_small_structures_are_rated_at_once(spark, monkeypatch):
+    """Where all residues come near, few superpositions are made in double precision, and the scores are those of all of them."""
+    rng = np.random.default_rng(8)
+    base = [0.3 * rng.normal(size=(21, 3)) for _ in range(4)]
+    made = [turned(rng, b[: int(n)], 0.08) for b in base for n in (16, 20, 21) * 4]
+    made += [np.outer(np.arange(21.0), [0.0, 0.05, 0.02]), np.zeros((21, 3)), made[0], -made[0], chain(rng, 21), chain(rng, 20)]  # on a line, in a point, copied, mirrored, large
+    want = {}
+    for i, x in enumerate(made):
+        for j in range(i):
+            if (s := structures.tm_score(made[j], x, 0.6)) >= 0.6:
+                want[j, i] = s
+    ends = np.cumsum([0, *[3 * len(x) for x in made]])
+    rows = pa.table({"id": pa.array(range(len(made))), "xyz": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(made).ravel())), "mine": [True] * len(made), "own": [True] * len(made)})
+    done, best, once, plain = [], structures._best, structures.superpose, []
+    monkeypatch.setattr(structures, "superpose", lambda p, q, w: (done.append(len(p)), once(p, q, w))[1])
+    monkeypatch.setattr(structures, "_best", lambda p, q, t: (plain.append(len(p)), best(p, q, t))[1])
+    for rated in (structures.RATED, 50):
+        monkeypatch.setattr(structures, "RATED", rated)
+        monkeypatch.setattr(structures, "COLUMNS", rated)
+        done.clear()
+        plain.clear()
+        got = {tuple(sorted(r[:2])): r[2] for r in zip(*(c.to_pylist() for c in structures._meet(0.6)(rows).columns), strict=True)}
+        assert got == pytest.approx(want, abs=1e-12) and len(want) > 150
+        assert sum(plain) < 2.1 * len(made) and sum(done) < 10 * len(made) ** 2  # of about 30 * len(made)**2
+    own = np.arange(len(made)) % 2 == 0
+    two = rows.set_column(2, "mine", pa.array(own)).set_column(3, "own", pa.array([False] * len(made)))
+    got = {tuple(sorted(r[:2])): r[2] for r in zip(*(c.to_pylist() for c in structures._meet(0.6)(two).columns), strict=True)}
+    assert got == pytest.approx({k: v for k, v in want.items() if own[k[0]] != own[k[1]]}, abs=1e-12)
+
+
+def test_rotations_in_single_precision(monkeypatch):
+    rng = np.random.default_rng(3)
+    h = np.concatenate([rng.normal(size=(5000, 3, 3)), np.einsum("mki,mkj->mij", *rng.normal(size=(2, 5000, 5, 3))), rng.normal(size=(9, 3, 1)) * rng.normal(size=(9, 1, 3)), np.zeros((1, 3, 3)), np.eye(3)[None] * [[[1.0, 1, -1]]]])
+    e = np.empty((5, 5, len(h)), np.float32)
+    e[:3, :3] = h.transpose(1, 2, 0)
+    r, shaky = structures._turns(e)
+    assert np.abs(r.transpose(2, 0, 1) - structures.rotations(h))[~shaky].max() < 2e-4
+    assert shaky[-11:].all() and shaky[:-11].mean() < 0.01
